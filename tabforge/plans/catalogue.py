@@ -273,3 +273,300 @@ def kde_grid(spark, sf_dir):
 def scatter_extract(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return audit.scatter_sample(o, "o_orderkey", "o_totalprice", "o_custkey", rate=0.1, seed=7)
+
+
+# ---------------------------------------------------------------- encoders
+
+from tabforge.operators.encode import (  # noqa: E402
+    OneHotEncoder, RobustScaler, TargetEncoder, first_appearance_codes)
+from tabforge.operators.knn import KNNImputer  # noqa: E402
+from tabforge.operators.power import YeoJohnson  # noqa: E402
+
+
+@query("category_codes")
+def category_codes(spark, sf_dir):
+    return first_appearance_codes(frame_p(spark, sf_dir), "gencat", "id").select("value", F.col("code").cast("int").alias("code"))
+
+
+@query("robust_scale")
+def robust_scale(spark, sf_dir):
+    p = frame_p(spark, sf_dir).withColumn("z", F.when(F.col("size") > 45, F.col("size")).otherwise(0).cast("double"))
+    cols = ["y", "front", "z"]
+    out = RobustScaler(cols).fit(p).transform(p)
+    return out.select("id", *[r6(c).alias(f"{c}_s") for c in cols])
+
+
+@query("one_hot")
+def one_hot(spark, sf_dir):
+    c = frame_c(spark, sf_dir)
+    model = OneHotEncoder(["seg"]).fit(c.where(F.col("seg") != "MACHINERY"))
+    return model.transform(c).select("id", *model.output_cols)
+
+
+@query("target_encode")
+def target_encode(spark, sf_dir):
+    c = frame_c(spark, sf_dir).withColumn("nat", F.col("nat").cast("string"))
+    model = TargetEncoder(["nat"], "y").fit(c)
+    return model.transform(c).select("id", r6("nat").alias("nat_te"))
+
+
+@query("yeo_johnson")
+def yeo_johnson_q(spark, sf_dir):
+    c = frame_c(spark, sf_dir).withColumn("xb", F.col("x2") / 1000.0)
+    model = YeoJohnson(["xb"]).fit(c)
+    return model.transform(c).select("id", r6("xb").alias("xb_yj"), F.lit(model.lambdas["xb"]).alias("lam")).withColumn(
+        "lam", r6("lam"))
+
+
+@query("knn_impute")
+def knn_impute(spark, sf_dir):
+    p = frame_p(spark, sf_dir).select("id", "nbhd", "gencat", "front", "y")
+    model = KNNImputer(["gencat", "front"], ["nbhd", "gencat", "front", "y"], "id", k=5).fit(p)
+    return model.transform(p).select("id", "gencat", r6("front").alias("front"))
+
+
+# ---------------------------------------------------------------- models, validation, ensembles
+
+from tabforge.operators.ensemble import SimplexBlend, Stacking, weighted_expr  # noqa: E402
+from tabforge.operators.linear import L1Selector, Lasso, Ridge, RidgeCV, gram_sums  # noqa: E402
+from tabforge.operators.trees import GBT, XGB_REGULARISED, LGBM_REGULARISED, sample_space  # noqa: E402
+from tabforge.operators.validate import (  # noqa: E402
+    LinearCV, assign_folds, fold_scores, oof_by_loop, score_summary)
+
+RIDGE_ALPHA = 10.0
+
+
+def c_folds(spark, sf_dir) -> DataFrame:
+    return assign_folds(frame_c(spark, sf_dir), "id", k=5, seed=42)
+
+
+def labelled_c(spark, sf_dir) -> DataFrame:
+    """Frame C with the null-safe outlier filter (many orders but low spend)."""
+    return drop_where(frame_c(spark, sf_dir), (F.col("x1") > 20) & (F.col("y") < 14.0))
+
+
+def flagship(spark, sf_dir):
+    """customer x orders -> spend -> filter -> log1p label -> folds -> ridge(x1, x2) -> OOF -> expm1."""
+    c = assign_folds(labelled_c(spark, sf_dir), "id", k=5, seed=42)
+    cv = LinearCV(Ridge(["x1", "x2"], "y", RIDGE_ALPHA)).fit(c)
+    oof = cv.oof(c, "oof")
+    return oof.select("id", "fold", r6("oof").alias("pred_log"), F.round(F.expm1("oof"), 0).alias("predicted_spend"))
+
+
+QUERIES["flagship_oof"] = flagship
+
+
+@query("fold_assign")
+def fold_assign(spark, sf_dir):
+    return c_folds(spark, sf_dir).select("id", "fold")
+
+
+@query("ridge_fit")
+def ridge_fit(spark, sf_dir):
+    c = frame_c(spark, sf_dir)
+    m = Ridge(["x1", "x2"], "y", RIDGE_ALPHA).fit(c)
+    rows = [("(intercept)", m.intercept)] + [(f, float(b)) for f, b in zip(m.features, m.coef)]
+    rep = spark.createDataFrame(rows, "feature string, coef double")
+    return rep.select("feature", r6("coef").alias("coef"))
+
+
+@query("lasso_fit")
+def lasso_fit(spark, sf_dir):
+    c = frame_c(spark, sf_dir)
+    m = Lasso(["x1"], "y", 0.01).fit(c)
+    rows = [("(intercept)", m.intercept)] + [(f, float(b)) for f, b in zip(m.features, m.coef)]
+    return spark.createDataFrame(rows, "feature string, coef double").select("feature", r6("coef").alias("coef"))
+
+
+@query("l1_select")
+def l1_select(spark, sf_dir):
+    c = frame_c(spark, sf_dir).withColumn("natd", F.col("nat").cast("double"))
+    sel = L1Selector(["x1", "x2", "natd"], "y", alpha=0.0005).fit(c)
+    rows = [(f, float(b), f in sel.kept) for f, b in sel.coef.items()]
+    return spark.createDataFrame(rows, "feature string, coef double, kept boolean")
+
+
+def _ridge_oof(c: DataFrame, feats: list[str], col: str) -> DataFrame:
+    return LinearCV(Ridge(feats, "y", RIDGE_ALPHA)).fit(c).oof(c, col)
+
+
+@query("cv_scores")
+def cv_scores(spark, sf_dir):
+    c = c_folds(spark, sf_dir)
+    sc = fold_scores(_ridge_oof(c, ["x1"], "oof"), "y", "oof", model="ridge_x1")
+    return sc.select("model", "fold", "n", r6("rmse").alias("rmse"))
+
+
+@query("oof_predictions")
+def oof_predictions(spark, sf_dir):
+    oof = _ridge_oof(c_folds(spark, sf_dir), ["x1"], "oof")
+    return oof.select("id", "fold", r6("y").alias("y"), r6("oof").alias("oof"))
+
+
+def _two_model_oof(spark, sf_dir) -> DataFrame:
+    c = c_folds(spark, sf_dir)
+    c = _ridge_oof(c, ["x1"], "p_a")
+    return _ridge_oof(c, ["x2"], "p_b")
+
+
+@query("average_blend")
+def average_blend(spark, sf_dir):
+    oof = _two_model_oof(spark, sf_dir)
+    return oof.select("id", r6("p_a").alias("p_a"), r6("p_b").alias("p_b"),
+                      r6(weighted_expr(["p_a", "p_b"], [0.5, 0.5])).alias("blend"))
+
+
+@query("weighted_blend")
+def weighted_blend(spark, sf_dir):
+    oof = _two_model_oof(spark, sf_dir)
+    return oof.select("id", r6(weighted_expr(["p_a", "p_b"], [0.7, 0.3])).alias("blend"))
+
+
+@query("blend_weights")
+def blend_weights(spark, sf_dir):
+    oof = _two_model_oof(spark, sf_dir)
+    blend = SimplexBlend(["p_a", "p_b"], "y", "blend").fit(oof)
+    rmse = blend.transform(oof).agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("blend"), 2)))).first()[0]
+    rows = [("ridge_x1", float(blend.weights[0]), rmse), ("ridge_x2", float(blend.weights[1]), rmse)]
+    return spark.createDataFrame(rows, "model string, weight double, pooled_rmse double").select(
+        "model", r6("weight").alias("weight"), r6("pooled_rmse").alias("pooled_rmse"))
+
+
+RIDGE_CV_ALPHAS = [0.1, 1.0, 10.0, 100.0]
+
+
+@query("ridge_cv_loo")
+def ridge_cv_loo(spark, sf_dir):
+    c = frame_c(spark, sf_dir)
+    est = RidgeCV(["x1"], "y", RIDGE_CV_ALPHAS)
+    m = est.fit(c)
+    rows = [(a, float(est.loo_mse_[a]), a == m.alpha) for a in RIDGE_CV_ALPHAS]
+    return spark.createDataFrame(rows, "alpha double, loo_mse double, chosen boolean").select(
+        "alpha", F.round("loo_mse", 8).alias("loo_mse"), "chosen")
+
+
+def _score_table(spark, sf_dir) -> DataFrame:
+    c = c_folds(spark, sf_dir)
+    tables = []
+    for name, feats in (("ridge_x1", ["x1"]), ("ridge_x2", ["x2"]), ("ridge_x1x2", ["x1", "x2"])):
+        tables.append(fold_scores(_ridge_oof(c, feats, "oof"), "y", "oof", model=name))
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+@query("model_compare")
+def model_compare(spark, sf_dir):
+    s = score_summary(_score_table(spark, sf_dir))
+    return s.select("model", r6("mean_rmse").alias("mean_rmse"), r6("std_rmse").alias("std_rmse"), "n_folds")
+
+
+@query("keep_if_better")
+def keep_if_better(spark, sf_dir):
+    s = score_summary(_score_table(spark, sf_dir))
+    return s.agg(F.min_by("model", "mean_rmse").alias("best_model"), r6(F.min("mean_rmse")).alias("best_rmse"))
+
+
+@query("refit_and_score")
+def refit_and_score(spark, sf_dir):
+    from tabforge.sources.frames import frame_c_unlabelled
+    model = Ridge(["x1", "x2"], "y", RIDGE_ALPHA).fit(labelled_c(spark, sf_dir))
+    scored = model.transform(frame_c_unlabelled(spark, sf_dir))
+    return io.scored_table(scored, "id", "prediction", "predicted_spend").select(
+        "id", F.round("predicted_spend", 0).alias("predicted_spend"))
+
+
+@query("stack_ridge")
+def stack_ridge(spark, sf_dir):
+    c = c_folds(spark, sf_dir)
+    makers = {"ridge_x1": lambda: Ridge(["x1"], "y", RIDGE_ALPHA), "ridge_x2": lambda: Ridge(["x2"], "y", RIDGE_ALPHA),
+              "lasso_x1x2": lambda: Lasso(["x1", "x2"], "y", 0.0005)}
+
+    def oof_fn(df, name, mk):
+        return LinearCV(mk()).fit(df).oof(df, f"p_{name}").select("id", "fold", "y", f"p_{name}")
+
+    stack = Stacking(makers, lambda cols: RidgeCV(cols, "y", RIDGE_CV_ALPHAS), oof_fn, "id").fit(c)
+    return stack.transform(c).select("id", r6("prediction").alias("prediction"))
+
+
+def _gbt_features(spark, sf_dir) -> DataFrame:
+    c = c_folds(spark, sf_dir)
+    return OneHotEncoder(["seg"]).fit(c).transform(c)
+
+
+@query("gbt_cv")
+def gbt_cv(spark, sf_dir):
+    c = _gbt_features(spark, sf_dir)
+    feats = ["x1", "x2"] + [x for x in c.columns if x.startswith("seg_")]
+    tables = []
+    for name, params in (("gbt_xgb_style", XGB_REGULARISED), ("gbt_lgbm_style", LGBM_REGULARISED)):
+        p = dict(params, learning_rate=0.1)
+        oof = oof_by_loop(c, lambda p=p: GBT(feats, "y", p, n_estimators=10, id_col="id"), out_col="oof")
+        tables.append(fold_scores(oof, "y", "oof", model=name))
+    return tables[0].unionByName(tables[1])
+
+
+SEARCH_SPACE = {"max_depth": (2, 5, "int"), "learning_rate": (0.03, 0.3, "log"), "subsample": (0.6, 1.0, "float"),
+                "min_child_weight": (1, 30, "int")}
+
+
+@query("search_trials")
+def search_trials(spark, sf_dir):
+    c = _gbt_features(spark, sf_dir)
+    feats = ["x1", "x2"] + [x for x in c.columns if x.startswith("seg_")]
+    rows = []
+    for i, t in enumerate(sample_space(SEARCH_SPACE, 2, seed=42)):
+        oof = oof_by_loop(c, lambda t=t: GBT(feats, "y", t, n_estimators=10, id_col="id"), out_col="oof")
+        s = score_summary(fold_scores(oof, "y", "oof", model=f"trial_{i}")).first()
+        rows.append((i, t["max_depth"], float(t["learning_rate"]), float(t["subsample"]), t["min_child_weight"],
+                     float(s["mean_rmse"])))
+    return spark.createDataFrame(rows, "trial int, max_depth int, learning_rate double, subsample double, "
+                                       "min_child_weight int, mean_rmse double")
+
+
+@query("ablation")
+def ablation(spark, sf_dir):
+    """Same linear pipeline with and without the target-encoded nation and one-hot segment."""
+    c = c_folds(spark, sf_dir).withColumn("nat", F.col("nat").cast("string"))
+    variants = {"base": False, "improved": True}
+    tables = []
+    for name, improved in variants.items():
+        def make(improved=improved):
+            return _AblationPipeline(improved)
+        oof = oof_by_loop(c, make, out_col="oof")
+        tables.append(fold_scores(oof, "y", "oof", model=name))
+    return score_summary(tables[0].unionByName(tables[1]))
+
+
+class _AblationPipeline:
+    """Encoders fitted inside the training fold, then ridge."""
+
+    def __init__(self, improved: bool):
+        self.improved = improved
+
+    def fit(self, df):
+        stages = []
+        feats = ["x1", "x2"]
+        data = df
+        if self.improved:
+            oh = OneHotEncoder(["seg"]).fit(data)
+            te = TargetEncoder(["nat"], "y").fit(data)
+            data = te.transform(oh.transform(data)).withColumnRenamed("nat", "nat_te")
+            stages = [oh, te]
+            feats = feats + oh.output_cols + ["nat_te"]
+        sc = RobustScaler(feats).fit(data)
+        model = Ridge(feats, "y", RIDGE_ALPHA).fit(sc.transform(data))
+        return _Fitted(stages, sc, model)
+
+
+class _Fitted:
+    def __init__(self, stages, scaler, model):
+        self.stages, self.scaler, self.model = stages, scaler, model
+
+    def transform(self, df):
+        for s in self.stages:
+            df = s.transform(df)
+        if self.stages:
+            df = df.withColumnRenamed("nat", "nat_te")
+        return self.model.transform(self.scaler.transform(df))

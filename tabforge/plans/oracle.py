@@ -13,11 +13,11 @@ P_CTE = """P AS (
          p_size AS size, p_retailprice AS y
   FROM part)"""
 
-C_CTE = """S AS (SELECT o_custkey, count(*) AS x1, sum(o_totalprice) AS spend FROM orders GROUP BY o_custkey),
+C_CTE = """ordstats AS (SELECT o_custkey, count(*) AS x1, sum(o_totalprice) AS spend FROM orders GROUP BY o_custkey),
 C AS (
-  SELECT c_custkey AS id, CAST(S.x1 AS DOUBLE) AS x1, c_acctbal AS x2, c_mktsegment AS seg,
-         c_nationkey AS nat, ln(1 + S.spend) AS y
-  FROM customer JOIN S ON c_custkey = S.o_custkey)"""
+  SELECT c_custkey AS id, CAST(ordstats.x1 AS DOUBLE) AS x1, c_acctbal AS x2, c_mktsegment AS seg,
+         c_nationkey AS nat, ln(1 + ordstats.spend) AS y
+  FROM customer JOIN ordstats ON c_custkey = ordstats.o_custkey)"""
 
 L_CTE = """L AS (
   SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
@@ -166,3 +166,191 @@ FROM gr, v GROUP BY i, glo, step, h, n"""
 
 ORACLE["scatter_extract"] = """SELECT o_orderkey, o_totalprice, o_custkey FROM orders
 WHERE ((o_orderkey % 2147483647) * 1103515245 + 7) % 2147483647 < 214748364"""
+
+
+# ------------------------------------------------------------------ encoders
+
+ORACLE["category_codes"] = f"""WITH {P_CTE},
+f AS (SELECT gencat AS value, min(id) AS first FROM P WHERE gencat IS NOT NULL GROUP BY gencat)
+SELECT value, CAST(row_number() OVER (ORDER BY first, value) - 1 AS INTEGER) AS code FROM f"""
+
+
+def _robust_sql() -> str:
+    cols = ["y", "front", "z"]
+    qs = ", ".join(f"quantile_cont({c}, CAST(0.25 AS DOUBLE)) AS {c}_25, quantile_cont({c}, CAST(0.5 AS DOUBLE)) AS {c}_50, "
+                   f"quantile_cont({c}, CAST(0.75 AS DOUBLE)) AS {c}_75" for c in cols)
+    outs = ", ".join(f"round(({c} - {c}_50) / (CASE WHEN abs({c}_75 - {c}_25) > 1e-15 THEN {c}_75 - {c}_25 "
+                     f"ELSE CAST(1 AS DOUBLE) END), 6) AS {c}_s" for c in cols)
+    return (f"WITH {P_CTE}, PZ AS (SELECT *, CAST(CASE WHEN size > 45 THEN size ELSE 0 END AS DOUBLE) AS z FROM P), "
+            f"Q AS (SELECT {qs} FROM PZ) SELECT id, {outs} FROM PZ, Q")
+
+
+ORACLE["robust_scale"] = _robust_sql()
+
+ORACLE["one_hot"] = f"""WITH {C_CTE}
+SELECT id, {", ".join(f"CASE WHEN seg = '{v}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS seg_{v}"
+                      for v in ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"])} FROM C"""
+
+ORACLE["target_encode"] = f"""WITH {C_CTE},
+pr AS (SELECT avg(y) AS prior FROM C),
+st AS (SELECT nat, count(*) AS n, avg(y) AS m FROM C GROUP BY nat),
+en AS (SELECT nat, CASE WHEN n = 1 THEN prior
+   ELSE prior * (1 - 1 / (1 + exp(-(n - 20) / CAST(10 AS DOUBLE)))) + m * (1 / (1 + exp(-(n - 20) / CAST(10 AS DOUBLE)))) END AS e
+   FROM st, pr)
+SELECT C.id, round(coalesce(en.e, pr.prior), 6) AS nat_te FROM C LEFT JOIN en ON C.nat = en.nat, pr"""
+
+
+def _yj(x: str, lam: str) -> str:
+    return (f"CASE WHEN {x} >= 0 THEN (CASE WHEN abs({lam}) < 1e-12 THEN ln(1 + {x}) "
+            f"ELSE (pow({x} + 1, {lam}) - 1) / {lam} END) "
+            f"ELSE (CASE WHEN abs({lam} - 2) < 1e-12 THEN -ln(1 - {x}) "
+            f"ELSE -(pow(1 - {x}, 2 - {lam}) - 1) / (2 - {lam}) END) END")
+
+
+ORACLE["yeo_johnson"] = f"""WITH {C_CTE},
+X AS (SELECT id, x2 / CAST(1000 AS DOUBLE) AS x FROM C),
+G1 AS (SELECT CAST(k AS DOUBLE) / 10 AS lam FROM range(-50, 51) t(k)),
+L1 AS (SELECT lam, -CAST(count(*) AS DOUBLE) / 2 * ln(var_pop({_yj("x", "lam")}))
+              + (lam - 1) * sum(sign(x) * ln(1 + abs(x))) AS ll FROM X, G1 GROUP BY lam),
+B1 AS (SELECT arg_max(lam, ll) AS lam1 FROM L1),
+G2 AS (SELECT lam1 + CAST(j - 100 AS DOUBLE) / 1000 AS lam FROM B1, range(0, 201) t(j)),
+L2 AS (SELECT lam, -CAST(count(*) AS DOUBLE) / 2 * ln(var_pop({_yj("x", "lam")}))
+              + (lam - 1) * sum(sign(x) * ln(1 + abs(x))) AS ll FROM X, G2 GROUP BY lam),
+B2 AS (SELECT arg_max(lam, ll) AS lam2 FROM L2),
+T AS (SELECT id, {_yj("x", "lam2")} AS t, lam2 FROM X, B2),
+TS AS (SELECT avg(t) AS m, stddev_pop(t) AS sd FROM T)
+SELECT id, round((t - m) / sd, 6) AS xb_yj, round(lam2, 6) AS lam FROM T, TS"""
+
+
+def _knn_target_sql(name: str, target: str, cols: list[str]) -> str:
+    both = lambda c: f"q.{c} IS NOT NULL AND dn.{c} IS NOT NULL"
+    present = " + ".join(f"(CASE WHEN {both(c)} THEN 1 ELSE 0 END)" for c in cols)
+    ss = " + ".join(f"(CASE WHEN {both(c)} THEN (q.{c} - dn.{c}) * (q.{c} - dn.{c}) ELSE CAST(0 AS DOUBLE) END)" for c in cols)
+    return f"""PR_{name} AS (SELECT q.id AS qid, dn.id AS did, dn.{target} AS val, {present} AS present, {ss} AS ss
+   FROM E q, E dn WHERE q.{target} IS NULL AND dn.{target} IS NOT NULL),
+D_{name} AS (SELECT qid, did, val, CAST({len(cols)} AS DOUBLE) / present * ss AS d2 FROM PR_{name} WHERE present > 0),
+R_{name} AS (SELECT qid, val, row_number() OVER (PARTITION BY qid ORDER BY d2, did) AS rn FROM D_{name}),
+I_{name} AS (SELECT qid, avg(val) AS m FROM R_{name} WHERE rn <= 5 GROUP BY qid)"""
+
+
+ORACLE["knn_impute"] = f"""WITH {P_CTE},
+NC AS (SELECT value, row_number() OVER (ORDER BY first, value) - 1 AS code
+       FROM (SELECT nbhd AS value, min(id) AS first FROM P WHERE nbhd IS NOT NULL GROUP BY nbhd)),
+GC AS (SELECT value, row_number() OVER (ORDER BY first, value) - 1 AS code
+       FROM (SELECT gencat AS value, min(id) AS first FROM P WHERE gencat IS NOT NULL GROUP BY gencat)),
+E AS (SELECT P.id, CAST(NC.code AS DOUBLE) AS a, CAST(GC.code AS DOUBLE) AS b, P.front AS c, P.y AS d, P.gencat, P.front
+      FROM P LEFT JOIN NC ON P.nbhd = NC.value LEFT JOIN GC ON P.gencat = GC.value),
+{_knn_target_sql("g", "b", ["a", "b", "c", "d"])},
+{_knn_target_sql("f", "c", ["a", "b", "c", "d"])}
+SELECT E.id, coalesce(E.gencat, GC2.value) AS gencat, round(coalesce(E.front, I_f.m), 6) AS front
+FROM E LEFT JOIN I_g ON E.id = I_g.qid
+       LEFT JOIN GC GC2 ON GC2.code = CAST(round_even(I_g.m, 0) AS BIGINT)
+       LEFT JOIN I_f ON E.id = I_f.qid"""
+
+
+# ------------------------------------------------------------------ linear models on frame C
+
+FOLD_SQL = "CAST(((id % 2147483647) * 1103515245 + 42) % 2147483647 % 5 AS INTEGER)"
+CF_CTE = f"CF AS (SELECT *, {FOLD_SQL} AS fold FROM C)"
+LAB_CTE = "LAB AS (SELECT * FROM C WHERE NOT coalesce(x1 > 20 AND y < CAST(14 AS DOUBLE), false))"
+LABF_CTE = f"LABF AS (SELECT *, {FOLD_SQL} AS fold FROM LAB)"
+
+
+def _ridge_ctes(tag: str, src: str, xs: list[str], alpha: float, by_fold: bool) -> str:
+    """CTE {tag}_co(fold?, m_x.., my, b_x..): centred ridge coefficients from raw sums."""
+    sums = ["count(*) AS n", "sum(y) AS sy"] + [f"sum({x}) AS s_{x}" for x in xs] + [f"sum({x} * y) AS s_{x}_y" for x in xs]
+    sums += [f"sum({a} * {b}) AS s_{a}_{b}" for i, a in enumerate(xs) for b in xs[i:]]
+    names = ["n", "sy"] + [f"s_{x}" for x in xs] + [f"s_{x}_y" for x in xs] + [f"s_{a}_{b}" for i, a in enumerate(xs) for b in xs[i:]]
+    if by_fold:
+        fs = f"{tag}_fs AS (SELECT fold, {', '.join(sums)} FROM {src} GROUP BY fold)"
+        ts = f"{tag}_ts AS (SELECT {', '.join(f'sum({n}) AS {n}' for n in names)} FROM {tag}_fs)"
+        tr = (f"{tag}_tr AS (SELECT f.fold, {', '.join(f't.{n} - f.{n} AS {n}' for n in names)} "
+              f"FROM {tag}_fs f, {tag}_ts t)")
+        head, key = f"{fs},\n{ts},\n{tr}", "fold, "
+    else:
+        head, key = f"{tag}_tr AS (SELECT {', '.join(sums)} FROM {src})", ""
+    cen = [f"s_{x} / n AS m_{x}" for x in xs] + ["sy / n AS my"]
+    cen += [f"s_{x}_y - s_{x} * sy / n AS c_{x}_y" for x in xs]
+    cen += [f"s_{a}_{b} - s_{a} * s_{b} / n AS c_{a}_{b}" for i, a in enumerate(xs) for b in xs[i:]]
+    ce = f"{tag}_ce AS (SELECT {key}n, {', '.join(cen)} FROM {tag}_tr)"
+    a = f"CAST({alpha!r} AS DOUBLE)"
+    if len(xs) == 1:
+        x = xs[0]
+        coef = f"c_{x}_y / (c_{x}_{x} + {a}) AS b_{x}"
+    else:
+        x1, x2 = xs
+        det = f"((c_{x1}_{x1} + {a}) * (c_{x2}_{x2} + {a}) - c_{x1}_{x2} * c_{x1}_{x2})"
+        coef = (f"((c_{x2}_{x2} + {a}) * c_{x1}_y - c_{x1}_{x2} * c_{x2}_y) / {det} AS b_{x1}, "
+                f"((c_{x1}_{x1} + {a}) * c_{x2}_y - c_{x1}_{x2} * c_{x1}_y) / {det} AS b_{x2}")
+    co = f"{tag}_co AS (SELECT {key}n, my, {', '.join(f'm_{x}' for x in xs)}, {coef} FROM {tag}_ce)"
+    return f"{head},\n{ce},\n{co}"
+
+
+def _pred(tag: str, xs: list[str], row: str = "") -> str:
+    r = f"{row}." if row else ""
+    return f"({tag}_co.my + " + " + ".join(f"{tag}_co.b_{x} * ({r}{x} - {tag}_co.m_{x})" for x in xs) + ")"
+
+
+def _oof_sql(tag: str, src: str, xs: list[str], alpha: float = 10.0) -> str:
+    return _ridge_ctes(tag, src, xs, alpha, True) + (
+        f",\n{tag}_oof AS (SELECT {src}.id, {src}.fold, {src}.y, {_pred(tag, xs, src)} AS p "
+        f"FROM {src} JOIN {tag}_co ON {src}.fold = {tag}_co.fold)")
+
+
+ORACLE["fold_assign"] = f"WITH {C_CTE}, {CF_CTE} SELECT id, fold FROM CF"
+
+ORACLE["flagship_oof"] = (f"WITH {C_CTE}, {LAB_CTE}, {LABF_CTE},\n" + _oof_sql("r", "LABF", ["x1", "x2"])
+                          + "\nSELECT id, fold, round(p, 6) AS pred_log, round(exp(p) - 1, 0) AS predicted_spend FROM r_oof")
+
+ORACLE["ridge_fit"] = (f"WITH {C_CTE},\n" + _ridge_ctes("r", "C", ["x1", "x2"], 10.0, False)
+                       + "\nSELECT '(intercept)' AS feature, round(my - b_x1 * m_x1 - b_x2 * m_x2, 6) AS coef FROM r_co"
+                       " UNION ALL SELECT 'x1', round(b_x1, 6) FROM r_co UNION ALL SELECT 'x2', round(b_x2, 6) FROM r_co")
+
+ORACLE["lasso_fit"] = f"""WITH {C_CTE},
+ls AS (SELECT avg(x1) AS m, avg(y) AS my, covar_pop(x1, y) AS c, var_pop(x1) AS g FROM C),
+b AS (SELECT sign(c) * greatest(abs(c) - CAST(0.01 AS DOUBLE), 0) / g AS b1, m, my FROM ls)
+SELECT '(intercept)' AS feature, round(my - b1 * m, 6) AS coef FROM b UNION ALL SELECT 'x1', round(b1, 6) FROM b"""
+
+ORACLE["cv_scores"] = (f"WITH {C_CTE}, {CF_CTE},\n" + _oof_sql("r", "CF", ["x1"])
+                       + "\nSELECT 'ridge_x1' AS model, fold, count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse"
+                       " FROM r_oof GROUP BY fold")
+
+ORACLE["oof_predictions"] = (f"WITH {C_CTE}, {CF_CTE},\n" + _oof_sql("r", "CF", ["x1"])
+                             + "\nSELECT id, fold, round(y, 6) AS y, round(p, 6) AS oof FROM r_oof")
+
+_TWO = (f"WITH {C_CTE}, {CF_CTE},\n" + _oof_sql("a", "CF", ["x1"]) + ",\n" + _oof_sql("b", "CF", ["x2"])
+        + ",\nAB AS (SELECT a_oof.id, a_oof.y, a_oof.p AS p_a, b_oof.p AS p_b FROM a_oof JOIN b_oof ON a_oof.id = b_oof.id)")
+
+ORACLE["average_blend"] = (_TWO + "\nSELECT id, round(p_a, 6) AS p_a, round(p_b, 6) AS p_b, "
+                           "round(p_a * CAST(0.5 AS DOUBLE) + p_b * CAST(0.5 AS DOUBLE), 6) AS blend FROM AB")
+ORACLE["weighted_blend"] = (_TWO + "\nSELECT id, round(p_a * CAST(0.7 AS DOUBLE) + p_b * CAST(0.3 AS DOUBLE), 6) AS blend FROM AB")
+ORACLE["blend_weights"] = (_TWO + """,
+W AS (SELECT greatest(least(sum((y - p_b) * (p_a - p_b)) / sum((p_a - p_b) * (p_a - p_b)), 1), 0) AS w FROM AB),
+R AS (SELECT sqrt(avg((y - (w * p_a + (1 - w) * p_b)) * (y - (w * p_a + (1 - w) * p_b)))) AS rmse FROM AB, W)
+SELECT 'ridge_x1' AS model, round(w, 6) AS weight, round(rmse, 6) AS pooled_rmse FROM W, R
+UNION ALL SELECT 'ridge_x2', round(1 - w, 6), round(rmse, 6) FROM W, R""")
+
+ORACLE["ridge_cv_loo"] = f"""WITH {C_CTE},
+rs AS (SELECT count(*) AS n, avg(x1) AS m, avg(y) AS my, covar_pop(x1, y) * count(*) AS sxy,
+             var_pop(x1) * count(*) AS sxx FROM C),
+al AS (SELECT CAST(a AS DOUBLE) AS alpha FROM (VALUES (0.1), (1.0), (10.0), (100.0)) v(a)),
+lo AS (SELECT alpha, avg(pow((y - (my + sxy / (sxx + alpha) * (x1 - m)))
+                         / (1 - (1 / CAST(n AS DOUBLE) + (x1 - m) * (x1 - m) / (sxx + alpha))), 2)) AS loo
+       FROM C, rs, al GROUP BY alpha)
+SELECT alpha, round(loo, 8) AS loo_mse, loo = min(loo) OVER () AS chosen FROM lo"""
+
+_SCORES = (f"WITH {C_CTE}, {CF_CTE},\n" + _oof_sql("a", "CF", ["x1"]) + ",\n" + _oof_sql("b", "CF", ["x2"]) + ",\n"
+           + _oof_sql("c", "CF", ["x1", "x2"]) + """,
+SC AS (SELECT 'ridge_x1' AS model, fold, sqrt(avg((y - p) * (y - p))) AS rmse FROM a_oof GROUP BY fold
+       UNION ALL SELECT 'ridge_x2', fold, sqrt(avg((y - p) * (y - p))) FROM b_oof GROUP BY fold
+       UNION ALL SELECT 'ridge_x1x2', fold, sqrt(avg((y - p) * (y - p))) FROM c_oof GROUP BY fold),
+SM AS (SELECT model, avg(rmse) AS mean_rmse, stddev_pop(rmse) AS std_rmse, count(*) AS n_folds FROM SC GROUP BY model)""")
+
+ORACLE["model_compare"] = (_SCORES + "\nSELECT model, round(mean_rmse, 6) AS mean_rmse, round(std_rmse, 6) AS std_rmse, "
+                           "n_folds FROM SM")
+ORACLE["keep_if_better"] = (_SCORES + "\nSELECT arg_min(model, mean_rmse) AS best_model, round(min(mean_rmse), 6) AS best_rmse FROM SM")
+
+ORACLE["refit_and_score"] = (f"WITH {C_CTE}, {LAB_CTE},\n" + _ridge_ctes("r", "LAB", ["x1", "x2"], 10.0, False) + """,
+U AS (SELECT c_custkey AS id, CAST(coalesce(ordstats.x1, 0) AS DOUBLE) AS x1, c_acctbal AS x2
+      FROM customer LEFT JOIN ordstats ON c_custkey = ordstats.o_custkey)
+SELECT U.id, round(exp(""" + _pred("r", ["x1", "x2"], "U") + ") - 1, 0) AS predicted_spend FROM U, r_co")

@@ -10,7 +10,8 @@ partition is sorted, and a row's rank in its group is
 
 Only the per-(partition, group) block counts (partitions x groups rows) are
 windowed, and only the <= 2 rows per (group, prob) that a quantile needs are
-joined back.  Interpolation is the linear one of pandas / numpy /
+joined back.  The sorted copy is persisted for its two passes and released
+once the (small) result is checkpointed.  Interpolation is the linear one of pandas / numpy /
 DuckDB ``quantile_cont``: h = p*(n-1), v[floor h] + (h-floor h)*(v[ceil h]-v[floor h]).
 """
 
@@ -18,9 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.session import ensure_checkpoint_dir
+
 
 def _long_values(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
     if len(value_cols) == 1:
@@ -42,11 +46,14 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    ensure_checkpoint_dir(spark)
     long = _long_values(df, value_cols, group_cols).withColumn("_tb", F.monotonically_increasing_id())
+    # one range shuffle, kept for the two passes below (block counts, then the picked rows)
     srt = (long.repartitionByRange(n_parts, *keys, "v", "_tb")
            .sortWithinPartitions(*keys, "v", "_tb")
            .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
+           .withColumn("_mid", F.monotonically_increasing_id())
+           .persist(StorageLevel.MEMORY_AND_DISK))
 
     blocks = srt.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     by_key = Window.partitionBy(*keys)
@@ -72,9 +79,13 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
     pairs = picked.groupBy(*keys, "prob").agg(
         F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_vlo"),
         F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_vhi"))
-    return (pairs.join(targets.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
-            .select(*keys, "prob",
-                    (F.col("_vlo") + (F.col("_h") - F.col("_klo")) * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
+    result = (pairs.join(targets.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
+              .select(*keys, "prob",
+                      (F.col("_vlo") + (F.col("_h") - F.col("_klo")) * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
+    # the result has groups x probs rows; write it to the checkpoint dir and release the sorted copy
+    result = result.checkpoint(eager=True)
+    srt.unpersist()
+    return result
 
 
 def exact_quantile_row(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float]) -> dict:

@@ -3,8 +3,10 @@
 log-likelihood(lambda) = -n/2 * ln(var_pop(yj_lambda(x))) + (lambda - 1) * sum(sign(x) ln(1 + |x|))
 
 The lambda search is a grid: a coarse pass over [lo, hi], then a fine pass
-around the best coarse value.  Each pass is ONE scan with one ``var_pop``
-aggregate per (column, lambda), so the data is never multiplied by the grid.
+around the best coarse value.  Each pass is ONE scan: every task transforms
+its Arrow batches for all grid lambdas with numpy and emits per-lambda
+partial moments (n, mean, M2), which are merged per (column, lambda).  The
+data is never multiplied by the grid and only grid-size rows are shuffled.
 Grid points are integer / denominator so the oracle can rebuild them exactly.
 """
 
@@ -13,6 +15,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,24 +27,84 @@ from tabforge.operators.base import ColumnEstimator, ColumnModel
 from tabforge.operators.encode import RobustScaler
 
 
+def _yj_numpy(x: np.ndarray, lam: float) -> np.ndarray:
+    out = np.empty_like(x)
+    pos = x >= 0
+    if abs(lam) < 1e-12:
+        out[pos] = np.log1p(x[pos])
+    else:
+        out[pos] = (np.power(x[pos] + 1.0, lam) - 1.0) / lam
+    if abs(lam - 2.0) < 1e-12:
+        out[~pos] = -np.log1p(-x[~pos])
+    else:
+        out[~pos] = -(np.power(1.0 - x[~pos], 2.0 - lam) - 1.0) / (2.0 - lam)
+    return out
+
+
+def _is_spread(var: float | None, mean: float | None) -> bool:
+    """True for a real variance; round-off dust of a constant column counts as zero."""
+    if var is None or math.isnan(var) or math.isinf(var):
+        return False
+    return var > (1e-12 * max(abs(mean or 0.0), 1e-150)) ** 2
+
+
 def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float]]) -> dict[str, float]:
-    aggs = []
-    for ci, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs.append(F.count(x).alias(f"n{ci}"))
-        aggs.append(F.sum(F.signum(x) * F.log1p(F.abs(x))).alias(f"s{ci}"))
-        for li, lam in enumerate(grids[c]):
-            aggs.append(F.var_pop(yeo_johnson(x, lam)).alias(f"v{ci}_{li}"))
-    row = df.agg(*aggs).first()
+    """One scan: each task emits (column, lambda, n, mean, M2) of its transformed rows.
+
+    Within a task batches merge with Chan's update; across tasks the partials
+    (tasks x grid rows) are merged around the pooled mean, so no large sums of
+    squares cancel.  The partials are persisted for the two small aggregates.
+    """
+    cols = list(cols)
+
+    def partial(batches):
+        acc = {}
+        for pdf in batches:
+            for c in cols:
+                x = pdf[c].to_numpy(dtype=float)
+                x = x[~np.isnan(x)]
+                if x.size == 0:
+                    continue
+                s_term = float(np.sum(np.sign(x) * np.log1p(np.abs(x))))
+                for li, lam in enumerate(grids[c]):
+                    t = _yj_numpy(x, lam)
+                    key = (c, li)
+                    n0, m0, q0, s0 = acc.get(key, (0, 0.0, 0.0, 0.0))
+                    n1, m1 = t.size, float(t.mean())
+                    q1 = float(((t - m1) ** 2).sum())
+                    n = n0 + n1
+                    delta = m1 - m0
+                    acc[key] = (n, m0 + delta * n1 / n, q0 + q1 + delta * delta * n0 * n1 / n,
+                                s0 + (s_term if li == 0 else 0.0))
+        if acc:
+            keys = list(acc)
+            yield pd.DataFrame({"column": [k[0] for k in keys], "li": [k[1] for k in keys],
+                                "n": [acc[k][0] for k in keys], "mean": [acc[k][1] for k in keys],
+                                "m2": [acc[k][2] for k in keys], "s": [acc[k][3] for k in keys]})
+
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(
+        partial, "column string, li int, n long, mean double, m2 double, s double").persist()
+    # exact merge of per-task (n, mean, M2): M2 = sum(m2_i) + sum(n_i mean_i^2) - n mean^2, done around
+    # the weighted mean in a second small aggregate to avoid cancellation
+    tot = parts.groupBy("column", "li").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mu"),
+                                            F.sum("s").alias("s"))
+    merged = parts.join(tot.select("column", "li", "mu"), ["column", "li"]).groupBy("column", "li").agg(
+        F.sum("n").alias("n"), F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("mu"), 2)).alias("m2"))
+    rows = merged.join(tot.select("column", "li", "s", "mu"), ["column", "li"]).collect()
+    parts.unpersist()
+    stats = {(r["column"], r["li"]): r for r in rows}
+    s_of = {c: sum((stats[(c, 0)]["s"] or 0.0,)) if (c, 0) in stats else 0.0 for c in cols}
     best = {}
-    for ci, c in enumerate(cols):
-        n, s = row[f"n{ci}"], row[f"s{ci}"]
+    for c in cols:
         top, top_ll = 1.0, -math.inf
         for li, lam in enumerate(grids[c]):
-            v = row[f"v{ci}_{li}"]
-            if not n or v is None or not v > 0 or math.isinf(v) or math.isnan(v):
+            r = stats.get((c, li))
+            if r is None or not r["n"]:
+                continue
+            v = r["m2"] / r["n"]
+            if not _is_spread(v, r["mu"]):
                 continue
-            ll = -n / 2.0 * math.log(v) + (lam - 1.0) * s
+            ll = -r["n"] / 2.0 * math.log(v) + (lam - 1.0) * s_of[c]
             if ll > top_ll:
                 top, top_ll = lam, ll
         best[c] = top
@@ -74,7 +139,7 @@ class YeoJohnson(ColumnEstimator):
             for i, c in enumerate(self.cols):
                 mean[c] = st[f"m_{i}"] or 0.0
                 s = st[f"s_{i}"]
-                scale[c] = s if s is not None and s > 0 else 1.0
+                scale[c] = s if s is not None and _is_spread(s * s, mean[c]) else 1.0
         return YeoJohnsonModel(lams, mean, scale)
 
 

@@ -45,38 +45,40 @@ def _nan_sq_dist(cols: Sequence[str], n_dims: int):
     return F.when(present > 0, F.lit(float(n_dims)) / present * ssum)
 
 
-def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str], anchor: str, value_col: str,
-             id_col: str, k: int, width: float, lo: float, hi: float, max_levels: int = 64) -> DataFrame:
-    """(id, knn_value, n_neighbours) for every receiver; exact k nearest by nan-Euclidean distance."""
-    spark = receivers.sparkSession
-    ensure_checkpoint_dir(spark)
-    q = receivers.select(F.col(id_col).alias("qid"), *[F.col(c).alias(f"q_{c}") for c in dist_cols])
-    d = donors.select(F.col(id_col).alias("did"), F.col(value_col).alias("_val"),
-                      *[F.col(c).alias(f"d_{c}") for c in dist_cols])
+def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str], anchor: str,
+             k: int, width: float, lo: float, hi: float, max_levels: int = 64) -> DataFrame:
+    """Exact k-nearest mean per (receiver, target) in long form.
+
+    receivers: (qid, _t, q_<col>...)   one row per receiver and target column it lacks
+    donors:    (did, _t, _val, d_<col>...) one row per fit row and target column it has
+    Returns (qid, _t, knn_value, n_neighbours); one band join per level serves all targets.
+    """
+    ensure_checkpoint_dir(receivers.sparkSession)
     qa, da = F.col(f"q_{anchor}"), F.col(f"d_{anchor}")
+    q_cols = [f"q_{c}" for c in dist_cols]
     done = []
-    pending = q
+    pending = receivers
     for level in range(max_levels):
         w = width * (2.0 ** level)
         qb = pending.withColumn("_b", F.floor(qa / F.lit(w)).cast("long"))
         qx = qb.withColumn("_bb", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
-        db = d.withColumn("_bb", F.floor(da / F.lit(w)).cast("long"))
-        cand = qx.join(db, "_bb").withColumn("_d2", _nan_sq_dist(dist_cols, len(dist_cols))).where(
+        db = donors.withColumn("_bb", F.floor(da / F.lit(w)).cast("long"))
+        cand = qx.join(db, ["_t", "_bb"]).withColumn("_d2", _nan_sq_dist(dist_cols, len(dist_cols))).where(
             F.col("_d2").isNotNull())
-        rank = F.row_number().over(Window.partitionBy("qid").orderBy("_d2", "did"))
+        rank = F.row_number().over(Window.partitionBy("qid", "_t").orderBy("_d2", "did"))
         top = cand.withColumn("_r", rank).where(F.col("_r") <= k)
-        agg = top.groupBy("qid").agg(F.avg("_val").alias("knn_value"), F.count(F.lit(1)).alias("n_neighbours"),
-                                     F.max("_d2").alias("_dk2"))
+        agg = top.groupBy("qid", "_t").agg(F.avg("_val").alias("knn_value"),
+                                           F.count(F.lit(1)).alias("n_neighbours"), F.max("_d2").alias("_dk2"))
         edge_lo = (F.col("_b") - 1) * F.lit(w)
         edge_hi = (F.col("_b") + 2) * F.lit(w)
         margin = F.least(qa - edge_lo, edge_hi - qa) - F.lit(1e-9) * (F.abs(qa) + F.lit(w))
         covers = (edge_lo <= F.lit(lo)) & (edge_hi > F.lit(hi))
-        status = qb.join(agg, "qid", "left").withColumn(
+        status = qb.join(agg, ["qid", "_t"], "left").withColumn(
             "_final", covers | ((F.coalesce(F.col("n_neighbours"), F.lit(0)) >= k)
                                 & (F.sqrt(F.col("_dk2")) < margin)))
         status = status.checkpoint(eager=True)
-        done.append(status.where("_final").select(F.col("qid").alias(id_col), "knn_value", "n_neighbours"))
-        pending = status.where(~F.col("_final")).select("qid", *[f"q_{c}" for c in dist_cols])
+        done.append(status.where("_final").select("qid", "_t", "knn_value", "n_neighbours"))
+        pending = status.where(~F.col("_final")).select("qid", "_t", *q_cols)
         if pending.isEmpty():
             break
     else:
@@ -152,20 +154,34 @@ class KNNImputerModel(ColumnModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         s = self.spec
+        targets = [t for t in s.target_cols if t in dataset.columns]
+        if not targets:
+            return dataset
+        feats = [F.col(c).alias(f"q_{c}") for c in s.dist_cols]
         enc = self._encode(dataset)
-        out = dataset
-        for t in s.target_cols:
-            receivers = enc.where(F.col(t).isNull())
-            if receivers.where(F.col(self.anchor).isNull()).limit(1).count():
-                raise ValueError(f"anchor column {self.anchor} has nulls among rows to impute")
-            donors = self.fit_encoded.where(F.col(t).isNotNull())
-            mean_all = donors.agg(F.avg(t)).first()[0]
-            res = knn_mean(receivers, donors, s.dist_cols, self.anchor, t, s.id_col, s.k,
-                           self.width, self.lo, self.hi)
-            val = F.coalesce(F.col("knn_value"), F.lit(mean_all))
+        # one row per (receiver, missing target); written once so every search level reads it directly
+        receivers = (enc.select(F.col(s.id_col).alias("qid"), *feats, F.explode(F.array(
+            *[F.when(F.col(t).isNull(), F.lit(t)) for t in targets])).alias("_t"))
+            .where(F.col("_t").isNotNull()).checkpoint(eager=True))
+        if receivers.where(F.col(f"q_{self.anchor}").isNull()).limit(1).count():
+            raise ValueError(f"anchor column {self.anchor} has nulls among rows to impute")
+        donors = (self.fit_encoded.select(
+            F.col(s.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in s.dist_cols],
+            F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).alias("v")) for t in targets])).alias("_tv"))
+            .where(F.col("_tv.v").isNotNull())
+            .select("did", F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_val"), *[f"d_{c}" for c in s.dist_cols])
+            .checkpoint(eager=True))
+        # sklearn falls back to the donor mean when a receiver has no donor at a defined distance
+        means = {r["_t"]: r["m"] for r in donors.groupBy("_t").agg(F.avg("_val").alias("m")).collect()}
+        res = knn_mean(receivers, donors, s.dist_cols, self.anchor, s.k, self.width, self.lo, self.hi)
+        wide = res.groupBy("qid").agg(*[F.max(F.when(F.col("_t") == t, F.col("knn_value"))).alias(f"_imp_{t}")
+                                        for t in targets])
+        out = dataset.join(wide.withColumnRenamed("qid", s.id_col), s.id_col, "left")
+        fills = {}
+        for t in targets:
+            val = F.coalesce(F.col(f"_imp_{t}"), F.lit(means.get(t)))
             if t in self.codes:
                 rev = {v: k for k, v in self.codes[t].items()}
                 val = code_map(rev, F.bround(val, 0).cast("int"), None)
-            res = res.select(s.id_col, val.alias(f"_imp_{t}"))
-            out = out.join(res, s.id_col, "left").withColumn(t, F.coalesce(F.col(t), F.col(f"_imp_{t}"))).drop(f"_imp_{t}")
-        return out
+            fills[t] = F.coalesce(F.col(t), val.cast(dict(dataset.dtypes)[t]))
+        return out.withColumns(fills).drop(*[f"_imp_{t}" for t in targets])

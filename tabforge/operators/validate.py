@@ -96,7 +96,9 @@ def oof_by_loop(df: DataFrame, make_estimator: Callable[[], object], fold_col: s
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
         parts = list(pool.map(one, folds))
-    out = parts[0]
+    # fold models may add or drop different feature columns; keep the ones every fold has
+    common = [c for c in parts[0].columns if all(c in p.columns for p in parts[1:])]
+    out = parts[0].select(*common)
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p.select(*common))
     return out

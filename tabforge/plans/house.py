@@ -63,7 +63,12 @@ HOUSE_DERIVED = DerivedSpec(
            "HasBsmt": "TotalBsmtSF", "HasFireplace": "Fireplaces"},
 )
 
-OUTLIER_RULE = (F.col("GrLivArea") > 4000) & (F.col("SalePrice") < 300000)
+OUTLIER_AREA, OUTLIER_PRICE = 4000, 300000
+
+
+def outlier_rule(label: str = "SalePrice"):
+    """Very large living area sold cheaply (rows with a null operand are kept by ``drop_where``)."""
+    return (F.col("GrLivArea") > OUTLIER_AREA) & (F.col(label) < OUTLIER_PRICE)
 
 
 @dataclass
@@ -79,7 +84,7 @@ class HouseConfig:
 
 def prepare_labelled(train: DataFrame, cfg: HouseConfig) -> DataFrame:
     """Outlier rule (null operands kept), dropped columns, log1p label in ``label``."""
-    out = drop_where(train, OUTLIER_RULE) if {"GrLivArea", cfg.label} <= set(train.columns) else train
+    out = drop_where(train, outlier_rule(cfg.label)) if {"GrLivArea", cfg.label} <= set(train.columns) else train
     out = out.drop(*[c for c in DROPPED if c in out.columns])
     return out.withColumn("label", F.log1p(F.col(cfg.label).cast("double"))).drop(cfg.label)
 

@@ -13,14 +13,18 @@ the anchor; level L uses bucket width w * 2^L and each pending receiver is
 equi-joined with the donors of its own and the two neighbouring buckets.  A
 receiver is final when its k-th candidate distance is below the gap to the
 edge of that 3-bucket band (no donor outside can be closer), or when the band
-covers every donor.  Unresolved receivers go on to the next, coarser level
-(checkpointed, so lineage stays short and a lost executor only redoes one
-level).  Every level is exact; nothing is capped or sampled.  A hot bucket
+covers every donor.  An unresolved receiver moves toward the level whose
+width exceeds its current k-th distance (where it would be final), by at most
+4x per round (each round is checkpointed, so lineage stays short and a lost
+executor only redoes one round).  Every level is exact; nothing is capped or sampled.  A hot bucket
 is split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
 
+import logging
+import math
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -31,6 +35,8 @@ from tabforge.operators.base import MAX_LITERAL_ENTRIES, ColumnEstimator, Column
 from tabforge.operators.encode import first_appearance_codes
 from tabforge.session import ensure_checkpoint_dir
 
+log = logging.getLogger(__name__)
+
 
 def _nan_sq_dist(cols: Sequence[str], n_dims: int):
     present = None
@@ -46,40 +52,62 @@ def _nan_sq_dist(cols: Sequence[str], n_dims: int):
 
 
 def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str], anchor: str,
-             k: int, width: float, lo: float, hi: float, max_levels: int = 64) -> DataFrame:
+             k: int, width: float, lo: float, hi: float, max_rounds: int = 64) -> DataFrame:
     """Exact k-nearest mean per (receiver, target) in long form.
 
     receivers: (qid, _t, q_<col>...)   one row per receiver and target column it lacks
     donors:    (did, _t, _val, d_<col>...) one row per fit row and target column it has
-    Returns (qid, _t, knn_value, n_neighbours); one band join per level serves all targets.
+    Returns (qid, _t, knn_value, n_neighbours).
+
+    Each receiver carries a level; its band is its anchor bucket of width
+    ``width * 2**level`` plus both neighbours.  After a round, a receiver that
+    is not final but has k candidates moves toward the first level whose width
+    exceeds its current k-th distance (an upper bound of the true one; at that
+    level the band holds every closer donor), by at most two levels per round;
+    one with fewer than k candidates doubles its width.
     """
     ensure_checkpoint_dir(receivers.sparkSession)
     qa, da = F.col(f"q_{anchor}"), F.col(f"d_{anchor}")
     q_cols = [f"q_{c}" for c in dist_cols]
+    span = max(hi - lo, width)
+    top_level = int(math.ceil(math.log2(span / width))) + 1   # a band this wide covers every donor
     done = []
-    pending = receivers
-    for level in range(max_levels):
-        w = width * (2.0 ** level)
-        qb = pending.withColumn("_b", F.floor(qa / F.lit(w)).cast("long"))
+    pending = receivers.withColumn("_lv", F.lit(0))
+    levels = [0]
+    for rnd in range(max_rounds):
+        t0 = time.perf_counter()
+        w = F.lit(width) * F.pow(F.lit(2.0), F.col("_lv"))
+        qb = pending.withColumn("_w", w).withColumn("_b", F.floor(qa / F.col("_w")).cast("long"))
         qx = qb.withColumn("_bb", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
-        db = donors.withColumn("_bb", F.floor(da / F.lit(w)).cast("long"))
-        cand = qx.join(db, ["_t", "_bb"]).withColumn("_d2", _nan_sq_dist(dist_cols, len(dist_cols))).where(
+        db = (donors.withColumn("_lv", F.explode(F.array(*[F.lit(lv) for lv in levels])))
+              .withColumn("_bb", F.floor(da / (F.lit(width) * F.pow(F.lit(2.0), F.col("_lv")))).cast("long")))
+        cand = qx.join(db, ["_t", "_lv", "_bb"]).withColumn("_d2", _nan_sq_dist(dist_cols, len(dist_cols))).where(
             F.col("_d2").isNotNull())
         rank = F.row_number().over(Window.partitionBy("qid", "_t").orderBy("_d2", "did"))
         top = cand.withColumn("_r", rank).where(F.col("_r") <= k)
         agg = top.groupBy("qid", "_t").agg(F.avg("_val").alias("knn_value"),
                                            F.count(F.lit(1)).alias("n_neighbours"), F.max("_d2").alias("_dk2"))
-        edge_lo = (F.col("_b") - 1) * F.lit(w)
-        edge_hi = (F.col("_b") + 2) * F.lit(w)
-        margin = F.least(qa - edge_lo, edge_hi - qa) - F.lit(1e-9) * (F.abs(qa) + F.lit(w))
+        edge_lo = (F.col("_b") - 1) * F.col("_w")
+        edge_hi = (F.col("_b") + 2) * F.col("_w")
+        margin = F.least(qa - edge_lo, edge_hi - qa) - F.lit(1e-9) * (F.abs(qa) + F.col("_w"))
         covers = (edge_lo <= F.lit(lo)) & (edge_hi > F.lit(hi))
-        status = qb.join(agg, ["qid", "_t"], "left").withColumn(
-            "_final", covers | ((F.coalesce(F.col("n_neighbours"), F.lit(0)) >= k)
-                                & (F.sqrt(F.col("_dk2")) < margin)))
-        status = status.checkpoint(eager=True)
+        n_ok = F.coalesce(F.col("n_neighbours"), F.lit(0)) >= k
+        dk = F.sqrt(F.col("_dk2"))
+        jump = F.floor(F.log2(dk * F.lit(1.0 + 1e-6) / F.lit(width))).cast("int") + 1
+        # grow at most 4x per round: the bound from a narrow band can be loose, and a band
+        # far wider than needed would pull in many more candidates than the exact answer needs
+        nxt = F.least(F.lit(top_level), F.col("_lv") + 2,
+                      F.when(n_ok, F.greatest(F.col("_lv") + 1, jump)).otherwise(F.col("_lv") + 1))
+        status = (qb.join(agg, ["qid", "_t"], "left")
+                  .withColumn("_final", covers | (n_ok & (dk < margin)))
+                  .withColumn("_next", nxt)
+                  .checkpoint(eager=True))
         done.append(status.where("_final").select("qid", "_t", "knn_value", "n_neighbours"))
-        pending = status.where(~F.col("_final")).select("qid", "_t", *q_cols)
-        if pending.isEmpty():
+        pending = status.where(~F.col("_final")).select("qid", "_t", *q_cols, F.col("_next").alias("_lv"))
+        levels = sorted(r["_lv"] for r in pending.select("_lv").distinct().collect())
+        log.info("knn round %d: %d receivers pending at levels %s, %.2fs", rnd,
+                 pending.count() if levels else 0, levels, time.perf_counter() - t0)
+        if not levels:
             break
     else:
         raise RuntimeError("KNN search did not converge; check the anchor column range")
@@ -99,7 +127,7 @@ class KNNImputer(ColumnEstimator):
     """
 
     def __init__(self, target_cols: Sequence[str], dist_cols: Sequence[str], id_col: str, k: int = 5,
-                 anchor: str | None = None, donors_per_bucket: int = 20):
+                 anchor: str | None = None, donors_per_bucket: int = 64):
         super().__init__()
         self.target_cols, self.dist_cols, self.id_col = list(target_cols), list(dist_cols), id_col
         self.k, self.anchor, self.donors_per_bucket = k, anchor, donors_per_bucket

@@ -1,18 +1,25 @@
-"""Exact, interpolated quantiles without holding a whole group in one task.
+"""Exact, interpolated quantiles without shuffling all values or holding a group in one task.
 
 Spark's ``percentile``/``median`` aggregates keep a value->count map per group
-and merge it in a single reducer, so one hot group with many distinct values
-lands in one task.  Here values are range-partitioned on (group, value,
-tiebreak) instead: a hot group spreads over many range partitions, each
-partition is sorted, and a row's rank in its group is
-
-    rows of the group in earlier partitions + position inside this partition.
-
-Only the per-(partition, group) block counts (partitions x groups rows) are
-windowed, and only the <= 2 rows per (group, prob) that a quantile needs are
-joined back.  The sorted copy is persisted for its two passes and released
-once the (small) result is checkpointed.  Interpolation is the linear one of pandas / numpy /
-DuckDB ``quantile_cont``: h = p*(n-1), v[floor h] + (h-floor h)*(v[ceil h]-v[floor h]).
+and merge it in one reducer, so a hot group with many distinct values lands in
+a single task.  Here:
+
+1. One aggregate pass gives, per group, the row count and an
+   ``approx_percentile`` bracket [lo, hi] around every wanted rank (a
+   bounded-memory sketch; the bracket is +-3 ranks of the sketch's error).
+2. One pass counts, per (group, prob), the rows below ``lo`` and keeps only the
+   rows inside [lo, hi] -- about 6/accuracy of the data.
+3. The band rows are ranked exactly without a per-group task: they are
+   range-partitioned on (group, prob, value, tiebreak), so even a hot group
+   spreads over many partitions, sorted inside each partition, and a row's rank
+   is "rows of its group in earlier partitions + position in this partition".
+   Only per-(partition, group) block counts are windowed.
+
+The counts check that every wanted rank falls inside its band; if one does
+not (the sketch's bound failed), the whole computation is redone with the
+band widened to all values, so results are always exact.  Interpolation is
+the linear one of pandas / numpy / DuckDB ``quantile_cont``:
+h = p*(n-1), v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
 """
 
 from __future__ import annotations
@@ -25,6 +32,8 @@ from pyspark.sql import functions as F
 
 from tabforge.session import ensure_checkpoint_dir
 
+DEFAULT_ACCURACY = 10000
+
 
 def _long_values(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
     if len(value_cols) == 1:
@@ -36,62 +45,93 @@ def _long_values(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[
     return out.where(F.col("v").isNotNull())
 
 
+def _rank_pick(vals: DataFrame, keys: list[str], wanted: DataFrame, n_parts: int) -> tuple[DataFrame, DataFrame]:
+    """Values at wanted 0-based ranks. vals: (keys, v); wanted: (keys, side, k) -> (keys, side, v)."""
+    srt = (vals.withColumn("_tb", F.monotonically_increasing_id())
+           .repartitionByRange(n_parts, *keys, "v", "_tb")
+           .sortWithinPartitions(*keys, "v", "_tb")
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_mid", F.monotonically_increasing_id())
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    blocks = srt.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_cnt").over(
+        Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    located = (wanted.join(blocks, keys)
+               .where((F.col("k") >= F.col("_before")) & (F.col("k") < F.col("_before") + F.col("_cnt")))
+               .select(*keys, "side", (F.col("_first") + F.col("k") - F.col("_before")).alias("_mid")))
+    return srt.select("_mid", "v").join(located, "_mid").drop("_mid"), srt
+
+
 def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Sequence[float],
-                    group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                    group_cols: Sequence[str] = (), num_partitions: int | None = None,
+                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Long result: ``group_cols..., column, prob, value`` (null values skipped)."""
     if isinstance(value_cols, str):
         value_cols = [value_cols]
     group_cols = list(group_cols)
     keys = group_cols + ["column"]
     spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     ensure_checkpoint_dir(spark)
-    long = _long_values(df, value_cols, group_cols).withColumn("_tb", F.monotonically_increasing_id())
-    # one range shuffle, kept for the two passes below (block counts, then the picked rows)
-    srt = (long.repartitionByRange(n_parts, *keys, "v", "_tb")
-           .sortWithinPartitions(*keys, "v", "_tb")
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id())
-           .persist(StorageLevel.MEMORY_AND_DISK))
-
-    blocks = srt.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
-    by_key = Window.partitionBy(*keys)
-    blocks = (blocks
-              .withColumn("_before", F.coalesce(F.sum("_cnt").over(
-                  by_key.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("_n", F.sum("_cnt").over(by_key)))
-
-    # rank positions wanted per (group, prob): floor and ceil of p*(n-1)
-    targets = (blocks.select(*keys, "_n").distinct()
-               .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    probs = [float(p) for p in probs]
+    long = _long_values(df, value_cols, group_cols)
+
+    eps = 3.0 / accuracy
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+    sketch = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                     F.percentile_approx("v", edges, accuracy).alias("_q"))
+    pos = {e: i for i, e in enumerate(edges)}
+    targets = (sketch.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
+               .withColumn("_lo", F.element_at("_q", F.lit(1) + F.expr(_edge_index(probs, pos, -eps))))
+               .withColumn("_hi", F.element_at("_q", F.lit(1) + F.expr(_edge_index(probs, pos, eps))))
                .withColumn("_h", F.col("prob") * (F.col("_n") - 1))
                .withColumn("_klo", F.floor("_h").cast("long"))
-               .withColumn("_khi", F.ceil("_h").cast("long")))
-    wanted = (targets.select(*keys, "prob", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("_klo").alias("k")),
-        F.struct(F.lit(1).alias("side"), F.col("_khi").alias("k")))).alias("t"))
-        .select(*keys, "prob", "t.side", "t.k"))
-    located = (wanted.join(blocks, keys)
-               .where((F.col("k") >= F.col("_before")) & (F.col("k") < F.col("_before") + F.col("_cnt")))
-               .select(*keys, "prob", "side", (F.col("_first") + F.col("k") - F.col("_before")).alias("_mid")))
-    picked = srt.select("_mid", "v").join(located, "_mid")
-    pairs = picked.groupBy(*keys, "prob").agg(
-        F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_vlo"),
-        F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_vhi"))
-    result = (pairs.join(targets.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
-              .select(*keys, "prob",
-                      (F.col("_vlo") + (F.col("_h") - F.col("_klo")) * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
-    # the result has groups x probs rows; write it to the checkpoint dir and release the sorted copy
-    result = result.checkpoint(eager=True)
-    srt.unpersist()
+               .withColumn("_khi", F.ceil("_h").cast("long"))
+               .drop("_q")
+               .persist())   # groups x probs rows, reused by every step below
+
+    result = None
+    for widen in (False, True):
+        t = targets
+        if widen:
+            t = t.withColumn("_lo", F.lit(float("-inf"))).withColumn("_hi", F.lit(float("inf")))
+        tk = t.select(*keys, "prob", "_lo", "_hi")
+        # groups x probs rows: AQE broadcasts it when small and shuffles otherwise
+        joined = long.join(tk, keys)
+        inside = (F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))
+        counts = joined.groupBy(*keys, "prob").agg(F.count_if(F.col("v") < F.col("_lo")).alias("_below"),
+                                                   F.count_if(inside).alias("_inband"))
+        band = joined.where(inside).select(*keys, "prob", "v")
+        plan = (t.join(counts, keys + ["prob"])
+                .withColumn("_ok", (F.col("_klo") >= F.col("_below"))
+                            & (F.col("_khi") < F.col("_below") + F.col("_inband")))
+                .persist())
+        if not widen and plan.where(~F.col("_ok")).limit(1).count():
+            plan.unpersist()
+            continue  # the sketch's bracket missed a rank somewhere: redo exactly on all values
+        wanted = plan.select(*keys, "prob", F.explode(F.array(
+            F.struct(F.lit(0).alias("side"), (F.col("_klo") - F.col("_below")).alias("k")),
+            F.struct(F.lit(1).alias("side"), (F.col("_khi") - F.col("_below")).alias("k")))).alias("w")
+        ).select(*keys, "prob", "w.side", "w.k")
+        picked, srt = _rank_pick(band, keys + ["prob"], wanted, n_parts)
+        pairs = picked.groupBy(*keys, "prob").agg(
+            F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_vlo"),
+            F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_vhi"))
+        result = (pairs.join(plan.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
+                  .select(*keys, "prob", (F.col("_vlo") + (F.col("_h") - F.col("_klo"))
+                                          * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+                  .checkpoint(eager=True))   # groups x probs rows, computed from cached inputs
+        srt.unpersist()
+        plan.unpersist()
+        break
+    targets.unpersist()
     return result
 
 
-def exact_quantile_row(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float]) -> dict:
-    """Driver-side dict {(column, prob): value} for the few scalars a model keeps."""
-    rows = exact_quantiles(df, list(value_cols), probs).collect()
-    return {(r["column"], round(r["prob"], 12)): r["value"] for r in rows}
+def _edge_index(probs: list[float], pos: dict, d: float) -> str:
+    """SQL CASE mapping prob -> 0-based index of its bracket edge in the sketch array."""
+    arms = " ".join(f"WHEN prob = {p!r} THEN {pos[min(1.0, max(0.0, p + d))]}" for p in probs)
+    return f"CASE {arms} END"
 
 
 def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:

@@ -570,3 +570,57 @@ class _Fitted:
         if self.stages:
             df = df.withColumnRenamed("nat", "nat_te")
         return self.model.transform(self.scaler.transform(df))
+
+
+# ---------------------------------------------------------------- reports over fitted models
+
+from tabforge.operators.ensemble import ModelEnsemble  # noqa: E402
+from tabforge.operators.power import SkewRouter  # noqa: E402
+
+
+def coefficient_report(spark, features, coef, k: int = 5) -> DataFrame:
+    """Top-k positive and top-k negative coefficients: (direction, rank, feature, coef)."""
+    rep = spark.createDataFrame([(f, float(b)) for f, b in zip(features, coef)], "feature string, coef double")
+    pos = rep.where(F.col("coef") > 0).orderBy(F.desc("coef"), "feature").limit(k)
+    neg = rep.where(F.col("coef") < 0).orderBy(F.asc("coef"), "feature").limit(k)
+    from pyspark.sql import Window as W
+    return (pos.withColumn("direction", F.lit("positive")).withColumn("rank", F.row_number().over(W.orderBy(F.desc("coef"), "feature")))
+            .unionByName(neg.withColumn("direction", F.lit("negative"))
+                         .withColumn("rank", F.row_number().over(W.orderBy(F.asc("coef"), "feature")))))
+
+
+@query("coef_top5")
+def coef_top5(spark, sf_dir):
+    c = OneHotEncoder(["seg"]).fit(frame_c(spark, sf_dir))
+    data = c.transform(frame_c(spark, sf_dir))
+    feats = ["x1", "x2"] + c.output_cols
+    m = Ridge(feats, "y", RIDGE_ALPHA).fit(data)
+    rep = coefficient_report(spark, feats, m.coef, 5)
+    return rep.select("direction", F.col("rank").cast("int").alias("rank"), "feature", F.round("coef", 6).alias("coef"))
+
+
+@query("average_models")
+def average_models(spark, sf_dir):
+    """Averaging ensemble: fresh copies fitted on all rows, predictions averaged."""
+    c = frame_c(spark, sf_dir)
+    ens = ModelEnsemble({"a": lambda: Ridge(["x1"], "y", RIDGE_ALPHA), "b": lambda: Ridge(["x2"], "y", RIDGE_ALPHA)},
+                        combine="mean").fit(c)
+    return ens.transform(c).select("id", r6("p_a").alias("p_a"), r6("p_b").alias("p_b"), r6("prediction").alias("blend"))
+
+
+@query("skew_route")
+def skew_route(spark, sf_dir):
+    """|skew| > 0.75 -> Yeo-Johnson + robust scaling, else robust scaling (one skewed, two plain columns)."""
+    c = frame_c(spark, sf_dir).withColumn("x3", F.exp(F.col("x1") / 5.0))
+    model = SkewRouter(["x1", "x2", "x3"], 0.75).fit(c)
+    out = model.transform(c)
+    return out.select("id", *[r6(x).alias(x) for x in ("x1", "x2", "x3")],
+                      F.lit(",".join(model.skewed)).alias("skewed_cols"))
+
+
+@query("gbt_importance")
+def gbt_importance(spark, sf_dir):
+    c = _gbt_features(spark, sf_dir)
+    feats = ["x1", "x2"] + [x for x in c.columns if x.startswith("seg_")]
+    model = GBT(feats, "y", dict(XGB_REGULARISED, learning_rate=0.1), n_estimators=10, id_col="id").fit(c)
+    return model.importances(spark)

@@ -1,6 +1,7 @@
 import __spark_entry__ as E
 
-ROWS_ONLY = {"l1_select", "stack_ridge", "gbt_cv", "search_trials", "ablation"}
+ROWS_ONLY = {"l1_select", "stack_ridge", "gbt_cv", "search_trials", "ablation", "coef_top5", "skew_route",
+             "gbt_importance"}
 
 
 def test_contract_keys():

@@ -30,7 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.session import ensure_checkpoint_dir
+from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 
 DEFAULT_ACCURACY = 10000
 
@@ -117,10 +117,10 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
         pairs = picked.groupBy(*keys, "prob").agg(
             F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_vlo"),
             F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_vhi"))
-        result = (pairs.join(plan.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
-                  .select(*keys, "prob", (F.col("_vlo") + (F.col("_h") - F.col("_klo"))
-                                          * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
-                  .checkpoint(eager=True))   # groups x probs rows, computed from cached inputs
+        result = checkpoint_once(   # groups x probs rows
+            pairs.join(plan.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
+            .select(*keys, "prob", (F.col("_vlo") + (F.col("_h") - F.col("_klo"))
+                                    * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
         srt.unpersist()
         plan.unpersist()
         break

@@ -142,8 +142,9 @@ class ModelEnsembleModel(ColumnModel):
 class Stacking(ColumnEstimator):
     """Stacked regression: OOF predictions of the base models feed a meta model.
 
-    ``oof_fn(df, name, maker) -> DataFrame(id, fold, label, p_name)`` produces the
-    out-of-fold column of one base model; base models are then refitted on all
+    ``oof_fn(df, name, maker) -> df + p_name`` adds the out-of-fold column of one
+    base model to the frame it is given (same rows), so the OOF table is built
+    by chaining columns, without joins.  Base models are then refitted on all
     rows, and the meta model (e.g. RidgeCV over the p_* columns) is fitted on
     the OOF table (no passthrough of the original features).
     """
@@ -155,10 +156,9 @@ class Stacking(ColumnEstimator):
         self.id_col, self.output_col = id_col, output_col
 
     def _fit(self, dataset: DataFrame) -> StackingModel:
-        oof = None
+        oof = dataset
         for name, mk in self.makers.items():
-            part = self.oof_fn(dataset, name, mk)
-            oof = part if oof is None else oof.join(part.select(self.id_col, f"p_{name}"), self.id_col)
+            oof = self.oof_fn(oof, name, mk)
         cols = [f"p_{n}" for n in self.makers]
         meta = self.meta_maker(cols).fit(oof)
         base = ModelEnsemble(self.makers, combine=None).fit(dataset)

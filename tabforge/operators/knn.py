@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.exprs import code_map
 from tabforge.operators.base import MAX_LITERAL_ENTRIES, ColumnEstimator, ColumnModel
 from tabforge.operators.encode import first_appearance_codes
-from tabforge.session import ensure_checkpoint_dir
+from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
@@ -100,8 +100,8 @@ def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str],
                       F.when(n_ok, F.greatest(F.col("_lv") + 1, jump)).otherwise(F.col("_lv") + 1))
         status = (qb.join(agg, ["qid", "_t"], "left")
                   .withColumn("_final", covers | (n_ok & (dk < margin)))
-                  .withColumn("_next", nxt)
-                  .checkpoint(eager=True))
+                  .withColumn("_next", nxt))
+        status = checkpoint_once(status)
         done.append(status.where("_final").select("qid", "_t", "knn_value", "n_neighbours"))
         pending = status.where(~F.col("_final")).select("qid", "_t", *q_cols, F.col("_next").alias("_lv"))
         levels = sorted(r["_lv"] for r in pending.select("_lv").distinct().collect())
@@ -190,15 +190,16 @@ class KNNImputerModel(ColumnModel):
         # one row per (receiver, missing target); written once so every search level reads it directly
         receivers = (enc.select(F.col(s.id_col).alias("qid"), *feats, F.explode(F.array(
             *[F.when(F.col(t).isNull(), F.lit(t)) for t in targets])).alias("_t"))
-            .where(F.col("_t").isNotNull()).checkpoint(eager=True))
+            .where(F.col("_t").isNotNull()))
+        receivers = checkpoint_once(receivers)
         if receivers.where(F.col(f"q_{self.anchor}").isNull()).limit(1).count():
             raise ValueError(f"anchor column {self.anchor} has nulls among rows to impute")
         donors = (self.fit_encoded.select(
             F.col(s.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in s.dist_cols],
             F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).alias("v")) for t in targets])).alias("_tv"))
             .where(F.col("_tv.v").isNotNull())
-            .select("did", F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_val"), *[f"d_{c}" for c in s.dist_cols])
-            .checkpoint(eager=True))
+            .select("did", F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_val"), *[f"d_{c}" for c in s.dist_cols]))
+        donors = checkpoint_once(donors)
         # sklearn falls back to the donor mean when a receiver has no donor at a defined distance
         means = {r["_t"]: r["m"] for r in donors.groupBy("_t").agg(F.avg("_val").alias("m")).collect()}
         res = knn_mean(receivers, donors, s.dist_cols, self.anchor, s.k, self.width, self.lo, self.hi)

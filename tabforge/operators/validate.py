@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.exprs import modmul_hash
 from tabforge.operators.linear import Gram, Ridge, gram_sums, linear_expr
+from tabforge.session import checkpoint_once
 
 
 def assign_folds(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, method: str = "modmul",
@@ -84,21 +86,27 @@ def oof_by_loop(df: DataFrame, make_estimator: Callable[[], object], fold_col: s
                 parallelism: int = 5) -> DataFrame:
     """Out-of-fold predictions for any estimator: a fresh copy is fitted per fold.
 
-    Fold fits are submitted from ``parallelism`` driver threads (Spark runs the
-    jobs concurrently, like ``CrossValidator(parallelism=...)``).
+    The input is persisted once for the k fits (each reads it several times),
+    fold fits are submitted from ``parallelism`` driver threads (Spark runs the
+    jobs concurrently, like ``CrossValidator(parallelism=...)``), and the OOF
+    table is checkpointed once so the persisted input can be released.
     """
-    if folds is None:
-        folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-
-    def one(k):
-        model = make_estimator().fit(df.where(F.col(fold_col) != k))
-        return model.transform(df.where(F.col(fold_col) == k)).withColumnRenamed(pred_col, out_col)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
-        parts = list(pool.map(one, folds))
-    # fold models may add or drop different feature columns; keep the ones every fold has
-    common = [c for c in parts[0].columns if all(c in p.columns for p in parts[1:])]
-    out = parts[0].select(*common)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*common))
-    return out
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if folds is None:
+            folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+
+        def one(k):
+            model = make_estimator().fit(data.where(F.col(fold_col) != k))
+            return model.transform(data.where(F.col(fold_col) == k)).withColumnRenamed(pred_col, out_col)
+
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
+            parts = list(pool.map(one, folds))
+        # fold models may add or drop different feature columns; keep the ones every fold has
+        common = [c for c in parts[0].columns if all(c in p.columns for p in parts[1:])]
+        out = parts[0].select(*common)
+        for p in parts[1:]:
+            out = out.unionByName(p.select(*common))
+        return checkpoint_once(out)
+    finally:
+        data.unpersist()

@@ -484,7 +484,7 @@ def stack_ridge(spark, sf_dir):
               "lasso_x1x2": lambda: Lasso(["x1", "x2"], "y", 0.0005)}
 
     def oof_fn(df, name, mk):
-        return LinearCV(mk()).fit(df).oof(df, f"p_{name}").select("id", "fold", "y", f"p_{name}")
+        return LinearCV(mk()).fit(df).oof(df, f"p_{name}")
 
     stack = Stacking(makers, lambda cols: RidgeCV(cols, "y", RIDGE_CV_ALPHAS), oof_fn, "id").fit(c)
     return stack.transform(c).select("id", r6("prediction").alias("prediction"))

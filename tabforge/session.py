@@ -52,3 +52,19 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder inside the checkpoint dir for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpoint_once(df):
+    """Reliable checkpoint into the checkpoint dir, computing the plan only once.
+
+    ``checkpoint(eager=True)`` runs the plan for its count and again for the
+    write; caching first makes the write read the cached rows instead.  The
+    cache is released once the files are written.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

@@ -16,7 +16,10 @@ edge of that 3-bucket band (no donor outside can be closer), or when the band
 covers every donor.  An unresolved receiver moves toward the level whose
 width exceeds its current k-th distance (where it would be final), by at most
 4x per round (each round is checkpointed, so lineage stays short and a lost
-executor only redoes one round).  Every level is exact; nothing is capped or sampled.  A hot bucket
+executor only redoes one round).  Copies are collapsed first: identical receivers are
+searched once, and of identical donors only the k smallest ids (the only
+ones any receiver can pick) take part.  Every level is exact; nothing is
+capped or sampled.  A hot bucket
 is split by AQE's skew-join handling.
 """
 
@@ -117,6 +120,30 @@ def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str],
     return out
 
 
+def k_smallest_per_group(df: DataFrame, group_cols: Sequence[str], order_col: str, k: int) -> DataFrame:
+    """Rows with the k smallest ``order_col`` per group (nulls in keys group together).
+
+    Two phases so that a hot group never sorts in one task: each task keeps its
+    own k smallest per group (pandas), then a window ranks the <= k x tasks
+    survivors per group.
+    """
+    cols = df.columns
+    gcols = list(group_cols)
+
+    def head_k(batches):
+        import pandas as pd
+        acc = None   # running k smallest per group: memory is groups x k, not the partition
+        for pdf in batches:
+            cur = pdf if acc is None else pd.concat([acc, pdf], ignore_index=True)
+            acc = cur.sort_values(order_col, kind="stable").groupby(gcols, dropna=False, sort=False).head(k)
+        if acc is not None and not acc.empty:
+            yield acc[cols]
+
+    local = df.mapInPandas(head_k, df.schema)
+    rank = F.row_number().over(Window.partitionBy(*gcols).orderBy(order_col))
+    return local.withColumn("_kr", rank).where(F.col("_kr") <= k).drop("_kr")
+
+
 class KNNImputer(ColumnEstimator):
     """Fill ``target_cols`` nulls from the k nearest fit rows (sklearn ``KNNImputer`` semantics).
 
@@ -202,7 +229,17 @@ class KNNImputerModel(ColumnModel):
         donors = checkpoint_once(donors)
         # sklearn falls back to the donor mean when a receiver has no donor at a defined distance
         means = {r["_t"]: r["m"] for r in donors.groupBy("_t").agg(F.avg("_val").alias("m")).collect()}
-        res = knn_mean(receivers, donors, s.dist_cols, self.anchor, s.k, self.width, self.lo, self.hi)
+        q_cols = [f"q_{c}" for c in s.dist_cols]
+        # copies: identical receivers get identical answers -> search once per distinct vector
+        distinct_q = checkpoint_once(receivers.groupBy("_t", *q_cols).agg(F.min("qid").alias("qid")))
+        # copies: identical donors tie for every receiver, so only the k smallest ids of a vector can be chosen
+        kept = k_smallest_per_group(donors, ["_t"] + [f"d_{c}" for c in s.dist_cols], "did", s.k)
+        res = knn_mean(distinct_q, checkpoint_once(kept), s.dist_cols, self.anchor, s.k,
+                       self.width, self.lo, self.hi)
+        rep = distinct_q.select(F.col("qid").alias("_rep"), "_t", *q_cols).alias("r")
+        cond = [F.col("a._t") == F.col("r._t")] + [F.col(f"a.{c}").eqNullSafe(F.col(f"r.{c}")) for c in q_cols]
+        mapped = receivers.alias("a").join(rep, cond).select(F.col("a.qid").alias("qid"), F.col("a._t").alias("_t"), "_rep")
+        res = mapped.join(res.withColumnRenamed("qid", "_rep"), ["_rep", "_t"], "left")
         wide = res.groupBy("qid").agg(*[F.max(F.when(F.col("_t") == t, F.col("knn_value"))).alias(f"_imp_{t}")
                                         for t in targets])
         out = dataset.join(wide.withColumnRenamed("qid", s.id_col), s.id_col, "left")

@@ -624,3 +624,17 @@ def gbt_importance(spark, sf_dir):
     feats = ["x1", "x2"] + [x for x in c.columns if x.startswith("seg_")]
     model = GBT(feats, "y", dict(XGB_REGULARISED, learning_rate=0.1), n_estimators=10, id_col="id").fit(c)
     return model.importances(spark)
+
+
+@query("scored_parquet")
+def scored_parquet(spark, sf_dir):
+    """Scored table written as Parquet (partitioned by market segment) and read back."""
+    from tabforge.sources.frames import frame_c_unlabelled
+    model = Ridge(["x1", "x2"], "y", RIDGE_ALPHA).fit(labelled_c(spark, sf_dir))
+    scored = io.scored_table(model.transform(frame_c_unlabelled(spark, sf_dir)).withColumnRenamed("id", "Id"),
+                             "Id", "prediction", "predicted_spend")
+    seg = frame_c_unlabelled(spark, sf_dir).select(F.col("id").alias("Id"), "seg")
+    path = scratch_dir(spark, "scored")
+    io.write_parquet(scored.join(seg, "Id"), path, partition_by=["seg"])
+    back = spark.read.parquet(path)
+    return back.select(F.col("Id").alias("id"), "seg", F.round("predicted_spend", 0).alias("predicted_spend"))

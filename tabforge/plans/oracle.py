@@ -363,3 +363,8 @@ ORACLE["average_models"] = (f"WITH {C_CTE},\n" + _ridge_ctes("a", "C", ["x1"], 1
                             + "\nSELECT C.id, round(" + _pred("a", ["x1"], "C") + ", 6) AS p_a, round("
                             + _pred("b", ["x2"], "C") + ", 6) AS p_b, round((" + _pred("a", ["x1"], "C") + " + "
                             + _pred("b", ["x2"], "C") + ") / 2, 6) AS blend FROM C, a_co, b_co")
+
+ORACLE["scored_parquet"] = (f"WITH {C_CTE}, {LAB_CTE},\n" + _ridge_ctes("r", "LAB", ["x1", "x2"], 10.0, False) + """,
+U AS (SELECT c_custkey AS id, c_mktsegment AS seg, CAST(coalesce(ordstats.x1, 0) AS DOUBLE) AS x1, c_acctbal AS x2
+      FROM customer LEFT JOIN ordstats ON c_custkey = ordstats.o_custkey)
+SELECT U.id, U.seg, round(exp(""" + _pred("r", ["x1", "x2"], "U") + ") - 1, 0) AS predicted_spend FROM U, r_co")

@@ -91,3 +91,20 @@ def test_knn_categorical_rounds_half_even_and_few_donors(spark):
     # codes p=0, q=1; the two donors average 0.5 -> half to even -> 0 -> "p"
     got = {r.id: r.c for r in model.transform(df).collect()}
     assert got[3] == "p"
+
+
+def test_knn_with_many_copies_matches_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        if i % 3 == 0:                              # a third of the rows are copies of one row
+            rows.append((i, 7.0, 3.0 if i % 2 else None, 1.0 if i % 4 else None))
+        else:
+            rows.append((i, float(rng.integers(0, 20)), None if i % 5 == 0 else float(rng.normal(3, 2)),
+                         None if i % 7 == 0 else float(rng.integers(0, 3))))
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    model = KNNImputer(["b", "c"], ["a", "b", "c"], "id", k=5, anchor="a").fit(df)
+    got = {r.id: (r.b, r.c) for r in model.transform(df).collect()}
+    for t_idx, pos in ((2, 0), (3, 1)):
+        for qid, val in _brute_knn(rows, [1, 2, 3], t_idx, 5).items():
+            assert abs(got[qid][pos] - val) < 1e-9, (qid, t_idx)

@@ -2,7 +2,8 @@
 
 Spark's ``percentile``/``median`` aggregates keep a value->count map per group
 and merge it in one reducer, so a hot group with many distinct values lands in
-a single task.  Here:
+a single task.  They are used only when a counted size check shows that no
+group holds more than ``MAX_MAP_VALUES`` values.  Otherwise:
 
 1. One aggregate pass gives, per group, the row count and an
    ``approx_percentile`` bracket [lo, hi] around every wanted rank (a
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 
 DEFAULT_ACCURACY = 10000
+# Largest group (in values) for which the built-in exact percentile map is used.
+MAX_MAP_VALUES = 1_000_000
 
 
 def _long_values(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
@@ -76,6 +79,16 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
     probs = [float(p) for p in probs]
     long = _long_values(df, value_cols, group_cols)
 
+    # size check: when no group holds more than MAX_MAP_VALUES values, Spark's exact
+    # ``percentile`` (a value->count map per group, merged in one task) is bounded by it
+    largest = long.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    if largest is None:
+        return spark.createDataFrame([], ", ".join([f"`{c}` string" for c in keys] + ["prob double", "value double"]))
+    if largest <= MAX_MAP_VALUES:
+        per = long.groupBy(*keys).agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("_p"))
+        return per.select(*keys, F.posexplode("_p").alias("_i", "value")).select(
+            *keys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("prob"), "value")
+
     eps = 3.0 / accuracy
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
     sketch = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),

@@ -32,3 +32,24 @@ def test_multi_column_ungrouped(spark):
     assert got[("a", 0.5)] == 5.0
     assert abs(got[("a", 0.9)] - np.percentile(np.arange(11.0), 90)) < 1e-12
     assert got[("b", 0.5)] == float(np.median([i % 4 for i in range(11)]))
+
+
+import pytest  # noqa: E402
+
+import tabforge.functions.quantiles as Q  # noqa: E402
+
+
+@pytest.mark.parametrize("accuracy", [10000, 20])
+def test_band_path_matches_numpy(spark, monkeypatch, accuracy):
+    """Force the sketch + band path (what large groups use) and compare with numpy."""
+    monkeypatch.setattr(Q, "MAX_MAP_VALUES", 0)
+    rng = np.random.default_rng(8)
+    rows = [(i, "hot" if i % 4 else "cold", float(rng.integers(0, 30)) if i % 3 else float(rng.normal()))
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, g string, v double")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {(r["g"], r["prob"]): r["value"] for r in Q.exact_quantiles(df, ["v"], probs, ["g"], accuracy=accuracy).collect()}
+    for g in ("hot", "cold"):
+        vals = [v for _, gg, v in rows if gg == g]
+        for p in probs:
+            assert abs(got[(g, p)] - float(np.percentile(vals, p * 100))) < 1e-9, (g, p)

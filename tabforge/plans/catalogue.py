@@ -328,7 +328,7 @@ def knn_impute(spark, sf_dir):
 # ---------------------------------------------------------------- models, validation, ensembles
 
 from tabforge.operators.ensemble import SimplexBlend, Stacking, weighted_expr  # noqa: E402
-from tabforge.operators.linear import L1Selector, Lasso, Ridge, RidgeCV, gram_sums  # noqa: E402
+from tabforge.operators.linear import L1Selector, Lasso, Ridge, RidgeCV  # noqa: E402
 from tabforge.operators.trees import GBT, XGB_REGULARISED, LGBM_REGULARISED, sample_space  # noqa: E402
 from tabforge.operators.validate import (  # noqa: E402
     LinearCV, assign_folds, fold_scores, oof_by_loop, score_summary)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.exprs import code_map
 from tabforge.operators.base import MAX_LITERAL_ENTRIES, ColumnEstimator, ColumnModel
 from tabforge.operators.encode import first_appearance_codes
-from tabforge.session import checkpoint_once, ensure_checkpoint_dir
+from tabforge.session import checkpoint_once, ensure_checkpoint_dir, ship_package
 
 log = logging.getLogger(__name__)
 
@@ -139,6 +139,7 @@ def k_smallest_per_group(df: DataFrame, group_cols: Sequence[str], order_col: st
         if acc is not None and not acc.empty:
             yield acc[cols]
 
+    ship_package(df.sparkSession)
     local = df.mapInPandas(head_k, df.schema)
     rank = F.row_number().over(Window.partitionBy(*gcols).orderBy(order_col))
     return local.withColumn("_kr", rank).where(F.col("_kr") <= k).drop("_kr")

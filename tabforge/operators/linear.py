@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.operators.base import ColumnEstimator, ColumnModel
+from tabforge.session import ship_package
 
 
 @dataclass
@@ -67,6 +68,7 @@ def gram_sums(df: DataFrame, features: Sequence[str], label: str, group_col: str
     means = clean.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
     shift = np.array([means[c] if means[c] is not None else 0.0 for c in cols], dtype=float)
     g_expr = F.col(group_col).cast("long") if group_col else F.lit(0).cast("long")
+    ship_package(df.sparkSession)
     proj = clean.select(g_expr.alias("_g"), *[(F.col(c).cast("double") - F.lit(float(s))).alias(f"_c{k}")
                                                for k, (c, s) in enumerate(zip(cols, shift))])
     m = p + 2

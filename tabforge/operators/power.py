@@ -25,6 +25,7 @@ from tabforge.functions.exprs import yeo_johnson
 from tabforge.operators.audit import skew_split
 from tabforge.operators.base import ColumnEstimator, ColumnModel
 from tabforge.operators.encode import RobustScaler
+from tabforge.session import ship_package
 
 
 def _yj_numpy(x: np.ndarray, lam: float) -> np.ndarray:
@@ -51,11 +52,15 @@ def _is_spread(var: float | None, mean: float | None) -> bool:
 def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float]]) -> dict[str, float]:
     """One scan: each task emits (column, lambda, n, mean, M2) of its transformed rows.
 
-    Within a task batches merge with Chan's update; across tasks the partials
-    (tasks x grid rows) are merged around the pooled mean, so no large sums of
-    squares cancel.  The partials are persisted for the two small aggregates.
+    Within a task batches merge with Chan's update (exact); across tasks the
+    partials are added up in one small aggregate, the between-task term being
+    sum(n mean^2) - n mu^2 of the task means, taken around yj(column mean).
     """
     cols = list(cols)
+    # values are transformed relative to yj(ref) (variance is shift-free); with the shift the
+    # between-task term below only cancels at the scale of the spread, not of the values
+    ref_row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    refs = {c: float(ref_row[c]) if ref_row[c] is not None else 0.0 for c in cols}
 
     def partial(batches):
         acc = {}
@@ -67,7 +72,7 @@ def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float
                     continue
                 s_term = float(np.sum(np.sign(x) * np.log1p(np.abs(x))))
                 for li, lam in enumerate(grids[c]):
-                    t = _yj_numpy(x, lam)
+                    t = _yj_numpy(x, lam) - _yj_numpy(np.array([refs[c]]), lam)[0]
                     key = (c, li)
                     n0, m0, q0, s0 = acc.get(key, (0, 0.0, 0.0, 0.0))
                     n1, m1 = t.size, float(t.mean())
@@ -82,18 +87,22 @@ def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float
                                 "n": [acc[k][0] for k in keys], "mean": [acc[k][1] for k in keys],
                                 "m2": [acc[k][2] for k in keys], "s": [acc[k][3] for k in keys]})
 
+    ship_package(df.sparkSession)
     parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(
-        partial, "column string, li int, n long, mean double, m2 double, s double").persist()
-    # exact merge of per-task (n, mean, M2): M2 = sum(m2_i) + sum(n_i mean_i^2) - n mean^2, done around
-    # the weighted mean in a second small aggregate to avoid cancellation
-    tot = parts.groupBy("column", "li").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mu"),
-                                            F.sum("s").alias("s"))
-    merged = parts.join(tot.select("column", "li", "mu"), ["column", "li"]).groupBy("column", "li").agg(
-        F.sum("n").alias("n"), F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("mu"), 2)).alias("m2"))
-    rows = merged.join(tot.select("column", "li", "s", "mu"), ["column", "li"]).collect()
-    parts.unpersist()
-    stats = {(r["column"], r["li"]): r for r in rows}
-    s_of = {c: sum((stats[(c, 0)]["s"] or 0.0,)) if (c, 0) in stats else 0.0 for c in cols}
+        partial, "column string, li int, n long, mean double, m2 double, s double")
+    # one small aggregate of additive terms (tasks x grid rows in, columns x grid rows out)
+    sums = parts.groupBy("column", "li").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("mean")).alias("s1"),
+        F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("s2"), F.sum("m2").alias("m2"),
+        F.sum("s").alias("s")).collect()
+    stats = {}
+    for r in sums:
+        n = r["n"]
+        mu = r["s1"] / n if n else 0.0
+        # pooled M2 = sum of within-task M2 (exact per task) + between-task spread of the means
+        between = max(r["s2"] - r["s1"] * mu, 0.0)
+        stats[(r["column"], r["li"])] = {"n": n, "m2": r["m2"] + between, "mu": mu, "s": r["s"]}
+    s_of = {c: (stats[(c, 0)]["s"] or 0.0) if (c, 0) in stats else 0.0 for c in cols}
     best = {}
     for c in cols:
         top, top_ll = 1.0, -math.inf

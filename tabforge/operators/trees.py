@@ -63,7 +63,8 @@ class GBT(ColumnEstimator):
         asm = VectorAssembler(inputCols=self.features, outputCol="_features", handleInvalid="keep")
         data = asm.transform(dataset.select(*([self.id_col] if self.id_col else []), *self.features, self.label))
         if self.id_col:
-            n = self.num_partitions or int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            # a fixed count (one partition per core unless given) keeps subsampling reproducible
+            n = self.num_partitions or dataset.sparkSession.sparkContext.defaultParallelism
             data = data.repartition(n, self.id_col).sortWithinPartitions(self.id_col)
         gbt = GBTRegressor(featuresCol="_features", labelCol=self.label, predictionCol=self.prediction_col,
                            seed=self.seed, maxBins=64, cacheNodeIds=True, checkpointInterval=10,

@@ -68,3 +68,26 @@ def checkpoint_once(df):
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabforge`` importable in Python workers (what ``--py-files`` does).
+
+    Functions run by ``mapInPandas`` refer to helpers in this package, which
+    the executors must import.  The package is zipped once per process and
+    added to the SparkContext once; Spark distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tabforge-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out_dir, "tabforge"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="tabforge")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)

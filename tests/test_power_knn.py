@@ -108,3 +108,19 @@ def test_knn_with_many_copies_matches_brute_force(spark):
     for t_idx, pos in ((2, 0), (3, 1)):
         for qid, val in _brute_knn(rows, [1, 2, 3], t_idx, 5).items():
             assert abs(got[qid][pos] - val) < 1e-9, (qid, t_idx)
+
+
+def test_yeo_johnson_lambda_far_from_zero(spark):
+    """Large positive values: extreme lambdas give tiny variances that must stay accurate."""
+    rng = np.random.default_rng(9)
+    x = rng.uniform(1000.0, 2000.0, 600)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(4)
+    est = YeoJohnson(["x"])
+    m = est.fit(df)
+
+    def ll(lam):
+        t = _np_yj(x, lam)
+        return -len(x) / 2 * math.log(np.var(t)) + (lam - 1) * np.sum(np.log1p(x))
+    coarse = max(est.coarse_grid(), key=ll)
+    fine = max(est.fine_grid(coarse), key=ll)
+    assert abs(m.lambdas["x"] - fine) < 1e-12

@@ -25,6 +25,7 @@ is split by AQE's skew-join handling.
 
 from __future__ import annotations
 
+import itertools
 import logging
 import math
 import time
@@ -54,50 +55,66 @@ def _nan_sq_dist(cols: Sequence[str], n_dims: int):
     return F.when(present > 0, F.lit(float(n_dims)) / present * ssum)
 
 
-def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str], anchor: str,
-             k: int, width: float, lo: float, hi: float, max_rounds: int = 64) -> DataFrame:
+def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str], anchors: Sequence[str],
+             k: int, widths: Sequence[float], los: Sequence[float], his: Sequence[float],
+             max_rounds: int = 64) -> DataFrame:
     """Exact k-nearest mean per (receiver, target) in long form.
 
     receivers: (qid, _t, q_<col>...)   one row per receiver and target column it lacks
     donors:    (did, _t, _val, d_<col>...) one row per fit row and target column it has
     Returns (qid, _t, knn_value, n_neighbours).
 
-    Each receiver carries a level; its band is its anchor bucket of width
-    ``width * 2**level`` plus both neighbours.  After a round, a receiver that
-    is not final but has k candidates moves toward the first level whose width
-    exceeds its current k-th distance (an upper bound of the true one; at that
-    level the band holds every closer donor), by at most two levels per round;
-    one with fewer than k candidates doubles its width.
+    Anchors are complete columns; cells are anchor buckets of width
+    ``widths[j] * 2**level``.  A receiver's box is its cell plus the neighbouring
+    cells (3^m of them).  A donor outside the box differs by more than the box
+    margin in some anchor, so it is farther than the margin.  After a round, a
+    receiver that is not final but has k candidates moves toward the first level
+    whose smallest cell width exceeds its current k-th distance (an upper bound
+    of the true one), by at most two levels per round; one with fewer than k
+    candidates doubles its cells.
     """
     ensure_checkpoint_dir(receivers.sparkSession)
-    qa, da = F.col(f"q_{anchor}"), F.col(f"d_{anchor}")
+    m = len(anchors)
+    qa = [F.col(f"q_{a}") for a in anchors]
+    da = [F.col(f"d_{a}") for a in anchors]
     q_cols = [f"q_{c}" for c in dist_cols]
-    span = max(hi - lo, width)
-    top_level = int(math.ceil(math.log2(span / width))) + 1   # a band this wide covers every donor
+    top_level = max(int(math.ceil(math.log2(max(h - lo, w) / w))) for w, lo, h in zip(widths, los, his)) + 1
+    min_width = min(widths)
+    offsets = list(itertools.product((-1, 0, 1), repeat=m))
+    bb = [f"_bb{j}" for j in range(m)]
     done = []
     pending = receivers.withColumn("_lv", F.lit(0))
     levels = [0]
     for rnd in range(max_rounds):
         t0 = time.perf_counter()
-        w = F.lit(width) * F.pow(F.lit(2.0), F.col("_lv"))
-        qb = pending.withColumn("_w", w).withColumn("_b", F.floor(qa / F.col("_w")).cast("long"))
-        qx = qb.withColumn("_bb", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
-        db = (donors.withColumn("_lv", F.explode(F.array(*[F.lit(lv) for lv in levels])))
-              .withColumn("_bb", F.floor(da / (F.lit(width) * F.pow(F.lit(2.0), F.col("_lv")))).cast("long")))
-        cand = qx.join(db, ["_t", "_lv", "_bb"]).withColumn("_d2", _nan_sq_dist(dist_cols, len(dist_cols))).where(
+        scale = F.pow(F.lit(2.0), F.col("_lv"))
+        qb = pending
+        for j in range(m):
+            qb = qb.withColumn(f"_w{j}", F.lit(widths[j]) * scale).withColumn(
+                f"_b{j}", F.floor(qa[j] / F.col(f"_w{j}")).cast("long"))
+        cells = F.array(*[F.struct(*[(F.col(f"_b{j}") + o[j]).alias(bb[j]) for j in range(m)]) for o in offsets])
+        qx = qb.withColumn("_cell", F.explode(cells)).select("*", *[F.col(f"_cell.{c}").alias(c) for c in bb]).drop("_cell")
+        db = donors.withColumn("_lv", F.explode(F.array(*[F.lit(lv) for lv in levels])))
+        for j in range(m):
+            db = db.withColumn(bb[j], F.floor(da[j] / (F.lit(widths[j]) * F.pow(F.lit(2.0), F.col("_lv")))).cast("long"))
+        cand = qx.join(db, ["_t", "_lv", *bb]).withColumn("_d2", _nan_sq_dist(dist_cols, len(dist_cols))).where(
             F.col("_d2").isNotNull())
         rank = F.row_number().over(Window.partitionBy("qid", "_t").orderBy("_d2", "did"))
         top = cand.withColumn("_r", rank).where(F.col("_r") <= k)
         agg = top.groupBy("qid", "_t").agg(F.avg("_val").alias("knn_value"),
                                            F.count(F.lit(1)).alias("n_neighbours"), F.max("_d2").alias("_dk2"))
-        edge_lo = (F.col("_b") - 1) * F.col("_w")
-        edge_hi = (F.col("_b") + 2) * F.col("_w")
-        margin = F.least(qa - edge_lo, edge_hi - qa) - F.lit(1e-9) * (F.abs(qa) + F.col("_w"))
-        covers = (edge_lo <= F.lit(lo)) & (edge_hi > F.lit(hi))
+        gaps, covers = [], F.lit(True)
+        for j in range(m):
+            w = F.col(f"_w{j}")
+            edge_lo = (F.col(f"_b{j}") - 1) * w
+            edge_hi = (F.col(f"_b{j}") + 2) * w
+            gaps.append(F.least(qa[j] - edge_lo, edge_hi - qa[j]) - F.lit(1e-9) * (F.abs(qa[j]) + w))
+            covers = covers & (edge_lo <= F.lit(los[j])) & (edge_hi > F.lit(his[j]))
+        margin = gaps[0] if m == 1 else F.least(*gaps)
         n_ok = F.coalesce(F.col("n_neighbours"), F.lit(0)) >= k
         dk = F.sqrt(F.col("_dk2"))
-        jump = F.floor(F.log2(dk * F.lit(1.0 + 1e-6) / F.lit(width))).cast("int") + 1
-        # grow at most 4x per round: the bound from a narrow band can be loose, and a band
+        jump = F.floor(F.log2(dk * F.lit(1.0 + 1e-6) / F.lit(min_width))).cast("int") + 1
+        # grow at most 4x per round: the bound from a narrow box can be loose, and a box
         # far wider than needed would pull in many more candidates than the exact answer needs
         nxt = F.least(F.lit(top_level), F.col("_lv") + 2,
                       F.when(n_ok, F.greatest(F.col("_lv") + 1, jump)).otherwise(F.col("_lv") + 1))
@@ -113,7 +130,7 @@ def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str],
         if not levels:
             break
     else:
-        raise RuntimeError("KNN search did not converge; check the anchor column range")
+        raise RuntimeError("KNN search did not converge; check the anchor column ranges")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
@@ -155,10 +172,11 @@ class KNNImputer(ColumnEstimator):
     """
 
     def __init__(self, target_cols: Sequence[str], dist_cols: Sequence[str], id_col: str, k: int = 5,
-                 anchor: str | None = None, donors_per_bucket: int = 64):
+                 anchor: str | Sequence[str] | None = None, donors_per_bucket: int = 64, n_anchors: int = 2):
         super().__init__()
         self.target_cols, self.dist_cols, self.id_col = list(target_cols), list(dist_cols), id_col
-        self.k, self.anchor, self.donors_per_bucket = k, anchor, donors_per_bucket
+        self.k, self.donors_per_bucket, self.n_anchors = k, donors_per_bucket, n_anchors
+        self.anchor = [anchor] if isinstance(anchor, str) else (list(anchor) if anchor else None)
 
     def _fit(self, dataset: DataFrame) -> KNNImputerModel:
         types = {f.name: f.dataType.simpleString() for f in dataset.schema.fields}
@@ -170,33 +188,39 @@ class KNNImputer(ColumnEstimator):
             if n > MAX_LITERAL_ENTRIES:
                 raise ValueError(f"{c}: {n} levels; too many for a coded distance column")
             codes[c] = {r["value"]: r["code"] for r in tbl.collect()}
-        num_cols = [c for c in self.dist_cols if c not in str_cols]
-        st = dataset.agg(F.count(F.lit(1)).alias("n"),
-                         *[F.count(c).alias(f"c_{c}") for c in num_cols],
-                         *[F.stddev_pop(c).alias(f"s_{c}") for c in num_cols],
-                         *[F.min(c).alias(f"lo_{c}") for c in num_cols],
-                         *[F.max(c).alias(f"hi_{c}") for c in num_cols]).first()
-        anchor = self.anchor
-        if anchor is None:
-            complete = [c for c in num_cols if st[f"c_{c}"] == st["n"]]
+        model = KNNImputerModel(self, codes, [], [], [], [], dataset)
+        enc = model.fit_encoded
+        cols = list(self.dist_cols)
+        st = enc.agg(F.count(F.lit(1)).alias("n"),
+                     *[F.count(c).alias(f"c_{c}") for c in cols],
+                     *[F.stddev_pop(c).alias(f"s_{c}") for c in cols],
+                     *[F.min(c).alias(f"lo_{c}") for c in cols],
+                     *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
+        anchors = self.anchor
+        if anchors is None:
+            # complete columns with the widest spread bound the distance best
+            complete = [c for c in cols if st[f"c_{c}"] == st["n"] and (st[f"s_{c}"] or 0.0) > 0]
             if not complete:
-                raise ValueError("KNNImputer needs one numeric distance column without nulls as anchor")
-            anchor = max(complete, key=lambda c: (st[f"s_{c}"] or 0.0))
-        lo, hi = float(st[f"lo_{anchor}"]), float(st[f"hi_{anchor}"])
+                complete = [c for c in cols if st[f"c_{c}"] == st["n"]]
+            if not complete:
+                raise ValueError("KNNImputer needs a distance column without nulls as anchor")
+            anchors = sorted(complete, key=lambda c: -(st[f"s_{c}"] or 0.0))[: self.n_anchors]
         n = max(int(st["n"]), 1)
-        width = (hi - lo) * self.donors_per_bucket / n
-        if not width > 0:
-            width = 1.0
-        return KNNImputerModel(self, codes, anchor, width, lo, hi, dataset)
+        cells_per_dim = max(1.0, (n / self.donors_per_bucket) ** (1.0 / len(anchors)))
+        los = [float(st[f"lo_{a}"]) for a in anchors]
+        his = [float(st[f"hi_{a}"]) for a in anchors]
+        widths = [((h - lo) / cells_per_dim) if h > lo else 1.0 for lo, h in zip(los, his)]
+        model.anchors, model.widths, model.los, model.his = anchors, widths, los, his
+        return model
 
 
 class KNNImputerModel(ColumnModel):
-    def __init__(self, spec: KNNImputer, codes: dict, anchor: str, width: float, lo: float, hi: float, fit_df: DataFrame):
+    def __init__(self, spec: KNNImputer, codes: dict, anchors: list, widths: list, los: list, his: list,
+                 fit_df: DataFrame):
         super().__init__()
-        self.spec, self.codes, self.anchor = spec, codes, anchor
-        self.width, self.lo, self.hi = width, lo, hi
+        self.spec, self.codes, self.anchors = spec, codes, anchors
+        self.widths, self.los, self.his = widths, los, his
         self.fit_encoded = self._encode(fit_df)
-        self.fallback = {}
 
     def _encode(self, df: DataFrame) -> DataFrame:
         s = self.spec
@@ -220,8 +244,11 @@ class KNNImputerModel(ColumnModel):
             *[F.when(F.col(t).isNull(), F.lit(t)) for t in targets])).alias("_t"))
             .where(F.col("_t").isNotNull()))
         receivers = checkpoint_once(receivers)
-        if receivers.where(F.col(f"q_{self.anchor}").isNull()).limit(1).count():
-            raise ValueError(f"anchor column {self.anchor} has nulls among rows to impute")
+        any_null = F.lit(False)
+        for a in self.anchors:
+            any_null = any_null | F.col(f"q_{a}").isNull()
+        if receivers.where(any_null).limit(1).count():
+            raise ValueError(f"anchor columns {self.anchors} have nulls among rows to impute")
         donors = (self.fit_encoded.select(
             F.col(s.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in s.dist_cols],
             F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).alias("v")) for t in targets])).alias("_tv"))
@@ -235,8 +262,8 @@ class KNNImputerModel(ColumnModel):
         distinct_q = checkpoint_once(receivers.groupBy("_t", *q_cols).agg(F.min("qid").alias("qid")))
         # copies: identical donors tie for every receiver, so only the k smallest ids of a vector can be chosen
         kept = k_smallest_per_group(donors, ["_t"] + [f"d_{c}" for c in s.dist_cols], "did", s.k)
-        res = knn_mean(distinct_q, checkpoint_once(kept), s.dist_cols, self.anchor, s.k,
-                       self.width, self.lo, self.hi)
+        res = knn_mean(distinct_q, checkpoint_once(kept), s.dist_cols, self.anchors, s.k,
+                       self.widths, self.los, self.his)
         rep = distinct_q.select(F.col("qid").alias("_rep"), "_t", *q_cols).alias("r")
         cond = [F.col("a._t") == F.col("r._t")] + [F.col(f"a.{c}").eqNullSafe(F.col(f"r.{c}")) for c in q_cols]
         mapped = receivers.alias("a").join(rep, cond).select(F.col("a.qid").alias("qid"), F.col("a._t").alias("_t"), "_rep")

@@ -124,3 +124,22 @@ def test_yeo_johnson_lambda_far_from_zero(spark):
     coarse = max(est.coarse_grid(), key=ll)
     fine = max(est.fine_grid(coarse), key=ll)
     assert abs(m.lambdas["x"] - fine) < 1e-12
+
+
+def test_knn_two_anchor_grid_matches_brute_force(spark):
+    """Many distinct rows share one anchor value; the second anchor separates them."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for i in range(450):
+        a = 5.0 if i % 3 == 0 else float(rng.normal(0, 10))     # a third share one value of a
+        e = float(rng.normal(0, 8))                               # complete second column
+        b = None if i % 6 == 1 else float(rng.normal(1, 3))
+        c = None if i % 5 == 2 else float(rng.integers(0, 4))
+        rows.append((i, a, e, b, c))
+    df = spark.createDataFrame(rows, "id long, a double, e double, b double, c double")
+    model = KNNImputer(["b", "c"], ["a", "e", "b", "c"], "id", k=5).fit(df)
+    assert sorted(model.anchors) == ["a", "e"]
+    got = {r.id: (r.b, r.c) for r in model.transform(df).collect()}
+    for t_idx, pos in ((3, 0), (4, 1)):
+        for qid, val in _brute_knn(rows, [1, 2, 3, 4], t_idx, 5).items():
+            assert abs(got[qid][pos] - val) < 1e-9, (qid, t_idx)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 # inlined as literal maps in the plan.
 MAX_LITERAL_ENTRIES = 5000
 # Row bound under which a fitted lookup table is broadcast (its count is checked at fit).
-MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_ROWS = 500_000
 
 
 class _Copyable:

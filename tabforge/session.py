@@ -14,10 +14,35 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "tabforge") -> SparkSession:
+# Settings for a large cluster reading ~100 TB (see README "Cluster settings").
+CLUSTER_CONF = {
+    # ~256 MB input splits: ~400k scan tasks for 100 TB, each far below executor memory
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # start wide and let AQE merge small reduce partitions to ~256 MB each
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # split a reduce partition that is 5x the median and over 1 GB (hot keys in joins)
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    # broadcast only tables Spark has measured below 64 MB
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Arrow batches for mapInPandas stay small per task
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
+def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "tabforge",
+              profile: str = "local") -> SparkSession:
+    """Session with AQE and skew-join handling; ``profile="cluster"`` applies CLUSTER_CONF."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if profile == "cluster":
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
+        shuffle_partitions = int(CLUSTER_CONF["spark.sql.shuffle.partitions"])
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -110,3 +110,9 @@ def oof_by_loop(df: DataFrame, make_estimator: Callable[[], object], fold_col: s
         return checkpoint_once(out)
     finally:
         data.unpersist()
+
+
+def run_parallel(fn: Callable, items: Sequence, parallelism: int = 4) -> list:
+    """Evaluate independent configurations concurrently (each submits its own Spark jobs)."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(items)))) as pool:
+        return list(pool.map(fn, items))

@@ -331,7 +331,7 @@ from tabforge.operators.ensemble import SimplexBlend, Stacking, weighted_expr  #
 from tabforge.operators.linear import L1Selector, Lasso, Ridge, RidgeCV  # noqa: E402
 from tabforge.operators.trees import GBT, XGB_REGULARISED, LGBM_REGULARISED, sample_space  # noqa: E402
 from tabforge.operators.validate import (  # noqa: E402
-    LinearCV, assign_folds, fold_scores, oof_by_loop, score_summary)
+    LinearCV, assign_folds, fold_scores, oof_by_loop, run_parallel, score_summary)
 
 RIDGE_ALPHA = 10.0
 
@@ -499,11 +499,13 @@ def _gbt_features(spark, sf_dir) -> DataFrame:
 def gbt_cv(spark, sf_dir):
     c = _gbt_features(spark, sf_dir)
     feats = ["x1", "x2"] + [x for x in c.columns if x.startswith("seg_")]
-    tables = []
-    for name, params in (("gbt_xgb_style", XGB_REGULARISED), ("gbt_lgbm_style", LGBM_REGULARISED)):
+    def score(item):
+        name, params = item
         p = dict(params, learning_rate=0.1)
-        oof = oof_by_loop(c, lambda p=p: GBT(feats, "y", p, n_estimators=10, id_col="id"), out_col="oof")
-        tables.append(fold_scores(oof, "y", "oof", model=name))
+        oof = oof_by_loop(c, lambda: GBT(feats, "y", p, n_estimators=10, id_col="id"), out_col="oof")
+        return fold_scores(oof, "y", "oof", model=name)
+
+    tables = run_parallel(score, [("gbt_xgb_style", XGB_REGULARISED), ("gbt_lgbm_style", LGBM_REGULARISED)])
     return tables[0].unionByName(tables[1])
 
 
@@ -515,12 +517,14 @@ SEARCH_SPACE = {"max_depth": (2, 5, "int"), "learning_rate": (0.03, 0.3, "log"),
 def search_trials(spark, sf_dir):
     c = _gbt_features(spark, sf_dir)
     feats = ["x1", "x2"] + [x for x in c.columns if x.startswith("seg_")]
-    rows = []
-    for i, t in enumerate(sample_space(SEARCH_SPACE, 2, seed=42)):
-        oof = oof_by_loop(c, lambda t=t: GBT(feats, "y", t, n_estimators=10, id_col="id"), out_col="oof")
+    def trial(item):
+        i, t = item
+        oof = oof_by_loop(c, lambda: GBT(feats, "y", t, n_estimators=10, id_col="id"), out_col="oof")
         s = score_summary(fold_scores(oof, "y", "oof", model=f"trial_{i}")).first()
-        rows.append((i, t["max_depth"], float(t["learning_rate"]), float(t["subsample"]), t["min_child_weight"],
-                     float(s["mean_rmse"])))
+        return (i, t["max_depth"], float(t["learning_rate"]), float(t["subsample"]), t["min_child_weight"],
+                float(s["mean_rmse"]))
+
+    rows = run_parallel(trial, list(enumerate(sample_space(SEARCH_SPACE, 2, seed=42))))
     return spark.createDataFrame(rows, "trial int, max_depth int, learning_rate double, subsample double, "
                                        "min_child_weight int, mean_rmse double")
 
@@ -529,13 +533,12 @@ def search_trials(spark, sf_dir):
 def ablation(spark, sf_dir):
     """Same linear pipeline with and without the target-encoded nation and one-hot segment."""
     c = c_folds(spark, sf_dir).withColumn("nat", F.col("nat").cast("string"))
-    variants = {"base": False, "improved": True}
-    tables = []
-    for name, improved in variants.items():
-        def make(improved=improved):
-            return _AblationPipeline(improved)
-        oof = oof_by_loop(c, make, out_col="oof")
-        tables.append(fold_scores(oof, "y", "oof", model=name))
+    def variant(item):
+        name, improved = item
+        oof = oof_by_loop(c, lambda: _AblationPipeline(improved), out_col="oof")
+        return fold_scores(oof, "y", "oof", model=name)
+
+    tables = run_parallel(variant, [("base", False), ("improved", True)])
     return score_summary(tables[0].unionByName(tables[1]))
 
 

@@ -175,3 +175,40 @@ class StackingModel(ColumnModel):
         out = self.meta.transform(self.base.transform(dataset))
         pc = getattr(self.meta, "prediction_col", "prediction")
         return out.withColumnRenamed(pc, self.output_col) if pc != self.output_col else out
+
+
+def fold_cross_products(oof: DataFrame, pred_cols: Sequence[str], label: str, fold_col: str = "fold") -> dict:
+    """{fold: (P'P, P'y, y'y, n)} from one grouped aggregate (k folds, k x p^2 numbers)."""
+    k = len(pred_cols)
+    aggs = [F.sum(F.col(a) * F.col(b)).alias(f"pp_{i}_{j}") for i, a in enumerate(pred_cols)
+            for j, b in enumerate(pred_cols) if j >= i]
+    aggs += [F.sum(F.col(a) * F.col(label)).alias(f"py_{i}") for i, a in enumerate(pred_cols)]
+    aggs += [F.sum(F.col(label) * F.col(label)).alias("yy"), F.count(F.lit(1)).alias("n")]
+    out = {}
+    for r in oof.groupBy(fold_col).agg(*aggs).collect():
+        ptp = np.zeros((k, k))
+        for i in range(k):
+            for j in range(i, k):
+                ptp[i, j] = ptp[j, i] = r[f"pp_{i}_{j}"]
+        out[r[fold_col]] = (ptp, np.array([r[f"py_{i}"] for i in range(k)]), float(r["yy"]), int(r["n"]))
+    return out
+
+
+def nested_blend(oof: DataFrame, pred_cols: Sequence[str], label: str, fold_col: str = "fold",
+                 output_col: str = "blend") -> tuple[DataFrame, dict]:
+    """Blend whose weights for fold k are fitted on the other folds' OOF rows only.
+
+    Scoring the weights on rows they were not fitted on gives an honest blend
+    score (the weights fitted on all OOF rows score those same rows).  Returns
+    the table with the blend column and {fold: weights}.
+    """
+    per = fold_cross_products(oof, pred_cols, label, fold_col)
+    tot_ptp = sum(v[0] for v in per.values())
+    tot_pty = sum(v[1] for v in per.values())
+    tot_yy = sum(v[2] for v in per.values())
+    weights = {f: simplex_least_squares(tot_ptp - v[0], tot_pty - v[1], tot_yy - v[2]) for f, v in per.items()}
+    expr = None
+    for f, w in sorted(weights.items()):
+        term = weighted_expr(pred_cols, w)
+        expr = F.when(F.col(fold_col) == f, term) if expr is None else expr.when(F.col(fold_col) == f, term)
+    return oof.withColumn(output_col, expr), weights

@@ -641,3 +641,17 @@ def scored_parquet(spark, sf_dir):
     io.write_parquet(scored.join(seg, "Id"), path, partition_by=["seg"])
     back = spark.read.parquet(path)
     return back.select(F.col("Id").alias("id"), "seg", F.round("predicted_spend", 0).alias("predicted_spend"))
+
+
+
+@query("nested_blend_rmse")
+def nested_blend_rmse(spark, sf_dir):
+    """Per-fold RMSE of a blend whose weights were fitted without the scored fold, plus the pooled RMSE."""
+    from tabforge.operators.ensemble import nested_blend
+    oof, weights = nested_blend(_two_model_oof(spark, sf_dir), ["p_a", "p_b"], "y")
+    per = fold_scores(oof, "y", "blend", model="nested_blend")
+    pooled = oof.agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("blend"), 2)))).first()[0]
+    wa = {f: float(w[0]) for f, w in weights.items()}
+    wmap = F.create_map(*[x for f, w in sorted(wa.items()) for x in (F.lit(f), F.lit(w))])
+    return per.select("fold", "n", r6("rmse").alias("rmse"), r6(wmap[F.col("fold")]).alias("weight_a"),
+                      F.lit(round(pooled, 6)).alias("pooled_rmse"))

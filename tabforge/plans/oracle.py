@@ -368,3 +368,15 @@ ORACLE["scored_parquet"] = (f"WITH {C_CTE}, {LAB_CTE},\n" + _ridge_ctes("r", "LA
 U AS (SELECT c_custkey AS id, c_mktsegment AS seg, CAST(coalesce(ordstats.x1, 0) AS DOUBLE) AS x1, c_acctbal AS x2
       FROM customer LEFT JOIN ordstats ON c_custkey = ordstats.o_custkey)
 SELECT U.id, U.seg, round(exp(""" + _pred("r", ["x1", "x2"], "U") + ") - 1, 0) AS predicted_spend FROM U, r_co")
+
+
+ORACLE["nested_blend_rmse"] = (_TWO + """,
+ABF AS (SELECT AB.*, CF.fold FROM AB JOIN CF ON AB.id = CF.id),
+FS AS (SELECT fold, sum((y - p_b) * (p_a - p_b)) AS num, sum((p_a - p_b) * (p_a - p_b)) AS den FROM ABF GROUP BY fold),
+TS AS (SELECT sum(num) AS num, sum(den) AS den FROM FS),
+W AS (SELECT FS.fold, greatest(least((TS.num - FS.num) / (TS.den - FS.den), 1), 0) AS w FROM FS, TS),
+B AS (SELECT ABF.fold, ABF.y, W.w * ABF.p_a + (1 - W.w) * ABF.p_b AS blend, W.w FROM ABF JOIN W ON ABF.fold = W.fold),
+P AS (SELECT sqrt(avg((y - blend) * (y - blend))) AS pooled FROM B)
+SELECT fold, count(*) AS n, round(sqrt(avg((y - blend) * (y - blend))), 6) AS rmse, round(max(w), 6) AS weight_a,
+       round(max(pooled), 6) AS pooled_rmse
+FROM B, P GROUP BY fold""")

@@ -109,3 +109,19 @@ def test_gram_drops_null_rows(spark):
     assert g.n == 2
     b0, b = solve_ridge(g, 0.0)
     assert abs(b[0] - 2.0) < 1e-12 and abs(b0) < 1e-12
+
+
+def test_nested_blend_weights_exclude_scored_fold(spark):
+    from tabforge.operators.ensemble import nested_blend
+    rng = np.random.default_rng(12)
+    y = rng.normal(size=400)
+    rows = [(i, i % 4, float(y[i]), float(y[i] + rng.normal(scale=0.4)), float(y[i] + rng.normal(scale=0.8)))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, fold int, y double, a double, b double")
+    out, weights = nested_blend(df, ["a", "b"], "y")
+    for f, w in weights.items():
+        direct = SimplexBlend(["a", "b"], "y").fit(df.where(F.col("fold") != f)).weights
+        assert np.allclose(w, direct, atol=1e-12)
+    r = out.where("id = 5").first()
+    w = weights[r.fold]
+    assert abs(r.blend - (w[0] * r.a + w[1] * r.b)) < 1e-12

@@ -30,6 +30,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     # Arrow batches for mapInPandas stay small per task
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    # delete checkpoint files once nothing references them (KNN rounds, OOF tables, quantile results)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -52,6 +54,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TABFORGE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )

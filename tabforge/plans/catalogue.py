@@ -655,3 +655,15 @@ def nested_blend_rmse(spark, sf_dir):
     wmap = F.create_map(*[x for f, w in sorted(wa.items()) for x in (F.lit(f), F.lit(w))])
     return per.select("fold", "n", r6("rmse").alias("rmse"), r6(wmap[F.col("fold")]).alias("weight_a"),
                       F.lit(round(pooled, 6)).alias("pooled_rmse"))
+
+
+@query("blend_gate")
+def blend_gate(spark, sf_dir):
+    """Keep a candidate model only if adding it to the averaging blend lowers the pooled OOF RMSE."""
+    from tabforge.operators.ensemble import average_expr
+    c = c_folds(spark, sf_dir)
+    c = _ridge_oof(_ridge_oof(_ridge_oof(c, ["x1"], "p_a"), ["x2"], "p_b"), ["x1", "x2"], "p_c")
+    err = lambda cols: F.sqrt(F.avg(F.pow(F.col("y") - average_expr(cols), 2)))
+    return c.agg(err(["p_a", "p_b"]).alias("rmse_without"), err(["p_a", "p_b", "p_c"]).alias("rmse_with")).select(
+        F.lit("ridge_x1x2").alias("candidate"), r6("rmse_without").alias("rmse_without"),
+        r6("rmse_with").alias("rmse_with"), (F.col("rmse_with") < F.col("rmse_without")).alias("kept"))

@@ -380,3 +380,10 @@ P AS (SELECT sqrt(avg((y - blend) * (y - blend))) AS pooled FROM B)
 SELECT fold, count(*) AS n, round(sqrt(avg((y - blend) * (y - blend))), 6) AS rmse, round(max(w), 6) AS weight_a,
        round(max(pooled), 6) AS pooled_rmse
 FROM B, P GROUP BY fold""")
+
+ORACLE["blend_gate"] = (f"WITH {C_CTE}, {CF_CTE},\n" + _oof_sql("a", "CF", ["x1"]) + ",\n" + _oof_sql("b", "CF", ["x2"])
+                        + ",\n" + _oof_sql("c", "CF", ["x1", "x2"]) + """,
+J AS (SELECT a_oof.y, a_oof.p AS pa, b_oof.p AS pb, c_oof.p AS pc
+      FROM a_oof JOIN b_oof ON a_oof.id = b_oof.id JOIN c_oof ON a_oof.id = c_oof.id),
+E AS (SELECT sqrt(avg(pow(y - (pa + pb) / 2, 2))) AS wo, sqrt(avg(pow(y - (pa + pb + pc) / 3, 2))) AS wi FROM J)
+SELECT 'ridge_x1x2' AS candidate, round(wo, 6) AS rmse_without, round(wi, 6) AS rmse_with, wi < wo AS kept FROM E""")

@@ -9,7 +9,9 @@ group holds more than ``MAX_MAP_VALUES`` values.  Otherwise:
    ``approx_percentile`` bracket [lo, hi] around every wanted rank (a
    bounded-memory sketch; the bracket is +-3 ranks of the sketch's error).
 2. One pass counts, per (group, prob), the rows below ``lo`` and keeps only the
-   rows inside [lo, hi] -- about 6/accuracy of the data.
+   rows inside [lo, hi] -- about 6/accuracy of the data.  A bracket that
+   collapsed on one value (a run of copies) is already the answer and keeps
+   no rows, so hot duplicate values never reach step 3.
 3. The band rows are ranked exactly without a per-group task: they are
    range-partitioned on (group, prob, value, tiebreak), so even a hot group
    spreads over many partitions, sorted inside each partition, and a row's rank
@@ -114,7 +116,8 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
         inside = (F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))
         counts = joined.groupBy(*keys, "prob").agg(F.count_if(F.col("v") < F.col("_lo")).alias("_below"),
                                                    F.count_if(inside).alias("_inband"))
-        band = joined.where(inside).select(*keys, "prob", "v")
+        # a bracket collapsed on one value (a run of copies) already is the answer: rank nothing
+        band = joined.where(inside & (F.col("_lo") < F.col("_hi"))).select(*keys, "prob", "v")
         plan = (t.join(counts, keys + ["prob"])
                 .withColumn("_ok", (F.col("_klo") >= F.col("_below"))
                             & (F.col("_khi") < F.col("_below") + F.col("_inband")))
@@ -122,7 +125,8 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
         if not widen and plan.where(~F.col("_ok")).limit(1).count():
             plan.unpersist()
             continue  # the sketch's bracket missed a rank somewhere: redo exactly on all values
-        wanted = plan.select(*keys, "prob", F.explode(F.array(
+        single = plan.where(F.col("_lo") == F.col("_hi"))
+        wanted = plan.where(F.col("_lo") < F.col("_hi")).select(*keys, "prob", F.explode(F.array(
             F.struct(F.lit(0).alias("side"), (F.col("_klo") - F.col("_below")).alias("k")),
             F.struct(F.lit(1).alias("side"), (F.col("_khi") - F.col("_below")).alias("k")))).alias("w")
         ).select(*keys, "prob", "w.side", "w.k")
@@ -130,10 +134,11 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
         pairs = picked.groupBy(*keys, "prob").agg(
             F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_vlo"),
             F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_vhi"))
+        ranked = (pairs.join(plan.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
+                  .select(*keys, "prob", (F.col("_vlo") + (F.col("_h") - F.col("_klo"))
+                                          * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
         result = checkpoint_once(   # groups x probs rows
-            pairs.join(plan.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
-            .select(*keys, "prob", (F.col("_vlo") + (F.col("_h") - F.col("_klo"))
-                                    * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
+            ranked.unionByName(single.select(*keys, "prob", F.col("_lo").alias("value"))))
         srt.unpersist()
         plan.unpersist()
         break

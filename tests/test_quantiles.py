@@ -53,3 +53,16 @@ def test_band_path_matches_numpy(spark, monkeypatch, accuracy):
         vals = [v for _, gg, v in rows if gg == g]
         for p in probs:
             assert abs(got[(g, p)] - float(np.percentile(vals, p * 100))) < 1e-9, (g, p)
+
+
+def test_band_path_hot_duplicate_value(spark, monkeypatch):
+    """A third of the values are one number and the median falls inside that run."""
+    monkeypatch.setattr(Q, "MAX_MAP_VALUES", 0)
+    rng = np.random.default_rng(10)
+    vals = [42.0 if i % 3 == 0 else float(rng.normal(42, 5)) for i in range(3000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    probs = [0.3, 0.5, 0.7]
+    got = {r["prob"]: r["value"] for r in Q.exact_quantiles(df, ["v"], probs).collect()}
+    for p in probs:
+        assert abs(got[p] - float(np.percentile(vals, p * 100))) < 1e-9, p
+    assert got[0.5] == 42.0

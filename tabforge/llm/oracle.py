@@ -1,0 +1,5 @@
+"""DuckDB SQL for the registered queries, where SQL can express them."""
+
+from __future__ import annotations
+
+ORACLE: dict[str, str] = {}

@@ -43,12 +43,12 @@ def _slots(h: Column, bits: int) -> list[Column]:
     return [F.pmod(h, F.lit(bits)), F.pmod(F.xxhash64(h, F.lit(1)), F.lit(bits))]
 
 
-def repeat_bitmaps(hashes: DataFrame, column: str, bits: int) -> list[DataFrame]:
-    """For both hash functions, bitmaps (block, bitmap) of the slots that two rows or more hit."""
+def repeat_bitmaps(hashes: DataFrame, column: str, bits: int, least: int = 2) -> list[DataFrame]:
+    """For both hash functions, bitmaps (block, bitmap) of the slots that ``least`` rows or more hit."""
     h = F.col(column)
     s1, s2 = _slots(h, bits)
     hit = (hashes.select(F.explode(F.array(s1, s2 + F.lit(bits))).alias("slot"))
-           .groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2"))
+           .groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least))
     maps = written(hit.groupBy(F.expr(f"slot div {_BLOCK}").alias("block"))
                    .agg(F.expr(f"bitmap_construct_agg(slot % {_BLOCK})").alias("bitmap")), "repeat-bitmaps")
     blocks = bits // _BLOCK
@@ -57,7 +57,7 @@ def repeat_bitmaps(hashes: DataFrame, column: str, bits: int) -> list[DataFrame]
 
 
 def with_repeat_flag(df: DataFrame, h: Column, maps: list[DataFrame], bits: int, flag: str) -> DataFrame:
-    """``df`` with ``flag``: true when every slot of the row's hash was hit at least twice."""
+    """``df`` with ``flag``: true when every slot of the row's hash is set in the bitmaps."""
     flags = []
     keep = df.columns
     for k, (slot, bitmap) in enumerate(zip(_slots(h, bits), maps)):

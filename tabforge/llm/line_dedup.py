@@ -83,19 +83,30 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``, and the numbers of lines before and removed."""
-    d, t, gone, lines_gone = (fresh(docs, x) for x in ("_d", "_t", "_gone", "_lines_gone"))
+    """``docs`` with the repeated chunks taken out of ``text``, and the numbers of lines before and removed.
+
+    A Bloom filter of the documents that lose lines, of a bounded size, lets
+    all others pass straight through; only the rest meets the removal list.
+    """
+    d, t, gone, lines_gone, flag = (fresh(docs, x) for x in ("_d", "_t", "_gone", "_lines_gone", "_touched"))
     removed = written(repeated_chunks(docs).distinct().groupBy("doc_id", "t").agg(
         F.collect_list("pos").alias(gone), F.sum("n_lines").cast("long").alias(lines_gone))
-        .withColumnRenamed("doc_id", d).withColumnRenamed("t", t), "line-removed")
+        .withColumnRenamed("doc_id", d).withColumnRenamed("t", t).withColumn("h", F.xxhash64(d, t)), "line-removed")
+    bits = filter_bits(removed.count())
     text = F.col("text")
-    joined = docs.join(removed, docs["doc_id"].eqNullSafe(removed[d]) & (text_key(docs["text"]) == removed[t]), "left")
+    key = text_key(text)
+    flagged = with_repeat_flag(docs, F.xxhash64(F.col("doc_id"), key), repeat_bitmaps(removed, "h", bits, least=1), bits, flag)
+    lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(F.split(text, "\n", -1))).cast("long").alias(n_lines)
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    whole = flagged.filter(~F.col(flag)).select(*cols, lines, F.lit(0).cast("long").alias(n_removed))
+    touched = flagged.filter(F.col(flag)).join(
+        removed.drop("h"), F.col("doc_id").eqNullSafe(F.col(d)) & (key == F.col(t)), "left")
     kept = _let(chunks(text), lambda c: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(c) - 1), F.col(gone)), lambda i: F.get(c, i)["text"]), "\n"))
-    return joined.select(
+    cut = touched.select(
         *[F.when(F.col(gone).isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.when(text.isNull(), F.lit(0)).otherwise(F.size(F.split(text, "\n", -1))).cast("long").alias(n_lines),
-        F.coalesce(lines_gone, F.lit(0).cast("long")).alias(n_removed))
+        lines, F.coalesce(lines_gone, F.lit(0).cast("long")).alias(n_removed))
+    return whole.unionByName(cut)
 
 
 def line_report(docs: DataFrame) -> DataFrame:

@@ -101,6 +101,10 @@ def anchors(part: Column) -> tuple[Column, Column]:
     return nearest, F.array_distinct(F.concat(F.array(nearest), others))
 
 
+def _at(part: int, words: Column) -> Column:
+    return F.transform(words, lambda a: F.struct(F.lit(part).alias("part"), a.alias("anchor")))
+
+
 def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints ``fp`` at most ``max_bits`` (2) bits apart."""
     if max_bits > 2:
@@ -110,7 +114,10 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         part = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
         nearest, near = anchors(part)
         member_parts.append(F.struct(F.lit(k).alias("part"), nearest.alias("anchor")))
-        replica_parts.append(F.transform(near, lambda a, k=k: F.struct(F.lit(k).alias("part"), a.alias("anchor"))))
+        replica_parts.append(_at(k, near))
+    # a narrow exchange first: each row becomes 32, more than its bytes let Spark foresee
+    spread = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fingerprints = fingerprints.repartition(spread, "fp")
     members = fingerprints.select(F.col("fp").alias("a"), F.inline(F.array(*member_parts)))
     replicas = fingerprints.select(F.col("fp").alias("b"), F.inline(F.concat(*replica_parts)))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits

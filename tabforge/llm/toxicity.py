@@ -39,7 +39,7 @@ from .common import fresh, whole_text
 # Bound of the labelled rows that the lexicon and the calibration are fitted on (~1 MB of ids, broadcast).
 MAX_LABELLED = 12_000
 MAX_LEARNED = 2_000      # learned lexicon entries kept, by significance
-MIN_RATIO = 30.0         # log-likelihood ratio of a learned entry
+MIN_RATIO = 25.0         # log-likelihood ratio of a learned entry
 MIN_SHARE = 0.6          # share of toxic documents among those with the entry
 PREFIXES = (4, 5, 6)     # lengths of word beginnings, in code points
 SEED_WEIGHT = 3.0
@@ -201,6 +201,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LA
     return docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("text", "toxic")
 
 
+def _beginnings(words: Column, n: int) -> Column:
+    """Distinct first ``n`` letters of the words that have them, marked by ``~``."""
+    long = F.filter(words, lambda w: F.length(w) >= n)
+    return F.array_distinct(F.transform(long, lambda w: F.concat(w.substr(F.lit(1), F.lit(n)), F.lit("~"))))
+
+
 def learn_lexicon(train: DataFrame) -> Lexicon:
     """Seed lexicon plus learned words and word beginnings."""
     lexicon = seed_lexicon()
@@ -208,8 +214,7 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
     if not n_clean or not n_toxic:
         return lexicon
     words = F.filter(F.array_distinct(F.split(F.lower(whole_text(F.col("text"))), r"[^\p{L}]+")), lambda w: F.length(w) >= 3)
-    starts = [F.array_distinct(F.transform(F.filter(F.col("w"), lambda w, n=n: F.length(w) >= n),
-                                           lambda w, n=n: F.concat(w.substr(F.lit(1), F.lit(n)), F.lit("~")))) for n in PREFIXES]
+    starts = [_beginnings(F.col("w"), n) for n in PREFIXES]
     units = train.select("toxic", words.alias("w")).select("toxic", F.explode(F.concat(F.col("w"), *starts)).alias("unit"))
     counted = units.groupBy("unit").agg(F.sum("toxic").cast("double").alias("t"), F.count(F.lit(1)).cast("double").alias("n"))
     base = n_toxic / (n_clean + n_toxic)

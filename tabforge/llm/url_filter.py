@@ -67,11 +67,12 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 def _grams(text: Column, mark: str, sizes=(3, 4, 5)) -> Column:
     marked = F.concat(F.lit("^"), text, F.lit("$"))
-    out = []
-    for n in sizes:
-        starts = F.filter(F.sequence(F.lit(1), F.length(marked)), lambda i, n=n: i + n - 1 <= F.length(marked))
-        out.append(F.transform(starts, lambda i, n=n: F.concat(F.lit(mark), marked.substr(i, F.lit(n)))))
-    return F.concat(*out)
+
+    def of_size(n: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.length(marked)), lambda i: i + n - 1 <= F.length(marked))
+        return F.transform(starts, lambda i: F.concat(F.lit(mark), marked.substr(i, F.lit(n))))
+
+    return F.concat(*[of_size(n) for n in sizes])
 
 
 def _features(df: DataFrame, host: str, path: str, out: str, bits: int) -> DataFrame:

@@ -38,21 +38,22 @@ class Rule:
     pattern: str
     least: int = 1       # characters that the tested group needs
     group: int = 0
-    needs: str = ""      # a literal that every match contains; texts without it are not searched
+    needs: tuple = ()    # every match contains one of these, in either case; texts without them are not searched
 
 
 # Fixed rules of the contract, in their order.
 BASE_RULES = (
     Rule("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
-         r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
-    Rule("access", r"AKIA[A-Z0-9]+", 16, 0, "AKIA"),
+         r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2,
+         ("passw", "secret", "token", "apikey", "api_key")),
+    Rule("access", r"AKIA[A-Z0-9]+", 16, 0, ("akia",)),
     Rule("hex", r"[0-9a-f]{32,}", 32),  # a maximal run, so the same as the long ones among [0-9a-f]+
 )
 # Added by this operator.
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0, "PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, 0, "eyJ"),
-    Rule("userinfo", r"://[A-Za-z0-9._%+-]+:[A-Za-z0-9._%+-]+@", 8, 0, "://"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0, ("private key-----",)),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, 0, ("eyj",)),
+    Rule("userinfo", r"://[A-Za-z0-9._%+-]+:[A-Za-z0-9._%+-]+@", 8, 0, ("://",)),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -65,7 +66,17 @@ def blob_of(text: Column) -> Column:
     return F.sha2(whole_text(text), 256)
 
 
-def _hits(text: Column, number: int, rule: Rule) -> Column:
+def _present(text: Column, lowered: Column, rule: Rule) -> Column:
+    """Whether a text can hold a match, by a plain search where the rule has literals."""
+    if not rule.needs:
+        return text.rlike(rule.pattern)
+    out = F.lit(False)
+    for literal in rule.needs:
+        out = out | lowered.contains(literal)
+    return out
+
+
+def _hits(text: Column, lowered: Column, number: int, rule: Rule) -> Column:
     """Per match: rule number, order, length of the piece before it, of the match, of the tested group."""
     pattern = F.lit(rule.pattern)
 
@@ -79,14 +90,15 @@ def _hits(text: Column, number: int, rule: Rule) -> Column:
                      lengths(F.regexp_extract_all(text, pattern, rule.group)).alias("tested")),
         lambda m, i: F.struct(F.lit(number).alias("rule"), i.alias("i"), m["gap"].alias("gap"),
                               m["width"].alias("width"), m["tested"].alias("tested")))
-    empty = F.slice(hits, 1, 0)
-    present = text.contains(rule.needs) if rule.needs else text.rlike(rule.pattern)
-    return F.when(present, hits).otherwise(empty)
+    none = F.array().cast("array<struct<rule:int,i:int,gap:bigint,width:bigint,tested:bigint>>")
+    return F.when(_present(text, lowered, rule), hits).otherwise(none)
 
 
 def find_spans(blobs: DataFrame, rules=RULES) -> DataFrame:
     """(blob, kind_no, kind, start, end) for every kept match in (blob, text)."""
-    hits = blobs.select("blob", F.inline(F.concat(*[_hits(F.col("text"), k, r) for k, r in enumerate(rules)])))
+    text, lowered = F.col("text"), F.col("lowered")
+    blobs = blobs.withColumn("lowered", F.lower("text"))
+    hits = blobs.select("blob", F.inline(F.concat(*[_hits(text, lowered, k, r) for k, r in enumerate(rules)])))
     upto = Window.partitionBy("blob", "rule").orderBy("i")  # the matches of one text
     end = F.sum(F.col("gap") + F.col("width")).over(upto)
     least = F.element_at(F.array(*[F.lit(r.least) for r in rules]), F.col("rule") + 1)
@@ -96,40 +108,51 @@ def find_spans(blobs: DataFrame, rules=RULES) -> DataFrame:
                     (F.col("end") - F.col("width")).alias("start"), "end"))
 
 
+_SCANNED = "blob string, version string"
+_FINDINGS = "blob string, kind_no int, kind string, start long, end long, version string"
+
+
 class BlobLedger:
     """Scanned (blob, rule version) pairs and their findings under ``path``."""
 
     def __init__(self, spark: SparkSession, path: str, rules=RULES):
         self.spark, self.path, self.rules, self.version = spark, path.rstrip("/"), rules, rule_version(rules)
 
-    def _read(self, name: str, schema: str) -> DataFrame:
+    def _read(self, name: str, schema: str) -> DataFrame | None:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)  # a new ledger
+            return None
+
+    def is_new(self) -> bool:
+        return self._read("scanned", _SCANNED) is None
 
     def scanned(self) -> DataFrame:
-        return self._read("scanned", "blob string, version string").filter(F.col("version") == self.version)
+        rows = self._read("scanned", _SCANNED)
+        rows = self.spark.createDataFrame([], _SCANNED) if rows is None else rows
+        return rows.filter(F.col("version") == self.version)
 
     def findings(self) -> DataFrame:
-        rows = self._read("findings", "blob string, kind_no int, kind string, start long, end long, version string")
+        rows = self._read("findings", _FINDINGS)
+        rows = self.spark.createDataFrame([], _FINDINGS) if rows is None else rows
         return rows.filter(F.col("version") == self.version).drop("version").distinct()
 
     def scan(self, versions: DataFrame, text: str = "text") -> DataFrame:
         """Scan the unseen blobs of ``versions``; return (blob) of every row, in a column named ``blob``, all columns kept but the text."""
-        blob = blob_of(F.col(text))
-        new = versions.select(blob.alias("blob"), whole_text(F.col(text)).alias("text"))
-        unseen = new.join(self.scanned().select("blob"), "blob", "left_anti")
+        blob, name = blob_of(F.col(text)), fresh(versions, "blob")
+        paths = written(versions.withColumn(name, blob).drop(text), "secret-paths")
+        unseen = paths.select(F.col(name).alias("blob")).distinct()
+        texts = versions.select(blob.alias("blob"), whole_text(F.col(text)).alias("text"))
+        if not self.is_new():  # else every blob is unseen and no row needs a join
+            unseen = written(unseen.join(self.scanned().select("blob"), "blob", "left_anti"), "secret-unseen")
+            texts = texts.join(unseen, "blob", "left_semi")
         # each task sends at most one text per blob
-        one = unseen.groupBy("blob").agg(F.first("text").alias("text"))
+        one = texts.groupBy("blob").agg(F.first("text").alias("text"))
         version = F.lit(self.version).alias("version")
         find_spans(one, self.rules).select("*", version).write.mode("append").parquet(f"{self.path}/findings")
-        name = fresh(versions, "blob")
-        paths = written(versions.withColumn(name, blob).drop(text), "secret-paths")
-        (paths.select(F.col(name).alias("blob")).distinct().join(self.scanned().select("blob"), "blob", "left_anti")
-         .select("blob", version).write.mode("append").parquet(f"{self.path}/scanned"))
+        unseen.select("blob", version).write.mode("append").parquet(f"{self.path}/scanned")
         return paths
 
 

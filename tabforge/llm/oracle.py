@@ -1,5 +1,70 @@
-"""DuckDB SQL for the registered queries, where SQL can express them."""
+"""DuckDB SQL for the registered queries, where SQL can express them.
+
+op2, op3 and op6 end in a trained model; op4, op8 and op10 in hashes, rankings
+or optimal boundaries that DuckDB lacks; op9 needs XXH64.  Those are tested
+against brute force in tests/llm.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from .secret_scan import BASE_RULES, RULES
+
+_SPACE = r"[\x20\x09-\x0D]"
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+EXACT_DEDUP = f"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
+                  sha256(regexp_replace(coalesce(text, ''), '{_SPACE}', '', 'g')) AS text_sha256 FROM documents),
+     w AS (SELECT doc_id, text_sha256,
+                  first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
+                  count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w
+"""
+
+LINE_DEDUP = f"""
+WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+     n AS (SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM l),
+     h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM n),
+     r AS (SELECT *, (coalesce(lag(h) OVER d, 0) * 1000003 + h) % 2147483647 AS r FROM h WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+     s AS (SELECT *, CASE WHEN i = 1 OR (r < lag(r) OVER d AND r <= coalesce(lead(r) OVER d, r)) THEN 1 ELSE 0 END AS s
+           FROM r WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+     c AS (SELECT *, sum(s) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM s),
+     k AS (SELECT doc_id, c, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM c GROUP BY doc_id, c),
+     f AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) AS copy FROM k),
+     g AS (SELECT *, copy > 1 AND n >= 2 AND regexp_matches(chunk, '[^\\x20\\x09-\\x0D]') AS gone FROM f)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, sum(CASE WHEN gone THEN n ELSE 0 END)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(CASE WHEN NOT gone THEN chunk END, chr(10) ORDER BY c), '')) AS text_sha256
+FROM g GROUP BY doc_id
+"""
+
+
+def _secret_scan() -> str:
+    parts = []
+    for k, r in enumerate(RULES):
+        p = _quoted(r.pattern)
+        parts.append(f"""
+SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, generate_subscripts(m, 1) AS i, unnest(m) AS m, unnest(t) AS t, p
+FROM (SELECT doc_id, regexp_extract_all(text, {p}) AS m, regexp_extract_all(text, {p}, {r.group}) AS t,
+             string_split_regex(text, {p}) AS p FROM documents WHERE regexp_matches(text, {p}))""")
+    counts = ", ".join(f"count(*) FILTER (k = {k})::BIGINT AS n_{r.kind}" for k, r in enumerate(BASE_RULES))
+    return f"""
+WITH hit AS ({' UNION ALL '.join(parts)}),
+     pos AS (SELECT *, sum(length(p[i]) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY i) AS e FROM hit),
+     span AS (SELECT doc_id, k, e - length(m) AS s, kind || ':' || (e - length(m)) || ':' || e AS x FROM pos WHERE length(t) >= least),
+     doc AS (SELECT doc_id, {counts}, string_agg(x, ',' ORDER BY s, k) FILTER (k < {len(BASE_RULES)}) AS base,
+                    string_agg(x, ',' ORDER BY s, k) AS spans FROM span GROUP BY doc_id)
+SELECT doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in BASE_RULES)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN doc USING (doc_id)
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": LINE_DEDUP,
+    "op5_exact_dedup": EXACT_DEDUP,
+    "op7_secret_scan": _secret_scan(),
+}

@@ -2,26 +2,26 @@
 
 Spark's ``percentile``/``median`` aggregates keep a value->count map per group
 and merge it in one reducer, so a hot group with many distinct values lands in
-a single task.  They are used only when a counted size check shows that no
-group holds more than ``MAX_MAP_VALUES`` values.  Otherwise:
+a single task.  Here every size takes the same path:
 
-1. One aggregate pass gives, per group, the row count and an
+1. One aggregate scan gives, per group and column, the value count and an
    ``approx_percentile`` bracket [lo, hi] around every wanted rank (a
    bounded-memory sketch; the bracket is +-3 ranks of the sketch's error).
-2. One pass counts, per (group, prob), the rows below ``lo`` and keeps only the
-   rows inside [lo, hi] -- about 6/accuracy of the data.  A bracket that
-   collapsed on one value (a run of copies) is already the answer and keeps
-   no rows, so hot duplicate values never reach step 3.
-3. The band rows are ranked exactly without a per-group task: they are
-   range-partitioned on (group, prob, value, tiebreak), so even a hot group
-   spreads over many partitions, sorted inside each partition, and a row's rank
-   is "rows of its group in earlier partitions + position in this partition".
-   Only per-(partition, group) block counts are windowed.
-
-The counts check that every wanted rank falls inside its band; if one does
-not (the sketch's bound failed), the whole computation is redone with the
-band widened to all values, so results are always exact.  Interpolation is
-the linear one of pandas / numpy / DuckDB ``quantile_cont``:
+2. One aggregate scan counts, per group, column and prob, the values below
+   ``lo`` and those inside the bracket.  A bracket that collapsed on one value
+   (a run of copies) already is the answer.
+3. One scan keeps the values strictly needed -- about 6/accuracy of the data --
+   and ranks them exactly without a per-group task: they are range-partitioned
+   on (group, prob, value, tiebreak), so even a hot group spreads over many
+   partitions, sorted inside each partition, and a row's rank is "rows of its
+   group in earlier partitions + position in this partition".
+
+The brackets reach the rows as literals (no groups) or by one join on the group
+columns, whose table has one row per group; rows are multiplied only by the
+few brackets they fall into.  The counts check that every wanted rank falls
+inside its bracket; where one does not (the sketch's bound failed), that
+group's bracket is widened to all values, so results are always exact.
+Interpolation is the linear one of pandas / numpy / DuckDB ``quantile_cont``:
 h = p*(n-1), v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
 """
 
@@ -36,18 +36,6 @@ from pyspark.sql import functions as F
 from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 
 DEFAULT_ACCURACY = 10000
-# Largest group (in values) for which the built-in exact percentile map is used.
-MAX_MAP_VALUES = 1_000_000
-
-
-def _long_values(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
-    if len(value_cols) == 1:
-        c = value_cols[0]
-        out = df.select(*group_cols, F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-    else:
-        out = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in value_cols]).unpivot(
-            list(group_cols), list(value_cols), "column", "v")
-    return out.where(F.col("v").isNotNull())
 
 
 def _rank_pick(vals: DataFrame, keys: list[str], wanted: DataFrame, n_parts: int) -> tuple[DataFrame, DataFrame]:
@@ -67,91 +55,93 @@ def _rank_pick(vals: DataFrame, keys: list[str], wanted: DataFrame, n_parts: int
     return srt.select("_mid", "v").join(located, "_mid").drop("_mid"), srt
 
 
+def _with_brackets(df: DataFrame, brackets: DataFrame, group_cols: list[str], n: int) -> tuple[DataFrame, list, list]:
+    """``df`` with the bracket edges of its group at hand: (rows, lo columns, hi columns)."""
+    if not group_cols:
+        r = brackets.first()  # cols x probs numbers
+        return df, [F.lit(r[f"_lo{i}"]).cast("double") for i in range(n)], [F.lit(r[f"_hi{i}"]).cast("double") for i in range(n)]
+    side = brackets.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group_cols)],
+                           *[f"_{x}{i}" for i in range(n) for x in ("lo", "hi")])
+    same = F.lit(True)
+    for k, g in enumerate(group_cols):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{k}"))
+    return df.join(side, same), [F.col(f"_lo{i}") for i in range(n)], [F.col(f"_hi{i}") for i in range(n)]
+
+
 def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), num_partitions: int | None = None,
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Long result: ``group_cols..., column, prob, value`` (null values skipped)."""
     if isinstance(value_cols, str):
         value_cols = [value_cols]
-    group_cols = list(group_cols)
-    keys = group_cols + ["column"]
+    value_cols, group_cols, probs = list(value_cols), list(group_cols), [float(p) for p in probs]
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    probs = [float(p) for p in probs]
-    long = _long_values(df, value_cols, group_cols)
-
-    # size check: when no group holds more than MAX_MAP_VALUES values, Spark's exact
-    # ``percentile`` (a value->count map per group, merged in one task) is bounded by it
-    largest = long.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    if largest is None:
-        return spark.createDataFrame([], ", ".join([f"`{c}` string" for c in keys] + ["prob double", "value double"]))
-    if largest <= MAX_MAP_VALUES:
-        per = long.groupBy(*keys).agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("_p"))
-        return per.select(*keys, F.posexplode("_p").alias("_i", "value")).select(
-            *keys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("prob"), "value")
-
+    vals = [f"_v{k}" for k in range(len(value_cols))]
+    rows = df.select(*group_cols, *[F.col(c).cast("double").alias(v) for c, v in zip(value_cols, vals)])
     eps = 3.0 / accuracy
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
-    sketch = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                     F.percentile_approx("v", edges, accuracy).alias("_q"))
-    pos = {e: i for i, e in enumerate(edges)}
-    targets = (sketch.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
-               .withColumn("_lo", F.element_at("_q", F.lit(1) + F.expr(_edge_index(probs, pos, -eps))))
-               .withColumn("_hi", F.element_at("_q", F.lit(1) + F.expr(_edge_index(probs, pos, eps))))
-               .withColumn("_h", F.col("prob") * (F.col("_n") - 1))
-               .withColumn("_klo", F.floor("_h").cast("long"))
-               .withColumn("_khi", F.ceil("_h").cast("long"))
-               .drop("_q")
-               .persist())   # groups x probs rows, reused by every step below
-
-    result = None
-    for widen in (False, True):
-        t = targets
-        if widen:
-            t = t.withColumn("_lo", F.lit(float("-inf"))).withColumn("_hi", F.lit(float("inf")))
-        tk = t.select(*keys, "prob", "_lo", "_hi")
-        # groups x probs rows: AQE broadcasts it when small and shuffles otherwise
-        joined = long.join(tk, keys)
-        inside = (F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))
-        counts = joined.groupBy(*keys, "prob").agg(F.count_if(F.col("v") < F.col("_lo")).alias("_below"),
-                                                   F.count_if(inside).alias("_inband"))
-        # a bracket collapsed on one value (a run of copies) already is the answer: rank nothing
-        band = joined.where(inside & (F.col("_lo") < F.col("_hi"))).select(*keys, "prob", "v")
-        plan = (t.join(counts, keys + ["prob"])
-                .withColumn("_ok", (F.col("_klo") >= F.col("_below"))
-                            & (F.col("_khi") < F.col("_below") + F.col("_inband")))
-                .persist())
-        if not widen and plan.where(~F.col("_ok")).limit(1).count():
-            plan.unpersist()
-            continue  # the sketch's bracket missed a rank somewhere: redo exactly on all values
-        single = plan.where(F.col("_lo") == F.col("_hi"))
-        wanted = plan.where(F.col("_lo") < F.col("_hi")).select(*keys, "prob", F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), (F.col("_klo") - F.col("_below")).alias("k")),
-            F.struct(F.lit(1).alias("side"), (F.col("_khi") - F.col("_below")).alias("k")))).alias("w")
-        ).select(*keys, "prob", "w.side", "w.k")
-        picked, srt = _rank_pick(band, keys + ["prob"], wanted, n_parts)
-        pairs = picked.groupBy(*keys, "prob").agg(
-            F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_vlo"),
-            F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_vhi"))
-        ranked = (pairs.join(plan.select(*keys, "prob", "_h", "_klo"), keys + ["prob"])
-                  .select(*keys, "prob", (F.col("_vlo") + (F.col("_h") - F.col("_klo"))
-                                          * (F.col("_vhi") - F.col("_vlo"))).alias("value")))
-        result = checkpoint_once(   # groups x probs rows
-            ranked.unionByName(single.select(*keys, "prob", F.col("_lo").alias("value"))))
-        srt.unpersist()
-        plan.unpersist()
-        break
-    targets.unpersist()
+    at = {e: i for i, e in enumerate(edges)}
+    slots = [(k, p) for k in range(len(vals)) for p in probs]  # slot i: column k, prob p
+
+    # scan 1: counts and brackets, one row per group
+    sketch = checkpoint_once(rows.groupBy(*group_cols).agg(*[x for v in vals for x in (
+        F.count(v).alias(f"_n{v}"), F.percentile_approx(v, edges, accuracy).alias(f"_q{v}"))]))
+
+    def edge(k: int, p: float, d: float):
+        return F.element_at(f"_q{vals[k]}", at[min(1.0, max(0.0, p + d))] + 1)
+
+    brackets = sketch.select(*group_cols, *[f"_n{v}" for v in vals], *[c for i, (k, p) in enumerate(slots) for c in (
+        edge(k, p, -eps).alias(f"_lo{i}"), edge(k, p, eps).alias(f"_hi{i}"))])
+
+    # scan 2: values below and inside each bracket
+    joined, lo, hi = _with_brackets(rows, brackets, group_cols, len(slots))
+    counts = joined.groupBy(*group_cols).agg(*[c for i, (k, _) in enumerate(slots) for c in (
+        F.count_if(F.col(vals[k]) < lo[i]).alias(f"_below{i}"),
+        F.count_if((F.col(vals[k]) >= lo[i]) & (F.col(vals[k]) <= hi[i])).alias(f"_in{i}"))])
+    same = [F.col(g).eqNullSafe(F.col(f"_g{k}")) for k, g in enumerate(group_cols)]
+    counted = counts.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group_cols)],
+                            *[f"_{x}{i}" for i in range(len(slots)) for x in ("below", "in")])
+    plan = brackets.join(counted, same) if group_cols else brackets.crossJoin(counted)  # ungrouped: one row each
+    plan = plan.select(*group_cols, F.explode(F.array(*[F.struct(
+        F.lit(i).alias("_i"), F.lit(value_cols[k]).alias("column"), F.lit(p).alias("prob"), F.col(f"_n{vals[k]}").alias("_n"),
+        F.col(f"_lo{i}").alias("_lo"), F.col(f"_hi{i}").alias("_hi"), F.col(f"_below{i}").alias("_below"),
+        F.col(f"_in{i}").alias("_in")) for i, (k, p) in enumerate(slots)])).alias("_s")).select(*group_cols, "_s.*")
+    h = F.col("prob") * (F.col("_n") - 1)
+    missed = (F.floor(h) < F.col("_below")) | (F.ceil(h) >= F.col("_below") + F.col("_in"))
+    plan = checkpoint_once(plan.where(F.col("_n") > 0).withColumn("_h", h).withColumn("_miss", missed)
+                           .withColumn("_lo", F.when(F.col("_miss"), float("-inf")).otherwise(F.col("_lo")))
+                           .withColumn("_hi", F.when(F.col("_miss"), float("inf")).otherwise(F.col("_hi")))
+                           .withColumn("_below", F.when(F.col("_miss"), 0).otherwise(F.col("_below"))))
+    single = plan.where(F.col("_lo") == F.col("_hi")).select(*group_cols, "column", "prob", F.col("_lo").alias("value"))
+
+    # scan 3: rank the band
+    picked = [F.max(F.when(F.col("_i") == i, F.when(F.col("_lo") < F.col("_hi"), F.col(x)))).alias(f"{x}{i}")
+              for i in range(len(slots)) for x in ("_lo", "_hi")]
+    joined, lo, hi = _with_brackets(rows, plan.groupBy(*group_cols).agg(*picked), group_cols, len(slots)) if plan.take(1) else (
+        rows.limit(0), [F.lit(0.0)] * len(slots), [F.lit(0.0)] * len(slots))
+    inside = F.filter(F.array(*[F.when((F.col(vals[k]) >= lo[i]) & (F.col(vals[k]) <= hi[i]), F.struct(
+        F.lit(i).alias("_i"), F.col(vals[k]).alias("v"))) for i, (k, _) in enumerate(slots)]), lambda x: x.isNotNull())
+    keys = [f"_k{k}" for k in range(len(group_cols))] + ["_i"]
+
+    def keyed(frame: DataFrame, *more) -> DataFrame:
+        # a null group is a group: join keys are strings that tell null from any text
+        return frame.select(*[F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("-")).alias(f"_k{k}")
+                              for k, g in enumerate(group_cols)], *more)
+
+    band = keyed(joined, F.explode(inside).alias("_b")).select(*keys[:-1], "_b._i", "_b.v")
+    open_ = plan.where(F.col("_lo") < F.col("_hi"))
+    wanted = keyed(open_, "_i", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), (F.floor("_h") - F.col("_below")).cast("long").alias("k")),
+        F.struct(F.lit(1).alias("side"), (F.ceil("_h") - F.col("_below")).cast("long").alias("k")))).alias("w")
+    ).select(*keys, "w.side", "w.k")
+    at_rank, srt = _rank_pick(band, keys, wanted, n_parts)
+    pairs = at_rank.groupBy(*keys).agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_vlo"),
+                                       F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_vhi"))
+    exact = keyed(open_, "_i", F.struct(*[F.col(g) for g in group_cols], "column", "prob", "_h").alias("_r")).join(pairs, keys)
+    ranked = exact.select("_r.*", "_vlo", "_vhi").select(
+        *group_cols, "column", "prob", (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+    result = checkpoint_once(ranked.unionByName(single))   # groups x columns x probs rows
+    srt.unpersist()
     return result
-
-
-def _edge_index(probs: list[float], pos: dict, d: float) -> str:
-    """SQL CASE mapping prob -> 0-based index of its bracket edge in the sketch array."""
-    arms = " ".join(f"WHEN prob = {p!r} THEN {pos[min(1.0, max(0.0, p + d))]}" for p in probs)
-    return f"CASE {arms} END"
-
-
-def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    q = exact_quantiles(df, [value_col], [0.5], group_cols)
-    return q.select(*group_cols, F.col("value").alias("median"))

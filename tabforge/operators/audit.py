@@ -12,11 +12,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
-from tabforge.functions.exprs import adjusted_skew, modmul_hash
+from tabforge.functions.exprs import adjusted_skew
 from tabforge.functions.quantiles import exact_quantiles
 
 
@@ -82,15 +84,40 @@ def top_correlated(df: DataFrame, cols: Sequence[str], target: str, k: int = 5)
 
 
 def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """|corr| of every column pair (strict upper triangle by column position).
+    """|corr| of every column pair (strict upper triangle by column position), pairwise null deletion.
 
-    One scan: one ``corr`` aggregate per pair, reshaped with ``stack``.
+    One scan whatever the number of columns: each task multiplies its Arrow
+    batches with numpy (counts, sums, squares and products over the rows where
+    both are present) and emits p^2/2 sums, which one aggregation adds up.
+    Columns are shifted by their means so that the centred sums stay accurate.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    names = [f"_p{i}" for i in range(len(pairs))]
-    row = df.agg(*[F.abs(F.corr(a, b)).alias(n) for (a, b), n in zip(pairs, names)])
-    stack = ", ".join(f"'{a}', '{b}', `{n}`" for (a, b), n in zip(pairs, names))
-    return row.selectExpr(f"stack({len(pairs)}, {stack}) as (col_a, col_b, abs_corr)")
+    cols = list(cols)
+    p = len(cols)
+    if p < 2:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, abs_corr double")
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{k}") for k, c in enumerate(cols)]).first()
+    shifted = df.select(*[(F.col(c).cast("double") - F.lit(means[k] if means[k] is not None else 0.0)).alias(f"x{k}")
+                          for k, c in enumerate(cols)])
+    iu, ju = np.triu_indices(p, 1)
+
+    def partial(batches):
+        total = None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float)
+            mask = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            sums = np.stack([mask.T @ mask, x.T @ mask, mask.T @ x, (x * x).T @ mask, mask.T @ (x * x), x.T @ x])
+            total = sums if total is None else total + sums
+        if total is not None:
+            yield pd.DataFrame({"i": iu, "j": ju} | {c: total[k][iu, ju] for k, c in enumerate(("n", "a", "b", "aa", "bb", "ab"))})
+
+    sums = (shifted.mapInPandas(partial, "i int, j int, n double, a double, b double, aa double, bb double, ab double")
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")]))
+    n, a, b = F.col("n"), F.col("a"), F.col("b")
+    var_a, var_b = F.col("aa") - a * a / n, F.col("bb") - b * b / n
+    r = F.when((n > 1) & (var_a > 0) & (var_b > 0), (F.col("ab") - a * b / n) / F.sqrt(var_a * var_b))
+    name = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.get(name, F.col("i")).alias("col_a"), F.get(name, F.col("j")).alias("col_b"), F.abs(r).alias("abs_corr"))
 
 
 def high_corr_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.8) -> DataFrame:
@@ -148,16 +175,16 @@ def typed_modes(df: DataFrame, cols: Sequence[str]) -> dict:
     out = {}
     if not cols:
         return out
-    # a numeric tie must pick the smallest number, not the smallest string
-    num = [c for c in cols if isinstance(types[c], NumericType)]
-    txt = [c for c in cols if c not in num]
-    if txt:
-        for r in modes(df, txt).collect():
-            out[r["column"]] = r["mode"]
-    if num:
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in num]).unpivot([], num, "column", "value")
-        vc = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-        best = vc.groupBy("column").agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("value"))).alias("m"))
+    # values are counted in the column's own type: exact for 64-bit integers, and a tie picks the smallest number
+    by_type: dict = {}
+    for c in cols:
+        by_type.setdefault(types[c].simpleString(), []).append(c)
+    for same in by_type.values():
+        zero = isinstance(types[same[0]], (DoubleType, FloatType))
+        long = df.select(*[(F.col(c) + F.lit(0.0).cast(types[c]) if zero else F.col(c)).alias(c) for c in same]).unpivot(
+            [], same, "column", "value").where(F.col("value").isNotNull())
+        counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+        best = counts.groupBy("column").agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("value"))).alias("m"))
         for r in best.collect():
             out[r["column"]] = r["m"]["value"]
     return out
@@ -172,12 +199,19 @@ def low_variance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, series: str | None = None) -> DataFrame:
-    """Equal-width histogram over [min, max]; the max lands in the last bin."""
+    """Equal-width histogram over [min, max]; the max lands in the last bin, empty bins count 0.
+
+    A column without values gives no rows.
+    """
     st = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     lo, hi = st["lo"], st["hi"]
+    if lo is None:
+        return df.sparkSession.createDataFrame([], "series string, bin int, lo double, hi double, n bigint")
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
     h = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    h = every.join(h, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return h.select(F.lit(series or col).alias("series"), "bin",
                     (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"), "n")
@@ -188,8 +222,10 @@ def histogram(df: DataFrame, col: str, bins: int = 50, series: str | None = None
 KDE_SUPPORT = 40.0
 
 
-def kde_grid(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) -> DataFrame:
-    """Gaussian KDE (Scott bandwidth, std * n^-1/5) on an evenly spaced grid.
+def kde_grid(df: DataFrame, col: str, grid_size: int = 200, cut: float = 0.0) -> DataFrame:
+    """Gaussian KDE (Scott bandwidth, std * n^-1/5) on an evenly spaced grid, ``cut`` bandwidths past the data.
+
+    A constant column, or one with fewer than two values, has no density: no rows.
 
     Values are first reduced to (value, count); each distinct value then adds
     to the grid points within KDE_SUPPORT bandwidths only, which equals the full
@@ -198,6 +234,8 @@ def kde_grid(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) ->
     st = df.agg(F.count(col).alias("n"), F.stddev_samp(col).alias("sd"), F.min(col).alias("lo"),
                 F.max(col).alias("hi")).first()
     n, sd = st["n"], st["sd"]
+    if not sd or math.isnan(sd):
+        return df.sparkSession.createDataFrame([], "grid_idx int, x double, density double")
     h = sd * n ** (-1.0 / 5.0)
     g_lo, g_hi = st["lo"] - cut * h, st["hi"] + cut * h
     step = (g_hi - g_lo) / (grid_size - 1)
@@ -213,7 +251,23 @@ def kde_grid(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) ->
         (F.col("_s") * F.lit(norm)).alias("density"))
 
 
-def scatter_sample(df: DataFrame, key: str, x: str, y: str, rate: float = 0.1, seed: int = 7) -> DataFrame:
-    """Deterministic sample of (x, y) pairs for a scatter plot, chosen by a hash of the key."""
-    cut = int(rate * 2147483647)
-    return df.where(modmul_hash(key, seed) < F.lit(cut)).select(key, x, y)
+def scatter_points(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
+    """Every (x, y) pair, as the scatter plot draws it."""
+    return df.select(key, x, y)
+
+
+def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
+    """(x_bin, y_bin, n): row counts on an equal-width grid over the ranges of both columns, empty cells left out.
+
+    This is what a scatter plot of any number of rows can show; null pairs are skipped.
+    """
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    st = both.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    if st[0] is None:
+        return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, n bigint")
+
+    def cell(c: str, lo: float, hi: float) -> Column:
+        width = (hi - lo) / bins if hi > lo else 1.0
+        return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
+
+    return both.groupBy(cell("x", st[0], st[1]).alias("x_bin"), cell("y", st[2], st[3]).alias("y_bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -15,9 +15,9 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dictionaries larger than this are joined as DataFrames instead of being
-# inlined as literal maps in the plan.
-MAX_LITERAL_ENTRIES = 5000
+# Dictionaries larger than this are joined as DataFrames instead of being inlined as
+# literal maps in the plan: a map lookup is a linear scan.  Both forms give the same table.
+MAX_LITERAL_ENTRIES = 64
 # Row bound under which a fitted lookup table is broadcast (its count is checked at fit).
 MAX_BROADCAST_ROWS = 500_000
 

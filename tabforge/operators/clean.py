@@ -19,10 +19,6 @@ def drop_where(df: DataFrame, cond: Column) -> DataFrame:
     return df.where(not_all_true(cond))
 
 
-def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.drop(*[c for c in cols if c in df.columns])
-
-
 def fill_constants(df: DataFrame, values: dict) -> DataFrame:
     """coalesce(c, value) for the listed columns that exist (value cast to the column type)."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -79,7 +75,8 @@ class GroupMedianModel(ColumnModel):
             grp = F.create_map(*entries)[F.col(self.group_col)] if entries else F.lit(None).cast("double")
             return dataset.withColumn(self.col, F.coalesce(F.col(self.col), grp, overall))
         joined = dataset.join(checked_broadcast(self.frame, self.n_groups), self.group_col, "left")
-        return joined.withColumn(self.col, F.coalesce(F.col(self.col), F.col("_grp_median"), overall)).drop("_grp_median")
+        filled = F.coalesce(F.col(self.col), F.col("_grp_median"), overall).alias(self.col)
+        return joined.select(*[filled if c == self.col else F.col(f"`{c}`") for c in dataset.columns])
 
 
 class ModeImputer(ColumnEstimator):

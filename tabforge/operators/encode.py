@@ -7,8 +7,8 @@ inlined as literals, or joined as a DataFrame beyond ``MAX_LITERAL_ENTRIES``.
 
 from __future__ import annotations
 
-import math
 import re
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -18,6 +18,7 @@ from tabforge.functions.exprs import code_map
 from tabforge.functions.quantiles import exact_quantiles
 from tabforge.operators.audit import value_counts
 from tabforge.operators.base import MAX_LITERAL_ENTRIES, ColumnEstimator, ColumnModel
+from tabforge.session import checkpoint_once
 
 MAX_ONE_HOT_LEVELS = 1000
 
@@ -39,11 +40,13 @@ class OneHotEncoder(ColumnEstimator):
     def _fit(self, dataset: DataFrame) -> OneHotModel:
         levels: dict[str, list[str]] = {c: [] for c in self.cols}
         if self.cols:
-            for r in value_counts(dataset, self.cols).select("column", "value").collect():
+            # one row more than all columns together may hold: a wide column shows without its levels reaching the driver
+            bound = len(self.cols) * self.max_levels + 1
+            for r in value_counts(dataset, self.cols).select("column", "value").limit(bound).collect():
                 levels[r["column"]].append(r["value"])
         for c, lv in levels.items():
             if len(lv) > self.max_levels:
-                raise ValueError(f"{c}: {len(lv)} levels exceed max_levels={self.max_levels}; "
+                raise ValueError(f"{c}: {len(lv)} or more levels exceed max_levels={self.max_levels}; "
                                  "use TargetEncoder for high-cardinality columns")
             lv.sort()
         return OneHotModel(levels)
@@ -54,16 +57,32 @@ class OneHotModel(ColumnModel):
         super().__init__()
         self.levels = levels
 
+    @property
+    def output_names(self) -> dict[tuple[str, str], str]:
+        """{(column, level): output name}; levels whose plain names clash get their position as a suffix."""
+        plain = [(c, v, k, f"{c}_{_slug(v)}") for c, lv in self.levels.items() for k, v in enumerate(lv)]
+        seen = Counter(name.lower() for *_, name in plain)
+        names, used = {}, {name.lower() for *_, name in plain if seen[name.lower()] == 1}
+        for c, v, k, name in plain:
+            if seen[name.lower()] > 1:
+                name = f"{name}_{k}"
+                while name.lower() in used:
+                    name += "_"
+                used.add(name.lower())
+            names[c, v] = name
+        return names
+
     @property
     def output_cols(self) -> list[str]:
-        return [f"{c}_{_slug(v)}" for c, lv in self.levels.items() for v in lv]
+        return list(self.output_names.values())
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        others = {c.lower() for c in dataset.columns if c not in self.levels}
         cols = {}
-        for c, lv in self.levels.items():
-            src = F.col(c).cast("string")
-            for v in lv:
-                cols[f"{c}_{_slug(v)}"] = F.coalesce((src == F.lit(v)).cast("double"), F.lit(0.0))
+        for (c, v), name in self.output_names.items():
+            if name.lower() in others:
+                raise ValueError(f"one-hot column {name} already exists")
+            cols[name] = F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("double"), F.lit(0.0))
         return dataset.withColumns(cols).drop(*self.levels.keys())
 
 
@@ -147,14 +166,18 @@ class TargetEncoderModel(ColumnModel):
         return out
 
 
-def first_appearance_codes(df: DataFrame, col: str, order_col: str) -> DataFrame:
+# Levels that a first-appearance code may number: they are ordered in one task.
+MAX_CODED_LEVELS = 100_000
+
+
+def first_appearance_codes(df: DataFrame, col: str, order_col: str, max_levels: int = MAX_CODED_LEVELS) -> DataFrame:
     """(value, code): levels numbered 0.. in order of first appearance by ``order_col``.
 
-    The window runs over the level dictionary only (one row per level).
+    The window runs over the level dictionary only (one row per level), whose
+    size is checked first; a column with more levels is no category: an error.
     """
     firsts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.min(order_col).alias("_first"))
+    firsts = checkpoint_once(firsts)
+    if firsts.count() > max_levels:
+        raise ValueError(f"{col}: more than {max_levels} levels; too many for a coded column")
     return firsts.select("value", (F.row_number().over(Window.orderBy("_first", "value")) - 1).alias("code"))
-
-
-def sigmoid_weight(n: float, min_samples_leaf: int = 20, smoothing: float = 10.0) -> float:
-    return 1.0 / (1.0 + math.exp(-(n - min_samples_leaf) / smoothing))

@@ -18,6 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.operators.base import ColumnEstimator, ColumnModel
+from tabforge.operators.linear import LinearRegressionModel
+from tabforge.operators.validate import fit_linear_cvs
+
+
+MAX_BLEND = 14
 
 
 def average_expr(cols: Sequence[str]) -> Column:
@@ -56,6 +61,8 @@ def simplex_least_squares(ptp: np.ndarray, pty: np.ndarray, yy: float) -> np.nda
     The problem is convex, so the best KKT point over all supports is the optimum.
     """
     k = len(pty)
+    if k > MAX_BLEND:
+        raise ValueError(f"{k} models to blend; at most {MAX_BLEND} (all supports are tried)")
     best_w, best_obj = None, np.inf
     for size in range(1, k + 1):
         for support in itertools.combinations(range(k), size):
@@ -146,16 +153,19 @@ class Stacking(ColumnEstimator):
     base model to the frame it is given (same rows), so the OOF table is built
     by chaining columns, without joins.  Base models are then refitted on all
     rows, and the meta model (e.g. RidgeCV over the p_* columns) is fitted on
-    the OOF table (no passthrough of the original features).
+    the OOF table (no passthrough of the original features).  Without
+    ``oof_fn`` the base models must be linear.
     """
 
     def __init__(self, makers: dict[str, Callable[[], object]], meta_maker: Callable[[list[str]], object],
-                 oof_fn: Callable, id_col: str, output_col: str = "prediction"):
+                 oof_fn: Callable | None, id_col: str, output_col: str = "prediction", fold_col: str = "fold"):
         super().__init__()
         self.makers, self.meta_maker, self.oof_fn = dict(makers), meta_maker, oof_fn
-        self.id_col, self.output_col = id_col, output_col
+        self.id_col, self.output_col, self.fold_col = id_col, output_col, fold_col
 
     def _fit(self, dataset: DataFrame) -> StackingModel:
+        if self.oof_fn is None:
+            return self._fit_linear(dataset)
         oof = dataset
         for name, mk in self.makers.items():
             oof = self.oof_fn(oof, name, mk)
@@ -165,6 +175,15 @@ class Stacking(ColumnEstimator):
         self.oof_ = oof
         return StackingModel(base, meta, self.output_col)
 
+    def _fit_linear(self, dataset: DataFrame) -> StackingModel:
+        """All base models are linear: fold models and refits come from one Gram scan."""
+        cvs = fit_linear_cvs(dataset, {n: mk() for n, mk in self.makers.items()}, self.fold_col)
+        oof = dataset.withColumns({f"p_{n}": cv.oof_expr() for n, cv in cvs.items()})
+        meta = self.meta_maker([f"p_{n}" for n in cvs]).fit(oof)
+        models = {n: LinearRegressionModel(cv.estimator.features, *cv.full_model) for n, cv in cvs.items()}
+        self.oof_ = oof
+        return StackingModel(ModelEnsembleModel(models, None, self.output_col), meta, self.output_col)
+
 
 class StackingModel(ColumnModel):
     def __init__(self, base, meta, output_col):

@@ -101,12 +101,3 @@ class CastColumns(ColumnTransformer):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         cols = {c: F.col(c).cast(self.to) for c in self.cols if c in dataset.columns}
         return dataset.withColumns(cols) if cols else dataset
-
-
-class DropColumns(ColumnTransformer):
-    def __init__(self, cols: Sequence[str]):
-        super().__init__()
-        self.cols = list(cols)
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.drop(*[c for c in self.cols if c in dataset.columns])

@@ -35,9 +35,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.exprs import code_map
-from tabforge.operators.base import MAX_LITERAL_ENTRIES, ColumnEstimator, ColumnModel
+from tabforge.operators.base import ColumnEstimator, ColumnModel
 from tabforge.operators.encode import first_appearance_codes
-from tabforge.session import checkpoint_once, ensure_checkpoint_dir, ship_package
+from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
@@ -140,26 +140,17 @@ def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str],
 def k_smallest_per_group(df: DataFrame, group_cols: Sequence[str], order_col: str, k: int) -> DataFrame:
     """Rows with the k smallest ``order_col`` per group (nulls in keys group together).
 
-    Two phases so that a hot group never sorts in one task: each task keeps its
-    own k smallest per group (pandas), then a window ranks the <= k x tasks
-    survivors per group.
+    Spark limits every task to k rows per group before the exchange (the window
+    group limit), so a hot group of copies is no hot partition.
     """
-    cols = df.columns
-    gcols = list(group_cols)
+    rank = F.row_number().over(Window.partitionBy(*group_cols).orderBy(order_col))
+    return df.withColumn("_kr", rank).where(F.col("_kr") <= k).drop("_kr")
 
-    def head_k(batches):
-        import pandas as pd
-        acc = None   # running k smallest per group: memory is groups x k, not the partition
-        for pdf in batches:
-            cur = pdf if acc is None else pd.concat([acc, pdf], ignore_index=True)
-            acc = cur.sort_values(order_col, kind="stable").groupby(gcols, dropna=False, sort=False).head(k)
-        if acc is not None and not acc.empty:
-            yield acc[cols]
 
-    ship_package(df.sparkSession)
-    local = df.mapInPandas(head_k, df.schema)
-    rank = F.row_number().over(Window.partitionBy(*gcols).orderBy(order_col))
-    return local.withColumn("_kr", rank).where(F.col("_kr") <= k).drop("_kr")
+# Levels of a coded string column: their codes are a literal map.
+MAX_DISTANCE_LEVELS = 5_000
+# Name of the constant anchor of receivers that have no other: their box covers all donors.
+_ZERO = "_zero"
 
 
 class KNNImputer(ColumnEstimator):
@@ -183,14 +174,11 @@ class KNNImputer(ColumnEstimator):
         str_cols = [c for c in self.dist_cols if types[c] == "string"]
         codes = {}
         for c in str_cols:
-            tbl = first_appearance_codes(dataset, c, self.id_col)
-            n = tbl.count()
-            if n > MAX_LITERAL_ENTRIES:
-                raise ValueError(f"{c}: {n} levels; too many for a coded distance column")
+            tbl = first_appearance_codes(dataset, c, self.id_col, MAX_DISTANCE_LEVELS)
             codes[c] = {r["value"]: r["code"] for r in tbl.collect()}
         model = KNNImputerModel(self, codes, [], [], [], [], dataset)
         enc = model.fit_encoded
-        cols = list(self.dist_cols)
+        cols = model.dist_cols
         st = enc.agg(F.count(F.lit(1)).alias("n"),
                      *[F.count(c).alias(f"c_{c}") for c in cols],
                      *[F.stddev_pop(c).alias(f"s_{c}") for c in cols],
@@ -203,12 +191,12 @@ class KNNImputer(ColumnEstimator):
             if not complete:
                 complete = [c for c in cols if st[f"c_{c}"] == st["n"]]
             if not complete:
-                raise ValueError("KNNImputer needs a distance column without nulls as anchor")
-            anchors = sorted(complete, key=lambda c: -(st[f"s_{c}"] or 0.0))[: self.n_anchors]
+                complete = [_ZERO]  # no bound on the distance: every donor is a candidate
+            anchors = sorted(complete, key=lambda c: -(st[f"s_{c}"] or 0.0) if c != _ZERO else 0.0)[: self.n_anchors]
         n = max(int(st["n"]), 1)
         cells_per_dim = max(1.0, (n / self.donors_per_bucket) ** (1.0 / len(anchors)))
-        los = [float(st[f"lo_{a}"]) for a in anchors]
-        his = [float(st[f"hi_{a}"]) for a in anchors]
+        los = [0.0 if a == _ZERO else float(st[f"lo_{a}"]) for a in anchors]
+        his = [0.0 if a == _ZERO else float(st[f"hi_{a}"]) for a in anchors]
         widths = [((h - lo) / cells_per_dim) if h > lo else 1.0 for lo, h in zip(los, his)]
         model.anchors, model.widths, model.los, model.his = anchors, widths, los, his
         return model
@@ -220,50 +208,61 @@ class KNNImputerModel(ColumnModel):
         super().__init__()
         self.spec, self.codes, self.anchors = spec, codes, anchors
         self.widths, self.los, self.his = widths, los, his
+        # a string column without a level at fit says nothing of a distance
+        self.dist_cols = [c for c in spec.dist_cols if codes.get(c, True)]
         self.fit_encoded = self._encode(fit_df)
 
     def _encode(self, df: DataFrame) -> DataFrame:
         s = self.spec
         cols = [F.col(s.id_col)]
-        for c in s.dist_cols:
+        for c in self.dist_cols:
             if c in self.codes:
                 cols.append(code_map(self.codes[c], c, None).cast("double").alias(c))
             else:
                 cols.append(F.col(c).cast("double").alias(c))
         return df.select(*cols)
 
+    def _search(self, receivers: DataFrame, donors: DataFrame) -> DataFrame:
+        """``knn_mean`` by the anchors that each receiver has: one search per pattern of null anchors that occurs."""
+        receivers, donors = receivers.withColumn(f"q_{_ZERO}", F.lit(0.0)), donors.withColumn(f"d_{_ZERO}", F.lit(0.0))
+        real = [a for a in self.anchors if a != _ZERO]
+        pattern = F.concat(F.lit("p"), *[F.when(F.col(f"q_{a}").isNull(), "0").otherwise("1") for a in real])
+        out = None
+        for p in sorted(r[0] for r in receivers.select(pattern).distinct().collect()):  # at most 2^anchors
+            use = [k for k, a in enumerate(self.anchors) if a in real and p[1 + real.index(a)] == "1"]
+            bounds = [(self.anchors[k], self.widths[k], self.los[k], self.his[k]) for k in use] or [(_ZERO, 1.0, 0.0, 0.0)]
+            part = knn_mean(receivers.where(pattern == p), donors, self.dist_cols, [b[0] for b in bounds], self.spec.k,
+                            [b[1] for b in bounds], [b[2] for b in bounds], [b[3] for b in bounds])
+            out = part if out is None else out.unionByName(part)
+        empty = "qid long, _t string, knn_value double, n_neighbours long"
+        return receivers.sparkSession.createDataFrame([], empty) if out is None else out
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         s = self.spec
-        targets = [t for t in s.target_cols if t in dataset.columns]
+        targets = [t for t in s.target_cols if t in dataset.columns and t in self.dist_cols]
         if not targets:
             return dataset
-        feats = [F.col(c).alias(f"q_{c}") for c in s.dist_cols]
+        feats = [F.col(c).alias(f"q_{c}") for c in self.dist_cols]
         enc = self._encode(dataset)
         # one row per (receiver, missing target); written once so every search level reads it directly
         receivers = (enc.select(F.col(s.id_col).alias("qid"), *feats, F.explode(F.array(
             *[F.when(F.col(t).isNull(), F.lit(t)) for t in targets])).alias("_t"))
             .where(F.col("_t").isNotNull()))
         receivers = checkpoint_once(receivers)
-        any_null = F.lit(False)
-        for a in self.anchors:
-            any_null = any_null | F.col(f"q_{a}").isNull()
-        if receivers.where(any_null).limit(1).count():
-            raise ValueError(f"anchor columns {self.anchors} have nulls among rows to impute")
         donors = (self.fit_encoded.select(
-            F.col(s.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in s.dist_cols],
+            F.col(s.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in self.dist_cols],
             F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).alias("v")) for t in targets])).alias("_tv"))
             .where(F.col("_tv.v").isNotNull())
-            .select("did", F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_val"), *[f"d_{c}" for c in s.dist_cols]))
+            .select("did", F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_val"), *[f"d_{c}" for c in self.dist_cols]))
         donors = checkpoint_once(donors)
         # sklearn falls back to the donor mean when a receiver has no donor at a defined distance
         means = {r["_t"]: r["m"] for r in donors.groupBy("_t").agg(F.avg("_val").alias("m")).collect()}
-        q_cols = [f"q_{c}" for c in s.dist_cols]
+        q_cols = [f"q_{c}" for c in self.dist_cols]
         # copies: identical receivers get identical answers -> search once per distinct vector
         distinct_q = checkpoint_once(receivers.groupBy("_t", *q_cols).agg(F.min("qid").alias("qid")))
         # copies: identical donors tie for every receiver, so only the k smallest ids of a vector can be chosen
-        kept = k_smallest_per_group(donors, ["_t"] + [f"d_{c}" for c in s.dist_cols], "did", s.k)
-        res = knn_mean(distinct_q, checkpoint_once(kept), s.dist_cols, self.anchors, s.k,
-                       self.widths, self.los, self.his)
+        kept = k_smallest_per_group(donors, ["_t"] + [f"d_{c}" for c in self.dist_cols], "did", s.k)
+        res = self._search(distinct_q, checkpoint_once(kept))
         rep = distinct_q.select(F.col("qid").alias("_rep"), "_t", *q_cols).alias("r")
         cond = [F.col("a._t") == F.col("r._t")] + [F.col(f"a.{c}").eqNullSafe(F.col(f"r.{c}")) for c in q_cols]
         mapped = receivers.alias("a").join(rep, cond).select(F.col("a.qid").alias("qid"), F.col("a._t").alias("_t"), "_rep")

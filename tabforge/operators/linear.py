@@ -49,6 +49,11 @@ class Gram:
         return Gram(self.n + o.n, self.sx + o.sx, self.sy + o.sy, self.sxx + o.sxx, self.sxy + o.sxy,
                     self.syy + o.syy, self.shift_x, self.shift_y)
 
+    def take(self, idx: Sequence[int]) -> Gram:
+        """The statistics of some of the features: a model on them needs no scan of its own."""
+        i = list(idx)
+        return Gram(self.n, self.sx[i], self.sy, self.sxx[np.ix_(i, i)], self.sxy[i], self.syy, self.shift_x[i], self.shift_y)
+
     def centred(self):
         xbar, ybar = self.sx / self.n, self.sy / self.n
         cxx = self.sxx - self.n * np.outer(xbar, xbar)
@@ -103,14 +108,6 @@ def gram_sums(df: DataFrame, features: Sequence[str], label: str, group_col: str
     return out
 
 
-def total_gram(grams: dict) -> Gram:
-    it = iter(grams.values())
-    tot = next(it)
-    for g in it:
-        tot = tot + g
-    return tot
-
-
 # ------------------------------------------------------------------ solvers
 
 def solve_ridge(g: Gram, alpha: float) -> tuple[float, np.ndarray]:
@@ -138,6 +135,8 @@ def solve_lasso(g: Gram, alpha: float, max_iter: int = 100_000, tol: float = 1e-
             beta[j] = new
         if delta <= tol * max(1.0, np.max(np.abs(beta)) if p else 1.0):
             break
+    else:
+        raise RuntimeError(f"lasso did not converge in {max_iter} rounds")
     return _unshift(g, ybar - xbar @ beta, beta)
 
 
@@ -146,12 +145,17 @@ def _unshift(g: Gram, b0: float, beta: np.ndarray) -> tuple[float, np.ndarray]:
     return float(g.shift_y + b0 - beta @ g.shift_x), beta
 
 
+def balanced_sum(terms: Sequence[Column]) -> Column:
+    """Sum as a balanced tree: its depth is the logarithm of the number of terms."""
+    terms = list(terms)
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def linear_expr(features: Sequence[str], intercept: float, coef: Sequence[float]) -> Column:
-    e = F.lit(float(intercept))
-    for c, b in zip(features, coef):
-        if b != 0.0:
-            e = e + F.col(c).cast("double") * F.lit(float(b))
-    return e
+    return balanced_sum([F.lit(float(intercept))] + [F.col(c).cast("double") * F.lit(float(b))
+                                                     for c, b in zip(features, coef) if b != 0.0])
 
 
 def ridge_loo_mse(df: DataFrame, g: Gram, features: Sequence[str], label: str, alphas: Sequence[float]) -> dict:

@@ -13,6 +13,8 @@ import importlib
 import json
 
 import numpy as np
+from pyspark.ml.param import Params
+from pyspark.ml.util import JavaMLWritable
 from pyspark.sql import DataFrame, SparkSession
 
 _SKIP = {"_paramMap", "_defaultParamMap", "_params", "uid", "_input_kwargs"}
@@ -23,6 +25,10 @@ def _encode(value, frames: dict, prefix: str):
         key = f"{prefix}_{len(frames)}"
         frames[key] = value
         return {"__frame__": key}
+    if isinstance(value, JavaMLWritable):  # a Spark ML model or transformer saves itself
+        key = f"ml_{len(frames)}"
+        frames[key] = value
+        return {"__ml__": key, "class": f"{type(value).__module__}:{type(value).__qualname__}"}
     if isinstance(value, np.ndarray):
         return {"__ndarray__": value.tolist()}
     if isinstance(value, (np.floating, np.integer)):
@@ -39,8 +45,21 @@ def _encode(value, frames: dict, prefix: str):
     raise TypeError(f"cannot save {type(value).__name__}")
 
 
+def _class(name: str, package: str):
+    """The class of a saved object; only classes of ``package`` are ever loaded."""
+    mod, qual = name.split(":")
+    if mod != package and not mod.startswith(package + "."):
+        raise ValueError(f"{mod} is not part of {package}")
+    cls = importlib.import_module(mod)
+    for part in qual.split("."):
+        cls = getattr(cls, part)
+    return cls
+
+
 def _decode(value, frames: dict):
     if isinstance(value, dict):
+        if "__ml__" in value:
+            return frames[value["__ml__"]]
         if "__frame__" in value:
             return frames[value["__frame__"]]
         if "__ndarray__" in value:
@@ -51,17 +70,10 @@ def _decode(value, frames: dict):
             items = [_decode(v, frames) for v in value["__list__"]]
             return tuple(items) if value.get("tuple") else items
         if "__object__" in value:
-            mod, qual = value["__object__"].split(":")
-            cls = importlib.import_module(mod)
-            for part in qual.split("."):
-                cls = getattr(cls, part)
+            cls = _class(value["__object__"], "tabforge")
             obj = cls.__new__(cls)
-            try:  # pyspark Params bookkeeping (uid, param maps)
-                from pyspark.ml.param import Params
-                if isinstance(obj, Params):
-                    Params.__init__(obj)
-            except Exception:  # noqa: BLE001
-                pass
+            if isinstance(obj, Params):  # pyspark Params bookkeeping (uid, param maps)
+                Params.__init__(obj)
             for k, v in value["state"].items():
                 setattr(obj, k, _decode(v, frames))
             return obj
@@ -73,18 +85,23 @@ def save_model(model, path: str, spark: SparkSession) -> str:
     doc = json.dumps(_encode(model, frames, "frame"))
     spark.createDataFrame([(doc,)], "state string").coalesce(1).write.mode("overwrite").parquet(f"{path}/state")
     for key, frame in frames.items():
-        frame.write.mode("overwrite").parquet(f"{path}/{key}")
+        if isinstance(frame, DataFrame):
+            frame.write.mode("overwrite").parquet(f"{path}/{key}")
+        else:
+            frame.write().overwrite().save(f"{path}/{key}")
     return path
 
 
 def load_model(path: str, spark: SparkSession):
     doc = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
-    keys = set()
+    keys, ml = set(), {}
 
     def collect(v):
         if isinstance(v, dict):
             if "__frame__" in v:
                 keys.add(v["__frame__"])
+            if "__ml__" in v:
+                ml[v["__ml__"]] = v["class"]
             for x in v.values():
                 collect(x)
         elif isinstance(v, list):
@@ -92,4 +109,5 @@ def load_model(path: str, spark: SparkSession):
                 collect(x)
     collect(doc)
     frames = {k: spark.read.parquet(f"{path}/{k}") for k in keys}
+    frames |= {k: _class(c, "pyspark.ml").load(f"{path}/{k}") for k, c in ml.items()}
     return _decode(doc, frames)

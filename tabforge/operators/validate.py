@@ -61,8 +61,10 @@ class LinearCV:
         self.fold_models: dict[int, tuple[float, list]] = {}
 
     def fit(self, df: DataFrame) -> LinearCV:
+        return self.fit_grams(gram_sums(df, self.estimator.features, self.estimator.label, self.fold_col))
+
+    def fit_grams(self, grams: dict[int, Gram]) -> LinearCV:
         est = self.estimator
-        grams: dict[int, Gram] = gram_sums(df, est.features, est.label, self.fold_col)
         tot = None
         for g in grams.values():
             tot = g if tot is None else tot + g
@@ -81,6 +83,28 @@ class LinearCV:
         return df.withColumn(pred_col, self.oof_expr())
 
 
+def fit_linear_cvs(df: DataFrame, estimators: dict[str, Ridge], fold_col: str = "fold") -> dict[str, LinearCV]:
+    """{name: LinearCV} for several linear models of one label from one Gram scan over the union of their features.
+
+    Each model's sums are a cut of the union's.  A row that lacks one feature
+    would drop out of every model, so models are scanned on their own when a
+    feature of theirs has nulls (counted first, in the same pass as the label).
+    """
+    label = next(iter(estimators.values())).label
+    union = list(dict.fromkeys(f for e in estimators.values() for f in e.features))
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{k}") for k, c in enumerate(union)]).first()
+    if any(nulls):
+        return {n: LinearCV(e, fold_col).fit(df) for n, e in estimators.items()}
+    grams = gram_sums(df, union, label, fold_col)
+    return {n: LinearCV(e, fold_col).fit_grams({k: g.take([union.index(f) for f in e.features]) for k, g in grams.items()})
+            for n, e in estimators.items()}
+
+
+def with_oofs(df: DataFrame, estimators: dict[str, Ridge], fold_col: str = "fold") -> DataFrame:
+    """``df`` with one out-of-fold column per model, named as its key."""
+    return df.withColumns({n: cv.oof_expr() for n, cv in fit_linear_cvs(df, estimators, fold_col).items()})
+
+
 def oof_by_loop(df: DataFrame, make_estimator: Callable[[], object], fold_col: str = "fold",
                 pred_col: str = "prediction", out_col: str = "oof", folds: Sequence[int] | None = None,
                 parallelism: int = 5) -> DataFrame:

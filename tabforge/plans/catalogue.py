@@ -17,7 +17,7 @@ from tabforge.functions.quantiles import exact_quantiles
 from tabforge.operators import audit
 from tabforge.operators.clean import GroupMedianImputer, ModeImputer, RoleImputer, drop_where
 from tabforge.operators.features import CastColumns, DerivedColumns, DerivedSpec, OrdinalMapper
-from tabforge.session import scratch_dir
+from tabforge.session import checkpoint_once, scratch_dir
 from tabforge.sources import io
 from tabforge.sources.frames import L_NUMERIC, frame_c, frame_l, frame_p, table
 
@@ -272,7 +272,19 @@ def kde_grid(spark, sf_dir):
 @query("scatter_extract")
 def scatter_extract(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    return audit.scatter_sample(o, "o_orderkey", "o_totalprice", "o_custkey", rate=0.1, seed=7)
+    return audit.scatter_points(o, "o_orderkey", "o_totalprice", "o_custkey")
+
+
+@query("scatter_bins")
+def scatter_bins(spark, sf_dir):
+    return audit.scatter_bins(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", 50)
+
+
+@query("hist_gaps")
+def hist_gaps(spark, sf_dir):
+    """A histogram with empty bins: whole quantities over more bins than values."""
+    h = audit.histogram(table(spark, sf_dir, "lineitem"), "l_quantity", 120)
+    return h.select("series", "bin", r6("lo").alias("lo"), r6("hi").alias("hi"), "n")
 
 
 # ---------------------------------------------------------------- encoders
@@ -303,6 +315,16 @@ def one_hot(spark, sf_dir):
     return model.transform(c).select("id", *model.output_cols)
 
 
+@query("one_hot_clash")
+def one_hot_clash(spark, sf_dir):
+    """Levels that a plain name cannot tell apart ("1-URGENT" and "1 URGENT") keep columns of their own."""
+    o = table(spark, sf_dir, "orders")
+    level = F.when(F.col("o_orderkey") % 2 == 0, F.translate("o_orderpriority", "-", " ")).otherwise(F.col("o_orderpriority"))
+    o = o.select("o_orderkey", F.when(F.col("o_orderpriority").startswith("1"), level).otherwise("other").alias("prio"))
+    model = OneHotEncoder(["prio"]).fit(o)
+    return model.transform(o).select("o_orderkey", *[F.col(c).alias(f"level_{i}") for i, c in enumerate(model.output_cols)])
+
+
 @query("target_encode")
 def target_encode(spark, sf_dir):
     c = frame_c(spark, sf_dir).withColumn("nat", F.col("nat").cast("string"))
@@ -331,13 +353,14 @@ from tabforge.operators.ensemble import SimplexBlend, Stacking, weighted_expr  #
 from tabforge.operators.linear import L1Selector, Lasso, Ridge, RidgeCV  # noqa: E402
 from tabforge.operators.trees import GBT, XGB_REGULARISED, LGBM_REGULARISED, sample_space  # noqa: E402
 from tabforge.operators.validate import (  # noqa: E402
-    LinearCV, assign_folds, fold_scores, oof_by_loop, run_parallel, score_summary)
+    LinearCV, assign_folds, fold_scores, oof_by_loop, run_parallel, score_summary, with_oofs)
 
 RIDGE_ALPHA = 10.0
 
 
 def c_folds(spark, sf_dir) -> DataFrame:
-    return assign_folds(frame_c(spark, sf_dir), "id", k=5, seed=42)
+    """Frame C with folds, written once: every model reads the rows, none repeats the join."""
+    return checkpoint_once(assign_folds(frame_c(spark, sf_dir), "id", k=5, seed=42))
 
 
 def labelled_c(spark, sf_dir) -> DataFrame:
@@ -404,9 +427,7 @@ def oof_predictions(spark, sf_dir):
 
 
 def _two_model_oof(spark, sf_dir) -> DataFrame:
-    c = c_folds(spark, sf_dir)
-    c = _ridge_oof(c, ["x1"], "p_a")
-    return _ridge_oof(c, ["x2"], "p_b")
+    return with_oofs(c_folds(spark, sf_dir), {"p_a": Ridge(["x1"], "y", RIDGE_ALPHA), "p_b": Ridge(["x2"], "y", RIDGE_ALPHA)})
 
 
 @query("average_blend")
@@ -446,14 +467,10 @@ def ridge_cv_loo(spark, sf_dir):
 
 
 def _score_table(spark, sf_dir) -> DataFrame:
-    c = c_folds(spark, sf_dir)
-    tables = []
-    for name, feats in (("ridge_x1", ["x1"]), ("ridge_x2", ["x2"]), ("ridge_x1x2", ["x1", "x2"])):
-        tables.append(fold_scores(_ridge_oof(c, feats, "oof"), "y", "oof", model=name))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
+    models = {"ridge_x1": ["x1"], "ridge_x2": ["x2"], "ridge_x1x2": ["x1", "x2"]}
+    oof = with_oofs(c_folds(spark, sf_dir), {n: Ridge(f, "y", RIDGE_ALPHA) for n, f in models.items()})
+    long = oof.unpivot(["fold", "y"], list(models), "model", "pred")
+    return long.groupBy("model", "fold").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.pow(F.col("y") - F.col("pred"), 2))).alias("rmse"))
 
 
 @query("model_compare")
@@ -483,10 +500,7 @@ def stack_ridge(spark, sf_dir):
     makers = {"ridge_x1": lambda: Ridge(["x1"], "y", RIDGE_ALPHA), "ridge_x2": lambda: Ridge(["x2"], "y", RIDGE_ALPHA),
               "lasso_x1x2": lambda: Lasso(["x1", "x2"], "y", 0.0005)}
 
-    def oof_fn(df, name, mk):
-        return LinearCV(mk()).fit(df).oof(df, f"p_{name}")
-
-    stack = Stacking(makers, lambda cols: RidgeCV(cols, "y", RIDGE_CV_ALPHAS), oof_fn, "id").fit(c)
+    stack = Stacking(makers, lambda cols: RidgeCV(cols, "y", RIDGE_CV_ALPHAS), None, "id").fit(c)
     return stack.transform(c).select("id", r6("prediction").alias("prediction"))
 
 
@@ -662,7 +676,8 @@ def blend_gate(spark, sf_dir):
     """Keep a candidate model only if adding it to the averaging blend lowers the pooled OOF RMSE."""
     from tabforge.operators.ensemble import average_expr
     c = c_folds(spark, sf_dir)
-    c = _ridge_oof(_ridge_oof(_ridge_oof(c, ["x1"], "p_a"), ["x2"], "p_b"), ["x1", "x2"], "p_c")
+    c = with_oofs(c, {"p_a": Ridge(["x1"], "y", RIDGE_ALPHA), "p_b": Ridge(["x2"], "y", RIDGE_ALPHA),
+                      "p_c": Ridge(["x1", "x2"], "y", RIDGE_ALPHA)})
     err = lambda cols: F.sqrt(F.avg(F.pow(F.col("y") - average_expr(cols), 2)))
     return c.agg(err(["p_a", "p_b"]).alias("rmse_without"), err(["p_a", "p_b", "p_c"]).alias("rmse_with")).select(
         F.lit("ridge_x1x2").alias("candidate"), r6("rmse_without").alias("rmse_without"),

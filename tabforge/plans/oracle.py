@@ -148,14 +148,18 @@ ORACLE["low_variance"] = "SELECT * FROM (" + " UNION ALL ".join(
     for c in ["l_returnflag", "l_linestatus", "l_discount", "l_tax", "l_linenumber"]) + ")"
 
 
-def _hist_sql(series: str, expr: str) -> str:
-    return (f"SELECT '{series}' AS series, bin, round(lo + bin * w, 6) AS lo, round(lo + (bin + 1) * w, 6) AS hi, count(*) AS n "
-            f"FROM (SELECT least(CAST(floor(({expr} - lo) / w) AS INTEGER), 49) AS bin, lo, w FROM orders, "
-            f"(SELECT min({expr}) AS lo, (max({expr}) - min({expr})) / 50 AS w FROM orders)) GROUP BY bin, lo, w")
+def _hist_sql(series: str, expr: str, bins: int = 50, table: str = "orders") -> str:
+    return (f"SELECT '{series}' AS series, g.bin, round(s.lo + g.bin * s.w, 6) AS lo, round(s.lo + (g.bin + 1) * s.w, 6) AS hi, "
+            f"coalesce(c.n, 0) AS n FROM (SELECT CAST(i AS INTEGER) AS bin FROM range(0, {bins}) t(i)) g "
+            f"CROSS JOIN (SELECT CAST(min({expr}) AS DOUBLE) AS lo, CAST(max({expr}) - min({expr}) AS DOUBLE) / {bins} AS w FROM {table}) s "
+            f"LEFT JOIN (SELECT least(CAST(floor(({expr} - lo) / w) AS INTEGER), {bins - 1}) AS bin, count(*) AS n FROM {table}, "
+            f"(SELECT CAST(min({expr}) AS DOUBLE) AS lo, CAST(max({expr}) - min({expr}) AS DOUBLE) / {bins} AS w FROM {table}) GROUP BY 1) c "
+            f"ON c.bin = g.bin")
 
 
 ORACLE["hist_target"] = ("SELECT * FROM (" + _hist_sql("o_totalprice", "o_totalprice") + " UNION ALL "
                          + _hist_sql("log_price", "ln(1 + o_totalprice)") + ")")
+ORACLE["hist_gaps"] = _hist_sql("l_quantity", "l_quantity", 120, "lineitem")
 
 ORACLE["kde_grid"] = """WITH v AS (SELECT ln(1 + o_totalprice) AS x FROM orders),
 st AS (SELECT count(x) AS n, stddev_samp(x) * pow(count(x), CAST(-0.2 AS DOUBLE)) AS h, min(x) AS lo, max(x) AS hi FROM v),
@@ -164,8 +168,13 @@ SELECT CAST(i AS INTEGER) AS grid_idx, round(glo + i * step, 6) AS x,
   round(sum(exp(-0.5 * ((glo + i * step - v.x) / h) * ((glo + i * step - v.x) / h))) * (1 / (n * h * sqrt(2 * pi()))), 8) AS density
 FROM gr, v GROUP BY i, glo, step, h, n"""
 
-ORACLE["scatter_extract"] = """SELECT o_orderkey, o_totalprice, o_custkey FROM orders
-WHERE ((o_orderkey % 2147483647) * 1103515245 + 7) % 2147483647 < 214748364"""
+ORACLE["scatter_extract"] = "SELECT o_orderkey, o_totalprice, o_custkey FROM orders"
+
+ORACLE["scatter_bins"] = """SELECT least(CAST(floor((CAST(l_quantity AS DOUBLE) - x0) / xw) AS INTEGER), 49) AS x_bin,
+  least(CAST(floor((CAST(l_extendedprice AS DOUBLE) - y0) / yw) AS INTEGER), 49) AS y_bin, count(*) AS n
+FROM lineitem, (SELECT CAST(min(l_quantity) AS DOUBLE) AS x0, CAST(max(l_quantity) - min(l_quantity) AS DOUBLE) / 50 AS xw,
+  CAST(min(l_extendedprice) AS DOUBLE) AS y0, CAST(max(l_extendedprice) - min(l_extendedprice) AS DOUBLE) / 50 AS yw FROM lineitem)
+GROUP BY 1, 2"""
 
 
 # ------------------------------------------------------------------ encoders
@@ -387,3 +396,14 @@ J AS (SELECT a_oof.y, a_oof.p AS pa, b_oof.p AS pb, c_oof.p AS pc
       FROM a_oof JOIN b_oof ON a_oof.id = b_oof.id JOIN c_oof ON a_oof.id = c_oof.id),
 E AS (SELECT sqrt(avg(pow(y - (pa + pb) / 2, 2))) AS wo, sqrt(avg(pow(y - (pa + pb + pc) / 3, 2))) AS wi FROM J)
 SELECT 'ridge_x1x2' AS candidate, round(wo, 6) AS rmse_without, round(wi, 6) AS rmse_with, wi < wo AS kept FROM E""")
+
+
+def _one_hot_clash_sql() -> str:
+    level = ("CASE WHEN o_orderpriority LIKE '1%' THEN CASE WHEN o_orderkey % 2 = 0 THEN replace(o_orderpriority, '-', ' ') "
+             "ELSE o_orderpriority END ELSE 'other' END")
+    levels = ("1 URGENT", "1-URGENT", "other")
+    return (f"SELECT o_orderkey, {', '.join(f'CAST(v = {chr(39)}{x}{chr(39)} AS DOUBLE) AS level_{i}' for i, x in enumerate(levels))} "
+            f"FROM (SELECT o_orderkey, {level} AS v FROM orders)")
+
+
+ORACLE["one_hot_clash"] = _one_hot_clash_sql()

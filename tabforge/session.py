@@ -18,8 +18,9 @@ from pyspark.sql import SparkSession
 CLUSTER_CONF = {
     # ~256 MB input splits: ~400k scan tasks for 100 TB, each far below executor memory
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-    # start wide and let AQE merge small reduce partitions to ~256 MB each
-    "spark.sql.shuffle.partitions": "20000",
+    # for a full shuffle of ~100 TB: ~256 MB each; AQE merges the small ones of narrower stages
+    # (see shuffle_partitions_for; AQE does not split partitions that no join skews)
+    "spark.sql.shuffle.partitions": "400000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # split a reduce partition that is 5x the median and over 1 GB (hot keys in joins)
@@ -35,16 +36,25 @@ CLUSTER_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024, least: int = 8) -> int:
+    """Shuffle partitions for a full shuffle of ``input_bytes`` in pieces of about ``target_bytes``."""
+    return max(least, -(-int(input_bytes) // target_bytes))
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "tabforge",
-              profile: str = "local") -> SparkSession:
-    """Session with AQE and skew-join handling; ``profile="cluster"`` applies CLUSTER_CONF."""
+              profile: str = "local", input_bytes: int | None = None) -> SparkSession:
+    """Session with AQE and skew-join handling; ``profile="cluster"`` applies CLUSTER_CONF.
+
+    On a cluster ``input_bytes`` sizes the shuffle partitions; without it they are sized for ~100 TB.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     if profile == "cluster":
         for k, v in CLUSTER_CONF.items():
             builder = builder.config(k, v)
-        shuffle_partitions = int(CLUSTER_CONF["spark.sql.shuffle.partitions"])
+        shuffle_partitions = (shuffle_partitions_for(input_bytes) if input_bytes
+                              else int(CLUSTER_CONF["spark.sql.shuffle.partitions"]))
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -71,6 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="tabforge-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

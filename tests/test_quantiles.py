@@ -40,9 +40,8 @@ import tabforge.functions.quantiles as Q  # noqa: E402
 
 
 @pytest.mark.parametrize("accuracy", [10000, 20])
-def test_band_path_matches_numpy(spark, monkeypatch, accuracy):
-    """Force the sketch + band path (what large groups use) and compare with numpy."""
-    monkeypatch.setattr(Q, "MAX_MAP_VALUES", 0)
+def test_band_path_matches_numpy(spark, accuracy):
+    """Sketch and band against numpy; a coarse sketch makes the band wide."""
     rng = np.random.default_rng(8)
     rows = [(i, "hot" if i % 4 else "cold", float(rng.integers(0, 30)) if i % 3 else float(rng.normal()))
             for i in range(4000)]
@@ -55,9 +54,8 @@ def test_band_path_matches_numpy(spark, monkeypatch, accuracy):
             assert abs(got[(g, p)] - float(np.percentile(vals, p * 100))) < 1e-9, (g, p)
 
 
-def test_band_path_hot_duplicate_value(spark, monkeypatch):
+def test_band_path_hot_duplicate_value(spark):
     """A third of the values are one number and the median falls inside that run."""
-    monkeypatch.setattr(Q, "MAX_MAP_VALUES", 0)
     rng = np.random.default_rng(10)
     vals = [42.0 if i % 3 == 0 else float(rng.normal(42, 5)) for i in range(3000)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
@@ -66,3 +64,16 @@ def test_band_path_hot_duplicate_value(spark, monkeypatch):
     for p in probs:
         assert abs(got[p] - float(np.percentile(vals, p * 100))) < 1e-9, p
     assert got[0.5] == 42.0
+
+
+def test_null_group_and_missed_bracket(spark, monkeypatch):
+    """A null group is a group of its own; a bracket that misses its rank is widened."""
+    rng = np.random.default_rng(11)
+    rows = [("a" if i % 2 else None, float(rng.normal())) for i in range(500)] + [("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    real = Q.F.percentile_approx
+    monkeypatch.setattr(Q.F, "percentile_approx", lambda c, p, a: real(c, [0.9] * len(p), a))  # every bracket is wrong
+    got = {r["g"]: r["value"] for r in Q.exact_quantiles(df, ["v"], [0.5], ["g"]).collect()}
+    assert set(got) == {"a", None}
+    for g in got:
+        assert abs(got[g] - float(np.median([v for x, v in rows if x == g]))) < 1e-12

@@ -68,6 +68,13 @@ def _with_brackets(df: DataFrame, brackets: DataFrame, group_cols: list[str], n:
     return df.join(side, same), [F.col(f"_lo{i}") for i in range(n)], [F.col(f"_hi{i}") for i in range(n)]
 
 
+def _settled(df: DataFrame, group_cols: list[str]) -> DataFrame:
+    """The computed table: one row per group is checkpointed; without groups it is columns x probs numbers."""
+    if group_cols:
+        return checkpoint_once(df)
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), num_partitions: int | None = None,
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
@@ -86,8 +93,8 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
     slots = [(k, p) for k in range(len(vals)) for p in probs]  # slot i: column k, prob p
 
     # scan 1: counts and brackets, one row per group
-    sketch = checkpoint_once(rows.groupBy(*group_cols).agg(*[x for v in vals for x in (
-        F.count(v).alias(f"_n{v}"), F.percentile_approx(v, edges, accuracy).alias(f"_q{v}"))]))
+    sketch = _settled(rows.groupBy(*group_cols).agg(*[x for v in vals for x in (
+        F.count(v).alias(f"_n{v}"), F.percentile_approx(v, edges, accuracy).alias(f"_q{v}"))]), group_cols)
 
     def edge(k: int, p: float, d: float):
         return F.element_at(f"_q{vals[k]}", at[min(1.0, max(0.0, p + d))] + 1)
@@ -110,10 +117,10 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
         F.col(f"_in{i}").alias("_in")) for i, (k, p) in enumerate(slots)])).alias("_s")).select(*group_cols, "_s.*")
     h = F.col("prob") * (F.col("_n") - 1)
     missed = (F.floor(h) < F.col("_below")) | (F.ceil(h) >= F.col("_below") + F.col("_in"))
-    plan = checkpoint_once(plan.where(F.col("_n") > 0).withColumn("_h", h).withColumn("_miss", missed)
+    plan = _settled(plan.where(F.col("_n") > 0).withColumn("_h", h).withColumn("_miss", missed)
                            .withColumn("_lo", F.when(F.col("_miss"), float("-inf")).otherwise(F.col("_lo")))
                            .withColumn("_hi", F.when(F.col("_miss"), float("inf")).otherwise(F.col("_hi")))
-                           .withColumn("_below", F.when(F.col("_miss"), 0).otherwise(F.col("_below"))))
+                           .withColumn("_below", F.when(F.col("_miss"), 0).otherwise(F.col("_below"))), group_cols)
     single = plan.where(F.col("_lo") == F.col("_hi")).select(*group_cols, "column", "prob", F.col("_lo").alias("value"))
 
     # scan 3: rank the band
@@ -142,6 +149,6 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
     exact = keyed(open_, "_i", F.struct(*[F.col(g) for g in group_cols], "column", "prob", "_h").alias("_r")).join(pairs, keys)
     ranked = exact.select("_r.*", "_vlo", "_vhi").select(
         *group_cols, "column", "prob", (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
-    result = checkpoint_once(ranked.unionByName(single))   # groups x columns x probs rows
+    result = _settled(ranked.unionByName(single), group_cols)   # groups x columns x probs rows
     srt.unpersist()
     return result

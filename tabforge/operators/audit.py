@@ -271,3 +271,35 @@ def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
         return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
 
     return both.groupBy(cell("x", st[0], st[1]).alias("x_bin"), cell("y", st[2], st[3]).alias("y_bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def audit_report(df: DataFrame, target: str, skew_threshold: float = 0.75, corr_threshold: float = 0.8,
+                 z_threshold: float = 4.0) -> DataFrame:
+    """The whole audit in long form (section, column, other, metric, value).
+
+    Sections: target (its summary), missing (per cent null), skew (population
+    skewness above the threshold), corr (with the target), collinear (pairs
+    above the threshold), outliers (counts beyond the z threshold) and
+    variance (distinct values and share of the commonest).
+    """
+    numbers = numeric_columns(df, [target])
+    texts = string_columns(df)
+
+    def long(frame: DataFrame, section: str, values: Sequence[str], column: str = "column", other: str | None = None) -> DataFrame:
+        cells = F.explode(F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("value")) for v in values]))
+        second = F.col(other) if other else F.lit(None).cast("string")
+        return frame.select(F.lit(section).alias("section"), F.col(column).alias("column"), second.alias("other"),
+                            cells.alias("c")).select("section", "column", "other", "c.*")
+
+    parts = [long(target_summary(df, target), "target", ["n", "skew", "min", "max", "mean", "median"]),
+             long(missing_report(df, label=target), "missing", ["pct_missing"]),
+             long(low_variance(df, numbers + texts), "variance", ["n_distinct", "top_share"])]
+    if numbers:
+        parts += [long(skewness_report(df, numbers, skew_threshold).where("is_skewed"), "skew", ["skew"]),
+                  long(corr_with_target(df, numbers, target), "corr", ["corr"]),
+                  long(high_corr_pairs(df, numbers, corr_threshold), "collinear", ["abs_corr"], "col_a", "col_b"),
+                  long(z_outliers(df, numbers, z_threshold), "outliers", ["n_outliers"])]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

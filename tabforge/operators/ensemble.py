@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tabforge.operators.base import ColumnEstimator, ColumnModel
 from tabforge.operators.linear import LinearRegressionModel
-from tabforge.operators.validate import fit_linear_cvs
+from tabforge.operators.validate import fit_linear_cvs, run_parallel
 
 
 MAX_BLEND = 14
@@ -126,7 +126,8 @@ class ModelEnsemble(ColumnEstimator):
         self.makers, self.combine, self.output_col = dict(makers), combine, output_col
 
     def _fit(self, dataset: DataFrame) -> ModelEnsembleModel:
-        return ModelEnsembleModel({n: mk().fit(dataset) for n, mk in self.makers.items()}, self.combine, self.output_col)
+        models = run_parallel(lambda mk: mk().fit(dataset), list(self.makers.values()))
+        return ModelEnsembleModel(dict(zip(self.makers, models)), self.combine, self.output_col)
 
 
 class ModelEnsembleModel(ColumnModel):

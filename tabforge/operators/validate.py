@@ -136,6 +136,28 @@ def oof_by_loop(df: DataFrame, make_estimator: Callable[[], object], fold_col: s
         data.unpersist()
 
 
+def oofs_by_loop(df: DataFrame, makers: dict[str, Callable[[], object]], fold_col: str = "fold", pred_col: str = "prediction",
+                 parallelism: int = 10) -> DataFrame:
+    """``df`` with an out-of-fold column ``p_<name>`` per model; every (model, fold) fit runs side by side.
+
+    Models must give back their input columns and one prediction column.
+    """
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+        tasks = [(n, k) for k in folds for n in makers]
+        models = dict(zip(tasks, run_parallel(lambda t: makers[t[0]]().fit(data.where(F.col(fold_col) != t[1])), tasks, parallelism)))
+        out = None
+        for k in folds:
+            part = data.where(F.col(fold_col) == k)
+            for n in makers:
+                part = models[n, k].transform(part).withColumnRenamed(pred_col, f"p_{n}")
+            out = part if out is None else out.unionByName(part)
+        return checkpoint_once(out)
+    finally:
+        data.unpersist()
+
+
 def run_parallel(fn: Callable, items: Sequence, parallelism: int = 4) -> list:
     """Evaluate independent configurations concurrently (each submits its own Spark jobs)."""
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(items)))) as pool:

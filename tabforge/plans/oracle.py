@@ -407,3 +407,51 @@ def _one_hot_clash_sql() -> str:
 
 
 ORACLE["one_hot_clash"] = _one_hot_clash_sql()
+
+
+def _search_ridge_sql() -> str:
+    from tabforge.operators.trees import sample_space
+    trials = ", ".join(f"({i}, CAST({t['alpha']!r} AS DOUBLE))" for i, t in enumerate(sample_space({"alpha": (1e-2, 1e4, "log")}, 20, 42)))
+    return f"""WITH {C_CTE}, {CF_CTE},
+t(trial, alpha) AS (VALUES {trials}),
+k AS (SELECT DISTINCT fold AS k FROM CF),
+s AS (SELECT k, avg(x1) AS mx, avg(y) AS my, covar_pop(x1, y) * count(*) AS cxy, var_pop(x1) * count(*) AS cxx FROM CF, k WHERE fold <> k GROUP BY k),
+e AS (SELECT trial, alpha, fold, sqrt(avg(pow(y - my - (x1 - mx) * cxy / (cxx + alpha), 2))) AS rmse FROM CF JOIN s ON fold = k, t GROUP BY 1, 2, 3),
+m AS (SELECT trial, alpha, avg(rmse) AS score FROM e GROUP BY 1, 2)
+SELECT CAST(trial AS INTEGER) AS trial, round(alpha, 6) AS alpha, round(score, 6) AS score,
+  trial = (SELECT min_by(trial, score) FROM m) AS best FROM m"""
+
+
+ORACLE["search_ridge"] = _search_ridge_sql()
+
+
+def _audit_sql() -> str:
+    num = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "qty_copy"]
+    y = "l_extendedprice"
+
+    def row(section, column, metric, value, other="CAST(NULL AS VARCHAR)", source="L", where=""):
+        return (f"SELECT '{section}' AS section, '{column}' AS \"column\", {other} AS other, '{metric}' AS metric, "
+                f"round(CAST({value} AS DOUBLE), 6) AS value FROM {source} {where}")
+
+    parts = [row("target", y, m, v) for m, v in (("n", f"count({y})"), ("skew", f"skewness({y})"), ("min", f"min({y})"),
+                                                 ("max", f"max({y})"), ("mean", f"avg({y})"), ("median", f"quantile_cont({y}, CAST(0.5 AS DOUBLE))"))]
+    parts += [row("missing", "l_tax", "pct_missing", "100.0 * (count(*) - count(l_tax)) / count(*)")]
+    for c in num:
+        skew = f"(sum(pow({c} - m, 3)) / count({c})) / pow(sum(pow({c} - m, 2)) / count({c}), CAST(1.5 AS DOUBLE))"
+        parts.append(f"SELECT * FROM ({row('skew', c, 'skew', skew, source=f'L, (SELECT avg({c}) AS m FROM L)')}) WHERE abs(value) > 0.75")
+        parts.append(row("corr", c, "corr", f"corr({c}, {y})"))
+        parts.append(row("outliers", c, "n_outliers", f"count(*) FILTER (abs(({c} - m) / s) > 1.5)",
+                         source=f"L, (SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM L)"))
+    for i, a in enumerate(num):
+        for b in num[i + 1:]:
+            parts.append(f"SELECT * FROM ({row('collinear', a, 'abs_corr', f'abs(corr({a}, {b}))', other=chr(39) + b + chr(39))}) WHERE value > 0.8")
+    for c in num + ["l_returnflag"]:
+        counts = f"(SELECT {c} AS v, count(*) AS n FROM L WHERE {c} IS NOT NULL GROUP BY 1)"
+        parts.append(row("variance", c, "n_distinct", "count(*)", source=counts))
+        parts.append(row("variance", c, "top_share", "CAST(max(n) AS DOUBLE) / sum(n)", source=counts))
+    return ("WITH L AS (SELECT l_quantity, l_discount, CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_tax END AS l_tax, l_linenumber, "
+            "l_quantity + (l_linenumber - 4) * CAST(2.0 AS DOUBLE) AS qty_copy, l_extendedprice, l_returnflag FROM lineitem)\n"
+            + "\nUNION ALL ".join(parts))
+
+
+ORACLE["audit_report"] = _audit_sql()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -111,6 +112,7 @@ def checkpoint_once(df):
 
 
 _SHIPPED: set[int] = set()
+_SHIP_LOCK = threading.Lock()  # models are fitted from several driver threads
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -122,12 +124,13 @@ def ship_package(spark: SparkSession) -> None:
     """
     sc = spark.sparkContext
     key = id(sc._jsc)
-    if key in _SHIPPED:
-        return
-    import shutil
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="tabforge-pyfiles-")
-    archive = shutil.make_archive(os.path.join(out_dir, "tabforge"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="tabforge")
-    sc.addPyFile(archive)
-    _SHIPPED.add(key)
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        import shutil
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        out_dir = tempfile.mkdtemp(prefix="tabforge-pyfiles-")
+        archive = shutil.make_archive(os.path.join(out_dir, "tabforge"), "zip",
+                                      root_dir=os.path.dirname(pkg_dir), base_dir="tabforge")
+        sc.addPyFile(archive)
+        _SHIPPED.add(key)

@@ -161,7 +161,7 @@ def clause_scores(text: str | None, lexicon: Lexicon, machine: Transducer, memo:
     for token in _TOKEN.findall((text or "").lower()):
         hit = memo.get(token)
         if hit is None:
-            if len(memo) > 500_000:
+            if len(memo) > 100_000:
                 memo.clear()
             hit = memo[token] = lexicon.look_up(token)
         symbol, weight = hit

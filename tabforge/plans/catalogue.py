@@ -417,7 +417,8 @@ def l1_select(spark, sf_dir):
     c = frame_c(spark, sf_dir).withColumn("natd", F.col("nat").cast("double"))
     sel = L1Selector(["x1", "x2", "natd"], "y", alpha=0.0005).fit(c)
     rows = [(f, float(b), f in sel.kept) for f, b in sel.coef.items()]
-    return spark.createDataFrame(rows, "feature string, coef double, kept boolean")
+    return (spark.createDataFrame(rows, "feature string, coef double, kept boolean")
+            .select("feature", (F.round("coef", 9) + 0.0).alias("coef"), "kept"))
 
 
 def _ridge_oof(c: DataFrame, feats: list[str], col: str) -> DataFrame:
@@ -579,7 +580,8 @@ def ablation(spark, sf_dir):
         return fold_scores(oof, "y", "oof", model=name)
 
     tables = run_parallel(variant, [("base", False), ("improved", True)])
-    return score_summary(tables[0].unionByName(tables[1]))
+    summary = score_summary(tables[0].unionByName(tables[1]))
+    return summary.select("model", r6("mean_rmse").alias("mean_rmse"), r6("std_rmse").alias("std_rmse"), "n_folds")
 
 
 class _AblationPipeline:

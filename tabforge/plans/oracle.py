@@ -455,3 +455,154 @@ def _audit_sql() -> str:
 
 
 ORACLE["audit_report"] = _audit_sql()
+
+
+# ---------------------------------------------------------------- linear models of any width
+
+def _eliminate(tag: str, src: str, p: int, keys: list[str]) -> str:
+    """CTEs that solve the p x p system in the columns a_i_j (j = p: right side) of ``src``, one row per key; result {tag}_x."""
+    head, out, prev = "".join(f"{k}, " for k in keys), [], src
+    for k in range(p):
+        cols = [(f"a_{k}_{j} / a_{k}_{k}" if i == k else f"a_{i}_{j} - a_{i}_{k} * a_{k}_{j} / a_{k}_{k}") + f" AS a_{i}_{j}"
+                for i in range(p) for j in range(k + 1, p + 1)]
+        out.append(f"{tag}_e{k} AS (SELECT {head}{', '.join(cols)} FROM {prev})")
+        prev = f"{tag}_e{k}"
+    return ",\n".join(out) + f",\n{tag}_x AS (SELECT {head}{', '.join(f'a_{i}_{p} AS x_{i}' for i in range(p))} FROM {prev})"
+
+
+def _wide_ridge(tag: str, src: str, xs: list[str], alpha: float, keys: list[str]) -> str:
+    """CTEs {tag}_m (means m_i, my) and {tag}_x (coefficients x_i) of a centred ridge per key over ``src``(keys, xs, y)."""
+    group = f" GROUP BY {', '.join(keys)}" if keys else ""
+    head = "".join(f"{k}, " for k in keys)
+    on = " AND ".join(f"s.{k} = m.{k}" for k in keys) or "TRUE"
+    means = ", ".join(f"avg({x}) AS m_{i}" for i, x in enumerate(xs))
+    d = [f"(s.{x} - m.m_{i})" for i, x in enumerate(xs)]
+    sums = [f"sum({d[i]} * {d[j]})" + (f" + CAST({alpha!r} AS DOUBLE)" if i == j else "") + f" AS a_{i}_{j}"
+            for i in range(len(xs)) for j in range(len(xs))]
+    sums += [f"sum({d[i]} * (s.y - m.my)) AS a_{i}_{len(xs)}" for i in range(len(xs))]
+    by = f" GROUP BY {', '.join(f's.{k}' for k in keys)}" if keys else ""
+    shead = "".join(f"s.{k}, " for k in keys)
+    return (f"{tag}_m AS (SELECT {head}count(*) AS n, {means}, avg(y) AS my FROM {src}{group}),\n"
+            f"{tag}_g AS (SELECT {shead}{', '.join(sums)} FROM {src} s JOIN {tag}_m m ON {on}{by}),\n"
+            + _eliminate(tag, f"{tag}_g", len(xs), keys))
+
+
+def _wide_pred(tag: str, xs: list[str], row: str) -> str:
+    return f"({tag}_m.my + " + " + ".join(f"{tag}_x.x_{i} * ({row}.{x} - {tag}_m.m_{i})" for i, x in enumerate(xs)) + ")"
+
+
+def _lasso_ctes(tag: str, src: str, xs: list[str], alpha: float, keys: list[str], rounds: int = 60) -> str:
+    """CTEs {tag}_m and {tag}_x as for the ridge, by ``rounds`` of coordinate descent (needs WITH RECURSIVE)."""
+    p, head = len(xs), "".join(f"{k}, " for k in keys)
+    group = f" GROUP BY {', '.join(keys)}" if keys else ""
+    on = " AND ".join(f"s.{k} = m.{k}" for k in keys) or "TRUE"
+    d = [f"(s.{x} - m.m_{i})" for i, x in enumerate(xs)]
+    shead = "".join(f"s.{k}, " for k in keys)
+    by = f" GROUP BY {', '.join(f's.{k}' for k in keys)}" if keys else ""
+    sums = ", ".join([f"avg({d[i]} * {d[j]}) AS g_{i}_{j}" for i in range(p) for j in range(p)]
+                     + [f"avg({d[i]} * (s.y - m.my)) AS c_{i}" for i in range(p)])
+    step = f"SELECT cd.*, g.* EXCLUDE ({', '.join(keys)})" if keys else "SELECT cd.*, g.*"
+    inner = (f"{step} FROM {tag}_cd cd JOIN {tag}_g g ON "
+             + (" AND ".join(f"cd.{k} = g.{k}" for k in keys) or "TRUE") + f" WHERE it < {rounds}")
+    for i in range(p):
+        r = f"(c_{i}" + "".join(f" - g_{i}_{j} * x_{j}" for j in range(p) if j != i) + ")"
+        inner = f"SELECT * REPLACE (sign({r}) * greatest(abs({r}) - CAST({alpha!r} AS DOUBLE), 0) / g_{i}_{i} AS x_{i}) FROM ({inner})"
+    names = ", ".join(f"x_{i}" for i in range(p))
+    zeros = ", ".join(f"CAST(0 AS DOUBLE) AS x_{i}" for i in range(p))
+    return (f"{tag}_m AS (SELECT {head}count(*) AS n, {', '.join(f'avg({x}) AS m_{i}' for i, x in enumerate(xs))}, avg(y) AS my FROM {src}{group}),\n"
+            f"{tag}_g AS (SELECT {shead}{sums} FROM {src} s JOIN {tag}_m m ON {on}{by}),\n"
+            f"{tag}_cd AS (SELECT {head}0 AS it, {zeros} FROM {tag}_g UNION ALL SELECT {head}it + 1, {names} FROM ({inner})),\n"
+            f"{tag}_x AS (SELECT {head}{names} FROM {tag}_cd WHERE it = {rounds})")
+
+
+_SEG_COLS = [f"seg_{s}" for s in _SEGS]
+_ONE_HOT = ", ".join(f"CASE WHEN seg = '{s}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS seg_{s}" for s in _SEGS)
+_COEF_XS = ["x1", "x2"] + _SEG_COLS
+
+ORACLE["coef_top5"] = (f"WITH {C_CTE},\nH AS (SELECT x1, x2, y, {_ONE_HOT} FROM C),\n" + _wide_ridge("r", "H", _COEF_XS, 10.0, [])
+                       + ",\nF AS (" + " UNION ALL ".join(f"SELECT '{x}' AS feature, x_{i} AS coef FROM r_x" for i, x in enumerate(_COEF_XS)) + """),
+R AS (SELECT 'positive' AS direction, row_number() OVER (ORDER BY coef DESC, feature) AS rank, feature, coef FROM F WHERE coef > 0
+      UNION ALL SELECT 'negative', row_number() OVER (ORDER BY coef, feature), feature, coef FROM F WHERE coef < 0)
+SELECT direction, CAST(rank AS INTEGER) AS rank, feature, round(coef, 6) AS coef FROM R WHERE rank <= 5""")
+
+ORACLE["l1_select"] = (f"WITH RECURSIVE {C_CTE},\nN AS (SELECT x1, x2, CAST(nat AS DOUBLE) AS natd, y FROM C),\n"
+                       + _lasso_ctes("l", "N", ["x1", "x2", "natd"], 0.0005, []) + "\n"
+                       + " UNION ALL ".join(f"SELECT '{x}' AS feature, round(x_{i}, 9) + 0 AS coef, abs(x_{i}) >= 1e-5 AS kept FROM l_x"
+                                            for i, x in enumerate(["x1", "x2", "natd"])))
+
+
+def _stack_sql() -> str:
+    """Out-of-fold ridge(x1), ridge(x2), lasso(x1, x2); leave-one-out ridge over the three; bases refitted on all rows."""
+    bases = {"r1": ["x1"], "r2": ["x2"], "l": ["x1", "x2"]}
+
+    def base(tag, src, keys):
+        return (_lasso_ctes(tag, src, bases["l"], 0.0005, keys) if tag.startswith("l")
+                else _wide_ridge(tag, src, bases[tag.rstrip("ft")], 10.0, keys))
+
+    parts = [f"WITH RECURSIVE {C_CTE}, {CF_CTE}",
+             "TR AS (SELECT k.fold AS f, CF.* FROM (SELECT DISTINCT fold FROM CF) k JOIN CF ON CF.fold <> k.fold)"]
+    parts += [base(t + "f", "TR", ["f"]) for t in bases] + [base(t + "t", "C", []) for t in bases]
+
+    def preds(suffix, row):
+        return ", ".join(f"{_wide_pred(t + suffix, xs, row)} AS p{i}" for i, (t, xs) in enumerate(bases.items()))
+
+    joins = " ".join(f"JOIN {t}f_m ON {t}f_m.f = CF.fold JOIN {t}f_x ON {t}f_x.f = CF.fold" for t in bases)
+    parts.append(f"OOF AS (SELECT CF.y, {preds('f', 'CF')} FROM CF {joins})")
+    tables = ", ".join(f"{t}t_m, {t}t_x" for t in bases)
+    parts.append(f"ALLP AS (SELECT C.id, {preds('t', 'C')} FROM C, {tables})")
+    ps = ["p0", "p1", "p2"]
+    pd = [f"({{r}}.{x} - mm.m_{i})" for i, x in enumerate(ps)]
+    d = [x.format(r="o") for x in pd]
+    parts.append("mm AS (SELECT count(*) AS n, " + ", ".join(f"avg({x}) AS m_{i}" for i, x in enumerate(ps)) + ", avg(y) AS my FROM OOF)")
+    # per alpha the meta system; the columns of the inverse come from three more right sides
+    gram = ", ".join([f"sum({d[i]} * {d[j]}) AS g_{i}_{j}" for i in range(3) for j in range(3)] + [f"sum({d[i]} * (o.y - mm.my)) AS c_{i}" for i in range(3)])
+    parts.append(f"mg AS (SELECT {gram} FROM OOF o, mm)")
+    parts.append("al AS (SELECT CAST(a AS DOUBLE) AS alpha FROM (VALUES (0.1), (1.0), (10.0), (100.0)) v(a))")
+    for k in range(4):
+        cols = [f"g_{i}_{j}" + (" + alpha" if i == j else "") + f" AS a_{i}_{j}" for i in range(3) for j in range(3)]
+        cols += [(f"c_{i}" if k == 0 else f"CAST({int(i == k - 1)} AS DOUBLE)") + f" AS a_{i}_3" for i in range(3)]
+        parts.append(f"s{k} AS (SELECT alpha, {', '.join(cols)} FROM mg, al)")
+        parts.append(_eliminate(f"v{k}", f"s{k}", 3, ["alpha"]))
+    fit = " + ".join(f"v0_x.x_{i} * {d[i]}" for i in range(3))
+    h = " + ".join(f"{d[i]} * {d[j]} * v{j + 1}_x.x_{i}" for i in range(3) for j in range(3))
+    vjoin = " ".join(f"JOIN v{k}_x ON v{k}_x.alpha = v0_x.alpha" for k in (1, 2, 3))
+    parts.append(f"lo AS (SELECT v0_x.alpha, avg(pow((o.y - mm.my - ({fit})) / (1 - (CAST(1 AS DOUBLE) / mm.n + {h})), 2)) AS loo "
+                 f"FROM v0_x {vjoin}, OOF o, mm GROUP BY v0_x.alpha)")
+    parts.append("best AS (SELECT alpha FROM lo ORDER BY loo, alpha LIMIT 1)")
+    out = " + ".join(f"v0_x.x_{i} * {pd[i].format(r='a')}" for i in range(3))
+    return ",\n".join(parts) + (f"\nSELECT a.id, round(mm.my + {out}, 6) AS prediction "
+                                "FROM ALLP a, mm, best JOIN v0_x ON v0_x.alpha = best.alpha")
+
+
+ORACLE["stack_ridge"] = _stack_sql()
+
+
+def _ablation_sql() -> str:
+    """Per fold: encoders, robust scaling and ridge fitted on the other folds; both variants' fold scores."""
+    raw = ["x1", "x2"] + _SEG_COLS + ["te"]
+    w = "(1 / (1 + exp(-(n - 20) / CAST(10 AS DOUBLE))))"
+    parts = [f"WITH {C_CTE}, {CF_CTE}",
+             "K AS (SELECT DISTINCT fold AS f FROM CF)",
+             "PR AS (SELECT f, avg(y) AS prior FROM K JOIN CF ON CF.fold <> f GROUP BY f)",
+             "ST AS (SELECT f, nat, count(*) AS n, avg(y) AS m FROM K JOIN CF ON CF.fold <> f GROUP BY f, nat)",
+             f"EN AS (SELECT f, nat, CASE WHEN n = 1 THEN prior ELSE prior * (1 - {w}) + m * {w} END AS e FROM ST JOIN PR USING (f))",
+             f"X AS (SELECT PR.f, CF.fold, CF.id, CF.y, x1, x2, {_ONE_HOT}, coalesce(e, prior) AS te "
+             "FROM PR CROSS JOIN CF LEFT JOIN EN ON EN.f = PR.f AND EN.nat = CF.nat)",
+             "Q AS (SELECT f, " + ", ".join(f"quantile_cont({c}, 0.5) AS med_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS iqr_{c}"
+                                            for c in raw) + " FROM X WHERE fold <> f GROUP BY f)",
+             "Z AS (SELECT X.f, X.fold, X.y, " + ", ".join(f"(X.{c} - med_{c}) / (CASE WHEN abs(iqr_{c}) > 2.3e-15 THEN iqr_{c} ELSE 1 END) AS {c}"
+                                                          for c in raw) + " FROM X JOIN Q USING (f))",
+             "ZT AS (SELECT * FROM Z WHERE fold <> f)"]
+    scores = []
+    for name, xs in (("base", ["x1", "x2"]), ("improved", raw)):
+        tag = name[0]
+        parts.append(_wide_ridge(tag, "ZT", xs, 10.0, ["f"]))
+        p = _wide_pred(tag, xs, "Z")
+        scores.append(f"SELECT '{name}' AS model, Z.f, sqrt(avg(pow(Z.y - {p}, 2))) AS rmse FROM Z JOIN {tag}_m ON {tag}_m.f = Z.f "
+                      f"JOIN {tag}_x ON {tag}_x.f = Z.f WHERE Z.fold = Z.f GROUP BY Z.f")
+    parts.append("SC AS (" + " UNION ALL ".join(scores) + ")")
+    return ",\n".join(parts) + ("\nSELECT model, round(avg(rmse), 6) AS mean_rmse, round(stddev_pop(rmse), 6) AS std_rmse, "
+                                "count(*) AS n_folds FROM SC GROUP BY model")
+
+
+ORACLE["ablation"] = _ablation_sql()

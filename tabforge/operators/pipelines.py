@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tabforge.operators.base import ColumnEstimator, ColumnModel
 from tabforge.operators.encode import OneHotEncoder, TargetEncoder
-from tabforge.operators.ensemble import ModelEnsemble, Stacking, StackingModel
+from tabforge.operators.ensemble import ModelEnsembleModel, Stacking, StackingModel
 from tabforge.operators.linear import L1Selector
 from tabforge.operators.power import SkewRouter
-from tabforge.operators.validate import assign_folds, fold_scores, oof_by_loop, oofs_by_loop
+from tabforge.operators.validate import assign_folds, fold_scores, oof_by_loop, oofs_by_loop, run_parallel
 
 
 def _work(col: str) -> str:
@@ -35,9 +35,13 @@ class RegressionPipeline(ColumnEstimator):
         self.numeric, self.target_encoded, self.one_hot = list(numeric), list(target_encoded), list(one_hot)
         self.route_skew, self.l1_alpha = route_skew, l1_alpha
 
-    def _fit(self, dataset: DataFrame) -> RegressionPipelineModel:
-        inputs = self.numeric + self.target_encoded + self.one_hot
-        data = dataset.withColumns({_work(c): F.col(c) for c in inputs})
+    def front_key(self) -> tuple:
+        """Pipelines with equal keys have the same stages before their estimators."""
+        return (self.label, tuple(self.numeric), tuple(self.target_encoded), tuple(self.one_hot), self.route_skew, self.l1_alpha)
+
+    def fit_front(self, dataset: DataFrame) -> tuple[list, list[str]]:
+        """(fitted stages, features they leave)."""
+        data = dataset.withColumns({_work(c): F.col(c) for c in self.numeric + self.target_encoded + self.one_hot})
         stages = []
 
         def add(estimator):
@@ -56,10 +60,22 @@ class RegressionPipeline(ColumnEstimator):
             features += add(OneHotEncoder([_work(c) for c in self.one_hot])).output_cols
         if self.l1_alpha is not None:
             features = L1Selector(features, self.label, self.l1_alpha).fit(data).kept
+        return stages, features
+
+    def fit_behind(self, dataset: DataFrame, front: tuple[list, list[str]]) -> RegressionPipelineModel:
+        """The estimator fitted behind the stages of ``fit_front``."""
+        stages, features = front
+        inputs = self.numeric + self.target_encoded + self.one_hot
+        data = dataset.withColumns({_work(c): F.col(c) for c in inputs})
+        for stage in stages:
+            data = stage.transform(data)
         estimator = self.make(features)
         return RegressionPipelineModel(inputs, stages, estimator.fit(data), getattr(estimator, "prediction_col", "prediction"),
                                        self.prediction_col)
 
+    def _fit(self, dataset: DataFrame) -> RegressionPipelineModel:
+        return self.fit_behind(dataset, self.fit_front(dataset))
+
 
 class RegressionPipelineModel(ColumnModel):
     def __init__(self, inputs, stages, model, model_col, prediction_col):
@@ -74,6 +90,18 @@ class RegressionPipelineModel(ColumnModel):
         return self.model.transform(out).select(*dataset.columns, F.col(self.model_col).alias(self.prediction_col))
 
 
+def fit_pipelines(makers: dict[str, Callable[[], object]], dataset: DataFrame, parallelism: int = 4) -> dict[str, object]:
+    """Fitted models by name; stages that several pipelines have in common are fitted once."""
+    estimators = {name: make() for name, make in makers.items()}
+    fronts = {e.front_key(): e for e in estimators.values() if isinstance(e, RegressionPipeline)}
+    fitted = dict(zip(fronts, run_parallel(lambda e: e.fit_front(dataset), list(fronts.values()), parallelism)))
+
+    def fit(e):
+        return e.fit_behind(dataset, fitted[e.front_key()]) if isinstance(e, RegressionPipeline) else e.fit(dataset)
+
+    return dict(zip(estimators, run_parallel(fit, list(estimators.values()), parallelism)))
+
+
 class PipelineStacking(Stacking):
     """Stacking whose out-of-fold columns refit each whole pipeline per fold."""
 
@@ -82,9 +110,9 @@ class PipelineStacking(Stacking):
         super().__init__(makers, meta_maker, None, id_col, output_col, fold_col)
 
     def _fit(self, dataset: DataFrame) -> StackingModel:
-        self.oof_ = oofs_by_loop(dataset, self.makers, self.fold_col)
+        self.oof_ = oofs_by_loop(dataset, self.makers, self.fold_col, fit_all=fit_pipelines)
         meta = self.meta_maker([f"p_{n}" for n in self.makers]).fit(self.oof_)
-        return StackingModel(ModelEnsemble(self.makers, combine=None).fit(dataset), meta, self.output_col)
+        return StackingModel(ModelEnsembleModel(fit_pipelines(self.makers, dataset), None, "prediction"), meta, self.output_col)
 
 
 def nested_stack_scores(df: DataFrame, makers: dict[str, Callable[[], object]], meta_maker, id_col: str, label: str,

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.exprs import yeo_johnson
 from tabforge.operators.audit import skew_split
 from tabforge.operators.base import ColumnEstimator, ColumnModel
-from tabforge.operators.encode import RobustScaler
+from tabforge.operators.encode import RobustScaler, RobustScalerModel
 from tabforge.session import ship_package
 
 
@@ -121,7 +121,12 @@ def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float
 
 
 class YeoJohnson(ColumnEstimator):
-    """Fit lambda per column by grid MLE, then (optionally) standardise (population std)."""
+    """Fit lambda per column by grid MLE, then (optionally) standardise (population std).
+
+    ``lo`` and ``hi`` only start the search: while a column's best lambda is at
+    an end of its grid, the grid goes on beyond it in steps twice as wide, then
+    finer grids close in on the best point to 1 / ``fine_den``.
+    """
 
     def __init__(self, cols: Sequence[str], standardize: bool = True, lo: float = -5.0, hi: float = 5.0,
                  coarse_den: int = 10, fine_den: int = 1000, fine_half: int = 100):
@@ -133,14 +138,36 @@ class YeoJohnson(ColumnEstimator):
         a, b = round(self.lo * self.coarse_den), round(self.hi * self.coarse_den)
         return [float(k) / self.coarse_den for k in range(a, b + 1)]
 
-    def fine_grid(self, center: float) -> list[float]:
-        return [center + float(j - self.fine_half) / self.fine_den for j in range(2 * self.fine_half + 1)]
+    def fine_grid(self, center: float, half: float | None = None) -> list[float]:
+        """From ``center - half`` to ``center + half``; by default ``fine_half`` steps of 1 / ``fine_den`` to each side."""
+        den = self.fine_half / half if half else self.fine_den
+        return [center + float(j - self.fine_half) / den for j in range(2 * self.fine_half + 1)]
+
+    def _bracketed(self, dataset: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+        """(best grid point, spacing around it) per column, the point inside its grid."""
+        best = _best_lambda(dataset, self.cols, {c: self.coarse_grid() for c in self.cols})
+        step = {c: 1.0 / self.coarse_den for c in self.cols}
+        n = len(self.coarse_grid()) - 1
+        ends = {c: (self.coarse_grid()[0], self.coarse_grid()[-1]) for c in self.cols}
+        while beyond := [c for c in self.cols if best[c] in ends[c]]:
+            grids = {}
+            for c in beyond:
+                step[c] *= 2
+                way = -step[c] if best[c] == ends[c][0] else step[c]
+                grids[c] = [best[c] + k * way for k in range(n + 1)]
+                ends[c] = (grids[c][-1], math.inf) if way < 0 else (-math.inf, grids[c][-1])
+            best |= _best_lambda(dataset, beyond, grids)
+        return best, step
 
     def _fit(self, dataset: DataFrame) -> YeoJohnsonModel:
         if not self.cols:
             return YeoJohnsonModel({}, {}, {})
-        coarse = _best_lambda(dataset, self.cols, {c: self.coarse_grid() for c in self.cols})
-        lams = _best_lambda(dataset, self.cols, {c: self.fine_grid(coarse[c]) for c in self.cols})
+        coarse, step = self._bracketed(dataset)
+        lams = _best_lambda(dataset, self.cols, {c: self.fine_grid(coarse[c], step[c]) for c in self.cols})
+        step = {c: x / self.fine_half for c, x in step.items()}
+        while wide := [c for c in self.cols if step[c] > 1.0 / self.fine_den + 1e-12]:
+            lams |= _best_lambda(dataset, wide, {c: self.fine_grid(lams[c], step[c]) for c in wide})
+            step |= {c: step[c] / self.fine_half for c in wide}
         mean, scale = {}, {}
         if self.standardize:
             st = dataset.agg(*[F.avg(yeo_johnson(c, lams[c])).alias(f"m_{i}") for i, c in enumerate(self.cols)],
@@ -179,10 +206,12 @@ class SkewRouter(ColumnEstimator):
     def _fit(self, dataset: DataFrame) -> SkewRouterModel:
         skewed, normal = skew_split(dataset, self.cols, self.threshold)
         power = YeoJohnson(skewed).fit(dataset)
-        powered = power.transform(dataset)
-        scaler_n = RobustScaler(normal).fit(dataset)
-        scaler_s = RobustScaler(skewed).fit(powered)
-        return SkewRouterModel(skewed, normal, power, scaler_n, scaler_s)
+        both = RobustScaler(normal + skewed).fit(power.transform(dataset))  # the transform leaves the other columns as they are
+
+        def part(cols):
+            return RobustScalerModel({c: both.center[c] for c in cols}, {c: both.scale[c] for c in cols})
+
+        return SkewRouterModel(skewed, normal, power, part(normal), part(skewed))
 
 
 class SkewRouterModel(ColumnModel):

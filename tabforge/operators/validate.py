@@ -137,16 +137,21 @@ def oof_by_loop(df: DataFrame, make_estimator: Callable[[], object], fold_col: s
 
 
 def oofs_by_loop(df: DataFrame, makers: dict[str, Callable[[], object]], fold_col: str = "fold", pred_col: str = "prediction",
-                 parallelism: int = 10) -> DataFrame:
+                 parallelism: int = 10, fit_all: Callable[[dict, DataFrame], dict] | None = None) -> DataFrame:
     """``df`` with an out-of-fold column ``p_<name>`` per model; every (model, fold) fit runs side by side.
 
     Models must give back their input columns and one prediction column.
+    ``fit_all(makers, training rows)`` fits all models of a fold together, so that they can share work.
     """
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
-        tasks = [(n, k) for k in folds for n in makers]
-        models = dict(zip(tasks, run_parallel(lambda t: makers[t[0]]().fit(data.where(F.col(fold_col) != t[1])), tasks, parallelism)))
+        if fit_all is not None:
+            fitted = run_parallel(lambda k: fit_all(makers, data.where(F.col(fold_col) != k)), folds, parallelism)
+            models = {(n, k): m for k, per_fold in zip(folds, fitted) for n, m in per_fold.items()}
+        else:
+            tasks = [(n, k) for k in folds for n in makers]
+            models = dict(zip(tasks, run_parallel(lambda t: makers[t[0]]().fit(data.where(F.col(fold_col) != t[1])), tasks, parallelism)))
         out = None
         for k in folds:
             part = data.where(F.col(fold_col) == k)

@@ -13,7 +13,7 @@ from tabforge.operators.ensemble import MAX_BLEND, simplex_least_squares
 from tabforge.operators.knn import KNNImputer
 from tabforge.operators.linear import Gram, Lasso, Ridge, gram_sums, linear_expr, solve_lasso
 from tabforge.operators.persist import load_model, save_model
-from tabforge.operators.pipelines import PipelineStacking, RegressionPipeline, nested_stack_scores
+from tabforge.operators.pipelines import PipelineStacking, RegressionPipeline, fit_pipelines, nested_stack_scores
 from tabforge.operators.trees import GBT, RandomSearch, gbt_params
 from tabforge.operators.validate import LinearCV, assign_folds, fit_linear_cvs
 from tabforge.session import shuffle_partitions_for
@@ -214,3 +214,16 @@ def test_nested_scores_have_every_fold(spark):
 
 def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions_for(100 * 10 ** 12) > 350_000 and shuffle_partitions_for(1) == 8
+
+
+def test_shared_front_stages_give_the_models_of_separate_fits(spark):
+    rows = [(i, float(i % 17), float(np.exp((i * 7) % 11 / 2)), "abc"[i % 3], float(i % 17) + (i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, s string, y double")
+    makers = {"r": lambda: RegressionPipeline(lambda f: Ridge(f, "y", 1.0), "y", ["a", "b"], [], ["s"]),
+              "q": lambda: RegressionPipeline(lambda f: Ridge(f, "y", 5.0), "y", ["a", "b"], [], ["s"]),
+              "t": lambda: RegressionPipeline(lambda f: Ridge(f, "y", 1.0), "y", ["a", "b"], ["s"])}
+    together = fit_pipelines(makers, df)
+    assert together["r"].stages is together["q"].stages
+    assert together["r"].stages is not together["t"].stages
+    for name, make in makers.items():
+        assert np.allclose(together[name].model.coef, make().fit(df).model.coef)

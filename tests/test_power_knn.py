@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tabforge.functions.exprs import yeo_johnson, yeo_johnson_inverse
@@ -143,3 +144,20 @@ def test_knn_two_anchor_grid_matches_brute_force(spark):
     for t_idx, pos in ((3, 0), (4, 1)):
         for qid, val in _brute_knn(rows, [1, 2, 3, 4], t_idx, 5).items():
             assert abs(got[qid][pos] - val) < 1e-9, (qid, t_idx)
+
+
+def test_lambda_beyond_the_first_grid(spark):
+    rng = np.random.default_rng(1)
+    cols = {"high": np.power((0.5 + 0.05 * np.abs(rng.normal(size=2000))) * 9.0 + 1, 1 / 9.0) - 1,
+            "low": np.power(np.clip(0.05 + 0.01 * rng.normal(size=2000), 0.001, 0.11) * -8.3 + 1, 1 / -8.3) - 1}
+    df = spark.createDataFrame(pd.DataFrame(cols))
+    lams = YeoJohnson(list(cols)).fit(df).lambdas
+
+    def likelihood(x, lam):
+        t = (np.power(x + 1, lam) - 1) / lam
+        return -len(x) / 2 * np.log(t.var()) + (lam - 1) * np.log1p(x).sum()
+
+    for c, x in cols.items():
+        assert abs(lams[c]) > 5
+        grid = lams[c] + np.arange(-2000, 2001) / 100.0 + 1e-7
+        assert likelihood(x, lams[c]) >= max(likelihood(x, g) for g in grid) - 1e-4

@@ -606,3 +606,35 @@ def _ablation_sql() -> str:
 
 
 ORACLE["ablation"] = _ablation_sql()
+
+
+def _skew_route_sql() -> str:
+    """Skewed columns: Yeo-Johnson by the two grids, standardised; then every column robustly scaled."""
+    ll = "-CAST(count(*) AS DOUBLE) / 2 * ln(var_pop({t})) + (lam - 1) * sum(sign(x) * ln(1 + abs(x))) AS ll"
+    t = _yj("x", "lam")
+    cols = ["x1", "x2", "x3"]
+    long = " UNION ALL ".join(f"SELECT id, '{c}' AS col, {c} AS x FROM C3" for c in cols)
+    wide = ", ".join(f"round(max(CASE WHEN Z.col = '{c}' THEN z END), 6) AS {c}" for c in cols)
+    return f"""WITH {C_CTE},
+C3 AS (SELECT id, x1, x2, exp(x1 / CAST(5 AS DOUBLE)) AS x3 FROM C),
+X AS ({long}),
+M AS (SELECT col, avg(x) AS m, var_pop(x) AS v FROM X GROUP BY col),
+S AS (SELECT X.col, abs(avg(pow(x - m, 3)) / pow(max(v), CAST(1.5 AS DOUBLE))) > 0.75 AS skewed FROM X JOIN M USING (col) GROUP BY X.col),
+XS AS (SELECT X.* FROM X JOIN S USING (col) WHERE skewed),
+G1 AS (SELECT CAST(k AS DOUBLE) / 10 AS lam FROM range(-50, 51) t(k)),
+L1 AS (SELECT col, lam, {ll.format(t=t)} FROM XS, G1 GROUP BY col, lam),
+B1 AS (SELECT col, arg_max(lam, ll) AS lam1 FROM L1 GROUP BY col),
+G2 AS (SELECT col, lam1 + CAST(j - 100 AS DOUBLE) / 1000 AS lam FROM B1, range(0, 201) t(j)),
+L2 AS (SELECT XS.col, lam, {ll.format(t=t)} FROM XS JOIN G2 ON XS.col = G2.col GROUP BY XS.col, lam),
+B2 AS (SELECT col, arg_max(lam, ll) AS lam FROM L2 GROUP BY col),
+T AS (SELECT id, XS.col, {t} AS t FROM XS JOIN B2 ON XS.col = B2.col),
+TS AS (SELECT col, avg(t) AS m, stddev_pop(t) AS sd FROM T GROUP BY col),
+R AS (SELECT id, T.col, (t - m) / sd AS x FROM T JOIN TS ON T.col = TS.col
+      UNION ALL SELECT id, X.col, x FROM X JOIN S ON X.col = S.col WHERE NOT skewed),
+Q AS (SELECT col, median(x) AS med, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM R GROUP BY col),
+Z AS (SELECT id, R.col, (x - med) / (CASE WHEN abs(iqr) > 2.3e-15 THEN iqr ELSE 1 END) AS z FROM R JOIN Q ON R.col = Q.col),
+N AS (SELECT coalesce(string_agg(col, ',' ORDER BY col), '') AS names FROM S WHERE skewed)
+SELECT id, {wide}, max(names) AS skewed_cols FROM Z, N GROUP BY id"""
+
+
+ORACLE["skew_route"] = _skew_route_sql()

@@ -26,6 +26,7 @@ from .common import globally_indexed, n_words, text_key, written
 MAX_LEN = 2048
 N_BUCKETS = 16
 BUDGET = 16384
+_COPIES = 4096    # copies of a row numbered at once
 
 
 def best_boundaries(histogram: dict[int, int], n_buckets: int) -> list[int]:
@@ -58,7 +59,10 @@ def pieces(docs: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     """doc_id, copy, piece, start, n_tokens, order: a row per piece, one for a document without words."""
     base = (docs.select("doc_id", n_words(F.col("text")).alias("words"), text_key(F.col("text")).alias("hash"))
             .groupBy("doc_id", "words", "hash").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))))
+            # numbered block by block, so a row that repeats very often never becomes one long array
+            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {_COPIES}"))))
+            .withColumn("copy", F.explode(F.sequence(F.col("block") * _COPIES + 1,
+                                                     F.least(F.col("n"), (F.col("block") + 1) * _COPIES)))))
     last = F.greatest(F.expr(f"(words - 1) div {max_len}"), F.lit(0))
     cut = base.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     start = F.col("piece") * max_len

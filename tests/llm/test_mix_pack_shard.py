@@ -163,3 +163,10 @@ def test_sharding_edge_cases(spark):
 
 def test_after_prefix():
     assert sharding._after("00a") == "00b" and sharding._after("0ff") == "1" and sharding._after("fff") == "g"
+
+
+def test_packing_numbers_many_copies_of_a_row(spark):
+    n = 2 * packing._COPIES + 3
+    docs = spark.range(n).selectExpr("7L as doc_id", "'a b c' as text")
+    rows = packing.pieces(docs).agg(F.count("*"), F.countDistinct("copy"), F.min("copy"), F.max("copy")).first()
+    assert tuple(rows) == (n, n, 1, n)

@@ -15,6 +15,14 @@ are, which grouping by the chunk text itself decides.
 Rows that agree in doc_id and text count as one document and are treated
 alike.  Null texts stay null and have no lines.  Single-line chunks are never
 removed.  An empty table gives an empty result; other columns stay as they are.
+
+The chunk rule misses most short passages: a repeated passage goes only where
+two cuts fall inside it.  ``dedup_passages`` has no such gap.  It takes every
+window of two adjacent lines with a word as a candidate (same filter, same
+check by bytes) and removes each line of a window that is not the first of its
+kind, so matches extend line by line over their whole length.  The first place
+of any line is never removed: an earlier copy of its window would hold an
+earlier copy of the line.
 """
 
 from __future__ import annotations
@@ -66,32 +74,65 @@ def _numbered(docs: DataFrame) -> DataFrame:
             .select("doc_id", "t", "pos", "c.n_lines", F.col("c.text").alias("chunk")))
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, t, pos, n_lines) of the chunk occurrences to remove."""
-    hashes = written(_numbered(docs).select(F.xxhash64("chunk").alias("h")), "line-hashes")
+def _later_copies(numbered: Callable[[], DataFrame], piece: str) -> DataFrame:
+    """The rows of ``numbered()`` (doc_id, t, pos, ``piece``, more) whose piece stands at an earlier place too."""
+    hashes = written(numbered().select(F.xxhash64(piece).alias("h")), "line-hashes")
     bits = filter_bits(hashes.count())
     maps = repeat_bitmaps(hashes, "h", bits)
-    maybe = written(with_repeat_flag(_numbered(docs), F.xxhash64("chunk"), maps, bits, "maybe")
+    maybe = written(with_repeat_flag(numbered(), F.xxhash64(piece), maps, bits, "maybe")
                     .filter("maybe").drop("maybe"), "line-candidates")
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"),
                      F.col("pos").alias("pos"))
-    groups = written(maybe.groupBy("chunk").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    groups = written(maybe.groupBy(piece).agg(F.min(place).alias("first"), F.max(place).alias("last"))
                      .filter("first <> last"), "line-groups")
     same = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"),
                     F.col("pos").alias("pos"))
-    return maybe.join(groups, "chunk").filter(~same.eqNullSafe(F.col("first"))).select("doc_id", "t", "pos", "n_lines")
+    return maybe.join(groups, piece).filter(~same.eqNullSafe(F.col("first")))
+
+
+def repeated_chunks(docs: DataFrame) -> DataFrame:
+    """(doc_id, t, pos, n_lines) of the chunk occurrences to remove."""
+    return _later_copies(lambda: _numbered(docs), "chunk").select("doc_id", "t", "pos", "n_lines")
+
+
+def _windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, t, pos, pair) for every two adjacent lines with a word; ``pos`` is the first line's, from 0."""
+    def pairs(lines: Column) -> Column:
+        return F.transform(F.slice(lines, F.lit(1), F.size(lines) - 1),
+                           lambda line, i: F.concat(line, F.lit("\n"), F.get(lines, i + 1)))
+    rows = docs.filter("text is not null").select("doc_id", text_key(F.col("text")).alias("t"), F.posexplode(
+        _let(F.split(F.col("text"), "\n", -1), pairs)).alias("pos", "pair"))
+    return rows.filter(F.col("pair").rlike(f"[^{SPACE}]"))
+
+
+def _lines(text: Column) -> Column:
+    """Array of struct(text): the lines of a text in order."""
+    return F.transform(F.split(text, "\n", -1), lambda line: F.struct(line.alias("text")))
 
 
 def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``, and the numbers of lines before and removed.
+    """``docs`` with the repeated chunks taken out of ``text``, and the numbers of lines before and removed."""
+    gone = repeated_chunks(docs).distinct().groupBy("doc_id", "t").agg(
+        F.collect_list("pos").alias("gone"), F.sum("n_lines").cast("long").alias("lines_gone"))
+    return _taken_out(docs, gone, chunks, n_lines, n_removed)
+
+
+def dedup_passages(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
+    """Like ``dedup_lines``, for every repeated passage of two lines or more with a word, wherever it stands."""
+    gone = _later_copies(lambda: _windows(docs), "pair").groupBy("doc_id", "t").agg(F.collect_set("pos").alias("p")).select(
+        "doc_id", "t", F.array_union(F.col("p"), F.transform("p", lambda i: i + 1)).alias("gone"))
+    return _taken_out(docs, gone.withColumn("lines_gone", F.size("gone").cast("long")), _lines, n_lines, n_removed)
+
+
+def _taken_out(docs: DataFrame, removals: DataFrame, pieces: Callable[[Column], Column], n_lines: str, n_removed: str) -> DataFrame:
+    """``docs`` without the ``pieces`` of ``text`` at the positions in ``removals`` (doc_id, t, gone, lines_gone).
 
     A Bloom filter of the documents that lose lines, of a bounded size, lets
     all others pass straight through; only the rest meets the removal list.
     """
     d, t, gone, lines_gone, flag = (fresh(docs, x) for x in ("_d", "_t", "_gone", "_lines_gone", "_touched"))
-    removed = written(repeated_chunks(docs).distinct().groupBy("doc_id", "t").agg(
-        F.collect_list("pos").alias(gone), F.sum("n_lines").cast("long").alias(lines_gone))
-        .withColumnRenamed("doc_id", d).withColumnRenamed("t", t).withColumn("h", F.xxhash64(d, t)), "line-removed")
+    removed = written(removals.withColumnsRenamed({"doc_id": d, "t": t, "gone": gone, "lines_gone": lines_gone})
+                      .withColumn("h", F.xxhash64(d, t)), "line-removed")
     bits = filter_bits(removed.count())
     text = F.col("text")
     key = text_key(text)
@@ -101,7 +142,7 @@ def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_r
     whole = flagged.filter(~F.col(flag)).select(*cols, lines, F.lit(0).cast("long").alias(n_removed))
     touched = flagged.filter(F.col(flag)).join(
         removed.drop("h"), F.col("doc_id").eqNullSafe(F.col(d)) & (key == F.col(t)), "left")
-    kept = _let(chunks(text), lambda c: F.array_join(F.transform(
+    kept = _let(pieces(text), lambda c: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(c) - 1), F.col(gone)), lambda i: F.get(c, i)["text"]), "\n"))
     cut = touched.select(
         *[F.when(F.col(gone).isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
@@ -113,3 +154,9 @@ def line_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed and the SHA-256 of the text that is left."""
     out = dedup_lines(docs.select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(whole_text(F.col("text")), 256).alias("text_sha256"))
+
+
+def passage_report(docs: DataFrame) -> DataFrame:
+    """The columns of ``line_report`` for ``dedup_passages``."""
+    out = dedup_passages(docs.select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(whole_text(F.col("text")), 256).alias("text_sha256"))

@@ -41,6 +41,19 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, sum(CASE WHEN gone THEN n ELSE 0 END):
 FROM g GROUP BY doc_id
 """
 
+PASSAGE_DEDUP = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+     n AS (SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM l),
+     w AS (SELECT doc_id, i, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS pair FROM n),
+     a AS (SELECT doc_id, i, row_number() OVER (PARTITION BY pair ORDER BY doc_id, i) > 1
+                  AND regexp_matches(pair, '[^\\x20\\x09-\\x0D]') AS again FROM w WHERE pair IS NOT NULL),
+     g AS (SELECT n.doc_id, n.i, n.line, coalesce(x.again, false) OR coalesce(y.again, false) AS gone FROM n
+           LEFT JOIN a x ON x.doc_id = n.doc_id AND x.i = n.i LEFT JOIN a y ON y.doc_id = n.doc_id AND y.i = n.i - 1)
+SELECT doc_id, count(*)::BIGINT AS n_lines, sum(CASE WHEN gone THEN 1 ELSE 0 END)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY i), '')) AS text_sha256
+FROM g GROUP BY doc_id
+"""
+
 
 def _secret_scan() -> str:
     parts = []
@@ -65,6 +78,7 @@ FROM documents LEFT JOIN doc USING (doc_id)
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
+    "op1_passage_dedup": PASSAGE_DEDUP,
     "op5_exact_dedup": EXACT_DEDUP,
     "op7_secret_scan": _secret_scan(),
 }

@@ -14,6 +14,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
 
+def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.passage_report(documents(spark, sf_dir))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.fit(url_filter.labelled_urls(spark))
     return url_filter.judged(table(spark, sf_dir, "pages"), model)
@@ -53,4 +57,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_url_filter, op3_toxicity, op4_source_mix, op5_exact_dedup, op6_quality_rules, op7_secret_scan,
-    op8_packing, op9_simhash_dedup, op10_sharding)}
+    op8_packing, op9_simhash_dedup, op10_sharding, op1_passage_dedup)}

@@ -173,7 +173,7 @@ def clause_scores(text: str | None, lexicon: Lexicon, machine: Transducer, memo:
         state, written, factor = machine[state][symbol]
         if weight and written in (INSULT, THREAT):
             score += weight * factor
-    return total + score, max(best, score), clauses + words
+    return max(0.0, total + score), max(best, score), clauses + words
 
 
 def clause_column(text: Column, lexicon: Lexicon) -> Column:
@@ -224,8 +224,10 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
         return F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
 
     ratio = 2 * (part(t, n * base) + part(n - t, n * (1 - base)))
-    rows = (counted.filter((t / n >= MIN_SHARE)).withColumn("ratio", ratio).filter(F.col("ratio") >= MIN_RATIO)
-            .orderBy(F.col("ratio").desc(), "unit").limit(MAX_LEARNED).collect())
+    # where most labels are toxic, a word over MIN_SHARE can still be commoner in clean texts: its weight would be negative
+    weight = F.log((t + 0.5) / F.lit(n_toxic + 1.0)) - F.log((n - t + 0.5) / F.lit(n_clean + 1.0))
+    rows = (counted.filter((t / n >= MIN_SHARE) & (t / n > base) & (weight > 0)).withColumn("ratio", ratio)
+            .filter(F.col("ratio") >= MIN_RATIO).orderBy(F.col("ratio").desc(), "unit").limit(MAX_LEARNED).collect())
     for r in rows:
         weight = math.log((r["t"] + 0.5) / (n_toxic + 1)) - math.log((r["n"] - r["t"] + 0.5) / (n_clean + 1))
         unit = r["unit"]
@@ -295,4 +297,5 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the model predicts to be toxic."""
     score = fresh(docs, "_score")
     rows = fit(docs, labels).scored(docs, score)
-    return rows.filter(F.col(score) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
+    toxic = (F.col(score) >= 0.5) & ~F.isnan(score)  # a null or NaN score condemns no document
+    return rows.filter(~F.coalesce(toxic, F.lit(False))).select(*[F.col(f"`{c}`") for c in docs.columns])

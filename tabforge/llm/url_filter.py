@@ -30,16 +30,16 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 
 # The small labelled table: sites to block and sites to allow, each seen with the same kinds of path,
 # then single urls in which the path tells.
-BLOCKED_SITES = """casino-win grand-casino online-casino casino-jackpot poker-bets free-bets bets-live betting-tips jackpot-win
-    slots-free lotto-win cheap-pills pills-online cheap-meds viagra-cheap diet-pills cheap-watches cheap-loans payday-loans
-    adult-x adult-cams xxx-adult sex-dating hot-adult porn-x spam-farm link-farm seo-spam spam-mail content-farm ads-track
-    ad-track track-ads pop-ads ads-click crack-download warez-free free-prizes win-prizes casino-bets cheap-pills-x
-    adult-farm ads-spam free-casino free-slots-win""".split()
+BLOCKED_SITES = """grand-casino online-casino casino-jackpot poker-bets bets-live betting-tips jackpot-win slots-free lotto-win
+    pills-online cheap-meds viagra-cheap diet-pills cheap-watches cheap-loans payday-loans adult-cams xxx-adult
+    sex-dating hot-adult porn-x link-farm seo-spam spam-mail content-farm ad-track track-ads pop-ads ads-click
+    crack-download warez-free free-prizes win-prizes casino-bets cheap-pills-x adult-farm ads-spam free-casino
+    free-slots-win""".split()
 ALLOWED_SITES = """news-daily city-library school blog-garden weather museum recipes history science math language wiki-plants
-    health travel music sports hospital painter library river theater nation station tionsh thering thernd ththan anding
-    hered enthe onati ingble erested lyought whateding northen stones thorand ofthe hanted ratione esting heation oundly
-    teaching forest island bridge harbor teacher meadow printing winter freedom tracks farmer address adults-learn expert
-    better therea therat therha therble therin thther ththre ththor tionble tiontion ererin reonat""".split()
+    health travel music sports hospital painter library river theater nation station anding hered enthe onati ingble
+    erested lyought whateding northen stones thorand ofthe hanted ratione esting heation oundly teaching forest
+    island bridge harbor teacher meadow printing winter freedom tracks farmer address adults-learn expert better
+    ererin reonat""".split()
 PATHS = ("/", "/en/4310", "/de/77", "/fr/5912.html", "/es/204/")
 BLOCKED_PATHS = """/casino/bonus /buy-cheap-pills /free-bets /adult/videos /xxx/cams /ads/track /ads/click /spam/links /win-prizes
     /payday-loans /poker/join /viagra/order""".split()
@@ -78,7 +78,7 @@ def _grams(text: Column, mark: str, sizes=(3, 4, 5)) -> Column:
 def _features(df: DataFrame, host: str, path: str, out: str, bits: int) -> DataFrame:
     """Hashed grams.  Digits are one symbol; the last label of a host and a usual first one tell nothing of a site."""
     grams = fresh(df, "_grams")
-    site = F.regexp_replace(F.regexp_replace(F.col(host), r"(\.example)?\.[^.]*$", ""), r"^(www|m|blog)\.", "")
+    site = F.regexp_replace(F.regexp_replace(F.col(host), r"\.[^.]*$", ""), r"^(www|m|blog)\.", "")
     tokens = F.concat(_grams(F.regexp_replace(site, "[0-9]", "0"), "h:"),
                       _grams(F.regexp_replace(F.col(path), "[0-9]+", "0"), "p:"))
     hashed = HashingTF(numFeatures=1 << bits, binary=True, inputCol=grams, outputCol=out)

@@ -1,11 +1,12 @@
 """Toxicity by a weighted grammar of finite-state transducers over clauses.
 
-Words become symbols: insult, threat, person (target), intent, negation,
-report and quotation mark.  Four transducers then rewrite a clause's symbols,
-each with a factor: negation weakens what follows it, reported speech and
-quotation weaken what is quoted, a target near an insult strengthens it, and a
-threat counts in full only with an intent or a target.  They are composed once
-into one transducer.  A clause's score is the sum of lexical weight x factor;
+Words become symbols: insult, threat, person (target), copula, intent,
+negation, report and quotation mark.  Five transducers then rewrite a clause's
+symbols, each with a factor: an insult counts in full only in a pattern
+(target-copula-insult, vocative, insult phrase), negation weakens what follows
+it, reported speech and quotation weaken what is quoted, a target near an
+insult strengthens it, and a threat counts in full only with an intent or a
+target.  They are composed once into one transducer.  A clause's score is the sum of lexical weight x factor;
 a document is scored from its sum, its best clause and its density of clauses
 through a logistic calibration.
 
@@ -51,13 +52,15 @@ INSULTS = """idiot idiots moron morons scum stupid worthless loser losers clown
 THREATS = "kill hurt destroy beat burn shoot stab murder crush matar tuer töten umbringen destruir".split()
 PERSONS = """you your yourself he she him her they them his their people du dich dir ihr sie tu toi vous ils elles usted
     ustedes ellos""".split()
+COPULAS = """is are am was were be been being you're you’re he's he’s she's she’s they're they’re bist ist sind seid
+    war waren es est êtes sont était étais eres son era eran fue""".split()
 INTENTS = "will shall gonna going must should werde werden vais allons voy vamos".split()
 NEGATIONS = "not never no neither nor isn't aren't don't doesn't wasn't nicht kein keine nie pas jamais nunca".split()
 REPORTS = """said says say told called calls wrote writes claims claimed quoted reported according sagte sagt dit
     disait dijo dice""".split()
 
-OTHER, INSULT, THREAT, PERSON, INTENT, NEGATION, REPORT, QUOTE = "oitpgnrq"
-SYMBOLS = (OTHER, INSULT, THREAT, PERSON, INTENT, NEGATION, REPORT, QUOTE)
+OTHER, INSULT, THREAT, PERSON, INTENT, NEGATION, REPORT, QUOTE, COPULA = "oitpgnrqc"
+SYMBOLS = (OTHER, INSULT, THREAT, PERSON, INTENT, NEGATION, REPORT, QUOTE, COPULA)
 BREAK = "."
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;\n]|[\"“”«»]")
 
@@ -104,6 +107,37 @@ def threat(factor: float = 0.3) -> Transducer:
     return _machine(range(2), step)
 
 
+ISOLATED = 0.3  # factor of an insult outside every insult pattern
+
+
+def insult(near: int = 2, reach: int = 4, factor: float = ISOLATED) -> Transducer:
+    """An insult counts in full only in a pattern, else it is weakened.
+
+    Patterns: a person, a copula at most ``near`` words on and the insult at
+    most ``reach`` words after that; a person at most ``near`` words before it;
+    the first word of a clause (vocative); directly after another insult.
+    States: 0 start, 1 plain, 2 after an insult, then words left after a person
+    (``near``) and after its copula (``reach``).
+    """
+    start, plain, phrase = range(3)
+    person = {k: 2 + k for k in range(1, near + 1)}
+    copula = {k: 2 + near + k for k in range(1, reach + 1)}
+    left = {v: (group, k) for group in (person, copula) for k, v in group.items()}
+
+    def step(s, x):
+        group, k = left.get(s, ({}, 0))
+        if x == INSULT:
+            return phrase, x, factor if s == plain else 1.0
+        if x == PERSON:
+            return person[near], x, 1.0
+        if x == COPULA and group is person:
+            return copula[reach], x, 1.0
+        if x == QUOTE:
+            return s, x, 1.0
+        return group.get(k - 1, plain), x, 1.0
+    return _machine(range(3 + near + reach), step)
+
+
 def compose(first: Transducer, second: Transducer) -> Transducer:
     """The transducer that feeds what ``first`` writes to ``second``; factors multiply."""
     out, todo, number = {}, [(0, 0)], {(0, 0): 0}
@@ -128,6 +162,11 @@ def grammar() -> Transducer:
     return out
 
 
+def full_grammar() -> Transducer:
+    """The grammar with the insult patterns: what documents are scored by."""
+    return compose(insult(), grammar())
+
+
 @dataclass
 class Lexicon:
     """word -> (symbol, weight), and word beginnings -> weight of an insult."""
@@ -148,7 +187,7 @@ class Lexicon:
 def seed_lexicon() -> Lexicon:
     out = {}
     for symbol, weight, words in ((REPORT, 0.0, REPORTS), (NEGATION, 0.0, NEGATIONS), (INTENT, 0.0, INTENTS),
-                                  (PERSON, 0.0, PERSONS), (THREAT, SEED_WEIGHT, THREATS), (INSULT, SEED_WEIGHT, INSULTS)):
+                                  (PERSON, 0.0, PERSONS), (COPULA, 0.0, COPULAS), (THREAT, SEED_WEIGHT, THREATS), (INSULT, SEED_WEIGHT, INSULTS)):
         out |= {w: (symbol, weight) for w in words}
     return Lexicon(out)
 
@@ -178,7 +217,7 @@ def clause_scores(text: str | None, lexicon: Lexicon, machine: Transducer, memo:
 
 def clause_column(text: Column, lexicon: Lexicon) -> Column:
     """struct(total, best, clauses) of each text."""
-    machine = grammar()
+    machine = full_grammar()
 
     @pandas_udf("total double, best double, clauses long")
     def clauses(texts: pd.Series) -> pd.DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, line_dedup, mixing, packing, quality_rules, secret_scan, sharding, simhash, toxicity,
-               url_filter)
+from . import (clustering, exact_dedup, line_dedup, mixing, packing, pii, quality_rules, secret_scan, sharding, simhash,
+               toxicity, url_filter, whitening)
 from .common import documents, table
 from .oracle import ORACLE  # noqa: F401  re-exported for the driver
 
@@ -55,6 +55,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(documents(spark, sf_dir))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(documents(spark, sf_dir))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_url_filter, op3_toxicity, op4_source_mix, op5_exact_dedup, op6_quality_rules, op7_secret_scan,
-    op8_packing, op9_simhash_dedup, op10_sharding, op1_passage_dedup)}
+    op8_packing, op9_simhash_dedup, op10_sharding, op1_passage_dedup, op11_centroid_clustering, op12_pii,
+    op13_embedding_whitening)}

@@ -81,7 +81,7 @@ FROM documents LEFT JOIN doc USING (doc_id)
 _PII_NUMBER = "[0-9]+(-[0-9]+)*"
 _PII_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": r"[0-9]([\x20-]?[0-9])+", "phone": PHONE, "iban": IBAN, "ssn": _PII_NUMBER, "routing": _PII_NUMBER, "birth": _PII_NUMBER,
+    "card": r"[0-9]([\x20-]?[0-9]){11,}", "phone": PHONE, "iban": IBAN, "ssn": _PII_NUMBER, "routing": _PII_NUMBER, "birth": _PII_NUMBER,
 }
 _PII_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
 _PII_ALONE = "NOT regexp_matches(b, '[A-Za-z0-9+.]$')"
@@ -115,10 +115,11 @@ def _pii() -> str:
 SELECT doc_id, {k} AS k, '{kind.name}' AS kind, s, s + length({part}) AS e,
        round({kind.score} + CASE WHEN regexp_matches(' ' || lower(b) || chr(32) || chr(10) || chr(32) || lower(a) || ' ', {_quoted(f'[^a-z](?:{kind.context})[^a-z]')})
                             THEN {kind.bonus} ELSE 0 END, 2) AS score
-FROM (SELECT doc_id, m, right(p[i], {BEFORE}) AS b, left(p[i + 1], {AFTER}) AS a,
+FROM (SELECT doc_id, m, right(coalesce(right(ms[i - 1], 1), '') || p[i], {BEFORE}) AS b,
+             left(p[i + 1] || coalesce(left(ms[i + 1], 1), ''), {AFTER}) AS a,
              sum(length(p[i]) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m) AS s
-      FROM (SELECT doc_id, generate_subscripts(m, 1) AS i, unnest(m) AS m, p
-            FROM (SELECT doc_id, regexp_extract_all(text, {p}) AS m, string_split_regex(text, {p}) AS p
+      FROM (SELECT doc_id, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, ms, p
+            FROM (SELECT doc_id, regexp_extract_all(text, {p}) AS ms, string_split_regex(text, {p}) AS p
                   FROM documents WHERE regexp_matches(text, {p}))))
 WHERE {_PII_VALID[kind.name]}""")
     counts = ", ".join(f"count(*) FILTER (k = {k})::BIGINT AS n_{kind.name}" for k, kind in enumerate(BASE_KINDS))

@@ -4,7 +4,8 @@ Regular expressions propose spans; a validator of the kind confirms each one
 (digit counts, Luhn, mod-97 with the country's length, the routing checksum,
 part ranges); the words nearby adjust its score, and a proposal becomes a span
 when its score reaches ``THRESHOLD``.  Nearby are the 40 code points before and
-the 20 after a proposal, not reaching past the next proposal of its pattern.
+the 20 after a proposal, up to the nearest character of the next proposal of
+its pattern.
 The base kinds reach the threshold by their validator alone, so context only
 moves their score; ``ssn``, ``routing`` and ``birth`` need a word of theirs.
 
@@ -189,8 +190,13 @@ def _proposals(text: Column, pattern: str, keep: Callable[[Column, Column, Colum
         n = F.size(v.found)
         ends = _running(F.zip_with(v.found, F.slice(v.pieces, F.lit(1), n), lambda m, g: F.length(m) + F.length(g)))
         return _let(F.struct(v.found.alias("found"), v.pieces.alias("pieces"), ends.alias("ends")), lambda w: F.flatten(F.transform(
-            w.found, lambda m, i: keep(w.ends[i] - F.length(m), m, F.substring(w.pieces[i], -BEFORE, BEFORE),
-                                       F.substring(w.pieces[i + 1], 1, AFTER)))))
+            w.found, lambda m, i: keep(w.ends[i] - F.length(m), m, around(w, i)[0], around(w, i)[1]))))
+
+    def around(w: Column, i: Column) -> tuple[Column, Column]:
+        """The text before and after match i, up to the nearest character of the matches next to it."""
+        left = F.coalesce(F.substring(F.get(w.found, i - 1), -1, 1), F.lit(""))
+        right = F.coalesce(F.substring(F.get(w.found, i + 1), 1, 1), F.lit(""))
+        return F.substring(F.concat(left, w.pieces[i]), -BEFORE, BEFORE), F.substring(F.concat(w.pieces[i + 1], right), 1, AFTER)
 
     return _let(F.struct(found.alias("found"), pieces.alias("pieces")),
                 lambda v: F.when(F.size(v.found) > 0, placed(v)).otherwise(F.array().cast(_SPAN)))

@@ -67,11 +67,10 @@ def tridiagonal(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def sturm_count(diagonal: np.ndarray, off: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Number of eigenvalues below each of ``at``: negative pivots of T - at."""
     tiny = np.finfo(float).tiny / _EPS
-    pivot = diagonal[0] - at
-    below = (pivot < 0).astype(np.int64)
-    for i in range(1, len(diagonal)):
+    below, pivot = np.zeros(len(at), dtype=np.int64), np.ones(len(at))
+    for i in range(len(diagonal)):
+        pivot = diagonal[i] - at - (off[i - 1] ** 2 / pivot if i else 0.0)
         pivot = np.where(np.abs(pivot) < tiny, -tiny, pivot)
-        pivot = diagonal[i] - at - off[i - 1] ** 2 / pivot
         below += pivot < 0
     return below
 
@@ -232,8 +231,10 @@ def fit(rows: DataFrame, x: str, dims: int, components: int = COMPONENTS) -> Whi
         return none
     _, products = product_sums(rows, dims, x, lambda v: none.centre(matrix(v, dims)))
     cov = (products + products.T) / (2 * n)
+    if not np.trace(cov) > 0:
+        return none
     values, vectors = leading_eigenpairs(cov, components)
-    there = values > dims * _EPS * max(float(np.trace(cov)), 0.0)
+    there = values > dims * _EPS * float(np.trace(cov))
     return Whitening(dims, n, tuple(sums), values[there], vectors[:, there], float(np.trace(cov)))
 
 

@@ -7,7 +7,11 @@ A receiver (row with the target null) takes the mean of its k nearest donors
 (fit rows with the target present; ties broken by donor id); categorical
 targets round the mean code half-to-even and decode it.
 
-Search.  One "anchor" column that is never null bounds the distance from
+Many columns.  Where more columns are complete than the grid has anchors, the
+search goes by the cell index over all of them (``operators/pivots.py``); a
+receiver that lacks one of those columns goes by the grid below.
+
+Few columns.  One "anchor" column that is never null bounds the distance from
 below: |anchor_q - anchor_d| <= d(q, d).  Donors and receivers are bucketed on
 the anchor; level L uses bucket width w * 2^L and each pending receiver is
 equi-joined with the donors of its own and the two neighbouring buckets.  A
@@ -35,26 +39,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.exprs import code_map
-from tabforge.operators.base import ColumnEstimator, ColumnModel
+from tabforge.operators import pivots
+from tabforge.operators.base import MAX_LITERAL_ENTRIES, ColumnEstimator, ColumnModel, checked_broadcast
 from tabforge.operators.encode import first_appearance_codes
 from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
 
-def _nan_sq_dist(cols: Sequence[str], n_dims: int):
-    present = None
-    ssum = None
-    for c in cols:
-        q, d = F.col(f"q_{c}"), F.col(f"d_{c}")
-        both = q.isNotNull() & d.isNotNull()
-        pc = both.cast("int")
-        sc = F.when(both, (q - d) * (q - d)).otherwise(F.lit(0.0))
-        present = pc if present is None else present + pc
-        ssum = sc if ssum is None else ssum + sc
-    return F.when(present > 0, F.lit(float(n_dims)) / present * ssum)
-
-
 def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str], anchors: Sequence[str],
              k: int, widths: Sequence[float], los: Sequence[float], his: Sequence[float],
              max_rounds: int = 64) -> DataFrame:
@@ -97,7 +89,7 @@ def knn_mean(receivers: DataFrame, donors: DataFrame, dist_cols: Sequence[str],
         db = donors.withColumn("_lv", F.explode(F.array(*[F.lit(lv) for lv in levels])))
         for j in range(m):
             db = db.withColumn(bb[j], F.floor(da[j] / (F.lit(widths[j]) * F.pow(F.lit(2.0), F.col("_lv")))).cast("long"))
-        cand = qx.join(db, ["_t", "_lv", *bb]).withColumn("_d2", _nan_sq_dist(dist_cols, len(dist_cols))).where(
+        cand = qx.join(db, ["_t", "_lv", *bb]).withColumn("_d2", pivots.squared_distance(dist_cols, len(dist_cols))).where(
             F.col("_d2").isNotNull())
         rank = F.row_number().over(Window.partitionBy("qid", "_t").orderBy("_d2", "did"))
         top = cand.withColumn("_r", rank).where(F.col("_r") <= k)
@@ -147,8 +139,6 @@ def k_smallest_per_group(df: DataFrame, group_cols: Sequence[str], order_col: st
     return df.withColumn("_kr", rank).where(F.col("_kr") <= k).drop("_kr")
 
 
-# Levels of a coded string column: their codes are a literal map.
-MAX_DISTANCE_LEVELS = 5_000
 # Name of the constant anchor of receivers that have no other: their box covers all donors.
 _ZERO = "_zero"
 
@@ -159,12 +149,21 @@ class KNNImputer(ColumnEstimator):
     ``dist_cols`` are all columns entering the distance (strings are coded);
     ``cat_cols`` lists which targets are categorical.  ``anchor`` must be a
     numeric distance column without nulls; by default the complete numeric
-    column with the widest spread is used.
+    column with the widest spread is used.  ``search``: ``auto`` takes the cell
+    index when more than ``n_anchors`` columns are complete and no anchor is
+    given, else the grid; ``grid``, ``index`` and ``approximate`` (LSH, see
+    ``pivots.approximate_neighbours``) are taken as said.  Codes of a string
+    column are a literal map up to ``MAX_LITERAL_ENTRIES`` levels and a joined
+    table above, both ways.
     """
 
     def __init__(self, target_cols: Sequence[str], dist_cols: Sequence[str], id_col: str, k: int = 5,
-                 anchor: str | Sequence[str] | None = None, donors_per_bucket: int = 64, n_anchors: int = 2):
+                 anchor: str | Sequence[str] | None = None, donors_per_bucket: int = 64, n_anchors: int = 2,
+                 search: str = "auto", donors_per_cell: int = pivots.DONORS_PER_CELL):
         super().__init__()
+        if search not in ("auto", "grid", "index", "approximate"):
+            raise ValueError(f"unknown search {search}")
+        self.search, self.donors_per_cell = search, donors_per_cell
         self.target_cols, self.dist_cols, self.id_col = list(target_cols), list(dist_cols), id_col
         self.k, self.donors_per_bucket, self.n_anchors = k, donors_per_bucket, n_anchors
         self.anchor = [anchor] if isinstance(anchor, str) else (list(anchor) if anchor else None)
@@ -172,11 +171,12 @@ class KNNImputer(ColumnEstimator):
     def _fit(self, dataset: DataFrame) -> KNNImputerModel:
         types = {f.name: f.dataType.simpleString() for f in dataset.schema.fields}
         str_cols = [c for c in self.dist_cols if types[c] == "string"]
-        codes = {}
+        codes, sizes = {}, {}
         for c in str_cols:
-            tbl = first_appearance_codes(dataset, c, self.id_col, MAX_DISTANCE_LEVELS)
-            codes[c] = {r["value"]: r["code"] for r in tbl.collect()}
-        model = KNNImputerModel(self, codes, [], [], [], [], dataset)
+            tbl = checkpoint_once(first_appearance_codes(dataset, c, self.id_col))
+            sizes[c] = tbl.count()
+            codes[c] = {r["value"]: r["code"] for r in tbl.collect()} if sizes[c] <= MAX_LITERAL_ENTRIES else tbl
+        model = KNNImputerModel(self, codes, sizes, [], [], [], [], dataset)
         enc = model.fit_encoded
         cols = model.dist_cols
         st = enc.agg(F.count(F.lit(1)).alias("n"),
@@ -199,28 +199,58 @@ class KNNImputer(ColumnEstimator):
         his = [0.0 if a == _ZERO else float(st[f"hi_{a}"]) for a in anchors]
         widths = [((h - lo) / cells_per_dim) if h > lo else 1.0 for lo, h in zip(los, his)]
         model.anchors, model.widths, model.los, model.his = anchors, widths, los, his
+        complete = [c for c in cols if st[f"c_{c}"] == st["n"] and st["n"]]
+        if self.search in ("index", "approximate") or (self.search == "auto" and self.anchor is None and len(complete) > self.n_anchors):
+            model.index_cols = complete
         return model
 
 
 class KNNImputerModel(ColumnModel):
-    def __init__(self, spec: KNNImputer, codes: dict, anchors: list, widths: list, los: list, his: list,
+    def __init__(self, spec: KNNImputer, codes: dict, sizes: dict, anchors: list, widths: list, los: list, his: list,
                  fit_df: DataFrame):
         super().__init__()
-        self.spec, self.codes, self.anchors = spec, codes, anchors
+        self.spec, self.codes, self.sizes, self.anchors = spec, codes, sizes, anchors
         self.widths, self.los, self.his = widths, los, his
+        self.index_cols: list = []
         # a string column without a level at fit says nothing of a distance
-        self.dist_cols = [c for c in spec.dist_cols if codes.get(c, True)]
+        self.dist_cols = [c for c in spec.dist_cols if sizes.get(c, 1)]
         self.fit_encoded = self._encode(fit_df)
 
+    def _lookup(self, df: DataFrame, c: str, key, to: str) -> DataFrame:
+        """``df`` with column ``to``: the code of the level ``key`` (or the level of a code, when ``key`` is numeric)."""
+        back = dict(df.withColumn("_k", key).dtypes)["_k"] != "string"
+        table = self.codes[c]
+        if isinstance(table, dict):
+            pairs = {v: k for k, v in table.items()} if back else table
+            return df.withColumn(to, code_map(pairs, key, None) if pairs else F.lit(None))
+        of, give = ("code", "value") if back else ("value", "code")
+        lookup = checked_broadcast(table.select(F.col(of).alias("_of"), F.col(give).alias(to)), self.sizes[c])
+        return df.join(lookup, key == F.col("_of"), "left").drop("_of")
+
     def _encode(self, df: DataFrame) -> DataFrame:
         s = self.spec
-        cols = [F.col(s.id_col)]
+        out = df.select(F.col(s.id_col), *[F.col(c) if c in self.codes else F.col(c).cast("double").alias(c) for c in self.dist_cols])
         for c in self.dist_cols:
             if c in self.codes:
-                cols.append(code_map(self.codes[c], c, None).cast("double").alias(c))
-            else:
-                cols.append(F.col(c).cast("double").alias(c))
-        return df.select(*cols)
+                out = self._lookup(out, c, F.col(c), f"_code_{c}").drop(c).withColumnRenamed(f"_code_{c}", c)
+        return out.select(s.id_col, *[F.col(c).cast("double").alias(c) for c in self.dist_cols])
+
+    def cell_index(self) -> tuple[DataFrame, pivots.CellIndex]:
+        """(fit rows in cells, index), built once.  Of identical rows only the k smallest ids can ever be chosen."""
+        if getattr(self, "_index", None) is None:
+            rows = self.fit_encoded.select(F.col(self.spec.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in self.dist_cols])
+            kept = k_smallest_per_group(rows, [f"d_{c}" for c in self.dist_cols], "did", self.spec.k)
+            self._index = pivots.build_index(checkpoint_once(kept), self.index_cols, self.spec.donors_per_cell)
+        return self._index
+
+    def _by_index(self, receivers: DataFrame, targets: list[str], stats: dict | None = None) -> DataFrame:
+        donors, index = self.cell_index()
+        if self.spec.search == "approximate":
+            near = pivots.approximate_neighbours(receivers, donors, index, targets, self.dist_cols, self.spec.k)
+        else:
+            near = pivots.exact_neighbours(receivers, donors, index, targets, self.dist_cols, self.spec.k, stats)
+        mean = F.aggregate(F.col("top.val"), F.lit(0.0), lambda a, x: a + x) / F.size("top")
+        return near.select("qid", "_t", F.when(F.size("top") > 0, mean).alias("knn_value"), F.size("top").cast("long").alias("n_neighbours"))
 
     def _search(self, receivers: DataFrame, donors: DataFrame) -> DataFrame:
         """``knn_mean`` by the anchors that each receiver has: one search per pattern of null anchors that occurs."""
@@ -237,6 +267,16 @@ class KNNImputerModel(ColumnModel):
         empty = "qid long, _t string, knn_value double, n_neighbours long"
         return receivers.sparkSession.createDataFrame([], empty) if out is None else out
 
+    def _donors(self, targets: list[str]) -> DataFrame:
+        """Long form for the grid: one row per fit row and target that it has, copies beyond the k smallest ids left out."""
+        s, d_cols = self.spec, [f"d_{c}" for c in self.dist_cols]
+        donors = (self.fit_encoded.select(
+            F.col(s.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in self.dist_cols],
+            F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).alias("v")) for t in targets])).alias("_tv"))
+            .where(F.col("_tv.v").isNotNull())
+            .select("did", F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_val"), *d_cols))
+        return checkpoint_once(k_smallest_per_group(donors, ["_t", *d_cols], "did", s.k))
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         s = self.spec
         targets = [t for t in s.target_cols if t in dataset.columns and t in self.dist_cols]
@@ -249,20 +289,21 @@ class KNNImputerModel(ColumnModel):
             *[F.when(F.col(t).isNull(), F.lit(t)) for t in targets])).alias("_t"))
             .where(F.col("_t").isNotNull()))
         receivers = checkpoint_once(receivers)
-        donors = (self.fit_encoded.select(
-            F.col(s.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in self.dist_cols],
-            F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).alias("v")) for t in targets])).alias("_tv"))
-            .where(F.col("_tv.v").isNotNull())
-            .select("did", F.col("_tv.t").alias("_t"), F.col("_tv.v").alias("_val"), *[f"d_{c}" for c in self.dist_cols]))
-        donors = checkpoint_once(donors)
         # sklearn falls back to the donor mean when a receiver has no donor at a defined distance
-        means = {r["_t"]: r["m"] for r in donors.groupBy("_t").agg(F.avg("_val").alias("m")).collect()}
+        means = self.fit_encoded.agg(*[F.avg(t).alias(t) for t in targets]).first()
         q_cols = [f"q_{c}" for c in self.dist_cols]
         # copies: identical receivers get identical answers -> search once per distinct vector
         distinct_q = checkpoint_once(receivers.groupBy("_t", *q_cols).agg(F.min("qid").alias("qid")))
-        # copies: identical donors tie for every receiver, so only the k smallest ids of a vector can be chosen
-        kept = k_smallest_per_group(donors, ["_t"] + [f"d_{c}" for c in self.dist_cols], "did", s.k)
-        res = self._search(distinct_q, checkpoint_once(kept))
+        indexed = F.lit(bool(self.index_cols))
+        for c in self.index_cols:
+            indexed = indexed & F.col(f"q_{c}").isNotNull()
+        found = []
+        if self.index_cols:
+            found.append(self._by_index(distinct_q.where(indexed), targets))
+        rest = distinct_q.where(~indexed)
+        if not self.index_cols or not rest.isEmpty():
+            found.append(self._search(rest, self._donors(targets)))
+        res = found[0] if len(found) == 1 else found[0].unionByName(found[1])
         rep = distinct_q.select(F.col("qid").alias("_rep"), "_t", *q_cols).alias("r")
         cond = [F.col("a._t") == F.col("r._t")] + [F.col(f"a.{c}").eqNullSafe(F.col(f"r.{c}")) for c in q_cols]
         mapped = receivers.alias("a").join(rep, cond).select(F.col("a.qid").alias("qid"), F.col("a._t").alias("_t"), "_rep")
@@ -272,9 +313,9 @@ class KNNImputerModel(ColumnModel):
         out = dataset.join(wide.withColumnRenamed("qid", s.id_col), s.id_col, "left")
         fills = {}
         for t in targets:
-            val = F.coalesce(F.col(f"_imp_{t}"), F.lit(means.get(t)))
+            val = F.coalesce(F.col(f"_imp_{t}"), F.lit(means[t]))
             if t in self.codes:
-                rev = {v: k for k, v in self.codes[t].items()}
-                val = code_map(rev, F.bround(val, 0).cast("int"), None)
+                out = self._lookup(out, t, F.bround(val, 0).cast("int"), f"_level_{t}")
+                val = F.col(f"_level_{t}")
             fills[t] = F.coalesce(F.col(t), val.cast(dict(dataset.dtypes)[t]))
-        return out.withColumns(fills).drop(*[f"_imp_{t}" for t in targets])
+        return out.withColumns(fills).drop(*[f"_imp_{t}" for t in targets], *[f"_level_{t}" for t in targets])

@@ -216,6 +216,15 @@ class Ridge(ColumnEstimator):
     def _fit(self, dataset: DataFrame) -> LinearRegressionModel:
         return self.fit_gram(gram_sums(dataset, self.features, self.label)[None])
 
+    def fitMultiple(self, dataset: DataFrame, paramMaps):
+        """One Gram scan serves every param map that changes neither features nor label (a ``CrossValidator`` grid)."""
+        each = [self.copy(m) for m in paramMaps]
+        shared = type(self)._fit is Ridge._fit and all((e.features, e.label) == (self.features, self.label) for e in each)
+        if not shared:
+            return super().fitMultiple(dataset, paramMaps)
+        g = gram_sums(dataset, self.features, self.label)[None]
+        return iter([(i, e.fit_gram(g)) for i, e in enumerate(each)])
+
 
 class Lasso(Ridge):
     kind = "lasso"

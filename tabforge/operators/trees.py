@@ -83,14 +83,14 @@ def gbt_params(params: dict) -> dict:
 
 
 class GBT(ColumnEstimator):
+    also_params = ("gbt_params",)  # the constructor's ``params``; ``n_estimators`` goes before its entry
+
     def __init__(self, features: Sequence[str], label: str = "label", params: dict | None = None,
                  n_estimators: int | None = None, id_col: str | None = None, num_partitions: int | None = None,
                  prediction_col: str = "prediction", seed: int = 42, early_stopping: bool = False, tolerance: float = 0.01):
         super().__init__()
         self.features, self.label, self.id_col = list(features), label, id_col
-        self.gbt_params = dict(params or {})
-        if n_estimators is not None:
-            self.gbt_params["n_estimators"] = n_estimators
+        self.gbt_params, self.n_estimators = dict(params or {}), n_estimators
         self.num_partitions, self.prediction_col, self.seed = num_partitions, prediction_col, seed
         self.early_stopping, self.tolerance = early_stopping, tolerance
         if early_stopping and not id_col:
@@ -103,6 +103,7 @@ class GBT(ColumnEstimator):
         if self.id_col:
             n = self.num_partitions or max(1, -(-dataset.count() // ROWS_PER_PARTITION))
             data = data.repartition(n, self.id_col).sortWithinPartitions(self.id_col)
+        chosen = self.gbt_params | ({} if self.n_estimators is None else {"n_estimators": self.n_estimators})
         extra = {}
         if self.early_stopping:
             held = F.pmod(F.xxhash64(F.col(self.id_col), F.lit(self.seed)), F.lit(10)) == 0
@@ -110,7 +111,7 @@ class GBT(ColumnEstimator):
             extra = {"validationIndicatorCol": "_held", "validationTol": self.tolerance}
         gbt = GBTRegressor(featuresCol="_features", labelCol=self.label, predictionCol=self.prediction_col,
                            seed=self.seed, maxBins=64, cacheNodeIds=True, checkpointInterval=10,
-                           **gbt_params(self.gbt_params), **extra)
+                           **gbt_params(chosen), **extra)
         return GBTModelWrapper(asm, gbt.fit(data), self.prediction_col, self.features, n)
 
 

@@ -358,6 +358,15 @@ def knn_impute(spark, sf_dir):
     return model.transform(p).select("id", "gencat", r6("front").alias("front"))
 
 
+@query("knn_wide")
+def knn_wide(spark, sf_dir):
+    """Mixed-type imputation over 15 distance columns: exact search by the cell index over the 13 complete ones."""
+    from tabforge.sources.frames import K_COMPLETE, frame_k
+    k = checkpoint_once(frame_k(spark, sf_dir))
+    model = KNNImputer(["seg", "acct"], [*K_COMPLETE, "acct", "seg"], "id", k=5).fit(k)
+    return model.transform(k).select("id", "seg", r6("acct").alias("acct"))
+
+
 # ---------------------------------------------------------------- models, validation, ensembles
 
 from tabforge.operators.ensemble import SimplexBlend, Stacking, weighted_expr  # noqa: E402
@@ -570,6 +579,34 @@ def search_ridge(spark, sf_dir):
     return trials.select("trial", r6("alpha").alias("alpha"), r6("score").alias("score"), "best")
 
 
+CV_ALPHAS = [0.1, 1.0, 10.0, 100.0, 1000.0]
+
+
+@query("cv_grid")
+def cv_grid(spark, sf_dir):
+    """Spark's CrossValidator over a grid of ridge alphas, on the fold column and with Spark's RMSE evaluator."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    ridge = Ridge(["x1"], "y", RIDGE_ALPHA)
+    grid = ParamGridBuilder().addGrid(ridge.getParam("alpha"), CV_ALPHAS).build()
+    cv = CrossValidator(estimator=ridge, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y", metricName="rmse"),
+                        numFolds=5, foldCol="fold", parallelism=5).fit(c_folds(spark, sf_dir))
+    rows = [(a, float(m), float(s), a == cv.bestModel.alpha) for a, m, s in zip(CV_ALPHAS, cv.avgMetrics, cv.stdMetrics)]
+    out = spark.createDataFrame(rows, "alpha double, mean_rmse double, std_rmse double, best boolean")
+    return out.select("alpha", r6("mean_rmse").alias("mean_rmse"), r6("std_rmse").alias("std_rmse"), "best")
+
+
+@query("wide_ridge")
+def wide_ridge(spark, sf_dir):
+    """Ridge on one sparse one-hot feature per part (as many as the table has), names from the vector's metadata."""
+    from tabforge.operators.dispatch import ColumnDispatcher
+    from tabforge.operators.wide import WideRidge
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part"), F.log1p("l_extendedprice").alias("y"))
+    data = ColumnDispatcher([("nom", "one_hot", ["part"])]).fit(li).transform(li)
+    model = WideRidge("y", RIDGE_ALPHA).fit(data)
+    return model.coefficients(spark).select("feature", r6("coef").alias("coef"), F.lit(round(model.intercept, 6)).alias("intercept"))
+
+
 @query("ablation")
 def ablation(spark, sf_dir):
     """Same linear pipeline with and without the target-encoded nation and one-hot segment."""

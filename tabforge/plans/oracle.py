@@ -257,6 +257,38 @@ FROM E LEFT JOIN I_g ON E.id = I_g.qid
        LEFT JOIN I_f ON E.id = I_f.qid"""
 
 
+K_CTE = """LS AS (SELECT l_orderkey, CAST(count(*) AS DOUBLE) AS n_lines, sum(l_quantity) AS sum_qty, max(l_quantity) AS max_qty, min(l_quantity) AS min_qty,
+  CAST(count(*) FILTER (l_returnflag = 'R') AS DOUBLE) AS n_r, CAST(count(*) FILTER (l_returnflag = 'A') AS DOUBLE) AS n_a,
+  CAST(max(l_linenumber) AS DOUBLE) AS max_line, CAST(count(*) FILTER (l_discount = 0) AS DOUBLE) AS n_plain FROM lineitem GROUP BY l_orderkey),
+OS AS (SELECT o_custkey, CAST(count(*) AS DOUBLE) AS n_orders, CAST(count(*) FILTER (o_orderpriority = '1-URGENT') AS DOUBLE) AS n_urgent,
+  CAST(count(*) FILTER (o_orderstatus = 'F') AS DOUBLE) AS n_f, CAST(count(*) FILTER (o_orderstatus = 'O') AS DOUBLE) AS n_o,
+  sum(n_lines) AS n_lines, sum(sum_qty) AS sum_qty, max(max_qty) AS max_qty, min(min_qty) AS min_qty, sum(n_r) AS n_r, sum(n_a) AS n_a,
+  max(max_line) AS max_line, sum(n_plain) AS n_plain FROM orders JOIN LS ON o_orderkey = l_orderkey GROUP BY o_custkey),
+K AS (SELECT c_custkey AS id, OS.* EXCLUDE (o_custkey), CAST(c_nationkey AS DOUBLE) AS nat,
+  CASE WHEN c_custkey % 9 = 4 THEN NULL ELSE c_acctbal END AS acct, CASE WHEN c_custkey % 7 = 3 THEN NULL ELSE c_mktsegment END AS seg
+  FROM customer JOIN OS ON c_custkey = o_custkey)"""
+
+
+def _knn_wide_sql() -> str:
+    from tabforge.sources.frames import K_COMPLETE
+    cols = [*K_COMPLETE, "acct", "code"]
+    return f"""WITH {K_CTE},
+SC AS (SELECT value, row_number() OVER (ORDER BY first, value) - 1 AS code FROM (SELECT seg AS value, min(id) AS first FROM K WHERE seg IS NOT NULL GROUP BY seg)),
+E AS (SELECT K.*, CAST(SC.code AS DOUBLE) AS code FROM K LEFT JOIN SC ON K.seg = SC.value),
+{_knn_target_sql("s", "code", cols)},
+{_knn_target_sql("a", "acct", cols)}
+SELECT E.id, coalesce(E.seg, SC2.value) AS seg, round(coalesce(E.acct, I_a.m), 6) AS acct
+FROM E LEFT JOIN I_s ON E.id = I_s.qid LEFT JOIN SC SC2 ON SC2.code = CAST(round_even(I_s.m, 0) AS BIGINT) LEFT JOIN I_a ON E.id = I_a.qid"""
+
+
+ORACLE["knn_wide"] = _knn_wide_sql()
+
+# One-hot ridge in closed form: n (mean - b0) / (n + alpha), with b0 the mean of the level means weighted n / (n + alpha).
+ORACLE["wide_ridge"] = """WITH S AS (SELECT l_partkey, count(*) AS n, avg(ln(1 + l_extendedprice)) AS m FROM lineitem GROUP BY l_partkey),
+B AS (SELECT sum(n / (n + CAST(10 AS DOUBLE)) * m) / sum(n / (n + CAST(10 AS DOUBLE))) AS b0 FROM S)
+SELECT 'nom__part_' || l_partkey AS feature, round(n / (n + CAST(10 AS DOUBLE)) * (m - b0), 6) AS coef, round(b0, 6) AS intercept FROM S, B"""
+
+
 # ------------------------------------------------------------------ linear models on frame C
 
 FOLD_SQL = "CAST(((id % 2147483647) * 1103515245 + 42) % 2147483647 % 5 AS INTEGER)"
@@ -425,6 +457,21 @@ SELECT CAST(trial AS INTEGER) AS trial, round(alpha, 6) AS alpha, round(score, 6
 ORACLE["search_ridge"] = _search_ridge_sql()
 
 
+def _cv_grid_sql() -> str:
+    from tabforge.plans.catalogue import CV_ALPHAS
+    trials = ", ".join(f"(CAST({a!r} AS DOUBLE))" for a in CV_ALPHAS)
+    return f"""WITH {C_CTE}, {CF_CTE},
+t(alpha) AS (VALUES {trials}),
+k AS (SELECT DISTINCT fold AS k FROM CF),
+s AS (SELECT k, avg(x1) AS mx, avg(y) AS my, covar_pop(x1, y) * count(*) AS cxy, var_pop(x1) * count(*) AS cxx FROM CF, k WHERE fold <> k GROUP BY k),
+e AS (SELECT alpha, fold, sqrt(avg(pow(y - my - (x1 - mx) * cxy / (cxx + alpha), 2))) AS rmse FROM CF JOIN s ON fold = k, t GROUP BY 1, 2),
+m AS (SELECT alpha, avg(rmse) AS mean_rmse, stddev_pop(rmse) AS std_rmse FROM e GROUP BY 1)
+SELECT alpha, round(mean_rmse, 6) AS mean_rmse, round(std_rmse, 6) AS std_rmse, alpha = (SELECT min_by(alpha, mean_rmse) FROM m) AS best FROM m"""
+
+
+ORACLE["cv_grid"] = _cv_grid_sql()
+
+
 def _audit_sql() -> str:
     num = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "qty_copy"]
     y = "l_extendedprice"

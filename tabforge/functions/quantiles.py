@@ -2,153 +2,218 @@
 
 Spark's ``percentile``/``median`` aggregates keep a value->count map per group
 and merge it in one reducer, so a hot group with many distinct values lands in
-a single task.  Here every size takes the same path:
+a single task.  Here every size takes the same path of two scans:
 
 1. One aggregate scan gives, per group and column, the value count and an
    ``approx_percentile`` bracket [lo, hi] around every wanted rank (a
    bounded-memory sketch; the bracket is +-3 ranks of the sketch's error).
 2. One aggregate scan counts, per group, column and prob, the values below
-   ``lo`` and those inside the bracket.  A bracket that collapsed on one value
-   (a run of copies) already is the answer.
-3. One scan keeps the values strictly needed -- about 6/accuracy of the data --
-   and ranks them exactly without a per-group task: they are range-partitioned
-   on (group, prob, value, tiebreak), so even a hot group spreads over many
-   partitions, sorted inside each partition, and a row's rank is "rows of its
-   group in earlier partitions + position in this partition".
+   ``lo`` as one number and those inside the bracket by value.  The band is
+   about 6/accuracy of the data, so its (value, count) pairs are summed up in
+   order by one window per group and prob, and the wanted ranks read off.
+
+The second scan checks the first: a rank that does not fall into its bracket
+(the sketch's bound failed) gives no value, and those quantiles are narrowed
+down by exact counts instead: 1,024 bins between the smallest and the largest
+value, the bins of the wanted ranks, 1,024 bins in these, until the band is
+small or one value.  A group whose band would exceed ``MAX_BAND`` values is
+narrowed that way inside its bracket first, so no task sorts more than that.
 
 The brackets reach the rows as literals (no groups) or by one join on the group
-columns, whose table has one row per group; rows are multiplied only by the
-few brackets they fall into.  The counts check that every wanted rank falls
-inside its bracket; where one does not (the sketch's bound failed), that
-group's bracket is widened to all values, so results are always exact.
-Interpolation is the linear one of pandas / numpy / DuckDB ``quantile_cont``:
-h = p*(n-1), v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
+columns, whose table has one row per group.  Nothing depends on the order of
+rows or on partitions, and what a step reads is either the input or a
+checkpointed table, so a lost executor changes no rank.  Interpolation is the
+linear one of pandas / numpy / DuckDB ``quantile_cont``: h = p*(n-1),
+v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 
 DEFAULT_ACCURACY = 10000
+MAX_BAND = 2_000_000    # values that one window task sorts
+_BINS = 1024
 
 
-def _rank_pick(vals: DataFrame, keys: list[str], wanted: DataFrame, n_parts: int) -> tuple[DataFrame, DataFrame]:
-    """Values at wanted 0-based ranks. vals: (keys, v); wanted: (keys, side, k) -> (keys, side, v)."""
-    srt = (vals.withColumn("_tb", F.monotonically_increasing_id())
-           .repartitionByRange(n_parts, *keys, "v", "_tb")
-           .sortWithinPartitions(*keys, "v", "_tb")
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id())
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    blocks = srt.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_cnt").over(
-        Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    located = (wanted.join(blocks, keys)
-               .where((F.col("k") >= F.col("_before")) & (F.col("k") < F.col("_before") + F.col("_cnt")))
-               .select(*keys, "side", (F.col("_first") + F.col("k") - F.col("_before")).alias("_mid")))
-    return srt.select("_mid", "v").join(located, "_mid").drop("_mid"), srt
-
-
-def _with_brackets(df: DataFrame, brackets: DataFrame, group_cols: list[str], n: int) -> tuple[DataFrame, list, list]:
-    """``df`` with the bracket edges of its group at hand: (rows, lo columns, hi columns)."""
-    if not group_cols:
-        r = brackets.first()  # cols x probs numbers
-        return df, [F.lit(r[f"_lo{i}"]).cast("double") for i in range(n)], [F.lit(r[f"_hi{i}"]).cast("double") for i in range(n)]
-    side = brackets.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group_cols)],
-                           *[f"_{x}{i}" for i in range(n) for x in ("lo", "hi")])
+def _same_group(group_cols: Sequence[str]) -> Column:
     same = F.lit(True)
     for k, g in enumerate(group_cols):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{k}"))
-    return df.join(side, same), [F.col(f"_lo{i}") for i in range(n)], [F.col(f"_hi{i}") for i in range(n)]
+    return same
+
+
+def _beside(rows: DataFrame, table, group_cols: list[str], names: list[str]) -> tuple[DataFrame, list]:
+    """``rows`` with the numbers ``names`` of their group at hand, as columns: joined, or literals where there are no groups."""
+    if not group_cols:
+        return rows, [F.lit(table.get(x)) for x in names]
+    side = table.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group_cols)], *names)
+    return rows.join(side, _same_group(group_cols)), [F.col(x) for x in names]
+
 
+def _edges(n: int) -> list[str]:
+    return [f"_{x}{i}" for x in ("lo", "hi") for i in range(n)]
 
-def _settled(df: DataFrame, group_cols: list[str]) -> DataFrame:
-    """The computed table: one row per group is checkpointed; without groups it is columns x probs numbers."""
+
+def _settled(df: DataFrame, group_cols: list[str]):
+    """The computed numbers: one row per group is checkpointed; without groups they are one dictionary."""
     if group_cols:
         return checkpoint_once(df)
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    row = df.first()
+    return row.asDict() if row is not None else {}
+
+
+def _band(rows: DataFrame, brackets, group_cols: list[str], slots: list, vals: list[str]) -> DataFrame:
+    """(groups, _i, v, c): counts by value inside the bracket of slot _i, and with v null all values below it."""
+    joined, edges = _beside(rows, brackets, group_cols, _edges(len(slots)))
+    lo, hi = [e.cast("double") for e in edges[:len(slots)]], [e.cast("double") for e in edges[len(slots):]]
+    entries = F.filter(F.array(*[F.when(F.col(vals[k]) <= hi[i], F.struct(
+        F.lit(i).alias("_i"), F.when(F.col(vals[k]) >= lo[i], F.col(vals[k])).alias("v"))) for i, (k, _) in enumerate(slots)]),
+        lambda x: x.isNotNull())
+    return (joined.select(*group_cols, F.explode(entries).alias("_e")).select(*group_cols, "_e._i", "_e.v")
+            .groupBy(*group_cols, "_i", "v").agg(F.count(F.lit(1)).alias("c")))
+
+
+def _ranked(rows: DataFrame, brackets, sizes, group_cols: list[str], slots: list, vals: list[str],
+            names: Sequence[str]) -> DataFrame:
+    """(groups, _i, column, prob, value) of every slot with a bracket; the value is null where the rank is not inside."""
+    band = _band(rows, brackets, group_cols, slots, vals)
+    upto = Window.partitionBy(*group_cols, "_i").orderBy(F.asc_nulls_first("v"))
+    prob = F.element_at(F.array(*[F.lit(p) for _, p in slots]), F.col("_i") + 1)
+    counted, n = _beside(band.withColumn("_end", F.sum("c").over(upto)), sizes, group_cols, [f"_n{vals[k]}" for k, _ in slots])
+    placed = counted.withColumn("_h", prob * (F.element_at(F.array(*n), F.col("_i") + 1) - 1))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("_end") - F.col("c")) & (rank < F.col("_end")), F.col("v")))
+
+    picked = placed.groupBy(*group_cols, "_i").agg(at(F.floor("_h")).alias("_vlo"), at(F.ceil("_h")).alias("_vhi"), F.first("_h").alias("_h"))
+    column = F.element_at(F.array(*[F.lit(names[k]) for k, _ in slots]), F.col("_i") + 1)
+    value = F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))
+    same = F.when(F.col("_vlo") == F.col("_vhi"), F.col("_vlo")).otherwise(value)  # infinite neighbours too
+    return picked.select(*group_cols, "_i", column.alias("column"), prob.alias("prob"), same.alias("value"))
+
+
+def _narrowed(rows: DataFrame, brackets, sizes, group_cols: list[str], slots: list, vals: list[str], enough: int):
+    """Brackets of at most ``enough`` values, or of one value, around the wanted ranks, by rounds of exact bin counts.
+
+    Every round keeps the bins that hold the two ranks of a slot; their real
+    smallest and largest values are the next bracket.  A wanted rank outside the
+    given bracket keeps it as it is (``_ranked`` then gives no value).
+    """
+    idle = 0
+    while True:
+        joined, edges = _beside(rows, brackets, group_cols, _edges(len(slots)))
+        lo, hi = [e.cast("double") for e in edges[:len(slots)]], [e.cast("double") for e in edges[len(slots):]]
+        by_size = idle % 2 == 0   # bins of equal ratio first: they reach the size of a value in few rounds
+
+        def scaled(v: Column) -> Column:
+            held = F.greatest(F.least(v, F.lit(1.7e308)), F.lit(-1.7e308))
+            return F.signum(held) * F.log1p(F.abs(held)) if by_size else held / 2
+
+        def bin_of(v: Column, a: Column, b: Column) -> Column:
+            share = F.try_divide(scaled(v) - scaled(a), scaled(b) - scaled(a))
+            inner = F.greatest(F.least(F.floor(F.coalesce(share, F.lit(0.0)) * _BINS), F.lit(_BINS - 1)), F.lit(0))
+            return F.when(v == b, _BINS - 1).when(v == a, 0).otherwise(inner).cast("int")
+
+        entries = F.filter(F.array(*[F.when(F.col(vals[k]) <= hi[i], F.struct(
+            F.lit(i).alias("_i"), F.when(F.col(vals[k]) >= lo[i], bin_of(F.col(vals[k]), lo[i], hi[i])).otherwise(-1).alias("b"),
+            F.col(vals[k]).alias("v"))) for i, (k, _) in enumerate(slots)]), lambda x: x.isNotNull())
+        bins = (joined.select(*group_cols, F.explode(entries).alias("_e")).select(*group_cols, "_e.*").groupBy(*group_cols, "_i", "b")
+                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("a"), F.max("v").alias("z")))
+        upto = Window.partitionBy(*group_cols, "_i").orderBy("b")  # at most 1,025 rows each
+        counted, n = _beside(bins.withColumn("_end", F.sum("c").over(upto)), sizes, group_cols, [f"_n{vals[k]}" for k, _ in slots])
+        h = F.element_at(F.array(*[F.lit(p) for _, p in slots]), F.col("_i") + 1) * (F.element_at(F.array(*n), F.col("_i") + 1) - 1)
+        wanted = (F.col("b") >= 0) & (F.ceil(h) >= F.col("_end") - F.col("c")) & (F.floor(h) < F.col("_end"))
+        # between the ranks' two bins no other bin has values, so what is kept are exactly these bins' values
+        kept = counted.where(wanted).groupBy(*group_cols, "_i").agg(F.min("a").alias("a"), F.max("z").alias("z"), F.sum("c").alias("c"))
+        wide = _settled(kept.groupBy(*group_cols).agg(*[F.max(F.when(F.col("_i") == i, F.col(x))).alias(f"{to}{i}")
+                                                        for i in range(len(slots)) for x, to in (("a", "_lo"), ("z", "_hi"), ("c", "_c"))]), group_cols)
+        if _close(wide, group_cols, len(slots), enough):
+            return wide
+        idle = idle + 1 if _unchanged(brackets, wide, group_cols, len(slots)) else idle
+        if idle == 4:   # neither kind of bins splits the band any more
+            return wide
+        brackets = wide
+
+
+def _close(wide, group_cols: list[str], n: int, enough: int) -> bool:
+    if not group_cols:
+        return all(wide.get(f"_c{i}") is None or wide[f"_c{i}"] <= enough or wide[f"_lo{i}"] == wide[f"_hi{i}"] for i in range(n))
+    done = F.lit(True)
+    for i in range(n):
+        done = done & F.coalesce((F.col(f"_c{i}") <= enough) | (F.col(f"_lo{i}") == F.col(f"_hi{i}")), F.lit(True))
+    return wide.where(~done).isEmpty()
+
+
+def _unchanged(before, after, group_cols: list[str], n: int) -> bool:
+    if not group_cols:
+        return all(before.get(e) == after.get(e) for e in _edges(n))
+    return after.select(*group_cols, *_edges(n)).exceptAll(before.select(*group_cols, *_edges(n))).isEmpty()
 
 
 def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), num_partitions: int | None = None,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, max_band: int = MAX_BAND) -> DataFrame:
     """Long result: ``group_cols..., column, prob, value`` (null values skipped)."""
     if isinstance(value_cols, str):
         value_cols = [value_cols]
     value_cols, group_cols, probs = list(value_cols), list(group_cols), [float(p) for p in probs]
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
     vals = [f"_v{k}" for k in range(len(value_cols))]
     rows = df.select(*group_cols, *[F.col(c).cast("double").alias(v) for c, v in zip(value_cols, vals)])
+    if num_partitions:
+        rows = rows.repartition(num_partitions)
     eps = 3.0 / accuracy
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
     at = {e: i for i, e in enumerate(edges)}
     slots = [(k, p) for k in range(len(vals)) for p in probs]  # slot i: column k, prob p
 
-    # scan 1: counts and brackets, one row per group
+    # scan 1: counts, extremes and brackets, one row per group
     sketch = _settled(rows.groupBy(*group_cols).agg(*[x for v in vals for x in (
-        F.count(v).alias(f"_n{v}"), F.percentile_approx(v, edges, accuracy).alias(f"_q{v}"))]), group_cols)
-
-    def edge(k: int, p: float, d: float):
-        return F.element_at(f"_q{vals[k]}", at[min(1.0, max(0.0, p + d))] + 1)
-
-    brackets = sketch.select(*group_cols, *[f"_n{v}" for v in vals], *[c for i, (k, p) in enumerate(slots) for c in (
-        edge(k, p, -eps).alias(f"_lo{i}"), edge(k, p, eps).alias(f"_hi{i}"))])
-
-    # scan 2: values below and inside each bracket
-    joined, lo, hi = _with_brackets(rows, brackets, group_cols, len(slots))
-    counts = joined.groupBy(*group_cols).agg(*[c for i, (k, _) in enumerate(slots) for c in (
-        F.count_if(F.col(vals[k]) < lo[i]).alias(f"_below{i}"),
-        F.count_if((F.col(vals[k]) >= lo[i]) & (F.col(vals[k]) <= hi[i])).alias(f"_in{i}"))])
-    same = [F.col(g).eqNullSafe(F.col(f"_g{k}")) for k, g in enumerate(group_cols)]
-    counted = counts.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group_cols)],
-                            *[f"_{x}{i}" for i in range(len(slots)) for x in ("below", "in")])
-    plan = brackets.join(counted, same) if group_cols else brackets.crossJoin(counted)  # ungrouped: one row each
-    plan = plan.select(*group_cols, F.explode(F.array(*[F.struct(
-        F.lit(i).alias("_i"), F.lit(value_cols[k]).alias("column"), F.lit(p).alias("prob"), F.col(f"_n{vals[k]}").alias("_n"),
-        F.col(f"_lo{i}").alias("_lo"), F.col(f"_hi{i}").alias("_hi"), F.col(f"_below{i}").alias("_below"),
-        F.col(f"_in{i}").alias("_in")) for i, (k, p) in enumerate(slots)])).alias("_s")).select(*group_cols, "_s.*")
-    h = F.col("prob") * (F.col("_n") - 1)
-    missed = (F.floor(h) < F.col("_below")) | (F.ceil(h) >= F.col("_below") + F.col("_in"))
-    plan = _settled(plan.where(F.col("_n") > 0).withColumn("_h", h).withColumn("_miss", missed)
-                           .withColumn("_lo", F.when(F.col("_miss"), float("-inf")).otherwise(F.col("_lo")))
-                           .withColumn("_hi", F.when(F.col("_miss"), float("inf")).otherwise(F.col("_hi")))
-                           .withColumn("_below", F.when(F.col("_miss"), 0).otherwise(F.col("_below"))), group_cols)
-    single = plan.where(F.col("_lo") == F.col("_hi")).select(*group_cols, "column", "prob", F.col("_lo").alias("value"))
-
-    # scan 3: rank the band
-    picked = [F.max(F.when(F.col("_i") == i, F.when(F.col("_lo") < F.col("_hi"), F.col(x)))).alias(f"{x}{i}")
-              for i in range(len(slots)) for x in ("_lo", "_hi")]
-    joined, lo, hi = _with_brackets(rows, plan.groupBy(*group_cols).agg(*picked), group_cols, len(slots)) if plan.take(1) else (
-        rows.limit(0), [F.lit(0.0)] * len(slots), [F.lit(0.0)] * len(slots))
-    inside = F.filter(F.array(*[F.when((F.col(vals[k]) >= lo[i]) & (F.col(vals[k]) <= hi[i]), F.struct(
-        F.lit(i).alias("_i"), F.col(vals[k]).alias("v"))) for i, (k, _) in enumerate(slots)]), lambda x: x.isNotNull())
-    keys = [f"_k{k}" for k in range(len(group_cols))] + ["_i"]
-
-    def keyed(frame: DataFrame, *more) -> DataFrame:
-        # a null group is a group: join keys are strings that tell null from any text
-        return frame.select(*[F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("-")).alias(f"_k{k}")
-                              for k, g in enumerate(group_cols)], *more)
-
-    band = keyed(joined, F.explode(inside).alias("_b")).select(*keys[:-1], "_b._i", "_b.v")
-    open_ = plan.where(F.col("_lo") < F.col("_hi"))
-    wanted = keyed(open_, "_i", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), (F.floor("_h") - F.col("_below")).cast("long").alias("k")),
-        F.struct(F.lit(1).alias("side"), (F.ceil("_h") - F.col("_below")).cast("long").alias("k")))).alias("w")
-    ).select(*keys, "w.side", "w.k")
-    at_rank, srt = _rank_pick(band, keys, wanted, n_parts)
-    pairs = at_rank.groupBy(*keys).agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_vlo"),
-                                       F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_vhi"))
-    exact = keyed(open_, "_i", F.struct(*[F.col(g) for g in group_cols], "column", "prob", "_h").alias("_r")).join(pairs, keys)
-    ranked = exact.select("_r.*", "_vlo", "_vhi").select(
-        *group_cols, "column", "prob", (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
-    result = _settled(ranked.unionByName(single), group_cols)   # groups x columns x probs rows
-    srt.unpersist()
-    return result
+        F.count(v).alias(f"_n{v}"), F.min(v).alias(f"_min{v}"), F.max(v).alias(f"_max{v}"),
+        F.percentile_approx(v, edges, accuracy).alias(f"_q{v}"))]), group_cols)
+
+    def edge(k: int, p: float, d: float) -> int:
+        return at[min(1.0, max(0.0, p + d))]
+
+    if group_cols:
+        brackets = sketch.select(*group_cols, *[F.get(F.col(f"_q{vals[k]}"), edge(k, p, d)).cast("double").alias(f"{x}{i}")
+                                                for i, (k, p) in enumerate(slots) for x, d in (("_lo", -eps), ("_hi", eps))])
+        largest = sketch.agg(F.max(F.greatest(*[F.col(f"_n{v}") for v in vals], F.lit(0)))).first()[0] or 0
+    else:
+        brackets = {f"{x}{i}": sketch[f"_q{vals[k]}"][edge(k, p, d)] for i, (k, p) in enumerate(slots)
+                    for x, d in (("_lo", -eps), ("_hi", eps)) if sketch[f"_q{vals[k]}"]}
+        largest = max(sketch[f"_n{v}"] for v in vals)
+    if largest * 2 * eps > max_band:
+        brackets = _narrowed(rows, brackets, sketch, group_cols, slots, vals, max_band)
+
+    # scan 2: rank the band
+    def ranked(between) -> DataFrame:
+        out = _ranked(rows, between, sketch, group_cols, slots, vals, value_cols)
+        return checkpoint_once(out) if group_cols else df.sparkSession.createDataFrame(out.collect(), out.schema)
+
+    result = ranked(brackets)
+    if group_cols:
+        missed = result.where(F.col("value").isNull()).groupBy(*group_cols).agg(
+            *[F.max((F.col("_i") == i).cast("int")).alias(f"_m{i}") for i in range(len(slots))])
+        none = missed.isEmpty()
+    else:
+        missed = {r["_i"] for r in result.where(F.col("value").isNull()).collect()}
+        none = not missed
+    if none:
+        return result.drop("_i")
+    if group_cols:
+        again = missed.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group_cols)], *[f"_m{i}" for i in range(len(slots))])
+        whole = checkpoint_once(sketch.join(again, _same_group(group_cols)).select(*group_cols, *[
+            F.when(F.col(f"_m{i}") == 1, F.col(f"{x}{vals[k]}")).alias(f"{to}{i}")
+            for i, (k, _) in enumerate(slots) for x, to in (("_min", "_lo"), ("_max", "_hi"))]))
+    else:
+        whole = {f"{to}{i}": sketch[f"{x}{vals[k]}"] for i, (k, _) in enumerate(slots) if i in missed
+                 for x, to in (("_min", "_lo"), ("_max", "_hi"))}
+    close = _narrowed(rows, whole, sketch, group_cols, slots, vals, max_band)
+    return result.where(F.col("value").isNotNull()).unionByName(ranked(close)).drop("_i")

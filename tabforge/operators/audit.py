@@ -190,12 +190,38 @@ def typed_modes(df: DataFrame, cols: Sequence[str]) -> dict:
     return out
 
 
-def low_variance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct count and share of the dominant value per column (near-zero-variance finder)."""
-    vc = value_counts(df, cols)
-    return vc.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n_distinct"),
-        (F.max("cnt") / F.sum("cnt")).alias("top_share"))
+# Columns whose sketched distinct count is above this are not counted value by value.
+MAX_COUNTED_VALUES = 10_000
+
+
+def low_variance(df: DataFrame, cols: Sequence[str], max_counted: int = MAX_COUNTED_VALUES) -> DataFrame:
+    """Distinct count and share of the dominant value per column (near-zero-variance finder).
+
+    One scan of mergeable sketches estimates every column's distinct count.  A
+    column that it shows as short is counted exactly (``exact`` true).  A longer
+    one moves no values: ``n_distinct`` is the estimate (2 % standard error),
+    and a second scan counts the value that a frequent-items sketch puts first
+    exactly, so ``top_share`` is right for any value frequent enough to matter
+    (the sketch finds every value above 1/2,500 of the rows) and at most that
+    much too low otherwise.  A column without values has no row.
+    """
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, n_distinct bigint, top_share double, exact boolean")
+    sketch = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"d{k}") for k, c in enumerate(cols)]).first()
+    short = [c for k, c in enumerate(cols) if sketch[f"d{k}"] <= max_counted]
+    long = [(c, sketch[f"d{k}"]) for k, c in enumerate(cols) if sketch[f"d{k}"] > max_counted]
+    out = value_counts(df, short).groupBy("column").agg(
+        F.count(F.lit(1)).alias("n_distinct"), (F.max("cnt") / F.sum("cnt")).alias("top_share")).withColumn(
+        "exact", F.lit(True)) if short else None
+    if long:
+        tops = df.agg(*[F.call_function("approx_top_k", F.col(c), F.lit(1)).alias(f"t{k}") for k, (c, _) in enumerate(long)]).first()
+        found = [tops[f"t{k}"] for k in range(len(long))]
+        shares = df.agg(*[((F.count_if(F.col(c) == F.lit(t[0]["item"])) if t else F.lit(1)) / F.count(c)).alias(f"s{k}")
+                          for k, ((c, _), t) in enumerate(zip(long, found))]).first()
+        rows = [(c, int(d), float(shares[f"s{k}"]), False) for k, (c, d) in enumerate(long)]
+        part = df.sparkSession.createDataFrame(rows, "column string, n_distinct bigint, top_share double, exact boolean")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, series: str | None = None) -> DataFrame:
@@ -280,7 +306,7 @@ def audit_report(df: DataFrame, target: str, skew_threshold: float = 0.75, corr_
     Sections: target (its summary), missing (per cent null), skew (population
     skewness above the threshold), corr (with the target), collinear (pairs
     above the threshold), outliers (counts beyond the z threshold) and
-    variance (distinct values and share of the commonest).
+    variance (distinct values and share of the commonest; see ``low_variance``).
     """
     numbers = numeric_columns(df, [target])
     texts = string_columns(df)

@@ -266,6 +266,15 @@ def low_variance(spark, sf_dir):
     return rep.select("column", "n_distinct", r6("top_share").alias("top_share"))
 
 
+@query("low_variance_wide")
+def low_variance_wide(spark, sf_dir):
+    """Continuous and key columns too: those are sketched, not counted, and only said to be long."""
+    li = table(spark, sf_dir, "lineitem").withColumn("half", F.when(F.col("l_linenumber") <= 3, 0.0).otherwise(F.col("l_extendedprice")))
+    rep = audit.low_variance(li, ["l_returnflag", "l_quantity", "l_discount", "l_extendedprice", "l_orderkey", "half"], max_counted=1000)
+    return rep.select("column", "exact", F.when(F.col("exact"), F.col("n_distinct")).alias("n_distinct"),
+                      F.when(F.col("exact") | (F.col("top_share") > 0.01), r6("top_share")).alias("top_share"))
+
+
 @query("hist_target")
 def hist_target(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_totalprice", log1p("o_totalprice").alias("log_price"))

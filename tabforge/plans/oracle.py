@@ -457,6 +457,17 @@ SELECT CAST(trial AS INTEGER) AS trial, round(alpha, 6) AS alpha, round(score, 6
 ORACLE["search_ridge"] = _search_ridge_sql()
 
 
+def _low_variance_wide_sql() -> str:
+    cols = ["l_returnflag", "l_quantity", "l_discount", "l_extendedprice", "l_orderkey", "half"]
+    counts = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS v, count(*) AS n FROM H GROUP BY 2" for c in cols)
+    return f"""WITH H AS (SELECT *, CASE WHEN l_linenumber <= 3 THEN CAST(0 AS DOUBLE) ELSE l_extendedprice END AS half FROM lineitem),
+V AS ({counts}), S AS (SELECT "column", count(*) AS d, max(n) / CAST(sum(n) AS DOUBLE) AS s FROM V GROUP BY 1)
+SELECT "column", d <= 1000 AS exact, CASE WHEN d <= 1000 THEN d END AS n_distinct, CASE WHEN d <= 1000 OR s > 0.01 THEN round(s, 6) END AS top_share FROM S"""
+
+
+ORACLE["low_variance_wide"] = _low_variance_wide_sql()
+
+
 def _cv_grid_sql() -> str:
     from tabforge.plans.catalogue import CV_ALPHAS
     trials = ", ".join(f"(CAST({a!r} AS DOUBLE))" for a in CV_ALPHAS)

@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from tabforge.operators import audit
 
@@ -46,3 +47,17 @@ def test_z_outliers_and_value_counts(spark):
     assert z["c"] == int((np.abs((c - c.mean()) / c.std(ddof=0)) > 3.0).sum())
     lv = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")
     assert audit.low_variance(lv, ["x"]).first().n_distinct == 2
+
+
+def test_low_variance_of_long_columns_shuffles_no_values(spark):
+    """Continuous columns are sketched; a dominant value among 20,000 others is counted exactly."""
+    df = spark.range(60_000).select(F.col("id").alias("key"), (F.col("id") * 0.5).alias("x"), (F.col("id") % 7).alias("short"),
+                                    F.when(F.col("id") % 3 == 0, F.lit(7.5)).otherwise(F.col("id").cast("double")).alias("heavy"),
+                                    F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"), F.lit(None).cast("double").alias("void"))
+    got = {r["column"]: r for r in audit.low_variance(df, ["key", "x", "short", "heavy", "text", "void"]).collect()}
+    assert set(got) == {"key", "x", "short", "heavy", "text"}
+    assert got["short"]["exact"] and got["short"]["n_distinct"] == 7 and abs(got["short"]["top_share"] - 8572 / 60_000) < 1e-12
+    for c, n in (("key", 60_000), ("x", 60_000), ("heavy", 40_001), ("text", 60_000)):
+        assert not got[c]["exact"] and abs(got[c]["n_distinct"] / n - 1) < 0.08
+    assert abs(got["heavy"]["top_share"] - 20_000 / 60_000) < 1e-12
+    assert got["x"]["top_share"] <= 1 / 60_000 + 1e-12

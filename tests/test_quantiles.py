@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from tabforge.functions.quantiles import exact_quantiles
 
@@ -77,3 +78,33 @@ def test_null_group_and_missed_bracket(spark, monkeypatch):
     assert set(got) == {"a", None}
     for g in got:
         assert abs(got[g] - float(np.median([v for x, v in rows if x == g]))) < 1e-12
+
+
+@pytest.mark.parametrize("grouped", [True, False])
+def test_narrowing_by_bins_matches_numpy(spark, grouped):
+    """A band above the bound is narrowed by exact bin counts: extremes, ties, infinities, a wide range of sizes."""
+    rng = np.random.default_rng(12)
+    vals = [float(v) for v in np.concatenate([np.exp(rng.uniform(-300, 300, 1500)), -np.exp(rng.uniform(-30, 30, 900)), np.full(700, 3.5),
+                                              [np.inf, -np.inf, 0.0, -0.0]])]
+    df = spark.createDataFrame([("a" if i % 3 else None, v) for i, v in enumerate(vals)], "g string, v double")
+    probs = [0.0, 0.01, 0.37, 0.5, 0.7, 0.99, 1.0]
+    got = {(r["g"] if grouped else 0, r["prob"]): r["value"]
+           for r in Q.exact_quantiles(df, ["v"], probs, ["g"] if grouped else [], accuracy=20, max_band=5).collect()}
+    for g in (("a", None) if grouped else (0,)):
+        own = np.sort([v for i, v in enumerate(vals) if not grouped or ("a" if i % 3 else None) == g])
+        for p in probs:
+            h = p * (len(own) - 1)
+            lo, hi = own[int(np.floor(h))], own[int(np.ceil(h))]
+            want = lo if lo == hi else lo + (h - np.floor(h)) * (hi - lo)
+            assert got[g, p] == want or abs(got[g, p] - want) <= 1e-12 * abs(want), (g, p)
+
+
+def test_few_jobs(spark):
+    """The number of Spark actions does not grow with columns or probs."""
+    df = spark.range(5000).select(*[(F.col("id") * (k + 1) % 997).cast("double").alias(f"c{k}") for k in range(6)])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quantile jobs", "")
+    Q.exact_quantiles(df, [f"c{k}" for k in range(6)], [0.25, 0.5, 0.75]).collect()
+    jobs = len(tracker.getJobIdsForGroup("quantile jobs"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert jobs <= 8

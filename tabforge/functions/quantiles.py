@@ -39,6 +39,8 @@ from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 DEFAULT_ACCURACY = 10000
 MAX_BAND = 2_000_000    # values that one window task sorts
 _BINS = 1024
+# Tables of one row per group up to this size go through the driver and are broadcast; larger ones are checkpointed and joined.
+MAX_LOCAL_GROUPS = 4096
 
 
 def _same_group(group_cols: Sequence[str]) -> Column:
@@ -61,21 +63,23 @@ def _edges(n: int) -> list[str]:
 
 
 def _settled(df: DataFrame, group_cols: list[str]):
-    """The computed numbers: one row per group is checkpointed; without groups they are one dictionary."""
-    if group_cols:
-        return checkpoint_once(df)
-    row = df.first()
-    return row.asDict() if row is not None else {}
+    """The computed numbers: one row per group as a table; without groups they are one dictionary."""
+    if not group_cols:
+        row = df.first()
+        return row.asDict() if row is not None else {}
+    few = df.limit(MAX_LOCAL_GROUPS + 1).collect()
+    if len(few) <= MAX_LOCAL_GROUPS:
+        return F.broadcast(df.sparkSession.createDataFrame(few, df.schema))
+    return checkpoint_once(df)
 
 
 def _band(rows: DataFrame, brackets, group_cols: list[str], slots: list, vals: list[str]) -> DataFrame:
     """(groups, _i, v, c): counts by value inside the bracket of slot _i, and with v null all values below it."""
     joined, edges = _beside(rows, brackets, group_cols, _edges(len(slots)))
     lo, hi = [e.cast("double") for e in edges[:len(slots)]], [e.cast("double") for e in edges[len(slots):]]
-    entries = F.filter(F.array(*[F.when(F.col(vals[k]) <= hi[i], F.struct(
-        F.lit(i).alias("_i"), F.when(F.col(vals[k]) >= lo[i], F.col(vals[k])).alias("v"))) for i, (k, _) in enumerate(slots)]),
-        lambda x: x.isNotNull())
-    return (joined.select(*group_cols, F.explode(entries).alias("_e")).select(*group_cols, "_e._i", "_e.v")
+    entries = F.array(*[F.when(F.col(vals[k]) <= hi[i], F.struct(
+        F.lit(i).alias("_i"), F.when(F.col(vals[k]) >= lo[i], F.col(vals[k])).alias("v"))) for i, (k, _) in enumerate(slots)])
+    return (joined.select(*group_cols, F.explode(entries).alias("_e")).where("_e is not null").select(*group_cols, "_e._i", "_e.v")
             .groupBy(*group_cols, "_i", "v").agg(F.count(F.lit(1)).alias("c")))
 
 
@@ -195,7 +199,10 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
     # scan 2: rank the band
     def ranked(between) -> DataFrame:
         out = _ranked(rows, between, sketch, group_cols, slots, vals, value_cols)
-        return checkpoint_once(out) if group_cols else df.sparkSession.createDataFrame(out.collect(), out.schema)
+        few = out.limit(MAX_LOCAL_GROUPS + 1).collect() if group_cols else out.collect()  # else columns x probs rows
+        if group_cols and len(few) > MAX_LOCAL_GROUPS:
+            return checkpoint_once(out)
+        return df.sparkSession.createDataFrame(few, out.schema)
 
     result = ranked(brackets)
     if group_cols:
@@ -209,9 +216,9 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
         return result.drop("_i")
     if group_cols:
         again = missed.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group_cols)], *[f"_m{i}" for i in range(len(slots))])
-        whole = checkpoint_once(sketch.join(again, _same_group(group_cols)).select(*group_cols, *[
+        whole = _settled(sketch.join(again, _same_group(group_cols)).select(*group_cols, *[
             F.when(F.col(f"_m{i}") == 1, F.col(f"{x}{vals[k]}")).alias(f"{to}{i}")
-            for i, (k, _) in enumerate(slots) for x, to in (("_min", "_lo"), ("_max", "_hi"))]))
+            for i, (k, _) in enumerate(slots) for x, to in (("_min", "_lo"), ("_max", "_hi"))]), group_cols)
     else:
         whole = {f"{to}{i}": sketch[f"{x}{vals[k]}"] for i, (k, _) in enumerate(slots) if i in missed
                  for x, to in (("_min", "_lo"), ("_max", "_hi"))}

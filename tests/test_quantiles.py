@@ -80,9 +80,12 @@ def test_null_group_and_missed_bracket(spark, monkeypatch):
         assert abs(got[g] - float(np.median([v for x, v in rows if x == g]))) < 1e-12
 
 
+@pytest.mark.parametrize("local", [True, False])
 @pytest.mark.parametrize("grouped", [True, False])
-def test_narrowing_by_bins_matches_numpy(spark, grouped):
+def test_narrowing_by_bins_matches_numpy(spark, grouped, local, monkeypatch):
     """A band above the bound is narrowed by exact bin counts: extremes, ties, infinities, a wide range of sizes."""
+    if not local:
+        monkeypatch.setattr(Q, "MAX_LOCAL_GROUPS", 0)   # tables of groups are checkpointed and joined
     rng = np.random.default_rng(12)
     vals = [float(v) for v in np.concatenate([np.exp(rng.uniform(-300, 300, 1500)), -np.exp(rng.uniform(-30, 30, 900)), np.full(700, 3.5),
                                               [np.inf, -np.inf, 0.0, -0.0]])]

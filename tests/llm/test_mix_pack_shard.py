@@ -157,8 +157,50 @@ def test_sharding_edge_cases(spark):
     rows = sharding.shard_report(docs, 4).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r[0] for r in edge.rows())
     assert sharding.shard_report(edge.empty(spark)).count() == 0
-    whole = sharding.shard_rows(docs, 4)
-    assert set(docs.columns) <= set(whole.columns) and whole.count() == len(edge.rows())
+    clash = docs.withColumns({"shard": F.lit(888), "slot": F.lit(999)})
+    whole, names = sharding.shard_rows(clash, 4)
+    assert names == ("_size", "_shard", "_slot") and whole.columns == [*clash.columns, *names]
+    assert {(r["size"], r["shard"], r["slot"]) for r in whole.collect()} == {(7, 888, 999)}
+    assert Counter(tuple(r)[:len(docs.columns)] for r in whole.collect()) == Counter(tuple(r) for r in docs.collect())
+
+
+def _even(rows, shards, largest, total):
+    size, slots = Counter(), defaultdict(list)
+    for r in rows:
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert set(size) == set(range(shards))
+    assert all(abs(v - total / shards) <= largest + 0.002 * total / shards for v in size.values())
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_equal_rows_are_split(spark):
+    """A third of the rows are one row repeated: the law holds all the same."""
+    one = spark.range(300).select(F.lit(7).cast("long").alias("doc_id"), F.repeat(F.lit("hot "), 20).alias("text"))
+    other = spark.range(600).select((F.col("id") + 1000).alias("doc_id"), F.concat(F.repeat(F.lit("text "), 16), "id").alias("text"))
+    docs = one.unionByName(other)
+    total = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0]
+    rows = sharding.shard_report(docs, 10).collect()
+    _even(rows, 10, 100, total)
+    same = one.unionByName(one)
+    _even(sharding.shard_report(same, 6).collect(), 6, 96, 600 * 96)
+
+
+def test_shards_are_the_key_ranges_of_a_sort(spark):
+    """Brute force: sort all rows by their keys, cut where the bytes below reach k shards; only rows at a cut may differ."""
+    docs = documents(spark, SF)
+    n = 8
+    rows, _ = sharding.shard_rows(docs, n, carry=[F.col("doc_id"), F.col("text")])
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in rows.collect()}
+    keys = docs.select("doc_id", F.substring(sharding.shard_key(F.col("text"), F.col("doc_id")), 1, 32).alias("key"),
+                       (F.octet_length(F.coalesce("text", F.lit(""))) + 16).alias("size")).collect()
+    total, below, wrong = sum(r["size"] for r in keys), 0, 0
+    order = sorted(keys, key=lambda r: r["key"])
+    for r in order:
+        wrong += got[r["doc_id"]][0] != min(n - 1, int((below + r["size"] / 2) * n / total))
+        below += r["size"]
+    assert wrong <= 2 * (n - 1)
+    assert [r["doc_id"] for r in order] == sorted(got, key=lambda d: got[d])   # shard, then slot, is the order of the keys
 
 
 def test_after_prefix():

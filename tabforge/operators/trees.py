@@ -9,7 +9,12 @@ an error, so two configurations that differ are never silently one model.
 
 Rows are repartitioned by id before fitting, into a number of partitions that
 follows from the row count alone, so a model depends on the data and not on
-the cluster.  With ``early_stopping`` a tenth of the rows, chosen by a hash of
+the cluster.  With ``choose_trees`` the tree count is chosen from the data: a
+tenth of the rows, by a hash of the id, is held out; fits of 64, 128, 256 ...
+trees (up to the count of the parameters) are scored on it tree by tree, until
+the best count lies in the first three quarters of a fit; then all rows are
+fitted with the best count.  A fit is a prefix of a longer one, so this costs
+less than two fits of the longest.  With ``early_stopping`` a tenth of the rows, chosen by a hash of
 the id, is held out and ends the run at the first tree that does not lower its
 error by ``tolerance``; the tree count of the parameters is then an upper
 limit.  Spark has no patience: with row subsampling and a low rate that is
@@ -24,6 +29,7 @@ import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -87,37 +93,105 @@ class GBT(ColumnEstimator):
 
     def __init__(self, features: Sequence[str], label: str = "label", params: dict | None = None,
                  n_estimators: int | None = None, id_col: str | None = None, num_partitions: int | None = None,
-                 prediction_col: str = "prediction", seed: int = 42, early_stopping: bool = False, tolerance: float = 0.01):
+                 prediction_col: str = "prediction", seed: int = 42, early_stopping: bool = False, tolerance: float = 0.01,
+                 choose_trees: bool = False, first_trees: int = 64):
         super().__init__()
         self.features, self.label, self.id_col = list(features), label, id_col
         self.gbt_params, self.n_estimators = dict(params or {}), n_estimators
         self.num_partitions, self.prediction_col, self.seed = num_partitions, prediction_col, seed
         self.early_stopping, self.tolerance = early_stopping, tolerance
-        if early_stopping and not id_col:
-            raise ValueError("early stopping splits rows by a hash of id_col")
+        self.choose_trees, self.first_trees = choose_trees, first_trees
+        if (early_stopping or choose_trees) and not id_col:
+            raise ValueError("early stopping and the choice of a tree count split rows by a hash of id_col")
+
+    def booster(self, n_trees: int | None = None, **extra) -> GBTRegressor:
+        """Spark's estimator for the column ``_features``."""
+        n_trees = self.n_estimators if n_trees is None else n_trees
+        chosen = self.gbt_params | ({} if n_trees is None else {"n_estimators": n_trees})
+        return GBTRegressor(featuresCol="_features", labelCol=self.label, predictionCol=self.prediction_col, seed=self.seed, maxBins=64,
+                            cacheNodeIds=True, checkpointInterval=10, **gbt_params(chosen), **extra)
+
+    def _held(self):
+        return F.pmod(F.xxhash64(F.col(self.id_col), F.lit(self.seed)), F.lit(10)) == 0
 
     def _fit(self, dataset: DataFrame) -> GBTModelWrapper:
-        asm = VectorAssembler(inputCols=self.features, outputCol="_features", handleInvalid="keep")
-        data = asm.transform(dataset.select(*([self.id_col] if self.id_col else []), *self.features, self.label))
-        n = None
-        if self.id_col:
-            n = self.num_partitions or max(1, -(-dataset.count() // ROWS_PER_PARTITION))
-            data = data.repartition(n, self.id_col).sortWithinPartitions(self.id_col)
-        chosen = self.gbt_params | ({} if self.n_estimators is None else {"n_estimators": self.n_estimators})
-        extra = {}
+        asm, data, n = prepared(dataset, self.features, [self.label], self.id_col, self.num_partitions)
+        extra, errors, n_trees = {}, [], None
         if self.early_stopping:
-            held = F.pmod(F.xxhash64(F.col(self.id_col), F.lit(self.seed)), F.lit(10)) == 0
-            data = data.withColumn("_held", held)
+            data = data.withColumn("_held", self._held())
             extra = {"validationIndicatorCol": "_held", "validationTol": self.tolerance}
-        gbt = GBTRegressor(featuresCol="_features", labelCol=self.label, predictionCol=self.prediction_col,
-                           seed=self.seed, maxBins=64, cacheNodeIds=True, checkpointInterval=10,
-                           **gbt_params(chosen), **extra)
-        return GBTModelWrapper(asm, gbt.fit(data), self.prediction_col, self.features, n)
+        if self.choose_trees:
+            data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if self.choose_trees:
+                errors = self._staged(data)
+                n_trees = 1 + min(range(len(errors)), key=lambda i: (errors[i], i)) if errors else None
+            return GBTModelWrapper(asm, self.booster(n_trees, **extra).fit(data), self.prediction_col, self.features, n, errors)
+        finally:
+            if self.choose_trees:
+                data.unpersist()
+
+    def _staged(self, data: DataFrame) -> list[float]:
+        """Mean squared error on the held rows after every tree of the longest fit; empty when either part has no row."""
+        held, rest = data.where(self._held()), data.where(~self._held())
+        if held.isEmpty() or rest.isEmpty():
+            return []
+        limit = self.n_estimators or int(self.gbt_params.get("n_estimators", 20))
+        n = min(limit, self.first_trees)
+        while True:
+            errors = self.booster(n).fit(rest).evaluateEachIteration(held, "squared")
+            if n == limit or errors.index(min(errors)) + 1 <= 0.75 * n:
+                return list(errors)
+            n = min(limit, 2 * n)
+
+
+def prepared(dataset: DataFrame, features: Sequence[str], others: Sequence[str], id_col: str | None,
+             num_partitions: int | None = None) -> tuple[VectorAssembler, DataFrame, int | None]:
+    """(assembler, rows with ``_features``, partitions): spread and sorted by id, so that fits depend on the data alone."""
+    asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
+    data = asm.transform(dataset.select(*([id_col] if id_col else []), *features, *others))
+    if not id_col:
+        return asm, data, None
+    n = num_partitions or max(1, -(-dataset.count() // ROWS_PER_PARTITION))
+    return asm, data.repartition(n, id_col).sortWithinPartitions(id_col), n
+
+
+class FoldTrainer:
+    """Tree models of many configurations on the same folds: rows are assembled, spread and sorted once, and kept.
+
+    A fold's training rows are a filter of the kept table, so no fit shuffles.
+    Use it in a ``with`` block; the table is released at its end.
+    """
+
+    def __init__(self, df: DataFrame, features: Sequence[str], label: str, id_col: str, fold_col: str = "fold"):
+        self.features, self.label, self.id_col, self.fold_col = list(features), label, id_col, fold_col
+        _, data, self.num_partitions = prepared(df, self.features, [label, fold_col], id_col)
+        self.data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        self.folds = sorted(r[0] for r in self.data.select(fold_col).distinct().collect())
+
+    def __enter__(self) -> FoldTrainer:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.data.unpersist()
+
+    def fit(self, params: dict, fold: int, n_trees: int | None = None):
+        """(model, its test rows) with ``fold`` left out."""
+        gbt = GBT(self.features, self.label, params, n_trees, self.id_col)
+        return gbt.booster().fit(self.data.where(F.col(self.fold_col) != fold)), self.data.where(F.col(self.fold_col) == fold)
+
+    def scores(self, params: dict, n_trees: int | None = None) -> list[float]:
+        """RMSE on every fold."""
+        def rmse(fold: int) -> float:
+            model, test = self.fit(params, fold, n_trees)
+            return model.transform(test).agg(F.sqrt(F.avg(F.pow(F.col(self.label) - F.col("prediction"), 2)))).first()[0]
+        return [rmse(k) for k in self.folds]
 
 
 class GBTModelWrapper(ColumnModel):
-    def __init__(self, asm, model, prediction_col, features, num_partitions=None):
+    def __init__(self, asm, model, prediction_col, features, num_partitions=None, errors=()):
         super().__init__()
+        self.errors = list(errors)   # of choose_trees: on the held rows, after every tree
         self.asm, self.model, self.prediction_col, self.features = asm, model, prediction_col, features
         self.num_partitions = num_partitions
 

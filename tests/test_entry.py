@@ -1,7 +1,7 @@
 import __spark_entry__ as E
 from tabforge.plans.catalogue import QUERIES
 
-ROWS_ONLY = {"gbt_cv", "search_trials", "stack_final", "gbt_importance"}
+ROWS_ONLY = {"gbt_cv", "search_trials", "stack_final", "gbt_importance", "gbt_published", "gbt_chosen"}
 
 
 def test_contract_keys():

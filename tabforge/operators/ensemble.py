@@ -4,8 +4,9 @@ Prediction columns sit side by side in one DataFrame (each model's
 ``transform`` adds one column), so row alignment is by construction and the
 blend is a column expression.  Fitting simplex weights needs only the OOF
 cross products sum(p_i p_j), sum(p_i y), sum(y^2): one aggregate row; the
-k x k constrained least squares is then solved exactly on the driver by
-enumerating active sets (k is the number of models).
+k x k constrained least squares is then solved exactly on the driver (k is the
+number of models): by trying all supports up to ``MAX_BLEND`` models, by a
+primal active-set method beyond.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.operators.base import ColumnEstimator, ColumnModel
-from tabforge.operators.linear import LinearRegressionModel
+from tabforge.operators.linear import LinearRegressionModel, gram_sums
 from tabforge.operators.validate import fit_linear_cvs, run_parallel
 
 
-MAX_BLEND = 14
+MAX_BLEND = 14   # models whose supports are all tried
 
 
 def average_expr(cols: Sequence[str]) -> Column:
@@ -40,8 +41,14 @@ def weighted_expr(cols: Sequence[str], weights: Sequence[float]) -> Column:
 
 
 def oof_cross_products(oof: DataFrame, pred_cols: Sequence[str], label: str) -> tuple[np.ndarray, np.ndarray, float, int]:
-    """(P'P, P'y, y'y, n) from one aggregate row."""
+    """(P'P, P'y, y'y, n) from one aggregate row; beyond ``MAX_BLEND`` models from the Gram scan of ``linear``."""
     k = len(pred_cols)
+    if k > MAX_BLEND:
+        g = gram_sums(oof, pred_cols, label)[None]
+        s, n = g.shift_x, g.n
+        ptp = g.sxx + np.outer(s, g.sx) + np.outer(g.sx, s) + n * np.outer(s, s)
+        pty = g.sxy + s * g.sy + g.sx * g.shift_y + n * s * g.shift_y
+        return ptp, pty, float(g.syy + 2 * g.shift_y * g.sy + n * g.shift_y ** 2), int(n)
     aggs = [F.sum(F.col(a) * F.col(b)).alias(f"pp_{i}_{j}") for i, a in enumerate(pred_cols)
             for j, b in enumerate(pred_cols) if j >= i]
     aggs += [F.sum(F.col(a) * F.col(label)).alias(f"py_{i}") for i, a in enumerate(pred_cols)]
@@ -56,13 +63,13 @@ def oof_cross_products(oof: DataFrame, pred_cols: Sequence[str], label: str) ->
 
 
 def simplex_least_squares(ptp: np.ndarray, pty: np.ndarray, yy: float) -> np.ndarray:
-    """argmin ||y - P w||^2 subject to w >= 0, sum w = 1 (exact, by active sets).
+    """argmin ||y - P w||^2 subject to w >= 0, sum w = 1, exact.
 
     The problem is convex, so the best KKT point over all supports is the optimum.
     """
     k = len(pty)
     if k > MAX_BLEND:
-        raise ValueError(f"{k} models to blend; at most {MAX_BLEND} (all supports are tried)")
+        return simplex_by_active_set(ptp, pty)
     best_w, best_obj = None, np.inf
     for size in range(1, k + 1):
         for support in itertools.combinations(range(k), size):
@@ -90,6 +97,46 @@ def simplex_least_squares(ptp: np.ndarray, pty: np.ndarray, yy: float) -> np.nda
     return best_w
 
 
+def simplex_by_active_set(ptp: np.ndarray, pty: np.ndarray) -> np.ndarray:
+    """The same minimum for any number of models: a support grows by the model that lowers the error fastest.
+
+    In every step the error is minimised on the support with sum 1; where that
+    would make a weight negative, the step ends at the first weight that
+    reaches 0 and that model leaves the support.  At the end no model outside
+    has a smaller gradient than those inside (the KKT conditions).
+    """
+    k = len(pty)
+    start = int(np.argmin(np.diag(ptp) - 2 * pty))
+    w, support = np.zeros(k), [start]
+    w[start] = 1.0
+    size = max(float(np.abs(ptp).max()), float(np.abs(pty).max()), 1e-300)
+    for _ in range(100 * k):
+        while True:
+            m = len(support)
+            kkt = np.ones((m + 1, m + 1))
+            kkt[:m, :m], kkt[m, m] = 2 * ptp[np.ix_(support, support)] / size, 0.0
+            goal = np.linalg.lstsq(kkt, np.concatenate([2 * pty[support] / size, [1.0]]), rcond=None)[0][:m]
+            if (goal >= 0).all():
+                w[support] = goal
+                break
+            now = w[support]
+            falling = goal < 0
+            share = np.min(now[falling] / (now[falling] - goal[falling]))
+            w[support] = now + share * (goal - now)
+            gone = {i for i, v, f in zip(support, w[support], falling) if f and v <= 1e-14}
+            for i in gone:
+                w[i] = 0.0
+            support = [i for i in support if i not in gone]
+        slope = (ptp @ w - pty) / size
+        inside = slope[support].mean()
+        out = [i for i in range(k) if i not in set(support)]
+        if not out or slope[out].min() >= inside - 1e-12:
+            break
+        support.append(out[int(np.argmin(slope[out]))])
+    w = np.clip(w, 0.0, None)
+    return w / w.sum()
+
+
 class FixedBlendModel(ColumnModel):
     """Weighted (or equal-weight) blend of prediction columns already on the table."""
 

@@ -159,27 +159,37 @@ def linear_expr(features: Sequence[str], intercept: float, coef: Sequence[float]
 
 
 def ridge_loo_mse(df: DataFrame, g: Gram, features: Sequence[str], label: str, alphas: Sequence[float]) -> dict:
-    """Mean squared leave-one-out residual per alpha: e_i / (1 - h_i), one scan for all alphas.
+    """Mean squared leave-one-out residual per alpha: e_i / (1 - h_i), one scan for all alphas and any number of features.
 
-    h_i = 1/n + xc_i' (Xc'Xc + alpha I)^-1 xc_i on centred x (intercept not penalised).
+    h_i = 1/n + xc_i' (Xc'Xc + alpha I)^-1 xc_i on centred x (intercept not
+    penalised).  The matrices are factored once on the driver; a task works on
+    its Arrow batches, h of a batch being the column sums of (L^-1 xc)^2, and
+    sends one sum per alpha.
     """
-    xbar_s, ybar_s, cxx, cxy = g.centred()
+    xbar_s, _, cxx, _ = g.centred()
     xbar = xbar_s + g.shift_x
     p, n = len(features), g.n
-    aggs = []
-    for k, a in enumerate(alphas):
-        minv = np.linalg.inv(cxx + a * np.eye(p))
-        b0, beta = solve_ridge(g, a)
-        resid = F.col(label) - linear_expr(features, b0, beta)
-        xc = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(features, xbar)]
-        h = F.lit(1.0 / n)
-        for i in range(p):
-            for j in range(p):
-                if minv[i, j] != 0.0:
-                    h = h + xc[i] * xc[j] * F.lit(float(minv[i, j]))
-        aggs.append(F.avg(F.pow(resid / (F.lit(1.0) - h), 2)).alias(f"a{k}"))
-    row = df.agg(*aggs).first()
-    return {a: row[f"a{k}"] for k, a in enumerate(alphas)}
+    solved = [(*solve_ridge(g, a), np.linalg.inv(np.linalg.cholesky(cxx + a * np.eye(p))) if p else np.zeros((0, 0))) for a in alphas]
+    ship_package(df.sparkSession)
+    cols = [*features, label]
+    complete = F.lit(True)
+    for c in cols:
+        complete = complete & F.col(c).isNotNull()
+    rows = df.where(complete).select(*[F.col(c).cast("double").alias(f"_c{k}") for k, c in enumerate(cols)])
+
+    def partial(batches):
+        sums, count = np.zeros(len(solved)), 0
+        for pdf in batches:
+            x, y = pdf.iloc[:, :p].to_numpy(dtype=float), pdf.iloc[:, p].to_numpy(dtype=float)
+            xc = x - xbar
+            for k, (b0, beta, root) in enumerate(solved):
+                h = 1.0 / n + ((root @ xc.T) ** 2).sum(axis=0)
+                sums[k] += (((y - b0 - x @ beta) / (1.0 - h)) ** 2).sum()
+            count += len(pdf)
+        yield pd.DataFrame({"k": np.arange(len(solved)), "s": sums, "n": count})
+
+    total = rows.mapInPandas(partial, "k int, s double, n long").groupBy("k").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
+    return {alphas[r["k"]]: r["s"] / r["n"] if r["n"] else None for r in sorted(total, key=lambda r: r["k"])}
 
 
 # ------------------------------------------------------------------ estimators

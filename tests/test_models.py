@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from tabforge.operators.ensemble import SimplexBlend, oof_cross_products, simplex_least_squares
+from tabforge.operators.ensemble import SimplexBlend, oof_cross_products, simplex_by_active_set, simplex_least_squares
 from tabforge.operators.linear import L1Selector, Lasso, Ridge, RidgeCV, gram_sums, ridge_loo_mse, solve_ridge
 from tabforge.operators.validate import LinearCV, assign_folds, oof_by_loop
 
@@ -103,6 +105,52 @@ def test_simplex_weights(spark):
     assert abs(sum(w2) - 1) < 1e-12 and min(w2) >= 0
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_active_set_equals_all_supports(seed):
+    rng = np.random.default_rng(seed)
+    y = rng.normal(size=200)
+    p = np.stack([y * rng.uniform(0.2, 1.3) + rng.normal(scale=rng.uniform(0.2, 1.5), size=200) for _ in range(6)], axis=1)
+    if seed % 2:
+        p[:, 4] = p[:, 1]        # identical models
+    ptp, pty, yy = p.T @ p, p.T @ y, float(y @ y)
+    obj = lambda w: yy - 2 * w @ pty + w @ ptp @ w
+    a, b = simplex_by_active_set(ptp, pty), simplex_least_squares(ptp, pty, yy)
+    assert abs(obj(a) - obj(b)) < 1e-8 * yy and abs(a.sum() - 1) < 1e-12 and a.min() >= 0
+    if not seed % 2:
+        assert np.abs(a - b).max() < 1e-7
+
+
+def test_two_hundred_models(spark):
+    """The KKT conditions hold: inside the support all slopes are equal, outside none is smaller."""
+    rng = np.random.default_rng(1)
+    y = rng.normal(size=600)
+    p = y[:, None] * rng.uniform(0.3, 1.1, 200) + rng.normal(scale=0.8, size=(600, 200))
+    cols = [f"m{k}" for k in range(200)]
+    df = spark.createDataFrame(pd.DataFrame(np.column_stack([p, y]), columns=[*cols, "y"]))
+    ptp, pty, yy, n = oof_cross_products(df, cols, "y")
+    assert n == 600 and np.allclose(ptp, p.T @ p) and np.allclose(pty, p.T @ y) and abs(yy - y @ y) < 1e-8
+    w = np.array(SimplexBlend(cols, "y").fit(df).weights)
+    slope = p.T @ (p @ w - y)
+    inside = w > 1e-12
+    assert abs(w.sum() - 1) < 1e-12 and w.min() >= 0 and 1 < inside.sum() < 200
+    assert np.ptp(slope[inside]) < 1e-6 * np.abs(ptp).max() and slope[~inside].min() >= slope[inside].mean() - 1e-6 * np.abs(ptp).max()
+
+
+def test_leave_one_out_with_three_hundred_features(spark):
+    rng = np.random.default_rng(6)
+    n, p = 900, 300
+    x = rng.normal(size=(n, p)) * rng.uniform(0.5, 20, p) + rng.normal(size=p) * 5
+    y = x[:, :10].sum(axis=1) + rng.normal(size=n)
+    cols = [f"x{k}" for k in range(p)]
+    df = spark.createDataFrame(pd.DataFrame(np.column_stack([x, y]), columns=[*cols, "y"])).repartition(5)
+    got = ridge_loo_mse(df, gram_sums(df, cols, "y")[None], cols, "y", [1.0, 50.0])
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    for a in (1.0, 50.0):
+        hat = xc @ np.linalg.solve(xc.T @ xc + a * np.eye(p), xc.T)
+        want = np.mean(((yc - hat @ yc) / (1 - 1 / n - np.diag(hat))) ** 2)
+        assert abs(got[a] / want - 1) < 1e-8
+
+
 def test_gram_drops_null_rows(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 3.0), (2.0, 4.0), (3.0, None)], "x double, y double")
     g = gram_sums(df, ["x"], "y")[None]

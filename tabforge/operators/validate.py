@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -107,15 +108,16 @@ def with_oofs(df: DataFrame, estimators: dict[str, Ridge], fold_col: str = "fold
 
 def oof_by_loop(df: DataFrame, make_estimator: Callable[[], object], fold_col: str = "fold",
                 pred_col: str = "prediction", out_col: str = "oof", folds: Sequence[int] | None = None,
-                parallelism: int = 5) -> DataFrame:
+                parallelism: int = 5, persist: bool = True) -> DataFrame:
     """Out-of-fold predictions for any estimator: a fresh copy is fitted per fold.
 
-    The input is persisted once for the k fits (each reads it several times),
-    fold fits are submitted from ``parallelism`` driver threads (Spark runs the
+    The input is persisted once for the k fits (each reads it several times);
+    callers that run several loops over one table side by side persist it
+    themselves (``kept``) and pass ``persist=False``.  Fold fits are submitted from ``parallelism`` driver threads (Spark runs the
     jobs concurrently, like ``CrossValidator(parallelism=...)``), and the OOF
     table is checkpointed once so the persisted input can be released.
     """
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     try:
         if folds is None:
             folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
@@ -132,6 +134,17 @@ def oof_by_loop(df: DataFrame, make_estimator: Callable[[], object], fold_col: s
         for p in parts[1:]:
             out = out.unionByName(p.select(*common))
         return checkpoint_once(out)
+    finally:
+        if persist:
+            data.unpersist()
+
+
+@contextmanager
+def kept(df: DataFrame):
+    """``df`` persisted for the length of a ``with`` block."""
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
     finally:
         data.unpersist()
 

@@ -260,6 +260,14 @@ def audit_report(spark, sf_dir):
     return rep.select("section", "column", "other", "metric", r6("value").alias("value"))
 
 
+@query("audit_json")
+def audit_json(spark, sf_dir):
+    """The whole audit written as one JSON report and read back."""
+    path = scratch_dir(spark, "audit-json")
+    io.write_json_report(QUERIES["audit_report"](spark, sf_dir), path)
+    return io.read_json_report(spark, path, "section STRING, column STRING, other STRING, metric STRING, value DOUBLE")
+
+
 @query("low_variance")
 def low_variance(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
@@ -292,8 +300,8 @@ def kde_grid(spark, sf_dir):
 
 @query("scatter_extract")
 def scatter_extract(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    return audit.scatter_points(o, "o_orderkey", "o_totalprice", "o_custkey")
+    """Size and price of every part, as the plot draws them."""
+    return audit.scatter_points(table(spark, sf_dir, "part"), "p_partkey", "p_size", "p_retailprice")
 
 
 @query("scatter_bins")
@@ -384,7 +392,7 @@ from tabforge.operators.linear import L1Selector, Lasso, Ridge, RidgeCV, gram_su
 from tabforge.operators.trees import (  # noqa: E402
     GBT, LGBM_REGULARISED, XGB_BASELINE, XGB_REGULARISED, XGB_SPACE, FoldTrainer, RandomSearch)
 from tabforge.operators.validate import (  # noqa: E402
-    LinearCV, assign_folds, fold_scores, oof_by_loop, run_parallel, score_summary, with_oofs)
+    LinearCV, assign_folds, fold_scores, kept, oof_by_loop, run_parallel, score_summary, with_oofs)
 
 RIDGE_ALPHA = 10.0
 
@@ -551,14 +559,13 @@ QUERY_TREES = 20
 
 @query("gbt_cv")
 def gbt_cv(spark, sf_dir):
-    c = _gbt_features(spark, sf_dir)
-
-    def score(item):
-        name, params = item
-        oof = oof_by_loop(c, lambda: GBT(_tree_features(c), "y", params, QUERY_TREES, "id"), out_col="oof")
-        return fold_scores(oof, "y", "oof", model=name)
+    with kept(_gbt_features(spark, sf_dir)) as c:
+        def score(item):
+            name, params = item
+            oof = oof_by_loop(c, lambda: GBT(_tree_features(c), "y", params, QUERY_TREES, "id"), out_col="oof", persist=False)
+            return fold_scores(oof, "y", "oof", model=name)
 
-    tables = run_parallel(score, [("gbt_xgb_style", XGB_REGULARISED), ("gbt_lgbm_style", LGBM_REGULARISED)])
+        tables = run_parallel(score, [("gbt_xgb_style", XGB_REGULARISED), ("gbt_lgbm_style", LGBM_REGULARISED)])
     return tables[0].unionByName(tables[1])
 
 
@@ -638,13 +645,13 @@ def wide_ridge(spark, sf_dir):
 @query("ablation")
 def ablation(spark, sf_dir):
     """Same linear pipeline with and without the target-encoded nation and one-hot segment."""
-    c = c_folds(spark, sf_dir).withColumn("nat", F.col("nat").cast("string"))
-    def variant(item):
-        name, improved = item
-        oof = oof_by_loop(c, lambda: _AblationPipeline(improved), out_col="oof")
-        return fold_scores(oof, "y", "oof", model=name)
+    with kept(c_folds(spark, sf_dir).withColumn("nat", F.col("nat").cast("string"))) as c:
+        def variant(item):
+            name, improved = item
+            oof = oof_by_loop(c, lambda: _AblationPipeline(improved), out_col="oof", persist=False)
+            return fold_scores(oof, "y", "oof", model=name)
 
-    tables = run_parallel(variant, [("base", False), ("improved", True)])
+        tables = run_parallel(variant, [("base", False), ("improved", True)])
     summary = score_summary(tables[0].unionByName(tables[1]))
     return summary.select("model", r6("mean_rmse").alias("mean_rmse"), r6("std_rmse").alias("std_rmse"), "n_folds")
 

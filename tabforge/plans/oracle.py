@@ -168,7 +168,7 @@ SELECT CAST(i AS INTEGER) AS grid_idx, round(glo + i * step, 6) AS x,
   round(sum(exp(-0.5 * ((glo + i * step - v.x) / h) * ((glo + i * step - v.x) / h))) * (1 / (n * h * sqrt(2 * pi()))), 8) AS density
 FROM gr, v GROUP BY i, glo, step, h, n"""
 
-ORACLE["scatter_extract"] = "SELECT o_orderkey, o_totalprice, o_custkey FROM orders"
+ORACLE["scatter_extract"] = "SELECT p_partkey, p_size, p_retailprice FROM part"
 
 ORACLE["scatter_bins"] = """SELECT least(CAST(floor((CAST(l_quantity AS DOUBLE) - x0) / xw) AS INTEGER), 49) AS x_bin,
   least(CAST(floor((CAST(l_extendedprice AS DOUBLE) - y0) / yw) AS INTEGER), 49) AS y_bin, count(*) AS n
@@ -513,6 +513,7 @@ def _audit_sql() -> str:
 
 
 ORACLE["audit_report"] = _audit_sql()
+ORACLE["audit_json"] = ORACLE["audit_report"]
 
 
 # ---------------------------------------------------------------- linear models of any width

@@ -19,9 +19,10 @@ from pyspark.sql import SparkSession
 CLUSTER_CONF = {
     # ~256 MB input splits: ~400k scan tasks for 100 TB, each far below executor memory
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-    # for a full shuffle of ~100 TB: ~256 MB each; AQE merges the small ones of narrower stages
-    # (see shuffle_partitions_for; AQE does not split partitions that no join skews)
-    "spark.sql.shuffle.partitions": "400000",
+    # for the many exchanges of partial sums and narrow keys: map tasks x partitions is the number of shuffle blocks,
+    # so this stays at two per core of 1,000 executors; a job that shuffles whole rows passes ``input_bytes``
+    # (see shuffle_partitions_for), and AQE merges small partitions
+    "spark.sql.shuffle.partitions": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # split a reduce partition that is 5x the median and over 1 GB (hot keys in joins)
@@ -46,7 +47,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
               profile: str = "local", input_bytes: int | None = None) -> SparkSession:
     """Session with AQE and skew-join handling; ``profile="cluster"`` applies CLUSTER_CONF.
 
-    On a cluster ``input_bytes`` sizes the shuffle partitions; without it they are sized for ~100 TB.
+    On a cluster ``input_bytes``, the bytes that the job's widest exchange moves, raises the shuffle partitions.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -54,8 +55,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     if profile == "cluster":
         for k, v in CLUSTER_CONF.items():
             builder = builder.config(k, v)
-        shuffle_partitions = (shuffle_partitions_for(input_bytes) if input_bytes
-                              else int(CLUSTER_CONF["spark.sql.shuffle.partitions"]))
+        shuffle_partitions = max(int(CLUSTER_CONF["spark.sql.shuffle.partitions"]), shuffle_partitions_for(input_bytes or 1))
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -61,3 +61,14 @@ def test_low_variance_of_long_columns_shuffles_no_values(spark):
         assert not got[c]["exact"] and abs(got[c]["n_distinct"] / n - 1) < 0.08
     assert abs(got["heavy"]["top_share"] - 20_000 / 60_000) < 1e-12
     assert got["x"]["top_share"] <= 1 / 60_000 + 1e-12
+
+
+def test_density_by_boxes_equals_the_full_sum(spark):
+    rng = np.random.default_rng(7)
+    for x in (rng.normal(size=3000), np.exp(rng.normal(size=2000) * 2), np.round(rng.normal(size=500) * 3), np.append(rng.normal(size=400), 1e5)):
+        df = spark.createDataFrame(pd.DataFrame({"x": x}))
+        got = audit.kde_grid(df, "x", 150, 3.0).orderBy("grid_idx").toPandas()
+        h = x.std(ddof=1) * len(x) ** -0.2
+        want = np.exp(-0.5 * ((got.x.to_numpy()[:, None] - x[None]) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+        assert len(got) == (want > 0).sum() or len(got) >= (want > 1e-300).sum()
+        assert np.abs(got.density.to_numpy() - want).max() < 4e-12 / (h * np.sqrt(2 * np.pi)) + 1e-15

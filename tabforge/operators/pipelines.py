@@ -1,6 +1,6 @@
 """Whole regression pipelines as one estimator, so that every stage is refitted inside each fold.
 
-Stages in order: skew routing of the numeric columns, smoothed target means,
+Stages in order: skew routing (or plain scaling) of the numeric columns, smoothed target means,
 one-hot columns, L1 selection, then any estimator over the kept features.  The
 stages work on copies of the input columns, so ``transform`` gives back the
 input with one prediction column and several pipelines can stand side by side.
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.operators.base import ColumnEstimator, ColumnModel
-from tabforge.operators.encode import OneHotEncoder, TargetEncoder
+from tabforge.operators.encode import OneHotEncoder, RobustScaler, TargetEncoder
 from tabforge.operators.ensemble import ModelEnsembleModel, Stacking, StackingModel
 from tabforge.operators.linear import L1Selector
 from tabforge.operators.power import SkewRouter
@@ -26,18 +26,23 @@ def _work(col: str) -> str:
 
 
 class RegressionPipeline(ColumnEstimator):
-    """``make(features)`` builds the estimator over the features that the stages leave."""
+    """``make(features)`` builds the estimator over the features that the stages leave.
+
+    ``route_skew`` sends skewed numbers through Yeo-Johnson before they are scaled, ``scale`` only scales them.
+    """
 
     def __init__(self, make: Callable[[list[str]], object], label: str, numeric: Sequence[str], target_encoded: Sequence[str] = (),
-                 one_hot: Sequence[str] = (), route_skew: bool = True, l1_alpha: float | None = None, prediction_col: str = "prediction"):
+                 one_hot: Sequence[str] = (), route_skew: bool = True, l1_alpha: float | None = None, prediction_col: str = "prediction",
+                 scale: bool = False):
         super().__init__()
+        self.scale = scale
         self.make, self.label, self.prediction_col = make, label, prediction_col
         self.numeric, self.target_encoded, self.one_hot = list(numeric), list(target_encoded), list(one_hot)
         self.route_skew, self.l1_alpha = route_skew, l1_alpha
 
     def front_key(self) -> tuple:
         """Pipelines with equal keys have the same stages before their estimators."""
-        return (self.label, tuple(self.numeric), tuple(self.target_encoded), tuple(self.one_hot), self.route_skew, self.l1_alpha)
+        return (self.label, tuple(self.numeric), tuple(self.target_encoded), tuple(self.one_hot), self.route_skew, self.l1_alpha, self.scale)
 
     def fit_front(self, dataset: DataFrame) -> tuple[list, list[str]]:
         """(fitted stages, features they leave)."""
@@ -54,6 +59,8 @@ class RegressionPipeline(ColumnEstimator):
         features = [_work(c) for c in self.numeric + self.target_encoded]
         if self.route_skew and self.numeric:
             add(SkewRouter([_work(c) for c in self.numeric]))
+        elif self.scale and self.numeric:
+            add(RobustScaler([_work(c) for c in self.numeric]))
         if self.target_encoded:
             add(TargetEncoder([_work(c) for c in self.target_encoded], self.label))
         if self.one_hot:
@@ -123,5 +130,29 @@ def nested_stack_scores(df: DataFrame, makers: dict[str, Callable[[], object]],
     def make():
         return PipelineStacking(makers, meta_maker, id_col, inner)
 
-    folded = assign_folds(df, id_col, k=k, seed=seed, fold_col=inner)
+    # another hash than the outer folds': the same one with another seed would only shift them
+    folded = assign_folds(df, id_col, k=k, seed=seed, method="xxhash", fold_col=inner)
     return fold_scores(oof_by_loop(folded, make, fold_col=fold_col, parallelism=2), label, "oof", fold_col, model)
+
+
+def switch_ablation(df: DataFrame, switches: dict[str, Callable], make: Callable[[dict], object], label: str, fold_col: str = "fold",
+                    arms: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """(model, fold, n, rmse) of one pipeline under several settings of its switches.
+
+    ``switches``: {name: change} where a change is a function of the rows that
+    is applied before the folds are fitted (a row filter, an imputation), or
+    None for a switch that only ``make`` reads; ``make({name: on})`` builds the
+    estimator.  By default every switch is tried alone, none and all of them.
+    """
+    arms = arms if arms is not None else {"base": [], **{s: [s] for s in switches}, "all": list(switches)}
+    out = None
+    for arm, on in arms.items():
+        rows = df
+        for name, change in switches.items():
+            if name in on and change is not None:
+                rows = change(rows)
+        state = {name: name in on for name in switches}
+        oof = oof_by_loop(rows, lambda state=state: make(state), fold_col=fold_col, out_col="oof")
+        part = fold_scores(oof, label, "oof", fold_col, arm)
+        out = part if out is None else out.unionByName(part)
+    return out

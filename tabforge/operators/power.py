@@ -98,6 +98,10 @@ def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float
     stats = {}
     for r in sums:
         n = r["n"]
+        if r["s1"] is None or r["s2"] is None or r["m2"] is None:
+            if r["li"] == 0:
+                stats[(r["column"], 0)] = {"n": 0, "m2": 0.0, "mu": 0.0, "s": r["s"]}
+            continue   # the transform overflows at this lambda: it is no candidate
         mu = r["s1"] / n if n else 0.0
         # pooled M2 = sum of within-task M2 (exact per task) + between-task spread of the means
         between = max(r["s2"] - r["s1"] * mu, 0.0)

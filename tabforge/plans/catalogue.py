@@ -785,7 +785,7 @@ def blend_gate(spark, sf_dir):
 
 # ---------------------------------------------------------------- the final stack
 
-from tabforge.operators.pipelines import PipelineStacking, RegressionPipeline  # noqa: E402
+from tabforge.operators.pipelines import PipelineStacking, RegressionPipeline, nested_stack_scores, switch_ablation  # noqa: E402
 
 
 def _pipeline(make):
@@ -811,3 +811,48 @@ def stack_final(spark, sf_dir):
     c = c_folds(spark, sf_dir).withColumn("nat", F.col("nat").cast("string"))
     out = PipelineStacking(FINAL_PIPELINES, _meta, "id").fit(c).transform(c)
     return out.select("id", *[r6(f"p_{n}").alias(f"p_{n}") for n in FINAL_PIPELINES], r6("prediction").alias("prediction"))
+
+
+@query("nested_stack")
+def nested_stack(spark, sf_dir):
+    """Score of the whole stack of the two linear pipelines: per outer fold, 5 inner folds and refits on the other rows."""
+    c = c_folds(spark, sf_dir).withColumn("nat", F.col("nat").cast("string"))
+    scores = nested_stack_scores(c, LINEAR_PIPELINES, _meta, "id", "y")
+    return scores.select("model", "fold", "n", r6("rmse").alias("rmse"))
+
+
+@query("switches")
+def switches(spark, sf_dir):
+    """The three switches of the published ablation, each alone, none and all: row filter, KNN imputation, Yeo-Johnson."""
+    from tabforge.sources.frames import K_COMPLETE, frame_k
+    numbers = [*K_COMPLETE[:-1], "acct"]
+    k = frame_k(spark, sf_dir).join(frame_c(spark, sf_dir).select("id", "y"), "id")
+    k = checkpoint_once(assign_folds(k, "id", k=5, seed=42))
+
+    def plain(df):
+        return df.withColumns({"acct": F.coalesce("acct", F.lit(0.0)), "seg": F.coalesce("seg", F.lit("None")), "nat": F.col("nat").cast("string")})
+
+    def near(df):
+        return checkpoint_once(KNNImputer(["seg", "acct"], [*K_COMPLETE, "acct", "seg"], "id", k=5).fit(df).transform(df))
+
+    def make(on):
+        pipe = RegressionPipeline(lambda f: Ridge(f, "y", RIDGE_ALPHA), "y", numbers, ["nat"], ["seg"], route_skew=on["yeo_johnson"], l1_alpha=0.0005, scale=True)
+        return _Prefilled(plain, pipe)
+
+    scores = switch_ablation(k, {"rows": lambda df: df.where(F.col("n_orders") >= 4), "knn": near, "yeo_johnson": None}, make, "y")
+    return scores.select("model", "fold", "n", r6("rmse").alias("rmse"))
+
+
+class _Prefilled:
+    """A pipeline behind fixed fills of what is still null."""
+
+    def __init__(self, fill, pipe):
+        self.fill, self.pipe = fill, pipe
+
+    def fit(self, df):
+        return _Fitted([], _Step(self.fill), self.pipe.fit(self.fill(df)))
+
+
+class _Step:
+    def __init__(self, fn):
+        self.transform = fn

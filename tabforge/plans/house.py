@@ -10,7 +10,12 @@ Two preprocessing variants:
   skew routing (Yeo-Johnson + robust / robust), target encoding of the
   high-cardinality nominals, one-hot of the rest, L1 feature selection.
 
-Everything is fitted on the training rows it is given (inside a CV fold when
+The three switches of the published ablation (only normal sales, KNN
+imputation, Yeo-Johnson) can be set one by one (``switch_scores``); the final
+model is a RidgeCV stack of ridge, lasso and two boosted-tree pipelines
+(``fit_stack``, scored by nested folds in ``stack_scores``).  As published, the
+stack's preprocessor is fitted once on all its rows; everything else is fitted
+on the training rows it is given (inside a CV fold when
 called from ``cv_scores``), and every column list is presence-guarded.
 """
 
@@ -27,9 +32,12 @@ from tabforge.operators.clean import RoleImputer, drop_where, fallback_fill
 from tabforge.operators.encode import OneHotEncoder, RobustScaler, TargetEncoder
 from tabforge.operators.features import CastColumns, DerivedSpec, FeatureEngineer, OrdinalMapper
 from tabforge.operators.knn import KNNImputer
-from tabforge.operators.linear import L1Selector, Lasso, Ridge
+from tabforge.operators.linear import L1Selector, Lasso, Ridge, RidgeCV
+from tabforge.operators.pipelines import PipelineStacking, RegressionPipeline, nested_stack_scores
 from tabforge.operators.power import SkewRouter
+from tabforge.operators.trees import GBT, LGBM_REGULARISED, XGB_REGULARISED
 from tabforge.operators.validate import assign_folds, fold_scores, oof_by_loop, score_summary
+from tabforge.session import checkpoint_once
 
 # ---------------------------------------------------------------- fixed values (column roles and code maps)
 
@@ -79,12 +87,18 @@ class HouseConfig:
     knn_k: int = 5
     l1_alpha: float = 0.0005
     skew_threshold: float = 0.75
+    # the three switches of the ablation; None: as the variant has it
+    normal_only: bool = False         # only sales with SaleCondition "Normal"
+    knn: bool | None = None           # KNN imputation of the genuine gaps, else the neighbourhood's median and modes
+    yeo_johnson: bool | None = None   # skewed numbers through Yeo-Johnson, else plain robust scaling
     high_card: list[str] = field(default_factory=lambda: list(HIGH_CARD))
 
 
 def prepare_labelled(train: DataFrame, cfg: HouseConfig) -> DataFrame:
     """Outlier rule (null operands kept), dropped columns, log1p label in ``label``."""
     out = drop_where(train, outlier_rule(cfg.label)) if {"GrLivArea", cfg.label} <= set(train.columns) else train
+    if cfg.normal_only:
+        out = out.where(F.col("SaleCondition") == "Normal")
     out = out.drop(*[c for c in DROPPED if c in out.columns])
     return out.withColumn("label", F.log1p(F.col(cfg.label).cast("double"))).drop(cfg.label)
 
@@ -97,7 +111,7 @@ class HousePreprocessor:
 
     def fit(self, df: DataFrame):
         cfg = self.cfg
-        if cfg.variant == "baseline":
+        if not (cfg.variant != "baseline" if cfg.knn is None else cfg.knn):
             eng = FeatureEngineer(HOUSE_DERIVED, fill=("LotFrontage", "Neighborhood")).fit(df)
             x = eng.transform(df)
             imp = RoleImputer(SEMANTIC_CAT, SEMANTIC_NUM, GENUINE_CAT, fallback=True).fit(x)
@@ -160,7 +174,8 @@ class HouseModel:
         else:
             hi = [c for c in cfg.high_card if c in nom]
             lo = [c for c in nom if c not in hi]
-            router = SkewRouter(num, cfg.skew_threshold).fit(x)
+            plain = cfg.yeo_johnson is False
+            router = (RobustScaler(num) if plain else SkewRouter(num, cfg.skew_threshold)).fit(x)
             x = router.transform(x)
             te = TargetEncoder(hi, "label").fit(x)
             x = te.transform(x)
@@ -207,3 +222,57 @@ def refit_and_score(train: DataFrame, test: DataFrame, cfg: HouseConfig, regress
     model = HousePipeline(cfg, regressor).fit(prepare_labelled(train, cfg))
     scored = model.transform(test.drop(*[c for c in DROPPED if c in test.columns]))
     return scored.select(cfg.id_col, F.expm1("prediction").alias(cfg.label))
+
+
+# ------------------------------------------------------------------ switches and the final stack
+
+SWITCHES = ("normal_only", "knn", "yeo_johnson")
+
+
+def switch_scores(train: DataFrame, regressor: str = "ridge", k: int = 5, switches: Sequence[str] = SWITCHES) -> DataFrame:
+    """(model, fold, n, rmse) of the target-encoded pipeline with none of the three switches, each alone, and all."""
+    arms = {"base": (), **{s: (s,) for s in switches}, "all": tuple(switches)}
+    out = None
+    for arm, on in arms.items():
+        cfg = HouseConfig(variant="final", **{s: s in on for s in SWITCHES})
+        scores = cv_scores(train, cfg, regressor, k).withColumn("model", F.lit(arm))
+        out = scores if out is None else out.unionByName(scores)
+    return out
+
+
+def stack_makers(x: DataFrame, cfg: HouseConfig, trees: dict[str, dict] | None = None) -> dict:
+    """Ridge, lasso and boosted-tree pipelines over a preprocessed table (the published regularised trees by default)."""
+    nom, num = split_roles(x, [cfg.id_col, "label", "fold", "_inner"])
+    hi = [c for c in cfg.high_card if c in nom]
+    lo = [c for c in nom if c not in hi]
+    trees = {"xgb": XGB_REGULARISED, "lgbm": LGBM_REGULARISED} if trees is None else trees
+    skewed = cfg.yeo_johnson is not False
+
+    def pipeline(make):
+        return lambda: RegressionPipeline(make, "label", num, hi, lo, route_skew=skewed, l1_alpha=cfg.l1_alpha, scale=not skewed)
+
+    makers = {"ridge": pipeline(lambda f: Ridge(f, "label", 10.0)), "lasso": pipeline(lambda f: Lasso(f, "label", 0.0005))}
+    return makers | {n: pipeline(lambda f, p=p: GBT(f, "label", p, id_col=cfg.id_col)) for n, p in trees.items()}
+
+
+def _meta(cols: list[str]) -> RidgeCV:
+    return RidgeCV(cols, "label", [0.1, 1.0, 10.0, 100.0])
+
+
+def preprocessed(train: DataFrame, cfg: HouseConfig, k: int = 5) -> tuple[DataFrame, object]:
+    """(labelled rows after the preprocessor fitted on all of them, with folds; the fitted preprocessor)."""
+    rows = prepare_labelled(train, cfg)
+    pre = HousePreprocessor(cfg).fit(rows)
+    return checkpoint_once(assign_folds(pre.transform(rows), cfg.id_col, k=k)), pre
+
+
+def fit_stack(train: DataFrame, cfg: HouseConfig, trees: dict[str, dict] | None = None, k: int = 5):
+    """The final model: RidgeCV over the out-of-fold predictions of the pipelines, each refitted on all rows."""
+    x, pre = preprocessed(train, cfg, k)
+    return _Fitted([pre, PipelineStacking(stack_makers(x, cfg, trees), _meta, cfg.id_col).fit(x)])
+
+
+def stack_scores(train: DataFrame, cfg: HouseConfig, trees: dict[str, dict] | None = None, k: int = 5) -> DataFrame:
+    """(model, fold, n, rmse) of the whole stack, k x (k + 1) fits of every pipeline."""
+    x, _ = preprocessed(train, cfg, k)
+    return nested_stack_scores(x, stack_makers(x, cfg, trees), _meta, cfg.id_col, "label", k=k)

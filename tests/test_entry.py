@@ -1,7 +1,8 @@
 import __spark_entry__ as E
 from tabforge.plans.catalogue import QUERIES
 
-ROWS_ONLY = {"gbt_cv", "search_trials", "stack_final", "gbt_importance", "gbt_published", "gbt_chosen"}
+ROWS_ONLY = {"gbt_cv", "search_trials", "stack_final", "gbt_importance", "gbt_published", "gbt_chosen",
+             "nested_stack", "switches"}
 
 
 def test_contract_keys():

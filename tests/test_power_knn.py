@@ -161,3 +161,11 @@ def test_lambda_beyond_the_first_grid(spark):
         assert abs(lams[c]) > 5
         grid = lams[c] + np.arange(-2000, 2001) / 100.0 + 1e-7
         assert likelihood(x, lams[c]) >= max(likelihood(x, g) for g in grid) - 1e-4
+
+
+def test_lambda_search_ends_where_the_transform_overflows(spark):
+    """Most values at the upper end: the likelihood grows with lambda until the power overflows."""
+    df = spark.createDataFrame([(7.0 if i % 10 else 1.0 + i % 60 / 10, float(i % 7)) for i in range(400)], "x double, y double").repartition(3)
+    model = YeoJohnson(["x", "y"]).fit(df)
+    assert all(math.isfinite(v) for v in model.lambdas.values())
+    assert df.count() == model.transform(df).where("x is not null and x = x").count()

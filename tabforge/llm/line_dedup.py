@@ -14,7 +14,8 @@ are, which grouping by the chunk text itself decides.
 
 Rows that agree in doc_id and text count as one document and are treated
 alike.  Null texts stay null and have no lines.  Single-line chunks are never
-removed.  An empty table gives an empty result; other columns stay as they are.
+removed.  An empty table gives an empty result; other columns stay as they are,
+and the two added ones get underscores in front where the table has such names.
 
 The chunk rule misses most short passages: a repeated passage goes only where
 two cuts fall inside it.  ``dedup_passages`` has no such gap.  It takes every
@@ -130,6 +131,7 @@ def _taken_out(docs: DataFrame, removals: DataFrame, pieces: Callable[[Column],
     A Bloom filter of the documents that lose lines, of a bounded size, lets
     all others pass straight through; only the rest meets the removal list.
     """
+    n_lines, n_removed = fresh(docs, n_lines), fresh(docs, n_removed)
     d, t, gone, lines_gone, flag = (fresh(docs, x) for x in ("_d", "_t", "_gone", "_lines_gone", "_touched"))
     removed = written(removals.withColumnsRenamed({"doc_id": d, "t": t, "gone": gone, "lines_gone": lines_gone})
                       .withColumn("h", F.xxhash64(d, t)), "line-removed")

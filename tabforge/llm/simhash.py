@@ -129,8 +129,8 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node of ``edges`` (a, b).
 
-    Large-star and small-star rounds until the edges stay the same; only edge
-    counts and a checksum reach the driver.
+    Large-star and small-star rounds until the edges stay the same; only their
+    number and the exact sum of their 64-bit hashes reach the driver.
     """
     pairs = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .filter("u <> v").distinct(), "simhash-edges")
@@ -145,7 +145,7 @@ def components(edges: DataFrame) -> DataFrame:
                  .unionByName(low.select("u", F.col("m").alias("v"))))
         pairs = written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                         .filter("u <> v").distinct(), "simhash-small")
-        now = tuple(pairs.agg(F.count(F.lit(1)), F.sum((F.xxhash64("u", "v") % 1000003))).first())
+        now = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             break
         seen = now

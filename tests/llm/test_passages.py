@@ -77,3 +77,12 @@ def test_passages_edge_cases(spark):
     held = sorted(sum(line in (r["text"] or "") for line in passage) for r in rows if r["doc_id"] in (12, 13, 14))
     assert held == [0, 0, len(passage)]
     assert line_dedup.passage_report(edge.empty(spark)).count() == 0
+
+
+def test_clashing_counts_keep_their_columns(spark, tmp_path):
+    docs = edge.frame(spark).selectExpr("*", "777L as n_lines", "'x' as n_removed")
+    for dedup in (line_dedup.dedup_lines, line_dedup.dedup_passages):
+        out = dedup(docs)
+        assert out.columns == [*docs.columns, "_n_lines", "_n_removed"]
+        out.write.parquet(f"file://{tmp_path}/{dedup.__name__}")
+        assert {(r["n_lines"], r["n_removed"]) for r in out.collect()} == {(777, "x")}

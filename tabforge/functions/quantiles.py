@@ -39,6 +39,7 @@ from tabforge.session import checkpoint_once, ensure_checkpoint_dir
 DEFAULT_ACCURACY = 10000
 MAX_BAND = 2_000_000    # values that one window task sorts
 _BINS = 1024
+_WIDE = 4               # columns beyond which the band is taken from a long table
 # Tables of one row per group up to this size go through the driver and are broadcast; larger ones are checkpointed and joined.
 MAX_LOCAL_GROUPS = 4096
 
@@ -75,6 +76,8 @@ def _settled(df: DataFrame, group_cols: list[str]):
 
 def _band(rows: DataFrame, brackets, group_cols: list[str], slots: list, vals: list[str]) -> DataFrame:
     """(groups, _i, v, c): counts by value inside the bracket of slot _i, and with v null all values below it."""
+    if not group_cols and len(vals) > _WIDE and all(brackets.get(e) is not None for e in _edges(len(slots))):
+        return _wide_band(rows, brackets, len(slots), vals)
     joined, edges = _beside(rows, brackets, group_cols, _edges(len(slots)))
     lo, hi = [e.cast("double") for e in edges[:len(slots)]], [e.cast("double") for e in edges[len(slots):]]
     entries = F.array(*[F.when(F.col(vals[k]) <= hi[i], F.struct(
@@ -83,6 +86,24 @@ def _band(rows: DataFrame, brackets, group_cols: list[str], slots: list, vals: l
             .groupBy(*group_cols, "_i", "v").agg(F.count(F.lit(1)).alias("c")))
 
 
+def _long(rows: DataFrame, vals: list[str]) -> DataFrame:
+    return rows.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(v).alias("v")) for k, v in enumerate(vals)])).alias("_r"))
+
+
+def _wide_band(rows: DataFrame, brackets: dict, n: int, vals: list[str]) -> DataFrame:
+    """``_band`` of many columns without groups: long first, so that the plan does not grow with columns x probs."""
+    per = n // len(vals)   # slot k * per + j: column k, prob j
+    long = _long(rows, vals)
+
+    def edge(x: str, j: int) -> Column:
+        return F.element_at(F.lit([float(brackets[f"_{x}{k * per + j}"]) for k in range(len(vals))]), F.col("_r.k") + 1)
+
+    entries = F.array(*[F.when(F.col("_r.v") <= edge("hi", j), F.struct(
+        (F.col("_r.k") * per + j).alias("_i"), F.when(F.col("_r.v") >= edge("lo", j), F.col("_r.v")).alias("v"))) for j in range(per)])
+    return (long.where("_r.v is not null").select(F.explode(entries).alias("_e")).where("_e is not null").select("_e._i", "_e.v")
+            .groupBy("_i", "v").agg(F.count(F.lit(1)).alias("c")))
+
+
 def _ranked(rows: DataFrame, brackets, sizes, group_cols: list[str], slots: list, vals: list[str],
             names: Sequence[str]) -> DataFrame:
     """(groups, _i, column, prob, value) of every slot with a bracket; the value is null where the rank is not inside."""

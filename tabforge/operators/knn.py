@@ -173,9 +173,12 @@ class KNNImputer(ColumnEstimator):
         str_cols = [c for c in self.dist_cols if types[c] == "string"]
         codes, sizes = {}, {}
         for c in str_cols:
-            tbl = checkpoint_once(first_appearance_codes(dataset, c, self.id_col))
-            sizes[c] = tbl.count()
-            codes[c] = {r["value"]: r["code"] for r in tbl.collect()} if sizes[c] <= MAX_LITERAL_ENTRIES else tbl
+            tbl = first_appearance_codes(dataset, c, self.id_col)
+            few = tbl.limit(MAX_LITERAL_ENTRIES + 1).collect()
+            codes[c], sizes[c] = {r["value"]: r["code"] for r in few}, len(few)
+            if len(few) > MAX_LITERAL_ENTRIES:
+                codes[c] = checkpoint_once(tbl)
+                sizes[c] = codes[c].count()
         model = KNNImputerModel(self, codes, sizes, [], [], [], [], dataset)
         enc = model.fit_encoded
         cols = model.dist_cols

@@ -17,13 +17,17 @@ alike.  Null texts stay null and have no lines.  Single-line chunks are never
 removed.  An empty table gives an empty result; other columns stay as they are,
 and the two added ones get underscores in front where the table has such names.
 
-The chunk rule misses most short passages: a repeated passage goes only where
-two cuts fall inside it.  ``dedup_passages`` has no such gap.  It takes every
-window of two adjacent lines with a word as a candidate (same filter, same
-check by bytes) and removes each line of a window that is not the first of its
-kind, so matches extend line by line over their whole length.  The first place
-of any line is never removed: an earlier copy of its window would hold an
-earlier copy of the line.
+``dedup_lines`` stops there: a repeated passage goes only where two cuts fall
+inside it.  ``dedup_passages`` extends the matches line by line past their
+chunks.  Repeated chunks go first, all copies but one; then every window of two
+adjacent lines with a word that is not inside a removed chunk is a candidate
+(same filter, same check by bytes), and each line of a window that is not the
+first of its kind goes.  So every repeated passage of two lines or more goes
+over its whole length, while copies of a chunk meet the extension only once.
+Nothing is lost by leaving out the removed chunks' own windows: the first copy
+of the chunk holds each of them, at an earlier place.  The first place of any
+line is never removed: an earlier copy of its window would hold an earlier copy
+of the line.
 """
 
 from __future__ import annotations
@@ -46,7 +50,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def chunks(text: Column) -> Column:
-    """Array of struct(text, n_lines): the chunks of a text in order; joined by newlines they give it back."""
+    """Array of struct(text, start, n_lines): the chunks of a text in order; joined by newlines they give it back."""
     def line_hash(line: Column) -> Column:
         return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
@@ -62,47 +66,69 @@ def chunks(text: Column) -> Column:
         return _let(_let(_let(F.transform(lines, line_hash), rolling), starts), lambda s: F.transform(
             F.slice(s, F.lit(1), F.size(s) - 1), lambda a, k: F.struct(
                 F.array_join(F.slice(lines, a + 1, F.get(s, k + 1) - a), "\n").alias("text"),
-                (F.get(s, k + 1) - a).alias("n_lines"))))
+                a.alias("start"), (F.get(s, k + 1) - a).alias("n_lines"))))
 
     return _let(F.split(text, "\n", -1), cut)
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """(doc_id, t, pos, n_lines, chunk) for chunks that may be removed."""
+    """(doc_id, t, pos, start, n_lines, chunk) for chunks that may be removed; ``start`` is the first line's number, from 0."""
     rows = docs.filter("text is not null").select("doc_id", text_key(F.col("text")).alias("t"),
                                                   F.posexplode(chunks(F.col("text"))).alias("pos", "c"))
     return (rows.filter((F.col("c.n_lines") >= 2) & F.col("c.text").rlike(f"[^{SPACE}]"))
-            .select("doc_id", "t", "pos", "c.n_lines", F.col("c.text").alias("chunk")))
+            .select("doc_id", "t", "pos", "c.start", "c.n_lines", F.col("c.text").alias("chunk")))
+
+
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"), F.col("pos").alias("pos"))
 
 
 def _later_copies(numbered: Callable[[], DataFrame], piece: str) -> DataFrame:
-    """The rows of ``numbered()`` (doc_id, t, pos, ``piece``, more) whose piece stands at an earlier place too."""
+    """The rows of ``numbered()`` (doc_id, t, pos, ``piece``, more) without ``piece`` whose piece stands at an earlier place too.
+
+    Pieces are grouped by a 128-bit hash together with the smallest and the
+    largest piece of the group: where these agree, all its pieces have the same
+    bytes, and the places meet their group by the hash alone.  Hashes shared by
+    different pieces, if any, are grouped by the pieces themselves.
+    """
     hashes = written(numbered().select(F.xxhash64(piece).alias("h")), "line-hashes")
     bits = filter_bits(hashes.count())
     maps = repeat_bitmaps(hashes, "h", bits)
     maybe = written(with_repeat_flag(numbered(), F.xxhash64(piece), maps, bits, "maybe")
-                    .filter("maybe").drop("maybe"), "line-candidates")
-    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"),
-                     F.col("pos").alias("pos"))
-    groups = written(maybe.groupBy(piece).agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                     .filter("first <> last"), "line-groups")
-    same = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"),
-                    F.col("pos").alias("pos"))
-    return maybe.join(groups, piece).filter(~same.eqNullSafe(F.col("first")))
+                    .filter("maybe").drop("maybe").withColumn("k", F.unhex(F.md5(piece))), "line-candidates")
+    groups = written(maybe.groupBy("k").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"),
+                                            F.min(piece).alias("lo"), F.max(piece).alias("hi"))
+                     .filter("first <> last").withColumn("alike", F.expr("lo = hi")).drop("lo", "hi"), "line-groups")
+    later = ~_place().eqNullSafe(F.col("first"))
+    rest = [c for c in maybe.columns if c not in (piece, "k")]
+    out = maybe.drop(piece).join(groups.filter("alike"), "k").filter(later).select(*rest)
+    unlike = groups.filter("not alike").select("k")
+    if unlike.isEmpty():
+        return out
+    mixed = written(maybe.join(unlike, "k", "left_semi"), "line-unlike")
+    firsts = mixed.groupBy(piece).agg(F.min(_place()).alias("first"))
+    return out.unionByName(mixed.join(firsts, piece).filter(later).select(*rest))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, t, pos, n_lines) of the chunk occurrences to remove."""
-    return _later_copies(lambda: _numbered(docs), "chunk").select("doc_id", "t", "pos", "n_lines")
+    """(doc_id, t, pos, start, n_lines) of the chunk occurrences to remove."""
+    return _later_copies(lambda: _numbered(docs), "chunk")
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, t, pos, pair) for every two adjacent lines with a word; ``pos`` is the first line's, from 0."""
+def _windows(docs: DataFrame, inside: Column | None = None) -> DataFrame:
+    """(doc_id, t, pos, pair) for every two adjacent lines with a word; ``pos`` is the first line's, from 0.
+
+    Windows at the positions in the array ``inside`` are left out.
+    """
     def pairs(lines: Column) -> Column:
         return F.transform(F.slice(lines, F.lit(1), F.size(lines) - 1),
-                           lambda line, i: F.concat(line, F.lit("\n"), F.get(lines, i + 1)))
-    rows = docs.filter("text is not null").select("doc_id", text_key(F.col("text")).alias("t"), F.posexplode(
-        _let(F.split(F.col("text"), "\n", -1), pairs)).alias("pos", "pair"))
+                           lambda line, i: F.struct(i.alias("pos"), F.concat(line, F.lit("\n"), F.get(lines, i + 1)).alias("pair")))
+
+    def wanted(found: Column) -> Column:
+        at = F.transform(found, lambda x: x["pos"])
+        return found if inside is None else F.transform(F.array_except(at, inside), lambda i: F.get(found, i))
+    rows = docs.filter("text is not null").select("doc_id", text_key(F.col("text")).alias("t"), F.inline(
+        _let(_let(F.split(F.col("text"), "\n", -1), pairs), wanted)))
     return rows.filter(F.col("pair").rlike(f"[^{SPACE}]"))
 
 
@@ -119,31 +145,43 @@ def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_r
 
 
 def dedup_passages(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
-    """Like ``dedup_lines``, for every repeated passage of two lines or more with a word, wherever it stands."""
-    gone = _later_copies(lambda: _windows(docs), "pair").groupBy("doc_id", "t").agg(F.collect_set("pos").alias("p")).select(
-        "doc_id", "t", F.array_union(F.col("p"), F.transform("p", lambda i: i + 1)).alias("gone"))
+    """Like ``dedup_lines``, for every repeated passage of two lines or more with a word: chunk matches and their extensions."""
+    copies = written(repeated_chunks(docs).select("doc_id", "t", "start", "n_lines").distinct(), "line-copies")
+    narrow = docs.select("doc_id", "text")
+    inside = copies.groupBy("doc_id", "t").agg(F.flatten(F.collect_list(
+        F.sequence(F.col("start"), F.col("start") + F.col("n_lines") - 2))).alias("inside"))
+    untouched, touched = _met(narrow, inside)
+    touched = written(touched.select("doc_id", "text", F.coalesce("inside", F.array().cast("array<int>")).alias("inside")), "line-touched")
+    more = _later_copies(lambda: _windows(untouched).unionByName(_windows(touched, F.col("inside"))), "pair")
+    lines = (copies.select("doc_id", "t", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_lines") - 1)).alias("line"))
+             .unionByName(more.select("doc_id", "t", F.explode(F.array(F.col("pos"), F.col("pos") + 1)).alias("line"))))
+    gone = lines.groupBy("doc_id", "t").agg(F.collect_set("line").alias("gone"))
     return _taken_out(docs, gone.withColumn("lines_gone", F.size("gone").cast("long")), _lines, n_lines, n_removed)
 
 
-def _taken_out(docs: DataFrame, removals: DataFrame, pieces: Callable[[Column], Column], n_lines: str, n_removed: str) -> DataFrame:
-    """``docs`` without the ``pieces`` of ``text`` at the positions in ``removals`` (doc_id, t, gone, lines_gone).
+def _met(docs: DataFrame, removals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``docs`` without a row in ``removals``, the others with its columns but the key (doc_id, t)).
 
-    A Bloom filter of the documents that lose lines, of a bounded size, lets
-    all others pass straight through; only the rest meets the removal list.
+    A Bloom filter of the documents in ``removals``, of a bounded size, lets
+    all others pass straight through; only the rest meets the list.
     """
-    n_lines, n_removed = fresh(docs, n_lines), fresh(docs, n_removed)
-    d, t, gone, lines_gone, flag = (fresh(docs, x) for x in ("_d", "_t", "_gone", "_lines_gone", "_touched"))
-    removed = written(removals.withColumnsRenamed({"doc_id": d, "t": t, "gone": gone, "lines_gone": lines_gone})
-                      .withColumn("h", F.xxhash64(d, t)), "line-removed")
+    d, t, flag = (fresh(docs, x) for x in ("_d", "_t", "_touched"))
+    removed = written(removals.withColumnsRenamed({"doc_id": d, "t": t}).withColumn("h", F.xxhash64(d, t)), "line-removed")
     bits = filter_bits(removed.count())
-    text = F.col("text")
-    key = text_key(text)
+    key = text_key(F.col("text"))
     flagged = with_repeat_flag(docs, F.xxhash64(F.col("doc_id"), key), repeat_bitmaps(removed, "h", bits, least=1), bits, flag)
+    touched = flagged.filter(F.col(flag)).join(removed.drop("h"), F.col("doc_id").eqNullSafe(F.col(d)) & (key == F.col(t)), "left")
+    return flagged.filter(~F.col(flag)).drop(flag), touched.drop(flag, d, t)
+
+
+def _taken_out(docs: DataFrame, removals: DataFrame, pieces: Callable[[Column], Column], n_lines: str, n_removed: str) -> DataFrame:
+    """``docs`` without the ``pieces`` of ``text`` at the positions in ``removals`` (doc_id, t, gone, lines_gone)."""
+    n_lines, n_removed = fresh(docs, n_lines), fresh(docs, n_removed)
+    gone, lines_gone = fresh(docs, "_gone"), fresh(docs, "_lines_gone")
+    untouched, touched = _met(docs, removals.withColumnsRenamed({"gone": gone, "lines_gone": lines_gone}))
+    text = F.col("text")
     lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(F.split(text, "\n", -1))).cast("long").alias(n_lines)
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    whole = flagged.filter(~F.col(flag)).select(*cols, lines, F.lit(0).cast("long").alias(n_removed))
-    touched = flagged.filter(F.col(flag)).join(
-        removed.drop("h"), F.col("doc_id").eqNullSafe(F.col(d)) & (key == F.col(t)), "left")
+    whole = untouched.select(*[F.col(f"`{c}`") for c in docs.columns], lines, F.lit(0).cast("long").alias(n_removed))
     kept = _let(pieces(text), lambda c: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(c) - 1), F.col(gone)), lambda i: F.get(c, i)["text"]), "\n"))
     cut = touched.select(

@@ -14,6 +14,13 @@ part (its own, and the 15 others at distance 2, or none when it is a codeword
 itself).  So the anchor of either of two linked fingerprints sees both, and a
 member is compared with the replicas at its anchor, in one equi-join.
 
+There are 2^26 anchors a part, so the fingerprints that meet at one grow with
+the corpus.  Where a fingerprint would meet more than ``MAX_MEETINGS`` others,
+an anchor is keyed together with untouched bits as well: of the 33 bits outside
+the part a linked pair differs in 2 at most, so it agrees in one whole block of
+three of 11 bits, and members and replicas carry (anchor, block, its bits), once
+for each block.  That divides the meetings by about 2^11 / 3 and loses no pair.
+
 Only distinct fingerprints take part; copies share one.  Components come from
 the large-star / small-star iteration over the links, with min aggregates.
 An empty table gives an empty result.  Rows with a null doc_id are grouped
@@ -36,6 +43,10 @@ SHINGLE = 3
 MAX_BITS = 2
 _PART_BITS = 31
 _PARTS = (0, 31)
+_BLOCKS, _BLOCK_BITS = 3, 11  # of the bits outside a part: one block more than the 2 bits that may differ
+_ANCHORS = 1 << 26            # codewords of the [31, 26] code
+MAX_MEETINGS = 64             # expected replicas that a member meets before anchors are keyed with blocks
+_REPLICA_BYTES, _PARTITION_BYTES = 24, 256 << 20
 _BLOCK = 1 << 16  # shingles counted at once: bounds the memory of a very long text
 
 
@@ -101,29 +112,52 @@ def anchors(part: Column) -> tuple[Column, Column]:
     return nearest, F.array_distinct(F.concat(F.array(nearest), others))
 
 
-def _at(part: int, words: Column) -> Column:
-    return F.transform(words, lambda a: F.struct(F.lit(part).alias("part"), a.alias("anchor")))
+def blocks_for(n: int, max_meetings: int = MAX_MEETINGS) -> int:
+    """Blocks that anchors are keyed with for ``n`` distinct fingerprints: 1 (none) or 3."""
+    return 1 if 2 * 16 * n <= max_meetings * _ANCHORS else _BLOCKS
+
+
+def _keys(part: int, fp: Column, words: Column, blocks: int) -> Column:
+    """Array of the join keys of the anchors ``words``: anchor, bits of the block, block and part in one long."""
+    low = _PARTS[part]
+    # the bits above the part, then those below it
+    rest = F.shiftrightunsigned(fp, _PART_BITS) if low == 0 else (
+        fp.bitwiseAND(F.lit((1 << low) - 1)).bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, low + _PART_BITS), low)))
+
+    def of_block(block: int) -> Column:
+        bits = (F.lit(0).cast("long") if blocks == 1 else
+                F.shiftrightunsigned(rest, block * _BLOCK_BITS).bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1)))
+        tail = F.shiftleft(bits, 3).bitwiseOR(F.lit(2 * block + part).cast("long"))
+        return F.transform(words, lambda a: F.shiftleft(a, _BLOCK_BITS + 3).bitwiseOR(tail))
+    return F.concat(*[of_block(block) for block in range(blocks)])
 
 
-def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def members_and_replicas(fingerprints: DataFrame, blocks: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(a, key) of every fingerprint at its nearest anchors and (b, key) at all anchors within reach."""
+    fp, own, near = F.col("fp"), [], []
+    for k, low in enumerate(_PARTS):
+        nearest, within = anchors(F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << _PART_BITS) - 1)))
+        own.append(_keys(k, fp, F.array(nearest), blocks))
+        near.append(_keys(k, fp, within, blocks))
+    return (fingerprints.select(fp.alias("a"), F.explode(F.concat(*own)).alias("key")),
+            fingerprints.select(fp.alias("b"), F.explode(F.concat(*near)).alias("key")))
+
+
+def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, max_meetings: int = MAX_MEETINGS) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints ``fp`` at most ``max_bits`` (2) bits apart."""
     if max_bits > 2:
         raise ValueError("two parts of radius-1 anchors cover distances up to 2")
-    member_parts, replica_parts = [], []
-    for k, low in enumerate(_PARTS):
-        part = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
-        nearest, near = anchors(part)
-        member_parts.append(F.struct(F.lit(k).alias("part"), nearest.alias("anchor")))
-        replica_parts.append(_at(k, near))
-    # a narrow exchange first: each row becomes 32, more than its bytes let Spark foresee
+    n = fingerprints.count()
+    blocks = blocks_for(n, max_meetings)
+    # a narrow exchange first: each row becomes 32 or 96, more than its bytes let Spark foresee
     spread = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fingerprints = fingerprints.repartition(spread, "fp")
-    members = fingerprints.select(F.col("fp").alias("a"), F.inline(F.array(*member_parts)))
-    replicas = fingerprints.select(F.col("fp").alias("b"), F.inline(F.concat(*replica_parts)))
+    members, replicas = members_and_replicas(fingerprints.repartition(spread, "fp"), blocks)
+    needed = n * 32 * blocks * _REPLICA_BYTES // _PARTITION_BYTES
+    if needed > spread:
+        members, replicas = members.repartition(needed, "key"), replicas.repartition(needed, "key")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     # both directions hold, so a < b keeps each pair from one side
-    return (members.join(replicas, ["part", "anchor"]).filter(near & (F.col("a") < F.col("b")))
-            .select("a", "b").distinct())
+    return members.join(replicas, "key").filter(near & (F.col("a") < F.col("b"))).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

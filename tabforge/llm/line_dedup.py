@@ -83,6 +83,10 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"), F.col("pos").alias("pos"))
 
 
+def _group_key(piece: str) -> Column:
+    return F.unhex(F.md5(piece))
+
+
 def _later_copies(numbered: Callable[[], DataFrame], piece: str) -> DataFrame:
     """The rows of ``numbered()`` (doc_id, t, pos, ``piece``, more) without ``piece`` whose piece stands at an earlier place too.
 
@@ -95,7 +99,7 @@ def _later_copies(numbered: Callable[[], DataFrame], piece: str) -> DataFrame:
     bits = filter_bits(hashes.count())
     maps = repeat_bitmaps(hashes, "h", bits)
     maybe = written(with_repeat_flag(numbered(), F.xxhash64(piece), maps, bits, "maybe")
-                    .filter("maybe").drop("maybe").withColumn("k", F.unhex(F.md5(piece))), "line-candidates")
+                    .filter("maybe").drop("maybe").withColumn("k", _group_key(piece)), "line-candidates")
     groups = written(maybe.groupBy("k").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"),
                                             F.min(piece).alias("lo"), F.max(piece).alias("hi"))
                      .filter("first <> last").withColumn("alike", F.expr("lo = hi")).drop("lo", "hi"), "line-groups")

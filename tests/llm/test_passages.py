@@ -5,6 +5,8 @@ import sys
 sys.path.insert(0, os.path.dirname(__file__))
 import edge  # noqa: E402
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tabforge.llm import line_dedup  # noqa: E402
 
 
@@ -86,3 +88,11 @@ def test_clashing_counts_keep_their_columns(spark, tmp_path):
         assert out.columns == [*docs.columns, "_n_lines", "_n_removed"]
         out.write.parquet(f"file://{tmp_path}/{dedup.__name__}")
         assert {(r["n_lines"], r["n_removed"]) for r in out.collect()} == {(777, "x")}
+
+
+def test_pieces_that_share_a_hash_are_told_apart_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_group_key", lambda piece: F.substring(F.md5(piece), 1, 1))  # 16 values
+    texts = _texts()[:30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_passages(docs).collect()}
+    assert got == {y: "\n".join(lines) for y, lines in enumerate(_kept_lines(texts))}

@@ -20,12 +20,12 @@ and the two added ones get underscores in front where the table has such names.
 ``dedup_lines`` stops there: a repeated passage goes only where two cuts fall
 inside it.  ``dedup_passages`` extends the matches line by line past their
 chunks.  Repeated chunks go first, all copies but one; then every window of two
-adjacent lines with a word that is not inside a removed chunk is a candidate
-(same filter, same check by bytes), and each line of a window that is not the
-first of its kind goes.  So every repeated passage of two lines or more goes
-over its whole length, while copies of a chunk meet the extension only once.
-Nothing is lost by leaving out the removed chunks' own windows: the first copy
-of the chunk holds each of them, at an earlier place.  The first place of any
+adjacent lines with a word, inside the first copy of a chunk or across a cut, is
+a candidate (same filter, same check by bytes), and each line of a window that
+is not the first of its kind goes.  So every repeated passage of two lines or
+more goes over its whole length, while copies of a chunk are never windowed.
+Nothing is lost by leaving their windows out: the first copy of the chunk holds
+each of them, at an earlier place.  The first place of any
 line is never removed: an earlier copy of its window would hold an earlier copy
 of the line.
 """
@@ -33,6 +33,7 @@ of the line.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,10 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def chunks(text: Column) -> Column:
-    """Array of struct(text, start, n_lines): the chunks of a text in order; joined by newlines they give it back."""
+    """Array of struct(text, start, n_lines, last, next): the chunks of a text in order; joined by newlines they give it back.
+
+    ``start`` is the number of the first line, from 0; ``last`` the last line, ``next`` the one after it (null at the end).
+    """
     def line_hash(line: Column) -> Column:
         return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
@@ -66,74 +70,106 @@ def chunks(text: Column) -> Column:
         return _let(_let(_let(F.transform(lines, line_hash), rolling), starts), lambda s: F.transform(
             F.slice(s, F.lit(1), F.size(s) - 1), lambda a, k: F.struct(
                 F.array_join(F.slice(lines, a + 1, F.get(s, k + 1) - a), "\n").alias("text"),
-                a.alias("start"), (F.get(s, k + 1) - a).alias("n_lines"))))
+                a.alias("start"), (F.get(s, k + 1) - a).alias("n_lines"),
+                F.get(lines, F.get(s, k + 1) - 1).alias("last"), F.get(lines, F.get(s, k + 1)).alias("next"))))
 
     return _let(F.split(text, "\n", -1), cut)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """(doc_id, t, pos, start, n_lines, chunk) for chunks that may be removed; ``start`` is the first line's number, from 0."""
-    rows = docs.filter("text is not null").select("doc_id", text_key(F.col("text")).alias("t"),
+def _all_chunks(docs: DataFrame) -> DataFrame:
+    """(doc_id, t, pos, c) for every chunk ``c`` of every text."""
+    return docs.filter("text is not null").select("doc_id", text_key(F.col("text")).alias("t"),
                                                   F.posexplode(chunks(F.col("text"))).alias("pos", "c"))
-    return (rows.filter((F.col("c.n_lines") >= 2) & F.col("c.text").rlike(f"[^{SPACE}]"))
-            .select("doc_id", "t", "pos", "c.start", "c.n_lines", F.col("c.text").alias("chunk")))
 
 
-def _place() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"), F.col("pos").alias("pos"))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(doc_id, t, pos, start, n_lines, chunk) for chunks that may be removed."""
+    return _all_chunks(docs).filter(_removable()).select(
+        "doc_id", "t", "pos", "c.start", "c.n_lines", F.col("c.text").alias("chunk"))
+
+
+def _removable() -> Column:
+    return (F.col("c.n_lines") >= 2) & F.col("c.text").rlike(f"[^{SPACE}]")
+
+
+def _place(start: Column) -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"),
+                    F.col("pos").alias("pos"), start.alias("start"))
 
 
 def _group_key(piece: str) -> Column:
     return F.unhex(F.md5(piece))
 
 
-def _later_copies(numbered: Callable[[], DataFrame], piece: str) -> DataFrame:
-    """The rows of ``numbered()`` (doc_id, t, pos, ``piece``, more) without ``piece`` whose piece stands at an earlier place too.
+@dataclass(frozen=True)
+class _Repeats:
+    """The pieces that two Bloom passes leave possibly repeated, grouped by their bytes."""
+
+    later: DataFrame    # (doc_id, t, pos, more) of the pieces whose bytes stand at an earlier place too
+    firsts: DataFrame   # (piece, first) of every different piece: its bytes and its first place
+    maps: list          # the filter, and its number of slots
+    bits: int
+
+
+def _repeats(numbered: Callable[[], DataFrame], piece: str) -> _Repeats:
+    """Of ``numbered()`` (doc_id, t, pos, start, ``piece``, more).
 
-    Pieces are grouped by a 128-bit hash together with the smallest and the
-    largest piece of the group: where these agree, all its pieces have the same
-    bytes, and the places meet their group by the hash alone.  Hashes shared by
-    different pieces, if any, are grouped by the pieces themselves.
+    Pieces are grouped by a 128-bit hash together with the set of their texts:
+    where that is one text, all have the same bytes, and the places meet their
+    group by the hash alone.  Hashes shared by different pieces, if any, are
+    grouped by the pieces themselves.
     """
     hashes = written(numbered().select(F.xxhash64(piece).alias("h")), "line-hashes")
     bits = filter_bits(hashes.count())
     maps = repeat_bitmaps(hashes, "h", bits)
     maybe = written(with_repeat_flag(numbered(), F.xxhash64(piece), maps, bits, "maybe")
                     .filter("maybe").drop("maybe").withColumn("k", _group_key(piece)), "line-candidates")
-    groups = written(maybe.groupBy("k").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"),
-                                            F.min(piece).alias("lo"), F.max(piece).alias("hi"))
-                     .filter("first <> last").withColumn("alike", F.expr("lo = hi")).drop("lo", "hi"), "line-groups")
-    later = ~_place().eqNullSafe(F.col("first"))
+    place = _place(F.col("start"))
+    groups = written(maybe.groupBy("k").agg(F.min(place).alias("first"), F.max(place).alias("last"),
+                                            F.collect_set(piece).alias("texts")), "line-groups")
+    alike = F.size("texts") == 1
     rest = [c for c in maybe.columns if c not in (piece, "k")]
-    out = maybe.drop(piece).join(groups.filter("alike"), "k").filter(later).select(*rest)
-    unlike = groups.filter("not alike").select("k")
-    if unlike.isEmpty():
-        return out
-    mixed = written(maybe.join(unlike, "k", "left_semi"), "line-unlike")
-    firsts = mixed.groupBy(piece).agg(F.min(_place()).alias("first"))
-    return out.unionByName(mixed.join(firsts, piece).filter(later).select(*rest))
+    later = ~place.eqNullSafe(F.col("first"))
+    again = groups.filter(alike & (F.col("first") != F.col("last"))).select("k", "first")
+    out = maybe.drop(piece).join(again, "k").filter(later).select(*rest)
+    firsts = groups.filter(alike).select(F.col("texts")[0].alias("piece"), "first")
+    unlike = groups.filter(~alike).select("k")
+    if not unlike.isEmpty():
+        mixed = written(maybe.join(unlike, "k", "left_semi"), "line-unlike")
+        own = written(mixed.groupBy(F.col(piece).alias("piece")).agg(F.min(place).alias("first")), "line-unlike-firsts")
+        out = out.unionByName(mixed.join(own, F.col(piece) == F.col("piece")).filter(later).select(*rest))
+        firsts = firsts.unionByName(own)
+    return _Repeats(out, firsts, maps, bits)
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(doc_id, t, pos, start, n_lines) of the chunk occurrences to remove."""
-    return _later_copies(lambda: _numbered(docs), "chunk")
+    return _repeats(lambda: _numbered(docs), "chunk").later
 
 
-def _windows(docs: DataFrame, inside: Column | None = None) -> DataFrame:
-    """(doc_id, t, pos, pair) for every two adjacent lines with a word; ``pos`` is the first line's, from 0.
+def _inner(text: Column, start: Column) -> Column:
+    """Array of struct(pos, pair): the windows of two adjacent lines inside a chunk."""
+    return _let(F.split(text, "\n", -1), lambda lines: F.transform(
+        F.slice(lines, F.lit(1), F.size(lines) - 1),
+        lambda line, i: F.struct((start + i).alias("pos"), F.concat(line, F.lit("\n"), F.get(lines, i + 1)).alias("pair"))))
 
-    Windows at the positions in the array ``inside`` are left out.
-    """
-    def pairs(lines: Column) -> Column:
-        return F.transform(F.slice(lines, F.lit(1), F.size(lines) - 1),
-                           lambda line, i: F.struct(i.alias("pos"), F.concat(line, F.lit("\n"), F.get(lines, i + 1)).alias("pair")))
 
-    def wanted(found: Column) -> Column:
-        at = F.transform(found, lambda x: x["pos"])
-        return found if inside is None else F.transform(F.array_except(at, inside), lambda i: F.get(found, i))
-    rows = docs.filter("text is not null").select("doc_id", text_key(F.col("text")).alias("t"), F.inline(
-        _let(_let(F.split(F.col("text"), "\n", -1), pairs), wanted)))
-    return rows.filter(F.col("pair").rlike(f"[^{SPACE}]"))
+def _windows(docs: DataFrame, found: _Repeats) -> DataFrame:
+    """(doc_id, t, pos, start, pair) for the windows with a word in first copies of chunks and across cuts.
+
+    ``pos`` is the number of a window's first line, from 0.  Chunks that the
+    filter shows as alone are windowed where they are read, the others once for
+    all copies, at the place of the first.
+    """
+    rows = with_repeat_flag(_all_chunks(docs), F.xxhash64("c.text"), found.maps, found.bits, "maybe")
+    none = F.array().cast("array<struct<pos:int,pair:string>>")
+    across = F.when(F.col("c.next").isNotNull(), F.array(F.struct(
+        (F.col("c.start") + F.col("c.n_lines") - 1).alias("pos"), F.concat("c.last", F.lit("\n"), "c.next").alias("pair")))).otherwise(none)
+    inner = F.when((F.col("c.n_lines") < 2) | (F.col("maybe") & _removable()), none).otherwise(_inner(F.col("c.text"), F.col("c.start")))
+    read = rows.select("doc_id", "t", F.inline(F.concat(inner, across)))
+    once = found.firsts.select(F.col("first.d").alias("doc_id"), F.col("first.t").alias("t"),
+                               F.inline(_inner(F.col("piece"), F.col("first.start"))))
+    return read.unionByName(once).filter(F.col("pair").rlike(f"[^{SPACE}]")).withColumn("start", F.col("pos"))
 
 
 def _lines(text: Column) -> Column:
@@ -150,14 +186,9 @@ def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_r
 
 def dedup_passages(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
     """Like ``dedup_lines``, for every repeated passage of two lines or more with a word: chunk matches and their extensions."""
-    copies = written(repeated_chunks(docs).select("doc_id", "t", "start", "n_lines").distinct(), "line-copies")
-    narrow = docs.select("doc_id", "text")
-    inside = copies.groupBy("doc_id", "t").agg(F.flatten(F.collect_list(
-        F.sequence(F.col("start"), F.col("start") + F.col("n_lines") - 2))).alias("inside"))
-    untouched, touched = _met(narrow, inside)
-    touched = written(touched.select("doc_id", "text", F.coalesce("inside", F.array().cast("array<int>")).alias("inside")), "line-touched")
-    more = _later_copies(lambda: _windows(untouched).unionByName(_windows(touched, F.col("inside"))), "pair")
-    lines = (copies.select("doc_id", "t", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_lines") - 1)).alias("line"))
+    found = _repeats(lambda: _numbered(docs), "chunk")
+    more = _repeats(lambda: _windows(docs, found), "pair").later
+    lines = (found.later.select("doc_id", "t", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_lines") - 1)).alias("line"))
              .unionByName(more.select("doc_id", "t", F.explode(F.array(F.col("pos"), F.col("pos") + 1)).alias("line"))))
     gone = lines.groupBy("doc_id", "t").agg(F.collect_set("line").alias("gone"))
     return _taken_out(docs, gone.withColumn("lines_gone", F.size("gone").cast("long")), _lines, n_lines, n_removed)

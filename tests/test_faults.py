@@ -75,6 +75,17 @@ def test_scatter_bins_count_every_row(spark):
     assert audit.scatter_bins(df, "x", "y", 5).agg(F.sum("n")).first()[0] == 900
 
 
+def test_scatter_extract_draws_every_order(spark, tmp_path):
+    from tabforge.plans.catalogue import QUERIES
+    orders = [(k, k % 3, float(k) * 1.5) for k in range(40)] + [(5, 2, None), (5, 2, None)]
+    schema = "o_orderkey long, o_custkey long, o_totalprice double"
+    spark.createDataFrame(orders, schema).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 2, 3.0)], "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    got = QUERIES["scatter_extract"](spark, str(tmp_path))
+    assert got.columns == ["o_orderkey", "o_totalprice", "o_custkey"]
+    assert sorted(map(str, ((r[0], r[2], r[1]) for r in got.collect()))) == sorted(map(str, orders))
+
+
 def test_group_median_keeps_column_order_on_both_paths(spark):
     rows = [(i, f"g{i % 200}", float(i) if i % 3 else None) for i in range(1200)]
     df = spark.createDataFrame(rows, "id int, g string, x double")

@@ -57,7 +57,8 @@ CONFIGURATIONS = {"xgb_baseline": XGB_BASELINE, "lgbm_baseline": LGBM_BASELINE,
 _UNMAPPED = ("reg_alpha", "reg_lambda")
 _KNOWN = ("n_estimators", "learning_rate", "max_depth", "num_leaves", "min_child_weight", "min_child_samples",
           "subsample", "colsample_bytree", *_UNMAPPED)
-ROWS_PER_PARTITION = 20_000
+# A tree is a job per level, and every task of it costs a fixed time and a result on the driver: few, larger tasks.
+ROWS_PER_PARTITION = 200_000
 
 
 def gbt_params(params: dict) -> dict:
@@ -105,11 +106,14 @@ class GBT(ColumnEstimator):
             raise ValueError("early stopping and the choice of a tree count split rows by a hash of id_col")
 
     def booster(self, n_trees: int | None = None, **extra) -> GBTRegressor:
-        """Spark's estimator for the column ``_features``."""
+        """Spark's estimator for the column ``_features``.
+
+        Without node ids kept between levels: for trees so shallow, walking down from the root costs less than a stored table a level.
+        """
         n_trees = self.n_estimators if n_trees is None else n_trees
         chosen = self.gbt_params | ({} if n_trees is None else {"n_estimators": n_trees})
         return GBTRegressor(featuresCol="_features", labelCol=self.label, predictionCol=self.prediction_col, seed=self.seed, maxBins=64,
-                            cacheNodeIds=True, checkpointInterval=10, **gbt_params(chosen), **extra)
+                            cacheNodeIds=False, checkpointInterval=10, **gbt_params(chosen), **extra)
 
     def _held(self):
         return F.pmod(F.xxhash64(F.col(self.id_col), F.lit(self.seed)), F.lit(10)) == 0

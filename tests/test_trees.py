@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabforge.operators.trees import GBT, FoldTrainer
+from tabforge.operators.trees import GBT, FoldTrainer, prepared
 from tabforge.operators.validate import assign_folds
 
 
@@ -46,3 +46,20 @@ def test_fold_trainer_equals_fits_of_each_fold(data):
         model = GBT(["a", "b"], "y", PARAMS, 5, "id").fit(data.where(F.col("fold") != k))
         out = model.transform(data.where(F.col("fold") == k))
         assert abs(out.agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2)))).first()[0] - score) < 1e-9
+
+
+def test_tasks_of_a_tree_grow_slowly_with_the_rows(spark):
+    """A job of a tree has as many tasks as partitions: 45 of 20,000 rows cost more than the work in them."""
+    rows = spark.range(450_000).select("id", (F.col("id") % 7).cast("double").alias("a"), F.lit(1.0).alias("y"))
+    _, data, n = prepared(rows, ["a"], ["y"], "id")
+    assert n == data.rdd.getNumPartitions() == 3
+    assert prepared(rows.limit(90_000), ["a"], ["y"], "id")[2] == 1
+
+
+def test_node_ids_are_not_stored_and_change_nothing(data):
+    gbt = GBT(["a", "b"], "y", PARAMS, 5, "id")
+    assert not gbt.booster().getCacheNodeIds()
+    _, rows, _ = prepared(data, ["a", "b"], ["y"], "id")
+    want = gbt.booster().setCacheNodeIds(True).fit(rows).transform(rows)
+    got = gbt.fit(data).transform(data)
+    assert {r["id"]: r["prediction"] for r in got.collect()} == {r["id"]: r["prediction"] for r in want.collect()}

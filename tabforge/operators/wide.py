@@ -5,7 +5,7 @@ and ``WideLasso`` goes by Spark's own orthant-wise quasi-Newton solver; both
 have the objectives of ``Ridge`` and ``Lasso``.  A gradient step is one scan:
 every task multiplies its sparse rows with the direction and sends one p-vector
 in blocks, which one aggregation adds up.  The driver holds a few p-vectors
-(p is bounded by ``MAX_FEATURES``: 32 MB each) and sends one to the tasks.  The
+(p is bounded by ``MAX_FEATURES``: 128 MB each) and sends one to the tasks.  The
 rows are centred in the products, never in the data, so they stay sparse.
 """
 
@@ -16,15 +16,16 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.operators.base import ColumnEstimator, ColumnModel
-from tabforge.operators.dispatch import feature_names
+from tabforge.operators.dispatch import feature_names, level_table
 from tabforge.session import ship_package
 
-MAX_FEATURES = 1 << 22
+MAX_FEATURES = 1 << 24
 _BLOCK = 256        # features of one aggregated row
 _PARTIALS = 4096    # at most so many tasks send a p-vector
 
@@ -61,18 +62,21 @@ def summed(rows: DataFrame, p: int, k: int, partial: Callable) -> np.ndarray:
                                               pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.ravel()))], ["block", "v"])
 
     parts = rows.coalesce(_PARTIALS).mapInArrow(send, "block int, v array<double>")
-    sums = parts.groupBy("block").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(_BLOCK)]).alias("v")).collect()  # k * blocks rows
+    sums = parts.groupBy("block").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(_BLOCK)]).alias("v")).toArrow()  # k * blocks rows
     out = np.zeros((k * blocks, _BLOCK))
-    for r in sums:
-        out[r["block"]] = r["v"]
+    if sums.num_rows:
+        flat = sums.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        out[sums.column("block").to_numpy()] = flat.reshape(-1, _BLOCK)
     return out.reshape(k, blocks * _BLOCK)[:, :p]
 
 
 class LinearVectorModel(ColumnModel):
     """Prediction from a vector column; names of the features as read from its metadata."""
 
-    def __init__(self, features_col: str, prediction_col: str, intercept: float, coef: np.ndarray, names: list[str], iterations: int):
+    def __init__(self, features_col: str, prediction_col: str, intercept: float, coef: np.ndarray, names: list[str], iterations: int,
+                 name_table: DataFrame | None = None):
         super().__init__()
+        self.name_table = name_table   # instead of ``names`` where the levels are in a table
         self.features_col, self.prediction_col = features_col, prediction_col
         self.intercept, self.coef, self.names, self.iterations = float(intercept), np.asarray(coef, dtype=float), names, iterations
 
@@ -88,6 +92,14 @@ class LinearVectorModel(ColumnModel):
         return dataset.withColumn(self.prediction_col, F.arrow_udf(dot, "double")(self.features_col))
 
     def coefficients(self, spark: SparkSession) -> DataFrame:
+        if self.name_table is not None:
+            coef = self.coef
+
+            def of(code: pa.Array) -> pa.Array:
+                return pa.array(coef[code.to_numpy(zero_copy_only=False)])
+
+            of.__annotations__ = {"code": pa.Array, "return": pa.Array}
+            return self.name_table.select("feature", F.arrow_udf(of, "double")("code").alias("coef"))
         names = self.names or [str(i) for i in range(len(self.coef))]
         return spark.createDataFrame(list(zip(names, self.coef.tolist())), "feature string, coef double")
 
@@ -115,7 +127,8 @@ class WideRidge(ColumnEstimator):
             intercept, coef, steps = self._solve(rows, p)
         finally:
             rows.unpersist()
-        return LinearVectorModel(self.features_col, self.prediction_col, intercept, coef, names, steps)
+        return LinearVectorModel(self.features_col, self.prediction_col, intercept, coef, names, steps,
+                                 level_table(dataset, self.features_col))
 
     def _solve(self, rows: DataFrame, p: int) -> tuple[float, np.ndarray, int]:
         n, mean_y = rows.agg(F.count(F.lit(1)), F.avg("_y")).first()
@@ -170,11 +183,15 @@ class WideLasso(ColumnEstimator):
     def _fit(self, dataset: DataFrame) -> LinearVectorModel:
         rows = dataset.select(self.features_col, F.col(self.label).cast("double").alias("_y")).dropna()
         _size(rows, self.features_col)
+        if "level_table" in rows.schema[self.features_col].metadata:   # Spark's solver reads vectors only
+            vector = F.udf(lambda v: SparseVector(v["size"], v["indices"], v["values"]), VectorUDT())
+            rows = rows.select(vector(self.features_col).alias(self.features_col), "_y")
         solver = LinearRegression(featuresCol=self.features_col, labelCol="_y", regParam=self.alpha, elasticNetParam=1.0, standardization=False,
                                   solver="l-bfgs", tol=self.tol, maxIter=self.max_iter, aggregationDepth=2)
         model = solver.fit(rows)
         return LinearVectorModel(self.features_col, self.prediction_col, model.intercept, model.coefficients.toArray(),
-                                 feature_names(dataset, self.features_col), model.summary.totalIterations)
+                                 feature_names(dataset, self.features_col), model.summary.totalIterations,
+                                 level_table(dataset, self.features_col))
 
 
 def _size(rows: DataFrame, features_col: str) -> int:

@@ -117,3 +117,30 @@ def test_fifty_thousand_levels(spark):
     want = dict(zip("nom__c_" + stats.c, w * (stats.m - b0)))
     assert abs(model.intercept - b0) < 1e-9
     assert max(abs(want[n] - c) for n, c in zip(model.names, model.coef)) < 1e-9
+
+
+def test_levels_beyond_the_bound_go_by_a_table(spark, monkeypatch, tmp_path):
+    """1.2 million levels were an error: the schema and the driver held every one of them."""
+    from tabforge.operators import dispatch
+    monkeypatch.setattr(dispatch, "TABLE_LEVELS", 30)
+    df = spark.range(0, 400, 1, 1).select("id", F.when(F.col("id") % 50 > 0, F.concat(F.lit("v"), (F.col("id") * 7 % 41).cast("string"))).alias("c"),
+                                 (F.pmod(F.col("id") * 7919, F.lit(101)) / 10.0).alias("y"))
+    fitted = ColumnDispatcher([("nom", "one_hot", ["c"])], max_levels=20).fit(df)
+    out = fitted.transform(df)
+    assert out.columns == [*df.columns, "features"] and feature_names(out) == []
+    monkeypatch.setattr(dispatch, "TABLE_LEVELS", 100)
+    vectors = ColumnDispatcher([("nom", "one_hot", ["c"])]).fit(df).transform(df)
+    names = feature_names(vectors)
+    assert [r["feature"] for r in fitted.levels.orderBy("code").collect()] == names
+    a = {r["id"]: (r["features"]["size"], list(r["features"]["indices"]), list(r["features"]["values"])) for r in out.collect()}
+    assert a == {r["id"]: (41, r["features"].indices.tolist(), r["features"].values.tolist()) for r in vectors.collect()}
+    for estimator in (WideRidge("y", 10.0), WideLasso("y", 0.01)):
+        got, want = estimator.fit(out), estimator.fit(vectors)
+        assert abs(got.intercept - want.intercept) < 1e-9
+        coefs = {r["feature"]: r["coef"] for r in got.coefficients(spark).collect()}
+        assert coefs.keys() == set(names) and max(abs(coefs[n] - c) for n, c in zip(names, want.coef)) < 1e-9
+        p = {r["id"]: r["prediction"] for r in got.transform(out).collect()}
+        assert max(abs(p[r["id"]] - r["prediction"]) for r in want.transform(vectors).collect()) < 1e-9
+    fitted.write().save(f"file://{tmp_path}/levels")
+    back = dispatch.LevelTableModel.load(f"file://{tmp_path}/levels").transform(df)
+    assert {r["id"]: list(r["features"]["indices"]) for r in back.collect()} == {k: v[1] for k, v in a.items()}

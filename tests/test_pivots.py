@@ -153,3 +153,22 @@ def test_codes_beyond_the_literal_map_are_joined(spark):
             assert not same or r["c"] == same[0]
         else:
             assert r["c"] == rows[r["id"]][1]
+
+
+def test_a_cell_is_dealt_into_bounded_groups(spark, monkeypatch):
+    """Receivers and donors of a cell meet in groups, each pair of them in exactly one; results stay those of every pair."""
+    import pyarrow as pa
+    monkeypatch.setattr(pivots, "GROUP_ROWS", 20)
+    donors = spark.range(300).select(F.col("id").alias("did"), F.lit(0).alias("cell"))
+    visits = spark.range(1000, 1150).select(F.col("id").alias("qid"), F.lit("a").alias("_t"), F.lit(0).alias("cell"))
+    index = pivots.CellIndex(("x",), np.zeros((1, 1)), np.array([300]), *[None] * 4)
+
+    def sizes(left, right):
+        return pa.table({"q": pa.array([left.num_rows], pa.int64()), "d": pa.array([right.num_rows], pa.int64())})
+
+    met = pivots._measured(visits, donors, index, {0: 150}, sizes, "q long, d long", 4).collect()
+    assert sum(r["q"] * r["d"] for r in met) == 300 * 150 and max(max(r) for r in met) < 60
+    rows = wide_rows(300, 4)
+    df = spark.createDataFrame(rows, SCHEMA)
+    cols = SCHEMA.replace(" double", "").replace(" long", "").split(", ")[1:]
+    check(imputed(KNNImputer(["a", "b"], cols, "id").fit(df), df), brute(rows, rows))

@@ -139,6 +139,9 @@ def k_smallest_per_group(df: DataFrame, group_cols: Sequence[str], order_col: st
     return df.withColumn("_kr", rank).where(F.col("_kr") <= k).drop("_kr")
 
 
+# Fit rows that one task sorts to find copies: a file may hold any number of rows in one split.
+SORT_ROWS = 200_000
+
 # Name of the constant anchor of receivers that have no other: their box covers all donors.
 _ZERO = "_zero"
 
@@ -201,6 +204,7 @@ class KNNImputer(ColumnEstimator):
         los = [0.0 if a == _ZERO else float(st[f"lo_{a}"]) for a in anchors]
         his = [0.0 if a == _ZERO else float(st[f"hi_{a}"]) for a in anchors]
         widths = [((h - lo) / cells_per_dim) if h > lo else 1.0 for lo, h in zip(los, his)]
+        model.n_fit = n
         model.anchors, model.widths, model.los, model.his = anchors, widths, los, his
         complete = [c for c in cols if st[f"c_{c}"] == st["n"] and st["n"]]
         if self.search in ("index", "approximate") or (self.search == "auto" and self.anchor is None and len(complete) > self.n_anchors):
@@ -215,6 +219,7 @@ class KNNImputerModel(ColumnModel):
         self.spec, self.codes, self.sizes, self.anchors = spec, codes, sizes, anchors
         self.widths, self.los, self.his = widths, los, his
         self.index_cols: list = []
+        self.n_fit = 1
         # a string column without a level at fit says nothing of a distance
         self.dist_cols = [c for c in spec.dist_cols if sizes.get(c, 1)]
         self.fit_encoded = self._encode(fit_df)
@@ -238,10 +243,15 @@ class KNNImputerModel(ColumnModel):
                 out = self._lookup(out, c, F.col(c), f"_code_{c}").drop(c).withColumnRenamed(f"_code_{c}", c)
         return out.select(s.id_col, *[F.col(c).cast("double").alias(c) for c in self.dist_cols])
 
+    def _dealt(self) -> DataFrame:
+        """Encoded fit rows, dealt evenly into as many tasks as their number asks for."""
+        tasks = pivots.tasks_for(self.fit_encoded.sparkSession, self.n_fit, SORT_ROWS)
+        return self.fit_encoded.repartition(tasks, self.spec.id_col)
+
     def cell_index(self) -> tuple[DataFrame, pivots.CellIndex]:
         """(fit rows in cells, index), built once.  Of identical rows only the k smallest ids can ever be chosen."""
         if getattr(self, "_index", None) is None:
-            rows = self.fit_encoded.select(F.col(self.spec.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in self.dist_cols])
+            rows = self._dealt().select(F.col(self.spec.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in self.dist_cols])
             kept = k_smallest_per_group(rows, [f"d_{c}" for c in self.dist_cols], "did", self.spec.k)
             self._index = pivots.build_index(checkpoint_once(kept), self.index_cols, self.spec.donors_per_cell)
         return self._index
@@ -273,7 +283,7 @@ class KNNImputerModel(ColumnModel):
     def _donors(self, targets: list[str]) -> DataFrame:
         """Long form for the grid: one row per fit row and target that it has, copies beyond the k smallest ids left out."""
         s, d_cols = self.spec, [f"d_{c}" for c in self.dist_cols]
-        donors = (self.fit_encoded.select(
+        donors = (self._dealt().select(
             F.col(s.id_col).alias("did"), *[F.col(c).alias(f"d_{c}") for c in self.dist_cols],
             F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).alias("v")) for t in targets])).alias("_tv"))
             .where(F.col("_tv.v").isNotNull())

@@ -176,7 +176,7 @@ def build_index(donors: DataFrame, cols: Sequence[str], per_cell: int = DONORS_P
     # a bounded choice: one vector a cell, by a hash of the vector
     chosen = distinct.select(vector.alias("v")).orderBy(F.xxhash64("v"), "v").limit(cells).collect()
     pivots = np.array([r["v"] for r in chosen], dtype=float).reshape(-1, len(cols))
-    dealt = donors.repartition(_tasks(donors.sparkSession, donors.count(), TASK_ROWS), "did")
+    dealt = donors.repartition(tasks_for(donors.sparkSession, donors.count(), TASK_ROWS), "did")
     placed = checkpoint_once(in_cells(dealt, cols, pivots))
     ranges = [f(F.col(f"d_{c}")).alias(f"{n}{k}") for k, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))]
     m = len(pivots)
@@ -190,7 +190,7 @@ def build_index(donors: DataFrame, cols: Sequence[str], per_cell: int = DONORS_P
     return placed.drop("reach"), CellIndex(tuple(cols), pivots, count, low, high, near, far)
 
 
-def _tasks(spark, work: int, most: int) -> int:
+def tasks_for(spark, work: int, most: int) -> int:
     """Tasks for ``work`` units: no more than ``most`` in one, and all cores where there is enough for them."""
     return max(1, min(spark.sparkContext.defaultParallelism, -(-int(work) // max(1, most // 16))), -(-int(work) // most))
 
@@ -326,7 +326,7 @@ def exact_neighbours(receivers: DataFrame, donors: DataFrame, index: CellIndex,
     present = F.lit(0)
     for c in q_cols:
         present = present + F.col(c).isNotNull().cast("int")
-    search, tasks = _nearest_of_group(targets, dist_cols, k), _tasks(spark, receivers.count(), TASK_ROWS)
+    search, tasks = _nearest_of_group(targets, dist_cols, k), tasks_for(spark, receivers.count(), TASK_ROWS)
     kinds = {**dict(receivers.dtypes), **dict(donors.dtypes)}
     found_type = f"qid {kinds['qid']}, _t string, d2 double, did {kinds['did']}, val double"
     pending = receivers.select("qid", "_t", *q_cols, (F.lit(float(len(dist_cols))) / present).alias("_scale"), F.lit(None).cast("double").alias("_kth"),
@@ -342,7 +342,7 @@ def exact_neighbours(receivers: DataFrame, donors: DataFrame, index: CellIndex,
             break
         pairs = sum(n * int(index.count[c]) for c, n in visitors.items())
         pairs_seen += pairs
-        found = _measured(visits, donors, index, visitors, search, found_type, _tasks(spark, pairs, TASK_PAIRS))
+        found = _measured(visits, donors, index, visitors, search, found_type, tasks_for(spark, pairs, TASK_PAIRS))
         rank = F.row_number().over(Window.partitionBy("qid", "_t").orderBy("d2", "did"))
         best = (found.withColumn("_r", rank).where(F.col("_r") <= k).groupBy("qid", "_t")
                 .agg(F.sort_array(F.collect_list(F.struct("d2", "did", "val"))).alias("new")).repartition(tasks, "qid", "_t"))

@@ -169,3 +169,14 @@ def test_lambda_search_ends_where_the_transform_overflows(spark):
     model = YeoJohnson(["x", "y"]).fit(df)
     assert all(math.isfinite(v) for v in model.lambdas.values())
     assert df.count() == model.transform(df).where("x is not null and x = x").count()
+
+
+def test_fit_rows_of_one_split_are_dealt_before_they_are_sorted(spark, monkeypatch):
+    """The search for copies sorts no more than SORT_ROWS rows of a large split in one task."""
+    from tabforge.operators import knn
+    monkeypatch.setattr(knn, "SORT_ROWS", 100)
+    df = spark.range(0, 2000, 1, 1).select("id", (F.col("id") % 50).cast("double").alias("x"),
+                                           F.when(F.col("id") % 7 != 3, (F.col("id") % 50) * 2.0).alias("v"))
+    model = knn.KNNImputer(["v"], ["x", "v"], "id", k=3).fit(df)
+    assert df.rdd.getNumPartitions() == 1 and model._dealt().rdd.getNumPartitions() >= 20
+    assert all(abs(r["v"] - 2.0 * r["x"]) < 1e-9 for r in model.transform(df).collect())

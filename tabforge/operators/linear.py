@@ -269,7 +269,8 @@ class L1Selector(ColumnEstimator):
         self.features, self.label, self.alpha, self.threshold = list(features), label, alpha, threshold
 
     def _fit(self, dataset: DataFrame) -> L1SelectorModel:
-        _, beta = solve_lasso(gram_sums(dataset, self.features, self.label)[None], self.alpha)
+        self.gram_ = gram_sums(dataset, self.features, self.label)[None]
+        _, beta = solve_lasso(self.gram_, self.alpha)
         kept = [f for f, b in zip(self.features, beta) if abs(b) >= self.threshold]
         if not kept:
             raise ValueError("L1 selection kept no feature; lower alpha")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tabforge.operators.base import ColumnEstimator, ColumnModel
 from tabforge.operators.encode import OneHotEncoder, RobustScaler, TargetEncoder
 from tabforge.operators.ensemble import ModelEnsembleModel, Stacking, StackingModel
-from tabforge.operators.linear import L1Selector
+from tabforge.operators.linear import Gram, L1Selector, Ridge
 from tabforge.operators.power import SkewRouter
 from tabforge.operators.validate import assign_folds, fold_scores, oof_by_loop, oofs_by_loop, run_parallel
 
@@ -44,8 +44,8 @@ class RegressionPipeline(ColumnEstimator):
         """Pipelines with equal keys have the same stages before their estimators."""
         return (self.label, tuple(self.numeric), tuple(self.target_encoded), tuple(self.one_hot), self.route_skew, self.l1_alpha, self.scale)
 
-    def fit_front(self, dataset: DataFrame) -> tuple[list, list[str]]:
-        """(fitted stages, features they leave)."""
+    def fit_front(self, dataset: DataFrame) -> tuple[list, list[str], Gram | None]:
+        """(fitted stages, features they leave, sums of these features when the selection scanned every row for them)."""
         data = dataset.withColumns({_work(c): F.col(c) for c in self.numeric + self.target_encoded + self.one_hot})
         stages = []
 
@@ -65,19 +65,29 @@ class RegressionPipeline(ColumnEstimator):
             add(TargetEncoder([_work(c) for c in self.target_encoded], self.label))
         if self.one_hot:
             features += add(OneHotEncoder([_work(c) for c in self.one_hot])).output_cols
+        gram = None
         if self.l1_alpha is not None:
-            features = L1Selector(features, self.label, self.l1_alpha).fit(data).kept
-        return stages, features
-
-    def fit_behind(self, dataset: DataFrame, front: tuple[list, list[str]]) -> RegressionPipelineModel:
-        """The estimator fitted behind the stages of ``fit_front``."""
-        stages, features = front
+            selector = L1Selector(features, self.label, self.l1_alpha)
+            kept = selector._fit(data).kept
+            if selector.gram_.n == dataset.count():   # a row with a null counts again once the feature that lacks it is gone
+                gram = selector.gram_.take([features.index(f) for f in kept])
+            features = kept
+        return stages, features, gram
+
+    def fit_behind(self, dataset: DataFrame, front: tuple[list, list[str], Gram | None]) -> RegressionPipelineModel:
+        """The estimator fitted behind the stages of ``fit_front``; a linear one from the sums of the selection's scan."""
+        stages, features, gram = front
         inputs = self.numeric + self.target_encoded + self.one_hot
         data = dataset.withColumns({_work(c): F.col(c) for c in inputs})
         for stage in stages:
             data = stage.transform(data)
         estimator = self.make(features)
-        return RegressionPipelineModel(inputs, stages, estimator.fit(data), getattr(estimator, "prediction_col", "prediction"),
+        if gram is not None and isinstance(estimator, Ridge) and type(estimator)._fit is Ridge._fit and (
+                list(estimator.features), estimator.label) == (features, self.label):
+            model = estimator.fit_gram(gram)
+        else:
+            model = estimator.fit(data)
+        return RegressionPipelineModel(inputs, stages, model, getattr(estimator, "prediction_col", "prediction"),
                                        self.prediction_col)
 
     def _fit(self, dataset: DataFrame) -> RegressionPipelineModel:

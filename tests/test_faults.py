@@ -237,3 +237,20 @@ def test_shared_front_stages_give_the_models_of_separate_fits(spark):
     assert together["r"].stages is not together["t"].stages
     for name, make in makers.items():
         assert np.allclose(together[name].model.coef, make().fit(df).model.coef)
+
+
+def test_linear_models_behind_a_selection_share_its_scan(spark, monkeypatch):
+    from tabforge.operators import linear
+    from tabforge.operators.linear import Lasso
+    scans, whole = [], linear.gram_sums
+    monkeypatch.setattr(linear, "gram_sums", lambda *a, **b: scans.append(1) or whole(*a, **b))
+    makers = {"r": lambda: RegressionPipeline(lambda f: Ridge(f, "y", 1.0), "y", ["a", "b"], route_skew=False, l1_alpha=0.0005),
+              "l": lambda: RegressionPipeline(lambda f: Lasso(f, "y", 0.0005), "y", ["a", "b"], route_skew=False, l1_alpha=0.0005)}
+    rows = [(i, float(i % 17), float((i * 7) % 11), float(i % 17) + (i * 7) % 11) for i in range(200)]
+    for nulls in (False, True):
+        df = spark.createDataFrame([(i, a, None if nulls and i % 9 == 0 else b, y) for i, a, b, y in rows], "id long, a double, b double, y double")
+        scans.clear()
+        together = fit_pipelines(makers, df)
+        assert len(scans) == (3 if nulls else 1)   # rows left out for a null may count for the features that are kept
+        for n, estimator in (("r", Ridge(["a", "b"], "y", 1.0)), ("l", Lasso(["a", "b"], "y", 0.0005))):
+            assert np.allclose(together[n].model.coef, estimator.fit(df).coef)

@@ -59,6 +59,11 @@ def _beside(rows: DataFrame, table, group_cols: list[str], names: list[str]) ->
     return rows.join(side, _same_group(group_cols)), [F.col(x) for x in names]
 
 
+def _local(spark, few: DataFrame) -> DataFrame:
+    """The rows of a small result, read without a job."""
+    return spark.createDataFrame(few.toArrow(), few.schema)
+
+
 def _edges(n: int) -> list[str]:
     return [f"_{x}{i}" for x in ("lo", "hi") for i in range(n)]
 
@@ -220,8 +225,10 @@ def exact_quantiles(df: DataFrame, value_cols: str | Sequence[str], probs: Seque
     # scan 2: rank the band
     def ranked(between) -> DataFrame:
         out = _ranked(rows, between, sketch, group_cols, slots, vals, value_cols)
-        few = out.limit(MAX_LOCAL_GROUPS + 1).collect() if group_cols else out.collect()  # else columns x probs rows
-        if group_cols and len(few) > MAX_LOCAL_GROUPS:
+        if not group_cols:
+            return _local(df.sparkSession, out)   # columns x probs rows
+        few = out.limit(MAX_LOCAL_GROUPS + 1).collect()
+        if len(few) > MAX_LOCAL_GROUPS:
             return checkpoint_once(out)
         return df.sparkSession.createDataFrame(few, out.schema)
 

@@ -139,10 +139,10 @@ class TargetEncoder(ColumnEstimator):
         w = 1.0 / (1.0 + F.exp(-(F.col("n") - F.lit(self.min_samples_leaf)) / F.lit(self.smoothing)))
         enc = F.when(F.col("n") == 1, F.lit(prior)).otherwise(F.lit(prior) * (1 - w) + F.col("m") * w)
         table = stats.select("column", "value", enc.alias("enc"))
-        n = table.count()
-        if n <= MAX_LITERAL_ENTRIES:
+        few = table.limit(MAX_LITERAL_ENTRIES + 1).collect()
+        if len(few) <= MAX_LITERAL_ENTRIES:
             maps: dict[str, dict] = {c: {} for c in self.cols}
-            for r in table.collect():
+            for r in few:
                 maps[r["column"]][r["value"]] = r["enc"]
             return TargetEncoderModel(self.cols, prior, maps=maps)
         return TargetEncoderModel(self.cols, prior, frame=table)

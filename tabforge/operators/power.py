@@ -49,7 +49,12 @@ def _is_spread(var: float | None, mean: float | None) -> bool:
     return var > (1e-12 * max(abs(mean or 0.0), 1e-150)) ** 2
 
 
-def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float]]) -> dict[str, float]:
+def _means(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    return {c: float(row[c]) if row[c] is not None else 0.0 for c in cols}
+
+
+def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float]], refs: dict[str, float] | None = None) -> dict[str, float]:
     """One scan: each task emits (column, lambda, n, mean, M2) of its transformed rows.
 
     Within a task batches merge with Chan's update (exact); across tasks the
@@ -59,8 +64,7 @@ def _best_lambda(df: DataFrame, cols: Sequence[str], grids: dict[str, list[float
     cols = list(cols)
     # values are transformed relative to yj(ref) (variance is shift-free); with the shift the
     # between-task term below only cancels at the scale of the spread, not of the values
-    ref_row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    refs = {c: float(ref_row[c]) if ref_row[c] is not None else 0.0 for c in cols}
+    refs = _means(df, cols) if refs is None else refs
 
     def partial(batches):
         acc = {}
@@ -147,9 +151,9 @@ class YeoJohnson(ColumnEstimator):
         den = self.fine_half / half if half else self.fine_den
         return [center + float(j - self.fine_half) / den for j in range(2 * self.fine_half + 1)]
 
-    def _bracketed(self, dataset: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    def _bracketed(self, dataset: DataFrame, refs: dict[str, float]) -> tuple[dict[str, float], dict[str, float]]:
         """(best grid point, spacing around it) per column, the point inside its grid."""
-        best = _best_lambda(dataset, self.cols, {c: self.coarse_grid() for c in self.cols})
+        best = _best_lambda(dataset, self.cols, {c: self.coarse_grid() for c in self.cols}, refs)
         step = {c: 1.0 / self.coarse_den for c in self.cols}
         n = len(self.coarse_grid()) - 1
         ends = {c: (self.coarse_grid()[0], self.coarse_grid()[-1]) for c in self.cols}
@@ -160,17 +164,18 @@ class YeoJohnson(ColumnEstimator):
                 way = -step[c] if best[c] == ends[c][0] else step[c]
                 grids[c] = [best[c] + k * way for k in range(n + 1)]
                 ends[c] = (grids[c][-1], math.inf) if way < 0 else (-math.inf, grids[c][-1])
-            best |= _best_lambda(dataset, beyond, grids)
+            best |= _best_lambda(dataset, beyond, grids, refs)
         return best, step
 
     def _fit(self, dataset: DataFrame) -> YeoJohnsonModel:
         if not self.cols:
             return YeoJohnsonModel({}, {}, {})
-        coarse, step = self._bracketed(dataset)
-        lams = _best_lambda(dataset, self.cols, {c: self.fine_grid(coarse[c], step[c]) for c in self.cols})
+        refs = _means(dataset, self.cols)
+        coarse, step = self._bracketed(dataset, refs)
+        lams = _best_lambda(dataset, self.cols, {c: self.fine_grid(coarse[c], step[c]) for c in self.cols}, refs)
         step = {c: x / self.fine_half for c, x in step.items()}
         while wide := [c for c in self.cols if step[c] > 1.0 / self.fine_den + 1e-12]:
-            lams |= _best_lambda(dataset, wide, {c: self.fine_grid(lams[c], step[c]) for c in wide})
+            lams |= _best_lambda(dataset, wide, {c: self.fine_grid(lams[c], step[c]) for c in wide}, refs)
             step |= {c: step[c] / self.fine_half for c in wide}
         mean, scale = {}, {}
         if self.standardize:

@@ -180,3 +180,11 @@ def test_fit_rows_of_one_split_are_dealt_before_they_are_sorted(spark, monkeypat
     model = knn.KNNImputer(["v"], ["x", "v"], "id", k=3).fit(df)
     assert df.rdd.getNumPartitions() == 1 and model._dealt().rdd.getNumPartitions() >= 20
     assert all(abs(r["v"] - 2.0 * r["x"]) < 1e-9 for r in model.transform(df).collect())
+
+
+def test_column_means_are_taken_once_for_all_grids(spark, monkeypatch):
+    from tabforge.operators import power
+    calls, means = [], power._means
+    monkeypatch.setattr(power, "_means", lambda *a: calls.append(1) or means(*a))
+    df = spark.range(300).select((F.col("id") % 23 + 1.0).alias("x"))
+    assert -5 < YeoJohnson(["x"]).fit(df).lambdas["x"] < 5 and len(calls) == 1

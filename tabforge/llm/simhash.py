@@ -156,8 +156,9 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, max_meetings: int =
     if needed > spread:
         members, replicas = members.repartition(needed, "key"), replicas.repartition(needed, "key")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+    # never a broadcast: Spark sizes both sides as before the explode, so 32 replicas of 300,000 rows would pass for a few MB
     # both directions hold, so a < b keeps each pair from one side
-    return members.join(replicas, "key").filter(near & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    return members.hint("merge").join(replicas.hint("merge"), "key").filter(near & (F.col("a") < F.col("b"))).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -46,3 +46,9 @@ def test_blocks_follow_from_the_number_of_fingerprints():
         blocks = simhash.blocks_for(n)
         per_key = n / (simhash._ANCHORS if blocks == 1 else simhash._ANCHORS << simhash._BLOCK_BITS)
         assert 2 * 16 * blocks * per_key <= simhash.MAX_MEETINGS
+
+
+def test_replicas_are_never_broadcast(spark):
+    """Spark sizes them as before the explode: 300,000 fingerprints, 10 million replicas, passed for a table to send to the driver."""
+    plan = simhash.links(_frame(spark, range(1, 2000)))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

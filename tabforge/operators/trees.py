@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import random
+import threading
 import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -35,6 +36,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabforge.operators import cells
 from tabforge.operators.base import ColumnEstimator, ColumnModel
 from tabforge.operators.validate import run_parallel
 
@@ -59,6 +61,8 @@ _KNOWN = ("n_estimators", "learning_rate", "max_depth", "num_leaves", "min_child
           "subsample", "colsample_bytree", *_UNMAPPED)
 # A tree is a job per level, and every task of it costs a fixed time and a result on the driver: few, larger tasks.
 ROWS_PER_PARTITION = 200_000
+# From so many trees on, fits may go by coded rows (``cells``): coding costs some ten jobs, Spark's own fit a job per level of a tree.
+CODED_FROM = 64
 
 
 def gbt_params(params: dict) -> dict:
@@ -95,13 +99,14 @@ class GBT(ColumnEstimator):
     def __init__(self, features: Sequence[str], label: str = "label", params: dict | None = None,
                  n_estimators: int | None = None, id_col: str | None = None, num_partitions: int | None = None,
                  prediction_col: str = "prediction", seed: int = 42, early_stopping: bool = False, tolerance: float = 0.01,
-                 choose_trees: bool = False, first_trees: int = 64):
+                 choose_trees: bool = False, first_trees: int = 64, coded: bool | None = None):
         super().__init__()
         self.features, self.label, self.id_col = list(features), label, id_col
         self.gbt_params, self.n_estimators = dict(params or {}), n_estimators
         self.num_partitions, self.prediction_col, self.seed = num_partitions, prediction_col, seed
         self.early_stopping, self.tolerance = early_stopping, tolerance
         self.choose_trees, self.first_trees = choose_trees, first_trees
+        self.coded = coded   # fit by coded rows (``cells``); by default over more than one partition
         if (early_stopping or choose_trees) and not id_col:
             raise ValueError("early stopping and the choice of a tree count split rows by a hash of id_col")
 
@@ -118,8 +123,19 @@ class GBT(ColumnEstimator):
     def _held(self):
         return F.pmod(F.xxhash64(F.col(self.id_col), F.lit(self.seed)), F.lit(10)) == 0
 
+    def _limit(self) -> int:
+        return self.n_estimators or int(self.gbt_params.get("n_estimators", 20))
+
     def _fit(self, dataset: DataFrame) -> GBTModelWrapper:
         asm, data, n = prepared(dataset, self.features, [self.label], self.id_col, self.num_partitions)
+        if self.id_col and not self.early_stopping and self._limit() >= CODED_FROM and (n > 1 if self.coded is None else self.coded):
+            data = data.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                fitted = self._coded_fit(data)
+                if fitted is not None:
+                    return GBTModelWrapper(asm, None, self.prediction_col, self.features, n, fitted[1], fitted[0])
+            finally:
+                data.unpersist()
         extra, errors, n_trees = {}, [], None
         if self.early_stopping:
             data = data.withColumn("_held", self._held())
@@ -135,12 +151,33 @@ class GBT(ColumnEstimator):
             if self.choose_trees:
                 data.unpersist()
 
+    def _coded_fit(self, data: DataFrame) -> tuple | None:
+        """(trees, errors on the held rows) from coded rows (``cells``); None where they do not apply."""
+        spark, errors, n_trees = data.sparkSession, [], None
+        if self.choose_trees:
+            held, rest = data.where(self._held()), data.where(~self._held())
+            if not (held.isEmpty() or rest.isEmpty()):
+                rows = cells.coded(data, self.features, self.label, self.booster(), ~self._held())
+                if rows is None:
+                    return None
+                how = cells.settings(self.booster(), len(self.features)) | {"trees": self._limit(), "first": min(self._limit(), self.first_trees)}
+                errors = cells.run_fits(spark, [(rows, how)], cells.staged_errors)[0]
+                rows.unpersist()
+                n_trees = 1 + errors.index(min(errors))
+        booster = self.booster(n_trees)
+        rows = cells.coded(data, self.features, self.label, booster)
+        if rows is None:
+            return None
+        grown = cells.run_fits(spark, [(rows, cells.settings(booster, len(self.features)))], cells.trees)[0]
+        rows.unpersist()
+        return cells.CodedTrees(grown, rows.thresholds, self.features, booster), errors
+
     def _staged(self, data: DataFrame) -> list[float]:
         """Mean squared error on the held rows after every tree of the longest fit; empty when either part has no row."""
         held, rest = data.where(self._held()), data.where(~self._held())
         if held.isEmpty() or rest.isEmpty():
             return []
-        limit = self.n_estimators or int(self.gbt_params.get("n_estimators", 20))
+        limit = self._limit()
         n = min(limit, self.first_trees)
         while True:
             errors = self.booster(n).fit(rest).evaluateEachIteration(held, "squared")
@@ -172,12 +209,25 @@ class FoldTrainer:
         _, data, self.num_partitions = prepared(df, self.features, [label, fold_col], id_col)
         self.data = data.persist(StorageLevel.MEMORY_AND_DISK)
         self.folds = sorted(r[0] for r in self.data.select(fold_col).distinct().collect())
+        self._rows: dict | None = None
+        self._lock = threading.Lock()
 
     def __enter__(self) -> FoldTrainer:
         return self
 
     def __exit__(self, *exc) -> None:
         self.data.unpersist()
+        for rows in (self._rows or {}).values():
+            if rows is not None:
+                rows.unpersist()
+
+    def _coded(self) -> dict:
+        """{fold: the rows coded for the fits without it, or None where coding does not apply}: once for all fits."""
+        with self._lock:
+            if self._rows is None:
+                booster = GBT(self.features, self.label, {}, id_col=self.id_col).booster()
+                self._rows = {k: cells.coded(self.data, self.features, self.label, booster, F.col(self.fold_col) != k) for k in self.folds}
+        return self._rows
 
     def fit(self, params: dict, fold: int, n_trees: int | None = None):
         """(model, its test rows) with ``fold`` left out."""
@@ -186,6 +236,13 @@ class FoldTrainer:
 
     def scores(self, params: dict, n_trees: int | None = None) -> list[float]:
         """RMSE on every fold."""
+        params = dict(params) if n_trees is None else params | {"n_estimators": n_trees}
+        if int(params.get("n_estimators", 20)) >= CODED_FROM:
+            rows = self._coded()
+            if all(r is not None for r in rows.values()):
+                how = cells.settings(GBT(self.features, self.label, params, id_col=self.id_col).booster(), len(self.features))
+                return cells.run_fits(self.data.sparkSession, [(rows[k], how) for k in self.folds], cells.held_rmse)
+
         def rmse(fold: int) -> float:
             model, test = self.fit(params, fold, n_trees)
             return model.transform(test).agg(F.sqrt(F.avg(F.pow(F.col(self.label) - F.col("prediction"), 2)))).first()[0]
@@ -193,17 +250,32 @@ class FoldTrainer:
 
 
 class GBTModelWrapper(ColumnModel):
-    def __init__(self, asm, model, prediction_col, features, num_partitions=None, errors=()):
+    def __init__(self, asm, model, prediction_col, features, num_partitions=None, errors=(), coded=None):
         super().__init__()
         self.errors = list(errors)   # of choose_trees: on the held rows, after every tree
-        self.asm, self.model, self.prediction_col, self.features = asm, model, prediction_col, features
+        self.asm, self.prediction_col, self.features = asm, prediction_col, features
         self.num_partitions = num_partitions
+        self._model, self.coded = model, coded   # one of the two; the other way round Spark's model is built when asked for
+
+    @property
+    def model(self):
+        if self._model is None:
+            self._model = self.coded.model(SparkSession.active())
+        return self._model
+
+    @model.setter
+    def model(self, model) -> None:   # models saved under this name
+        self._model = model
 
     @property
     def n_trees(self) -> int:
-        return self.model.getNumTrees
+        coded = vars(self).get("coded")
+        return len(coded.trees) if coded else self.model.getNumTrees
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        coded = vars(self).get("coded")
+        if coded:
+            return dataset.withColumn(self.prediction_col, coded.predicted(dataset.sparkSession))
         return self.model.transform(self.asm.transform(dataset)).drop("_features")
 
     def importances(self, spark) -> DataFrame:
